@@ -84,7 +84,7 @@ def flatten_attributes(df: DataFrame, attributes: str = "attributes", spec: Mapp
 def split_items(text: ColumnOrName, separator: str = ",") -> Column:
     """Trimmed non-blank items of a delimited string; an empty array for NULL."""
     parts = F.split(F.coalesce(as_column(text), F.lit("")), separator)
-    return F.filter(F.transform(parts, F.trim), lambda item: item != "")
+    return F.filter(F.transform(parts, lambda item: F.trim(item)), lambda item: item != "")
 
 
 def explode_delimited(
