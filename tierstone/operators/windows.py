@@ -47,16 +47,20 @@ def rank_in(group: Sequence[str], value: ColumnOrName) -> Column:
     return F.rank().over(Window.partitionBy(*group).orderBy(as_column(value).desc()))
 
 
-def with_rank(df: DataFrame, group: Sequence[str], value: str, out: str) -> DataFrame:
+def with_rank(
+    df: DataFrame, group: Sequence[str], value: str, out: str, counted: DataFrame | None = None
+) -> DataFrame:
     """W7 for groups of any size: ``rank()`` by descending ``value``, exactly.
 
     A rank is one plus the number of rows with a greater value. Rows are first
     counted per (group, value), combining on the map side, so the window runs
     over the distinct values of a group instead of its rows (for a count metric
     that sums to N, fewer than sqrt(2N) values). The rank is then joined back.
-    NULL values rank last, as in SQL ``desc``.
+    NULL values rank last, as in SQL ``desc``. ``counted`` may name an earlier,
+    cheaper frame that holds the same (group, value) rows to count.
     """
-    counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
+    source = df if counted is None else counted
+    counts = source.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
     above = Window.partitionBy(*group).orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
     ranks = counts.select(
         *[F.col(c).alias(f"_r{i}") for i, c in enumerate([*group, value])],

@@ -95,11 +95,13 @@ def agg_business_monthly(
     )
     base = base.withColumn("total_engagement", F.col("review_count") + F.col("tip_count"))
     by_month = periods(["business_id"], ["review_year", "review_month"])
+    # Decimal, because a mean of doubles that ends in a 5 could round either way.
+    two_digits = F.col("avg_stars").cast("decimal(10,2)")
     trended = base.withColumns(
         {
             "prior_month_reviews": prior("review_count", by_month),
             "prior_month_avg_stars": prior("avg_stars", by_month),
-            "rolling_3m_avg_stars": F.round(rolling(F.avg, "avg_stars", by_month, 3), 2),
+            "rolling_3m_avg_stars": F.round(rolling(F.avg, two_digits, by_month, 3), 2).cast("double"),
             "cumulative_reviews": cumulative(F.sum, "review_count", by_month),
             "rolling_3m_tip_count": rolling(F.sum, "tip_count", by_month, 3),
         }
@@ -110,7 +112,9 @@ def agg_business_monthly(
             "rating_trend": rating_trend("avg_stars", "prior_month_avg_stars"),
         }
     )
-    ranked = with_rank(trended, [*rank_keys, "review_year", "review_month"], "review_count", "city_monthly_rank")
+    ranked = with_rank(
+        trended, [*rank_keys, "review_year", "review_month"], "review_count", "city_monthly_rank", counted=reviews
+    )
     return stamp(ranked, "aggregated_at", load_ts)
 
 

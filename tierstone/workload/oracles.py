@@ -27,7 +27,6 @@ def oracle(name: str, needs: tuple[str, ...], select: str) -> None:
 
     for need in needs:
         visit(need)
-    # Inlined rather than WITH ... AS MATERIALIZED: each part is used few times.
     parts = ",\n".join(f"{item} AS ({PARTS[item][1]})" for item in ordered)
     ORACLES[name] = f"WITH {parts}\n{select}" if parts else select
 
@@ -385,12 +384,12 @@ oracle("category_city_yearly", ("fact_reviews", "categories"), f"""
                       GROUP BY review_year, city, state, category)
                 WINDOW y AS (PARTITION BY city, state, category ORDER BY review_year)))""")
 
-oracle("customer_cohort_retention", ("fact_reviews", "dim_user"), f"""
-    WITH joined AS (
+part("cohort_joined", ("fact_reviews", "dim_user"), """
         SELECT r.*, u.member_join_year AS cohort_year, u.user_tier, r.review_year - u.member_join_year AS age
         FROM fact_reviews r JOIN dim_user u ON r.user_id = u.user_id
-        WHERE u.is_current AND r.review_year >= u.member_join_year),
-    yearly AS (
+        WHERE u.is_current AND r.review_year >= u.member_join_year""")
+
+part("cohort_yearly", ("cohort_joined",), f"""
         SELECT cohort_year, review_year, age AS years_since_joining, count(DISTINCT user_id) AS active_users,
                count(DISTINCT review_id) AS total_reviews,
                {rnd('count(DISTINCT review_id) / count(DISTINCT user_id)', 2)} AS reviews_per_active_user,
@@ -402,13 +401,14 @@ oracle("customer_cohort_retention", ("fact_reviews", "dim_user"), f"""
                count(*) FILTER (WHERE user_tier = 'elite') AS elite_user_reviews,
                {rnd("100.0::double * count(DISTINCT CASE WHEN user_tier = 'elite' THEN user_id END) / count(DISTINCT user_id)", 1)}
                  AS elite_user_pct
-        FROM joined GROUP BY ALL),
-    start AS (SELECT cohort_year, active_users AS cohort_size_year_0, avg_stars AS baseline_avg_stars
-              FROM yearly WHERE years_since_joining = 0)
-    SELECT y.*, cohort_size_year_0, baseline_avg_stars,
+        FROM cohort_joined GROUP BY ALL""")
+
+oracle("customer_cohort_retention", ("cohort_yearly",), f"""    SELECT y.*, cohort_size_year_0, baseline_avg_stars,
            {rnd('100.0::double * active_users / nullif(cohort_size_year_0, 0)', 1)} AS retention_pct,
            {rnd('avg_stars - baseline_avg_stars', 2)} AS stars_vs_baseline
-    FROM yearly y LEFT JOIN start USING (cohort_year)""")
+    FROM cohort_yearly y
+    LEFT JOIN (SELECT cohort_year, active_users AS cohort_size_year_0, avg_stars AS baseline_avg_stars
+               FROM cohort_yearly WHERE years_since_joining = 0) USING (cohort_year)""")
 
 oracle("pit_join_two_dims", ("fact_reviews",), "SELECT * EXCLUDE (business_key, user_key) FROM fact_reviews")
 oracle("tip_tiers_documents", ("fact_tips",), "SELECT * EXCLUDE (business_key, user_key) FROM fact_tips")
