@@ -73,8 +73,3 @@ def normalize_label(value: ColumnOrName, vocabulary: Sequence[str], default: str
     """P10: trimmed lower-case label if it is in the vocabulary, else ``default``."""
     label = F.trim(F.lower(as_column(value)))
     return F.when(label.isin(list(vocabulary)), label).otherwise(F.lit(default))
-
-
-def is_blank(text: ColumnOrName) -> Column:
-    """True for NULL and for text without any non-whitespace character."""
-    return ~F.coalesce(as_column(text).rlike(r"\S"), F.lit(False))

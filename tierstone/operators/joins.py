@@ -48,6 +48,31 @@ def fk_flag(
     )
 
 
+def missing_keys(df: DataFrame, key: str, valid_keys: DataFrame) -> DataFrame:
+    """Distinct non-NULL keys of ``df`` that are not among the one-column ``valid_keys``.
+
+    Only the key column is read, and repeated keys are combined on the map side
+    before anything is shuffled. Written as a table, the result is the input of
+    :func:`fk_flag_by_missing`.
+    """
+    name = valid_keys.columns[0]
+    found = df.select(F.col(key).alias(name)).filter(F.col(name).isNotNull()).distinct()
+    return found.join(valid_keys, name, "left_anti")
+
+
+def fk_flag_by_missing(df: DataFrame, key: str, missing: DataFrame, flag: str) -> DataFrame:
+    """J1 against the keys known to be missing instead of all valid ones; same flags as :func:`fk_flag`.
+
+    Orphans are few where keys are sound, so the stored key list has a file size
+    under the session's broadcast threshold and the wide rows are flagged where
+    they are read, without a shuffle. Where it is larger than the threshold, the
+    planner shuffles both sides and splits hot partitions.
+    """
+    probe = missing.select(F.col(missing.columns[0]).alias("_probe"))
+    flagged = df.join(probe, F.col(key) == F.col("_probe"), "left")
+    return flagged.withColumn(flag, F.col(key).isNotNull() & F.col("_probe").isNull()).drop("_probe")
+
+
 def point_in_time_join(
     fact: DataFrame,
     dimension: DataFrame,

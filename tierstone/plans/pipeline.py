@@ -14,7 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.quality import REASON, split_unparseable
+from ..operators.joins import current_keys, fk_flag_by_missing, missing_keys
+from ..operators.quality import REASON, split_unparseable, tag_rejects
 from ..operators.scd import HISTORY_FLOOR
 from ..session import configure
 from ..sources.bronze import bronze_path, read_bronze
@@ -142,15 +143,22 @@ class RunResult:
     tables: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def _stage(catalog: Catalog, entity: str, tagged: DataFrame, run_id: str) -> DataFrame:
-    """Write the tagged rows of one entity once; append its rejects; return the clean rows."""
-    staged = write_table(
-        tagged.withColumn("is_rejected", F.col(REASON).isNotNull()),
-        catalog.base, f"staging/{entity}", ("is_rejected",),
-    )
-    rejected = staged.filter(F.col("is_rejected")).drop("is_rejected")
+def _split(catalog: Catalog, entity: str, tagged: DataFrame, run_id: str) -> DataFrame:
+    """Append the rejects of a stored, tagged frame and return its clean rows."""
+    rejected = tagged.filter(F.col(REASON).isNotNull()).drop("text_char_len", "text_word_count")
     append_quarantine(rejected, catalog.base, entity, run_id)
-    return staged.filter(~F.col("is_rejected")).drop("is_rejected", REASON)
+    return tagged.filter(F.col(REASON).isNull()).drop(REASON)
+
+
+def _flag_stored(
+    catalog: Catalog, entity: str, rows: DataFrame, lookups: dict[str, tuple[str, DataFrame]]
+) -> DataFrame:
+    """Key flags for a stored frame, by way of stored lists of the missing keys."""
+    for key, (flag, dimension) in lookups.items():
+        missing = missing_keys(rows, key, current_keys(dimension, key))
+        stored = write_table(missing, catalog.base, f"staging/{entity}_missing_{key}")
+        rows = fk_flag_by_missing(rows, key, stored, flag)
+    return rows
 
 
 def run_silver(
@@ -176,18 +184,25 @@ def run_silver(
     def target(name: str) -> DataFrame | None:
         return catalog.table(name) if merging and catalog.exists(name) else None
 
-    clean = _stage(catalog, "business", silver.tag_business(read("business")), run_id)
+    def stage(name: str, df: DataFrame) -> DataFrame:
+        """Columnar copy of parsed rows, so several readers share one parse."""
+        return write_table(df, base, f"staging/{name}")
+
+    clean = _split(catalog, "business", stage("business", silver.tag_business(read("business"))), run_id)
     business = silver.finish_business(clean, target("silver/business"), load_ts, first_from)
     business = catalog.save("silver/business", business)
     catalog.save("silver/business_categories", silver.business_categories(clean).distinct())
 
-    clean = _stage(catalog, "users", silver.tag_users(read("user"), snapshot_year), run_id)
+    clean = _split(catalog, "users", stage("users", silver.tag_users(read("user"), snapshot_year)), run_id)
     users = catalog.save(
         "silver/users", silver.finish_users(clean, target("silver/users"), load_ts, first_from)
     )
     catalog.save("silver/user_elite_years", silver.user_elite_years(clean).distinct())
 
-    clean = _stage(catalog, "reviews", silver.tag_reviews(read("review"), business, users), run_id)
+    both = {"business_id": ("biz_valid", business), "user_id": ("usr_valid", users)}
+    rows = stage("reviews", silver.measure_text(read("review")))
+    tagged = tag_rejects(_flag_stored(catalog, "reviews", rows, both), silver.review_rules())
+    clean = _split(catalog, "reviews", tagged, run_id)
     reviews = silver.finish_reviews(clean, load_ts)
     if target("silver/reviews") is None:
         catalog.save("silver/reviews", reviews)
@@ -196,18 +211,22 @@ def run_silver(
             reviews, base, "silver/reviews", "review_id", PARTITIONS["silver/reviews"], CLUSTERS["silver/reviews"]
         )
 
-    events = write_table(silver.expand_checkins(read("checkin")), base, "staging/checkins")
-    checks.explode_guard(
-        read("checkin").select(F.size(silver.split_items("date")).alias("_size")), "_size", events
-    )
+    events = stage("checkins", silver.expand_checkins(read("checkin")))
+    packed = read("checkin").select(F.size(silver.split_items("date")).alias("_size"))
+    checks.explode_guard(packed, "_size", events)
     parsed, rejected = split_unparseable(events, "checkin_ts_raw", "checkin_at")
     append_quarantine(rejected, base, "checkins", run_id)
     catalog.save("silver/checkins", silver.finish_checkins(parsed, load_ts))
 
-    clean = _stage(catalog, "tips", silver.tag_tips(read("tip"), business, users), run_id)
+    rows = stage("tips", silver.measure_text(read("tip")))
+    tagged = tag_rejects(_flag_stored(catalog, "tips", rows, both), silver.tip_rules())
+    clean = _split(catalog, "tips", tagged, run_id)
     catalog.save("silver/tips", silver.finish_tips(clean, load_ts))
 
-    clean = _stage(catalog, "photos", silver.tag_photos(read("photo"), business), run_id)
+    rows = stage("photos", silver.clean_labels(read("photo")))
+    only_business = {"business_id": both["business_id"]}
+    tagged = tag_rejects(_flag_stored(catalog, "photos", rows, only_business), silver.photo_rules())
+    clean = _split(catalog, "photos", tagged, run_id)
     catalog.save("silver/photos", silver.finish_photos(clean, load_ts))
     return catalog
 

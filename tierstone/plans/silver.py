@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import is_blank, normalize_label, null_safe_sum
+from ..functions.expressions import normalize_label, null_safe_sum
 from ..functions.features import (
     POPULAR_TIP_COMPLIMENTS,
     caption_features,
@@ -227,31 +227,46 @@ def user_history(
 # ---------------------------------------------------------------- reviews
 
 
+def measure_text(bronze: DataFrame) -> DataFrame:
+    """P13 on the scan itself. Everything after works on the metrics, so whoever
+    does not ask for the text never has it shuffled."""
+    return bronze.withColumns(text_features("text"))
+
+
+def flag_keys(
+    rows: DataFrame, business: DataFrame, users: DataFrame | None, hot_share: float | None = None
+) -> DataFrame:
+    """``biz_valid`` and ``usr_valid`` against the current versions of the silver tables."""
+    rows = fk_flag(rows, "business_id", current_keys(business, "business_id"), "biz_valid", hot_share)
+    if users is None:
+        return rows
+    return fk_flag(rows, "user_id", current_keys(users, "user_id"), "usr_valid", hot_share)
+
+
+def no_words() -> Column:
+    return F.coalesce("text_word_count", F.lit(0)) == 0
+
+
+def review_rules() -> list[tuple[str, Column]]:
+    stars = F.col("stars")
+    return [
+        ("null_review_id", F.col("review_id").isNull()),
+        ("orphan_business_id", ~F.col("biz_valid")),
+        ("orphan_user_id", ~F.col("usr_valid")),
+        ("invalid_stars", stars.isNull() | ~stars.between(1, 5)),
+        ("empty_text", no_words()),
+    ]
+
+
 def tag_reviews(
     bronze: DataFrame, business: DataFrame, users: DataFrame, hot_share: float | None = None
 ) -> DataFrame:
-    """J2, J1 twice, P6. ``business`` and ``users`` are the versioned silver tables."""
-    checked = fk_flag(bronze, "business_id", current_keys(business, "business_id"), "biz_valid", hot_share)
-    checked = fk_flag(checked, "user_id", current_keys(users, "user_id"), "usr_valid", hot_share)
-    stars = F.col("stars")
-    return tag_rejects(
-        checked,
-        [
-            ("null_review_id", F.col("review_id").isNull()),
-            ("orphan_business_id", ~F.col("biz_valid")),
-            ("orphan_user_id", ~F.col("usr_valid")),
-            ("invalid_stars", stars.isNull() | ~stars.between(1, 5)),
-            ("empty_text", is_blank("text")),
-        ],
-    )
+    """P13, J2, J1 twice, P6. ``business`` and ``users`` are the versioned silver tables."""
+    return tag_rejects(flag_keys(measure_text(bronze), business, users, hot_share), review_rules())
 
 
 def finish_reviews(clean: DataFrame, load_ts: Stamp | None = None) -> DataFrame:
-    """P13, P14, P12 and W1.
-
-    The text is reduced to its metrics before the deduplication, so it is never
-    shuffled. The order is total: rows that still tie are equal in every column.
-    """
+    """P14, P12 and W1. The order is total: rows that still tie are equal in every column."""
     narrow = clean.select(
         "review_id",
         "business_id",
@@ -259,7 +274,8 @@ def finish_reviews(clean: DataFrame, load_ts: Stamp | None = None) -> DataFrame:
         "date",
         F.col("stars").try_cast("int").alias("stars"),
         *[c.alias(n) for n, c in vote_features("useful", "funny", "cool").items()],
-        *[c.alias(n) for n, c in text_features("text").items()],
+        "text_char_len",
+        "text_word_count",
     )
     newest = [F.col("date").desc_nulls_last()]
     ties = [F.col(c).desc_nulls_last() for c in ("stars", "useful", "funny", "cool")]
@@ -315,32 +331,32 @@ def silver_checkins(bronze: DataFrame, load_ts: Stamp | None = None) -> tuple[Da
 # ---------------------------------------------------------------- tips
 
 
+def tip_rules() -> list[tuple[str, Column]]:
+    return [
+        ("null_business_id", F.col("business_id").isNull()),
+        ("null_user_id", F.col("user_id").isNull()),
+        ("orphan_business_id", ~F.col("biz_valid")),
+        ("orphan_user_id", ~F.col("usr_valid")),
+        ("empty_text", no_words()),
+    ]
+
+
 def tag_tips(
     bronze: DataFrame, business: DataFrame, users: DataFrame, hot_share: float | None = None
 ) -> DataFrame:
-    checked = fk_flag(bronze, "business_id", current_keys(business, "business_id"), "biz_valid", hot_share)
-    checked = fk_flag(checked, "user_id", current_keys(users, "user_id"), "usr_valid", hot_share)
-    return tag_rejects(
-        checked,
-        [
-            ("null_business_id", F.col("business_id").isNull()),
-            ("null_user_id", F.col("user_id").isNull()),
-            ("orphan_business_id", ~F.col("biz_valid")),
-            ("orphan_user_id", ~F.col("usr_valid")),
-            ("empty_text", is_blank("text")),
-        ],
-    )
+    return tag_rejects(flag_keys(measure_text(bronze), business, users, hot_share), tip_rules())
 
 
 def finish_tips(clean: DataFrame, load_ts: Stamp | None = None) -> DataFrame:
-    """P13, P12 and W1 on the parsed day: one tip per business, user and day."""
+    """P12 and W1 on the parsed day: one tip per business, user and day."""
     narrow = clean.select(
         "business_id",
         "user_id",
         "date",
         parse_date("date").alias("tip_date"),
         F.coalesce("compliment_count", F.lit(0)).cast("int").alias("compliment_count"),
-        *[c.alias(n) for n, c in text_features("text").items()],
+        "text_char_len",
+        "text_word_count",
     )
     order = [F.col(c).desc_nulls_last() for c in ("date", "compliment_count", "text_char_len", "text_word_count")]
     latest = dedup_latest(narrow, ["business_id", "user_id", "tip_date"], order).drop("date")
@@ -368,25 +384,30 @@ def silver_tips(
 # ---------------------------------------------------------------- photos
 
 
+def clean_labels(bronze: DataFrame, vocabulary: tuple[str, ...] = PHOTO_LABELS) -> DataFrame:
+    """P10."""
+    return bronze.withColumn("label_clean", normalize_label("label", vocabulary))
+
+
+def photo_rules() -> list[tuple[str, Column]]:
+    return [
+        ("null_photo_id", F.col("photo_id").isNull()),
+        ("null_business_id", F.col("business_id").isNull()),
+        ("orphan_business_id", ~F.col("biz_valid")),
+    ]
+
+
 def tag_photos(
     bronze: DataFrame,
     business: DataFrame,
     vocabulary: tuple[str, ...] = PHOTO_LABELS,
     hot_share: float | None = None,
 ) -> DataFrame:
-    checked = fk_flag(bronze, "business_id", current_keys(business, "business_id"), "biz_valid", hot_share)
-    return tag_rejects(
-        checked.withColumn("label_clean", normalize_label("label", vocabulary)),
-        [
-            ("null_photo_id", F.col("photo_id").isNull()),
-            ("null_business_id", F.col("business_id").isNull()),
-            ("orphan_business_id", ~F.col("biz_valid")),
-        ],
-    )
+    return tag_rejects(flag_keys(clean_labels(bronze, vocabulary), business, None, hot_share), photo_rules())
 
 
 def finish_photos(clean: DataFrame, load_ts: Stamp | None = None) -> DataFrame:
-    """P10 and P11."""
+    """P11."""
     shaped = clean.select(
         "photo_id",
         "business_id",

@@ -34,6 +34,7 @@ def local_session(cpus: int | str = "*", app: str = "tierstone", memory: str = "
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.driver.extraJavaOptions", "-Duser.timezone=UTC")
     )

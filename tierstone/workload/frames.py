@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans import dimensions, facts, silver, staging
-from ..session import configure
+from ..session import configure, shared_dir
 from ..sources.bronze import COMPLIMENTS
+from ..sources.tables import write_table
 
 # --- fixed values of the derivation; the check SQL repeats them ---
 BUSINESS_SNAPSHOT_MONTH = 7
@@ -44,6 +45,12 @@ class Frames:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @cache
+    def scratch(self) -> str:
+        """A fresh folder under the shared one, for tables a query writes."""
+        token = self.spark.range(1).select(F.uuid().alias("id")).first().id
+        return f"{shared_dir(self.spark)}/tierstone-{token}"
+
     # ------------------------------------------------------------ bronze
 
     @cache
@@ -243,14 +250,24 @@ class Frames:
     # ------------------------------------------------------------ silver
 
     @cache
-    def business(self) -> DataFrame:
+    def business_versions(self) -> DataFrame:
         """Supplier versions; a supplier has none before its first snapshot."""
         return silver.business_history(self.business_snapshots(), "snapshot_ts", first_from=None)
 
     @cache
-    def users(self) -> DataFrame:
+    def user_versions(self) -> DataFrame:
         return silver.user_history(self.user_snapshots(), "snapshot_ts", first_from=None)
 
+    @cache
+    def business(self) -> DataFrame:
+        """The versions as a written table, as the load keeps them: facts read it
+        several times, and the planner knows its size."""
+        return write_table(self.business_versions(), self.scratch(), "silver/business")
+
+    @cache
+    def users(self) -> DataFrame:
+        return write_table(self.user_versions(), self.scratch(), "silver/users")
+
     @cache
     def tagged_reviews(self) -> DataFrame:
         return silver.tag_reviews(self.bronze_reviews(), self.business(), self.users())
@@ -302,3 +319,8 @@ class Frames:
     @cache
     def fact_checkins(self) -> DataFrame:
         return facts.fact_checkins(staging.stg_checkins(self.checkins()[0]), self.dim_business())
+
+    @cache
+    def stored_fact_reviews(self) -> DataFrame:
+        """The fact as a written table, for results that read it more than once."""
+        return write_table(self.fact_reviews(), self.scratch(), "gold/fact_reviews")

@@ -23,10 +23,9 @@ from ..operators.spine import date_spine_of
 from ..operators.windows import cumulative, delta, pct_change, periods, prior, rank_in, rolling, with_rank
 from ..plans import aggregates, checks, dimensions, silver, staging
 from ..plans.monitoring import SourceFrames, ingestion_metrics, quarantine_alerts
-from ..session import shared_dir
 from ..sources.bronze import read_bronze
 from ..sources.tables import append_quarantine, read_quarantine, read_table, upsert_partitions, write_table
-from .frames import Frames, cents
+from .frames import PAGE_LANGUAGES, Frames, cents
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,7 +53,7 @@ def instants(df: DataFrame) -> DataFrame:
 @register
 def flagship_business_monthly(f: Frames) -> DataFrame:
     """M7 on top of M4, M5, B1–B3, B5: from raw tables to monthly trends."""
-    return aggregates.agg_business_monthly(f.fact_reviews(), f.fact_tips())
+    return aggregates.agg_business_monthly(f.stored_fact_reviews(), f.fact_tips())
 
 
 @register
@@ -123,26 +122,26 @@ def date_dimension(f: Frames) -> DataFrame:
 @register
 def scd2_supplier_history(f: Frames) -> DataFrame:
     """Batch type-2 history of B1."""
-    return instants(f.business().drop("categories_list"))
+    return instants(f.business_versions().drop("categories_list"))
 
 
 @register
 def scd2_customer_history(f: Frames) -> DataFrame:
     """Batch type-2 history of B2."""
-    return instants(f.users())
+    return instants(f.user_versions())
 
 
 @register
 def scd2_merge_snapshots(f: Frames) -> DataFrame:
     """One merge per snapshot, each reading the table version the last one wrote."""
     clean, _ = split_rejects(silver.tag_business(f.business_snapshots(), carry=("snapshot_ts",)))
+    base, target = f.scratch(), None
     staged = write_table(
         clean.withColumn("change_hash", change_hash(*silver.BUSINESS_TRACKED)),
-        scratch(f.spark), "snapshots", partition_by=("snapshot_ts",),
+        base, "snapshots", partition_by=("snapshot_ts",),
     )
     # one row per snapshot: the list of loads, not data
     loads = [r.snapshot_ts for r in staged.select("snapshot_ts").distinct().orderBy("snapshot_ts").collect()]
-    base, target = scratch(f.spark), None
     for load_ts in loads:
         snapshot = staged.filter(F.col("snapshot_ts") == F.lit(load_ts)).drop("snapshot_ts")
         if target is None:
@@ -156,7 +155,7 @@ def scd2_merge_snapshots(f: Frames) -> DataFrame:
 @register
 def current_versions(f: Frames) -> DataFrame:
     """S3, J2, A11."""
-    return current_keys(f.business(), "business_id")
+    return current_keys(f.business_versions(), "business_id")
 
 
 @register
@@ -177,7 +176,7 @@ def upsert_orders(f: Frames) -> DataFrame:
 @register
 def upsert_partitioned_reviews(f: Frames) -> DataFrame:
     """J11 on a written table: urgent orders' reviews are resubmitted a year later."""
-    base = scratch(f.spark)
+    base = f.scratch()
     columns = ("review_id", "stars", "review_year", "origin")
     rows = f.reviews().withColumn("origin", F.lit("first"))
     stored = write_table(rows.select(*columns, "user_id"), base, "reviews", ("review_year",), ("review_id",))
@@ -373,8 +372,7 @@ def vote_and_sentiment_features(f: Frames) -> DataFrame:
 @register
 def page_label_captions(f: Frames) -> DataFrame:
     """Captions and labels of all pages, before the key check."""
-    pages = f.bronze_photos().withColumn("label_clean", silver.normalize_label("label", ("en", "fr", "de")))
-    return silver.finish_photos(pages)
+    return silver.finish_photos(silver.clean_labels(f.bronze_photos(), PAGE_LANGUAGES))
 
 
 @register
@@ -447,21 +445,30 @@ def rank_by_value_counts(f: Frames) -> DataFrame:
 
 # ------------------------------------------------------------ monitoring
 
+REVIEW_COLUMNS = (
+    "review_id", "business_id", "user_id", "date", "stars", "useful", "funny", "cool", "text_char_len",
+    "text_word_count",
+)
+TIP_COLUMNS = ("business_id", "user_id", "date", "compliment_count", "text_char_len", "text_word_count")
+
 
 def _sources(f: Frames) -> dict[str, SourceFrames]:
+    """What a load leaves behind: tagged rows stored once, counted from there."""
+
+    def stored(name: str, tagged: DataFrame, *columns: str) -> DataFrame:
+        return write_table(tagged.select(*columns, REASON), f.scratch(), f"staging/{name}")
+
+    reviews = stored("reviews", f.tagged_reviews().drop("text"), *REVIEW_COLUMNS)
+    tips = stored("tips", f.tagged_tips().drop("text"), *TIP_COLUMNS)
+    photos = stored("photos", silver.tag_photos(f.bronze_photos(), f.business(), PAGE_LANGUAGES), "photo_id")
+    business = stored("business", silver.tag_business(f.business_snapshots()), "business_id")
     sides = {
-        "business": (f.business_snapshots(), silver.tag_business(f.business_snapshots()), f.business()),
-        "reviews": (f.bronze_reviews(), f.tagged_reviews(), f.reviews()),
-        "tips": (f.bronze_tips(), f.tagged_tips(), f.tips()),
-        "photos": (f.bronze_photos(), silver.tag_photos(f.bronze_photos(), f.business()), f.photos()[0]),
-    }
-    found = {
-        name: SourceFrames(bronze, loaded, split_rejects(tagged)[1])
-        for name, (bronze, tagged, loaded) in sides.items()
+        "business": (business, current_only(f.business())),
+        "reviews": (reviews, silver.finish_reviews(split_rejects(reviews)[0])),
+        "tips": (tips, silver.finish_tips(split_rejects(tips)[0])),
+        "photos": (photos, split_rejects(photos)[0]),
     }
-    found["business"] = SourceFrames(
-        found["business"].bronze, current_only(found["business"].silver), found["business"].quarantine
-    )
+    found = {name: SourceFrames(tagged, kept, split_rejects(tagged)[1]) for name, (tagged, kept) in sides.items()}
     good, rejected = f.checkins()
     found["checkins"] = SourceFrames(silver.expand_checkins(f.bronze_checkins()), good, rejected)
     found["labels"] = SourceFrames(f.table("labels"), f.table("labels"), None)
@@ -547,16 +554,10 @@ def quality_no_overlap(f: Frames) -> DataFrame:
 # ------------------------------------------------------------ sources and sinks
 
 
-def scratch(spark: SparkSession) -> str:
-    """A fresh folder under the shared one, for tables a query writes."""
-    token = spark.range(1).select(F.uuid().alias("id")).first().id
-    return f"{shared_dir(spark)}/tierstone-{token}"
-
-
 @register
 def bronze_json_roundtrip(f: Frames) -> DataFrame:
     """Reviews written as JSON lines, read by schema, rejects kept per run."""
-    base = scratch(f.spark)
+    base = f.scratch()
     f.bronze_reviews().write.json(f"{base}/review.json")
     raw = read_bronze(f.spark, base, "review")
     tagged = silver.tag_reviews(raw, f.business(), f.users())
@@ -575,7 +576,7 @@ def bronze_json_roundtrip(f: Frames) -> DataFrame:
 def partitioned_clustered_roundtrip(f: Frames) -> DataFrame:
     """Line items by ship year, clustered, read through a partition filter."""
     rows = f.table("lineitem").withColumn("ship_year", F.year("l_shipdate"))
-    base = scratch(f.spark)
+    base = f.scratch()
     write_table(rows, base, "lines", ("ship_year",), ("l_suppkey", "l_shipdate"))
     stored = read_table(f.spark, base, "lines")
     return (
