@@ -181,7 +181,7 @@ class Frames:
     @cache
     def bronze_reviews(self) -> DataFrame:
         """One row per line item, in the bronze review shape."""
-        unit_price = F.floor(F.col("l_extendedprice") / F.col("l_quantity") / 30).cast("int")
+        words = F.floor(F.col("l_extendedprice") / F.col("l_quantity") / 100).cast("int")
         return (
             self.table("lineitem")
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -193,7 +193,7 @@ class Frames:
                 F.round(F.col("l_discount") * 100).cast("int").alias("useful"),
                 F.round(F.col("l_tax") * 100).cast("int").alias("funny"),
                 F.nullif(F.col("l_linenumber") - 1, F.lit(0)).alias("cool"),
-                F.repeat(F.concat(F.col("l_returnflag"), F.lit("\n")), unit_price).alias("text"),
+                F.repeat(F.concat(F.col("l_returnflag"), F.lit("\n")), words).alias("text"),
                 day_time("l_shipdate").alias("date"),
             )
         )

@@ -172,7 +172,7 @@ part("reviews_raw", (), r"""
            cast(l_suppkey AS varchar) AS business_id, cast(o_custkey AS varchar) AS user_id,
            l_quantity / 10 AS stars, cast(round(l_discount * 100) AS int) AS useful,
            cast(round(l_tax * 100) AS int) AS funny, nullif(l_linenumber - 1, 0) AS cool,
-           repeat(l_returnflag || chr(10), cast(floor(l_extendedprice / l_quantity / 30) AS int)) AS text,
+           repeat(l_returnflag || chr(10), cast(floor(l_extendedprice / l_quantity / 100) AS int)) AS text,
            strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS date
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 
