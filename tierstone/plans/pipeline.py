@@ -232,15 +232,24 @@ def run_silver(
 
 
 def run_metrics(catalog: Catalog, bronze: str, run_id: str, run_timestamp: str) -> DataFrame:
-    """B7 over the tables of a run. Check-ins count events on every level, as their rejects do."""
+    """B7 over the tables of a run.
+
+    Bronze rows are counted on the columnar copy the run has staged, one row per
+    source row (per event for check-ins, as for their rejects), and on the source
+    file itself where nothing was staged.
+    """
     spark, base = catalog.spark, catalog.base
     found = {}
     for source, (entity, table, current) in SOURCES.items():
         has_rejects = path_exists(spark, f"{base}/rejected/{source}/run_id={run_id}")
         loaded = catalog.table(table) if catalog.exists(table) else None
-        raw = read_bronze(spark, bronze, entity) if path_exists(spark, bronze_path(bronze, entity)) else None
-        if source == "checkins" and raw is not None:
-            raw = silver.expand_checkins(raw)
+        if catalog.exists(f"staging/{source}"):
+            raw = catalog.table(f"staging/{source}")
+        elif path_exists(spark, bronze_path(bronze, entity)):
+            raw = read_bronze(spark, bronze, entity)
+            raw = silver.expand_checkins(raw) if source == "checkins" else raw
+        else:
+            raw = None
         found[source] = SourceFrames(
             bronze=raw,
             silver=loaded.filter(F.col("is_current")) if current and loaded is not None else loaded,

@@ -126,10 +126,13 @@ def replace_partitions(
     return read_table(spark, base, name)
 
 
-def _same(left: str, right: str, columns: Sequence[str]) -> Column:
-    """Null-safe equality of columns of two aliased frames."""
-    tests = [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
-    return reduce(lambda a, b: a & b, tests)
+def _in_partitions(values: Sequence[tuple], partition_by: Sequence[str]) -> Column:
+    """Static, null-safe partition filter: the scan skips every other partition."""
+    tests = [
+        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(partition_by, value)])
+        for value in values
+    ]
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
 def upsert_partitions(
@@ -142,23 +145,27 @@ def upsert_partitions(
 ) -> DataFrame:
     """J11 on a partitioned table: rewrite only the partitions an update touches.
 
-    Touched are the partitions the updates fall into and those that hold an older
-    row with an updated key; only key and partition columns are read to find
-    them. Partition values are compared null-safely. A partition whose rows all
+    A first pass over key and partition columns alone counts, per partition, the
+    rows to be replaced and the rows that stay; its result has one row per
+    partition of the table, which is what the driver collects. The rewrite then
+    reads and writes the touched partitions only. A partition whose rows all
     move elsewhere would survive a partition-wise overwrite, so in that case the
     table gets a whole new version instead.
     """
     spark = updates.sparkSession
     target = read_table(spark, base, name)
-    old = target.join(updates.select(key), key, "left_semi").select(*partition_by).distinct()
-    touched = old.unionByName(updates.select(*partition_by)).distinct()
-    affected = target.alias("t").join(touched.alias("p"), _same("t", "p", partition_by), "left_semi")
-    merged = upsert(affected, updates, key)
-    filled = merged.select(*partition_by).distinct()
-    emptied = old.alias("o").join(filled.alias("f"), _same("o", "f", partition_by), "left_anti")
-    if emptied.isEmpty():
-        return replace_partitions(merged, base, name, partition_by, cluster_by)
-    return write_table(upsert(target, updates, key), base, name, partition_by, cluster_by)
+    hits = updates.select(F.col(key).alias("_hit"))
+    found = target.select(key, *partition_by).join(hits, F.col(key) == F.col("_hit"), "left")
+    per_partition = found.groupBy(*partition_by).agg(
+        F.count("_hit").alias("_replaced"), (F.count(F.lit(1)) - F.count("_hit")).alias("_kept")
+    )
+    old = [(tuple(r[c] for c in partition_by), r._kept) for r in per_partition.filter("_replaced > 0").collect()]
+    incoming = {tuple(r) for r in updates.select(*partition_by).distinct().collect()}
+    if any(kept == 0 and value not in incoming for value, kept in old):
+        return write_table(upsert(target, updates, key), base, name, partition_by, cluster_by)
+    touched = incoming | {value for value, _ in old}
+    merged = upsert(target.filter(_in_partitions(sorted(touched, key=str), partition_by)), updates, key)
+    return replace_partitions(merged, base, name, partition_by, cluster_by)
 
 
 def append_quarantine(df: DataFrame, base: str, entity: str, run_id: str) -> None:

@@ -10,6 +10,7 @@ are summed, so sums do not depend on row order.
 
 from __future__ import annotations
 
+import uuid
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -45,11 +46,20 @@ class Frames:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def spread(self, df: DataFrame, key: str) -> DataFrame:
+        """Rows hashed over all cores, if the files offer fewer splits than there are cores.
+
+        A small file with one row group is read by one task, which would then do
+        all the per-row work up to the next shuffle. Large inputs have enough
+        splits and pass through unchanged.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
     @cache
     def scratch(self) -> str:
         """A fresh folder under the shared one, for tables a query writes."""
-        token = self.spark.range(1).select(F.uuid().alias("id")).first().id
-        return f"{shared_dir(self.spark)}/tierstone-{token}"
+        return f"{shared_dir(self.spark)}/tierstone-{uuid.uuid4()}"
 
     # ------------------------------------------------------------ bronze
 
@@ -183,7 +193,7 @@ class Frames:
         """One row per line item, in the bronze review shape."""
         words = F.floor(F.col("l_extendedprice") / F.col("l_quantity") / 100).cast("int")
         return (
-            self.table("lineitem")
+            self.spread(self.table("lineitem"), "l_orderkey")
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .select(
                 F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber")).alias("review_id"),
@@ -221,7 +231,7 @@ class Frames:
     def bronze_tips(self) -> DataFrame:
         """One row per document, attached to the order of the same number."""
         lead_supplier = self.table("lineitem").groupBy("l_orderkey").agg(F.min("l_suppkey").alias("l_suppkey"))
-        documents = self.table("documents")
+        documents = self.spread(self.table("documents"), "doc_id")
         return (
             documents.join(self.table("labels"), "doc_id", "left")
             .join(self.table("orders"), F.col("doc_id") == F.col("o_orderkey"), "left")
