@@ -78,16 +78,24 @@ def agg_business_monthly(
     rank_keys: Sequence[str] = ("city",),
     load_ts: Stamp | None = None,
 ) -> DataFrame:
-    """M7: monthly performance per business, with trend, rolling, running and rank columns.
+    """M7: monthly performance per business, with trend, rolling, running and rank columns."""
+    return monthly_trends(reviews_monthly(fact_reviews), tips_monthly(fact_tips), rank_keys, load_ts)
+
+
+def monthly_trends(
+    reviews: DataFrame, tips: DataFrame, rank_keys: Sequence[str] = ("city",), load_ts: Stamp | None = None
+) -> DataFrame:
+    """M7 from :func:`reviews_monthly` and :func:`tips_monthly`.
 
     Months without reviews are not in the result, and "previous" means the
     previous month present. ``rank_keys`` sets who competes within a month.
+    ``reviews`` is read twice, for the trends and for the rank counts: hand in a
+    written table where the fact behind it is large.
     """
-    reviews, tips = reviews_monthly(fact_reviews), tips_monthly(fact_tips)
     same_month = (
-        reviews["business_id"].eqNullSafe(tips["business_id"])
-        & reviews["review_year"].eqNullSafe(tips["tip_year"])
-        & reviews["review_month"].eqNullSafe(tips["tip_month"])
+        (reviews["business_id"] == tips["business_id"])
+        & (reviews["review_year"] == tips["tip_year"])
+        & (reviews["review_month"] == tips["tip_month"])
     )
     tip_columns = ("tip_count", "total_tip_compliments", "popular_tip_count")
     base = reviews.join(tips, same_month, "left").select(

@@ -96,7 +96,7 @@ class Catalog:
 
 GOLD_ORDER = (
     "gold/dim_business", "gold/dim_user", "gold/dim_date", "gold/fact_reviews", "gold/fact_tips",
-    "gold/fact_checkins", "gold/agg_business_monthly", "gold/agg_city_category", "gold/agg_user_cohort",
+    "gold/fact_checkins", "gold/reviews_monthly", "gold/agg_business_monthly", "gold/agg_city_category", "gold/agg_user_cohort",
 )
 
 
@@ -118,8 +118,9 @@ def define_gold(
         "gold/fact_checkins": lambda c: facts.fact_checkins(
             staging.stg_checkins(c.table("silver/checkins")), c.table("gold/dim_business"), load_ts
         ),
-        "gold/agg_business_monthly": lambda c: aggregates.agg_business_monthly(
-            c.table("gold/fact_reviews"), c.table("gold/fact_tips"), load_ts=load_ts
+        "gold/reviews_monthly": lambda c: aggregates.reviews_monthly(c.table("gold/fact_reviews")),
+        "gold/agg_business_monthly": lambda c: aggregates.monthly_trends(
+            c.table("gold/reviews_monthly"), aggregates.tips_monthly(c.table("gold/fact_tips")), load_ts=load_ts
         ),
         "gold/agg_city_category": lambda c: aggregates.agg_city_category(
             c.table("gold/fact_reviews"), c.table("silver/business_categories"), load_ts=load_ts

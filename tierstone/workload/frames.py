@@ -330,7 +330,6 @@ class Frames:
     def fact_checkins(self) -> DataFrame:
         return facts.fact_checkins(staging.stg_checkins(self.checkins()[0]), self.dim_business())
 
-    @cache
-    def stored_fact_reviews(self) -> DataFrame:
-        """The fact as a written table, for results that read it more than once."""
-        return write_table(self.fact_reviews(), self.scratch(), "gold/fact_reviews")
+    def stored(self, name: str, df: DataFrame) -> DataFrame:
+        """A frame as a written table, for results that read it more than once."""
+        return write_table(df, self.scratch(), name)

@@ -16,7 +16,11 @@ def part(name: str, needs: tuple[str, ...], body: str) -> None:
     PARTS[name] = (needs, body)
 
 
-def oracle(name: str, needs: tuple[str, ...], select: str) -> None:
+def oracle(name: str, needs: tuple[str, ...], select: str, dates: tuple[str, ...] = ()) -> None:
+    """Register check SQL; ``dates`` are output columns to return as text."""
+    if dates:
+        texts = ", ".join(f"strftime({c}, '%Y-%m-%d') AS {c}" for c in dates)
+        select = f"SELECT * REPLACE ({texts}) FROM ({select})"
     ordered: list[str] = []
 
     def visit(item: str) -> None:
@@ -410,8 +414,9 @@ oracle("customer_cohort_retention", ("cohort_yearly",), f"""    SELECT y.*, coho
     LEFT JOIN (SELECT cohort_year, active_users AS cohort_size_year_0, avg_stars AS baseline_avg_stars
                FROM cohort_yearly WHERE years_since_joining = 0) USING (cohort_year)""")
 
-oracle("pit_join_two_dims", ("fact_reviews",), "SELECT * EXCLUDE (business_key, user_key) FROM fact_reviews")
-oracle("tip_tiers_documents", ("fact_tips",), "SELECT * EXCLUDE (business_key, user_key) FROM fact_tips")
+oracle("pit_join_two_dims", ("fact_reviews",), "SELECT * EXCLUDE (business_key, user_key) FROM fact_reviews", dates=("review_date",))
+
+oracle("tip_tiers_documents", ("fact_tips",), "SELECT * EXCLUDE (business_key, user_key) FROM fact_tips", dates=("tip_date",))
 
 oracle("event_time_features", ("checkins", "dim_business"), """
     SELECT md5(concat_ws('-', c.business_id, strftime(checkin_at, '%Y-%m-%d %H:%M:%S'), ordinal)) AS checkin_id,
@@ -426,13 +431,13 @@ oracle("event_time_features", ("checkins", "dim_business"), """
            hour(checkin_at) BETWEEN 11 AND 13 OR hour(checkin_at) BETWEEN 18 AND 21 AS is_peak_hour,
            total AS total_checkins_for_business
     FROM checkins c LEFT JOIN dim_business b ON c.business_id = b.business_id
-         AND checkin_at >= valid_from AND checkin_at < valid_to""")
+         AND checkin_at >= valid_from AND checkin_at < valid_to""", dates=("checkin_date",))
 
 oracle("supplier_profile_tiers", ("dim_business",), f"""
     SELECT business_key, {_BUSINESS}, {_VALIDITY}, status, price_tier, is_open_weekends, is_full_service,
            rating_tier, popularity_tier FROM dim_business""")
 oracle("customer_tiers", ("dim_user",), f"""
-    SELECT user_key, {_USERS}, member_join_year, tier_rank, {_VALIDITY} FROM dim_user""")
+    SELECT user_key, {_USERS}, member_join_year, tier_rank, {_VALIDITY} FROM dim_user""", dates=("member_since",))
 
 oracle("date_dimension", (), """
     SELECT cast(strftime(d, '%Y%m%d') AS int) AS date_key, d AS calendar_date, cast(year(d) AS int) AS year,
@@ -446,12 +451,13 @@ oracle("date_dimension", (), """
            strftime(date_trunc('month', d), '%Y-%m-%d %H:%M:%S') AS month_start_date,
            strftime(date_trunc('quarter', d), '%Y-%m-%d %H:%M:%S') AS quarter_start_date
     FROM (SELECT cast(unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS date) AS d
-          FROM orders)""")
+          FROM orders)""", dates=("calendar_date", "last_day_of_month",))
 
 # ------------------------------------------------------------ versions
 
 oracle("scd2_supplier_history", ("business",), f"SELECT {_BUSINESS}, {_VALIDITY} FROM business")
-oracle("scd2_customer_history", ("users",), f"SELECT {_USERS}, {_VALIDITY} FROM users")
+oracle("scd2_customer_history", ("users",), f"SELECT {_USERS}, {_VALIDITY} FROM users", dates=("member_since",))
+
 ORACLES["scd2_merge_snapshots"] = ORACLES["scd2_supplier_history"]
 oracle("current_versions", ("business",), "SELECT DISTINCT business_id FROM business WHERE is_current")
 
@@ -483,14 +489,15 @@ oracle("pit_join_lineitem_supplier", ("business",), """
            cast(round(l_extendedprice * 100) AS bigint) AS price_cents, stars AS stars_then,
            price_range AS price_range_then, categories AS categories_then
     FROM lineitem LEFT JOIN business ON cast(l_suppkey AS varchar) = business_id
-         AND l_shipdate >= valid_from AND l_shipdate < valid_to""")
+         AND l_shipdate >= valid_from AND l_shipdate < valid_to""", dates=("ship_date",))
+
 ORACLES["pit_join_hot_keys_split"] = ORACLES["pit_join_lineitem_supplier"]
 
 oracle("orphan_lineitems", ("reviews", "business"), """
     SELECT review_id, r.business_id, review_date, 'no dimension version at event time' AS failure_reason
     FROM reviews r LEFT JOIN business b ON r.business_id = b.business_id
          AND review_date >= valid_from AND review_date < valid_to
-    WHERE b.business_id IS NULL""")
+    WHERE b.business_id IS NULL""", dates=("review_date",))
 
 oracle("fk_flag_reject_tagging", ("reviews_tagged",), """
     SELECT review_id, business_id, user_id, stars, useful, biz_valid, usr_valid, date,
@@ -508,8 +515,9 @@ oracle("reject_reason_counts", ("reviews_tagged", "tips_tagged", "photos_tagged"
     for name, table in (("reviews", "reviews_tagged"), ("tips", "tips_tagged"), ("photos", "photos_tagged"),
                         ("business", "business_tagged"), ("users", "user_tagged"))))
 
-oracle("silver_review_features", ("reviews",), "SELECT * FROM reviews")
-oracle("silver_tip_features", ("tips",), "SELECT * FROM tips")
+oracle("silver_review_features", ("reviews",), "SELECT * FROM reviews", dates=("review_date",))
+
+oracle("silver_tip_features", ("tips",), "SELECT * FROM tips", dates=("tip_date",))
 
 # ------------------------------------------------------------ nested data
 
@@ -586,7 +594,7 @@ oracle("nation_month_revenue_windows", (), f"""
                  avg(lines) OVER (m ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS roll,
                  cast(sum(lines) OVER (m ROWS UNBOUNDED PRECEDING) AS bigint) AS cumulative_lines,
                  cast(rank() OVER (PARTITION BY month ORDER BY lines DESC) AS int) AS nation_rank
-          FROM monthly WINDOW m AS (PARTITION BY s_nationkey ORDER BY month))""")
+          FROM monthly WINDOW m AS (PARTITION BY s_nationkey ORDER BY month))""", dates=("month",))
 
 oracle("rank_by_value_counts", (), """
     SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, strftime(l_shipdate, '%Y-%m') AS month,
@@ -625,7 +633,8 @@ oracle("quarantine_alert_sources", ("metrics",),
 # ------------------------------------------------------------ checks
 
 oracle("quality_not_null", ("fact_reviews",),
-       "SELECT review_id, business_id, review_date FROM fact_reviews WHERE business_key IS NULL")
+       "SELECT review_id, business_id, review_date FROM fact_reviews WHERE business_key IS NULL", dates=("review_date",))
+
 oracle("quality_unique_violations", (), """
     SELECT l_orderkey, l_linenumber, count(*) AS occurrences FROM lineitem GROUP BY ALL HAVING count(*) > 1""")
 oracle("quality_accepted_values", (), """
@@ -661,7 +670,7 @@ oracle("bronze_json_roundtrip", ("reviews_tagged",), """
 oracle("partitioned_clustered_roundtrip", (), """
     SELECT cast(year(l_shipdate) AS int) AS ship_year, l_suppkey, count(*) AS lines,
            cast(sum(cast(round(l_extendedprice * 100) AS bigint)) AS bigint) AS cents
-    FROM lineitem WHERE year(l_shipdate) >= 1998 GROUP BY ALL""")
+    FROM lineitem GROUP BY ALL""")
 oracle("staging_views", ("reviews", "business", "users", "tips", "checkins"), " UNION ALL ".join(
     f"SELECT 'stg_{name}' AS view_name, {columns} AS columns, count(*) AS row_count FROM {name}"
     for name, columns in (("business", 42), ("users", 20), ("reviews", 15), ("tips", 9), ("checkins", 12))))
