@@ -16,11 +16,13 @@ def part(name: str, needs: tuple[str, ...], body: str) -> None:
     PARTS[name] = (needs, body)
 
 
-def oracle(name: str, needs: tuple[str, ...], select: str, dates: tuple[str, ...] = ()) -> None:
-    """Register check SQL; ``dates`` are output columns to return as text."""
-    if dates:
-        texts = ", ".join(f"strftime({c}, '%Y-%m-%d') AS {c}" for c in dates)
-        select = f"SELECT * REPLACE ({texts}) FROM ({select})"
+def oracle(
+    name: str, needs: tuple[str, ...], select: str, dates: tuple[str, ...] = (), counts: tuple[str, ...] = ()
+) -> None:
+    """Register check SQL; ``dates`` are returned as text, ``counts`` that can be NULL as double."""
+    changed = [f"strftime({c}, '%Y-%m-%d') AS {c}" for c in dates] + [f"cast({c} AS double) AS {c}" for c in counts]
+    if changed:
+        select = f"SELECT * REPLACE ({', '.join(changed)}) FROM ({select})"
     ordered: list[str] = []
 
     def visit(item: str) -> None:
@@ -117,6 +119,7 @@ _BUSINESS = (
     "business_id, business_name, address, city, state, postal_code, latitude, longitude, stars, review_count, "
     f"is_open, categories, category_count, {_ATTRIBUTES}, {_HOURS}"
 )
+_BUSINESS_COUNTS = ("price_range", "sat_open", "sat_close", "sun_open", "sun_close", "category_count")
 _VALIDITY = f"{ts('valid_from')}, {ts('valid_to')}, is_current"
 
 part("user_snap", (), """
@@ -362,7 +365,7 @@ oracle("flagship_business_monthly", ("monthly_base",), f"""
                    AS rolling_3m_tip_count,
                  rank() OVER (PARTITION BY city, review_year, review_month ORDER BY review_count DESC)
                    AS city_monthly_rank
-          FROM monthly_base WINDOW m AS (PARTITION BY business_id ORDER BY review_year, review_month))""")
+          FROM monthly_base WINDOW m AS (PARTITION BY business_id ORDER BY review_year, review_month))""", counts=("prior_month_reviews",))
 
 oracle("category_city_yearly", ("fact_reviews", "categories"), f"""
     SELECT * EXCLUDE (prior_stars), {rnd('avg_stars - prior_stars', 2)} AS stars_yoy_delta,
@@ -386,7 +389,7 @@ oracle("category_city_yearly", ("fact_reviews", "categories"), f"""
                                AS positive_pct
                       FROM fact_reviews JOIN categories USING (business_id)
                       GROUP BY review_year, city, state, category)
-                WINDOW y AS (PARTITION BY city, state, category ORDER BY review_year)))""")
+                WINDOW y AS (PARTITION BY city, state, category ORDER BY review_year)))""", counts=("prior_year_reviews",))
 
 part("cohort_joined", ("fact_reviews", "dim_user"), """
         SELECT r.*, u.member_join_year AS cohort_year, u.user_tier, r.review_year - u.member_join_year AS age
@@ -412,9 +415,9 @@ oracle("customer_cohort_retention", ("cohort_yearly",), f"""    SELECT y.*, coho
            {rnd('avg_stars - baseline_avg_stars', 2)} AS stars_vs_baseline
     FROM cohort_yearly y
     LEFT JOIN (SELECT cohort_year, active_users AS cohort_size_year_0, avg_stars AS baseline_avg_stars
-               FROM cohort_yearly WHERE years_since_joining = 0) USING (cohort_year)""")
+               FROM cohort_yearly WHERE years_since_joining = 0) USING (cohort_year)""", counts=("cohort_size_year_0",))
 
-oracle("pit_join_two_dims", ("fact_reviews",), "SELECT * EXCLUDE (business_key, user_key) FROM fact_reviews", dates=("review_date",))
+oracle("pit_join_two_dims", ("fact_reviews",), "SELECT * EXCLUDE (business_key, user_key) FROM fact_reviews", dates=("review_date",), counts=("category_count", "user_total_reviews_at_review_time", "user_engagement_at_review_time"))
 
 oracle("tip_tiers_documents", ("fact_tips",), "SELECT * EXCLUDE (business_key, user_key) FROM fact_tips", dates=("tip_date",))
 
@@ -435,7 +438,8 @@ oracle("event_time_features", ("checkins", "dim_business"), """
 
 oracle("supplier_profile_tiers", ("dim_business",), f"""
     SELECT business_key, {_BUSINESS}, {_VALIDITY}, status, price_tier, is_open_weekends, is_full_service,
-           rating_tier, popularity_tier FROM dim_business""")
+           rating_tier, popularity_tier FROM dim_business""", counts=_BUSINESS_COUNTS)
+
 oracle("customer_tiers", ("dim_user",), f"""
     SELECT user_key, {_USERS}, member_join_year, tier_rank, {_VALIDITY} FROM dim_user""", dates=("member_since",))
 
@@ -455,7 +459,8 @@ oracle("date_dimension", (), """
 
 # ------------------------------------------------------------ versions
 
-oracle("scd2_supplier_history", ("business",), f"SELECT {_BUSINESS}, {_VALIDITY} FROM business")
+oracle("scd2_supplier_history", ("business",), f"SELECT {_BUSINESS}, {_VALIDITY} FROM business", counts=_BUSINESS_COUNTS)
+
 oracle("scd2_customer_history", ("users",), f"SELECT {_USERS}, {_VALIDITY} FROM users", dates=("member_since",))
 
 ORACLES["scd2_merge_snapshots"] = ORACLES["scd2_supplier_history"]
@@ -489,7 +494,7 @@ oracle("pit_join_lineitem_supplier", ("business",), """
            cast(round(l_extendedprice * 100) AS bigint) AS price_cents, stars AS stars_then,
            price_range AS price_range_then, categories AS categories_then
     FROM lineitem LEFT JOIN business ON cast(l_suppkey AS varchar) = business_id
-         AND l_shipdate >= valid_from AND l_shipdate < valid_to""", dates=("ship_date",))
+         AND l_shipdate >= valid_from AND l_shipdate < valid_to""", dates=("ship_date",), counts=("price_range_then",))
 
 ORACLES["pit_join_hot_keys_split"] = ORACLES["pit_join_lineitem_supplier"]
 
@@ -543,9 +548,10 @@ oracle("elite_years_bridge", ("user_tagged",), """
     SELECT DISTINCT a.user_id, cast(b.yr AS int) AS elite_year FROM user_tagged a
     JOIN user_tagged b ON a.user_id = b.user_id AND b.yr <= a.yr AND b.is_currently_elite
     WHERE a.reject_reason IS NULL""")
-oracle("hours_flatten", ("business_snap",), f"SELECT business_id, {ts('snapshot_ts')}, {_HOURS} FROM business_snap")
+oracle("hours_flatten", ("business_snap",), f"SELECT business_id, {ts('snapshot_ts')}, {_HOURS} FROM business_snap", counts=_BUSINESS_COUNTS[1:5])
+
 oracle("attributes_flatten", ("business_snap",),
-       f"SELECT business_id, {ts('snapshot_ts')}, {_ATTRIBUTES} FROM business_snap")
+       f"SELECT business_id, {ts('snapshot_ts')}, {_ATTRIBUTES} FROM business_snap", counts=_BUSINESS_COUNTS[:1])
 
 # ------------------------------------------------------------ features
 
@@ -594,7 +600,7 @@ oracle("nation_month_revenue_windows", (), f"""
                  avg(lines) OVER (m ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS roll,
                  cast(sum(lines) OVER (m ROWS UNBOUNDED PRECEDING) AS bigint) AS cumulative_lines,
                  cast(rank() OVER (PARTITION BY month ORDER BY lines DESC) AS int) AS nation_rank
-          FROM monthly WINDOW m AS (PARTITION BY s_nationkey ORDER BY month))""", dates=("month",))
+          FROM monthly WINDOW m AS (PARTITION BY s_nationkey ORDER BY month))""", dates=("month",), counts=("prior_lines", "mom_delta"))
 
 oracle("rank_by_value_counts", (), """
     SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, strftime(l_shipdate, '%Y-%m') AS month,
@@ -626,9 +632,10 @@ _METRICS = (
     "source_name, bronze_row_count, silver_row_count, quarantine_count, pipeline_run_id, "
     "CASE WHEN bronze_row_count IS NOT NULL THEN quarantine_rate_pct END AS quarantine_rate_pct"
 )
-oracle("ingestion_run_metrics", ("metrics",), f"SELECT {_METRICS} FROM metrics")
+oracle("ingestion_run_metrics", ("metrics",), f"SELECT {_METRICS} FROM metrics", counts=("bronze_row_count",))
+
 oracle("quarantine_alert_sources", ("metrics",),
-       f"SELECT * FROM (SELECT {_METRICS} FROM metrics) WHERE quarantine_rate_pct > 5.0")
+       f"SELECT * FROM (SELECT {_METRICS} FROM metrics) WHERE quarantine_rate_pct > 5.0", counts=("bronze_row_count",))
 
 # ------------------------------------------------------------ checks
 

@@ -36,12 +36,28 @@ def register(build: Callable[[Frames], DataFrame]) -> Callable[[Frames], DataFra
     return build
 
 
+# Whole numbers that can be NULL; returned as double, the one notation both engines' clients share for them.
+NULLABLE_COUNTS = frozenset(
+    (
+        "price_range", "price_range_then", "sat_open", "sat_close", "sun_open", "sun_close", "category_count",
+        "user_total_reviews_at_review_time", "user_engagement_at_review_time", "prior_month_reviews",
+        "prior_year_reviews", "prior_lines", "mom_delta", "cohort_size_year_0", "bronze_row_count",
+    )
+)
+
+
 def as_text(df: DataFrame) -> DataFrame:
     """Dates and instants as text, in the same notation the check SQL uses."""
     formats = {"timestamp": "yyyy-MM-dd HH:mm:ss", "timestamp_ntz": "yyyy-MM-dd HH:mm:ss", "date": "yyyy-MM-dd"}
-    return df.select(
-        *[F.date_format(c, formats[t]).alias(c) if t in formats else F.col(c) for c, t in df.dtypes]
-    )
+    columns = []
+    for name, kind in df.dtypes:
+        column = F.col(name)
+        if kind in formats:
+            column = F.date_format(name, formats[kind]).alias(name)
+        elif name in NULLABLE_COUNTS:
+            column = column.cast("double").alias(name)
+        columns.append(column)
+    return df.select(*columns)
 
 
 def unhashed(df: DataFrame) -> DataFrame:
