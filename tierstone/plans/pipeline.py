@@ -101,22 +101,26 @@ GOLD_ORDER = (
 
 
 def define_gold(
-    catalog: Catalog, load_ts: str | None = None, calendar: tuple[str, str] = ("2004-01-01", "2022-12-31")
+    catalog: Catalog,
+    load_ts: str | None = None,
+    calendar: tuple[str, str] = ("2004-01-01", "2022-12-31"),
+    hot_share: float | None = None,
 ) -> None:
-    """M1–M9 as models over the silver tables."""
+    """M1–M9 as models over the silver tables. ``hot_share``: see ``plans.facts``."""
     gold = {
         "gold/dim_business": lambda c: dimensions.dim_business(staging.stg_business(c.table("silver/business"))),
         "gold/dim_user": lambda c: dimensions.dim_user(staging.stg_users(c.table("silver/users"))),
         "gold/dim_date": lambda c: dimensions.dim_date(c.spark, *calendar),
         "gold/fact_reviews": lambda c: facts.fact_reviews(
             staging.stg_reviews(c.table("silver/reviews")), c.table("gold/dim_business"), c.table("gold/dim_user"),
-            load_ts,
+            load_ts, hot_share,
         ),
         "gold/fact_tips": lambda c: facts.fact_tips(
-            staging.stg_tips(c.table("silver/tips")), c.table("gold/dim_business"), c.table("gold/dim_user"), load_ts
+            staging.stg_tips(c.table("silver/tips")), c.table("gold/dim_business"), c.table("gold/dim_user"),
+            load_ts, hot_share,
         ),
         "gold/fact_checkins": lambda c: facts.fact_checkins(
-            staging.stg_checkins(c.table("silver/checkins")), c.table("gold/dim_business"), load_ts
+            staging.stg_checkins(c.table("silver/checkins")), c.table("gold/dim_business"), load_ts, hot_share
         ),
         "gold/reviews_monthly": lambda c: aggregates.reviews_monthly(c.table("gold/fact_reviews")),
         "gold/agg_business_monthly": lambda c: aggregates.monthly_trends(
@@ -144,24 +148,48 @@ class RunResult:
     tables: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def _split(catalog: Catalog, entity: str, tagged: DataFrame, run_id: str) -> DataFrame:
+def quarantine_rejects(base: str, entity: str, tagged: DataFrame, run_id: str) -> DataFrame:
     """Append the rejects of a stored, tagged frame and return its clean rows."""
     rejected = tagged.filter(F.col(REASON).isNotNull()).drop("text_char_len", "text_word_count")
-    append_quarantine(rejected, catalog.base, entity, run_id)
+    append_quarantine(rejected, base, entity, run_id)
     return tagged.filter(F.col(REASON).isNull()).drop(REASON)
 
 
-def _flag_stored(
-    catalog: Catalog, entity: str, rows: DataFrame, lookups: dict[str, tuple[str, DataFrame]]
+def flag_by_stored_keys(
+    base: str, entity: str, rows: DataFrame, lookups: dict[str, tuple[str, DataFrame]]
 ) -> DataFrame:
-    """Key flags for a stored frame, by way of stored lists of the missing keys."""
+    """J1 for a stored frame, by way of stored lists of the keys that are missing.
+
+    ``lookups`` maps a key column to the flag to add and the versioned table to look in.
+    """
     for key, (flag, dimension) in lookups.items():
         missing = missing_keys(rows, key, current_keys(dimension, key))
-        stored = write_table(missing, catalog.base, f"staging/{entity}_missing_{key}")
+        stored = write_table(missing, base, f"staging/{entity}_missing_{key}")
         rows = fk_flag_by_missing(rows, key, stored, flag)
     return rows
 
 
+def store_reviews(
+    parsed: DataFrame,
+    base: str,
+    business: DataFrame,
+    users: DataFrame,
+    load_ts: str,
+    run_id: str,
+    merging: bool = True,
+) -> None:
+    """B3 with its tables: stage, flag, quarantine, then upsert or rebuild. Safe to repeat."""
+    name = "silver/reviews"
+    rows = write_table(silver.measure_text(parsed), base, "staging/reviews")
+    lookups = {"business_id": ("biz_valid", business), "user_id": ("usr_valid", users)}
+    tagged = tag_rejects(flag_by_stored_keys(base, "reviews", rows, lookups), silver.review_rules())
+    reviews = silver.finish_reviews(quarantine_rejects(base, "reviews", tagged, run_id), load_ts)
+    if merging and table_exists(parsed.sparkSession, base, name):
+        upsert_partitions(reviews, base, name, "review_id", PARTITIONS[name], CLUSTERS[name])
+    else:
+        write_table(reviews, base, name, PARTITIONS[name], CLUSTERS[name])
+
+
 def run_silver(
     spark: SparkSession,
     bronze: str,
@@ -189,28 +217,18 @@ def run_silver(
         """Columnar copy of parsed rows, so several readers share one parse."""
         return write_table(df, base, f"staging/{name}")
 
-    clean = _split(catalog, "business", stage("business", silver.tag_business(read("business"))), run_id)
+    clean = quarantine_rejects(base, "business", stage("business", silver.tag_business(read("business"))), run_id)
     business = silver.finish_business(clean, target("silver/business"), load_ts, first_from)
     business = catalog.save("silver/business", business)
     catalog.save("silver/business_categories", silver.business_categories(clean).distinct())
 
-    clean = _split(catalog, "users", stage("users", silver.tag_users(read("user"), snapshot_year)), run_id)
+    clean = quarantine_rejects(base, "users", stage("users", silver.tag_users(read("user"), snapshot_year)), run_id)
     users = catalog.save(
         "silver/users", silver.finish_users(clean, target("silver/users"), load_ts, first_from)
     )
     catalog.save("silver/user_elite_years", silver.user_elite_years(clean).distinct())
 
-    both = {"business_id": ("biz_valid", business), "user_id": ("usr_valid", users)}
-    rows = stage("reviews", silver.measure_text(read("review")))
-    tagged = tag_rejects(_flag_stored(catalog, "reviews", rows, both), silver.review_rules())
-    clean = _split(catalog, "reviews", tagged, run_id)
-    reviews = silver.finish_reviews(clean, load_ts)
-    if target("silver/reviews") is None:
-        catalog.save("silver/reviews", reviews)
-    else:
-        upsert_partitions(
-            reviews, base, "silver/reviews", "review_id", PARTITIONS["silver/reviews"], CLUSTERS["silver/reviews"]
-        )
+    store_reviews(read("review"), base, business, users, load_ts, run_id, merging)
 
     events = stage("checkins", silver.expand_checkins(read("checkin")))
     packed = read("checkin").select(F.size(silver.split_items("date")).alias("_size"))
@@ -220,14 +238,15 @@ def run_silver(
     catalog.save("silver/checkins", silver.finish_checkins(parsed, load_ts))
 
     rows = stage("tips", silver.measure_text(read("tip")))
-    tagged = tag_rejects(_flag_stored(catalog, "tips", rows, both), silver.tip_rules())
-    clean = _split(catalog, "tips", tagged, run_id)
+    lookups = {"business_id": ("biz_valid", business), "user_id": ("usr_valid", users)}
+    tagged = tag_rejects(flag_by_stored_keys(base, "tips", rows, lookups), silver.tip_rules())
+    clean = quarantine_rejects(base, "tips", tagged, run_id)
     catalog.save("silver/tips", silver.finish_tips(clean, load_ts))
 
     rows = stage("photos", silver.clean_labels(read("photo")))
-    only_business = {"business_id": both["business_id"]}
-    tagged = tag_rejects(_flag_stored(catalog, "photos", rows, only_business), silver.photo_rules())
-    clean = _split(catalog, "photos", tagged, run_id)
+    lookups = {"business_id": ("biz_valid", business)}
+    tagged = tag_rejects(flag_by_stored_keys(base, "photos", rows, lookups), silver.photo_rules())
+    clean = quarantine_rejects(base, "photos", tagged, run_id)
     catalog.save("silver/photos", silver.finish_photos(clean, load_ts))
     return catalog
 
@@ -269,11 +288,12 @@ def run_pipeline(
     load_mode: str = "merge",
     rename: dict[str, dict[str, str]] | None = None,
     first_from: str | None = HISTORY_FLOOR,
+    hot_share: float | None = None,
 ) -> RunResult:
     """B1–B7, M1–M9 and all checks, in dependency order. One run at a time per base folder."""
     configure(spark)
     catalog = run_silver(spark, bronze, base, load_ts, run_id, snapshot_year, load_mode, rename, first_from)
-    define_gold(catalog, load_ts)
+    define_gold(catalog, load_ts, hot_share=hot_share)
     for name in GOLD_ORDER:
         catalog.build(name)
     append_log(run_metrics(catalog, bronze, run_id, load_ts), base, run_id)

@@ -1,8 +1,8 @@
 """Incremental review loads as a file stream.
 
 The keyed merge of an incremental load, driven by new bronze files instead of a
-re-read of the whole folder: each micro-batch is validated, deduplicated and
-upserted by the same functions the batch job uses.
+re-read of the whole folder: each micro-batch goes through the same function as
+the batch load. Repeating a batch after a failure leaves the table unchanged.
 """
 
 from __future__ import annotations
@@ -10,37 +10,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.quality import split_rejects
-from ..plans.pipeline import CLUSTERS, PARTITIONS
-from ..plans.silver import finish_reviews, tag_reviews
+from ..plans.pipeline import store_reviews
 from ..sources.bronze import SCHEMAS
-from ..sources.tables import append_quarantine, read_table, table_exists, upsert_partitions, write_table
-
-TABLE = "silver/reviews"
-
-
-def merge_batch(batch: DataFrame, base: str, load_ts: str, batch_id: str) -> None:
-    """Load one set of new review rows. Repeating it leaves the table unchanged."""
-    spark = batch.sparkSession
-    tagged = tag_reviews(batch, read_table(spark, base, "silver/business"), read_table(spark, base, "silver/users"))
-    clean, rejected = split_rejects(write_table(tagged, base, "staging/reviews_stream"))
-    append_quarantine(rejected, base, "reviews", batch_id)
-    reviews = finish_reviews(clean, load_ts)
-    if table_exists(spark, base, TABLE):
-        upsert_partitions(reviews, base, TABLE, "review_id", PARTITIONS[TABLE], CLUSTERS[TABLE])
-    else:
-        write_table(reviews, base, TABLE, PARTITIONS[TABLE], CLUSTERS[TABLE])
+from ..sources.tables import read_table
 
 
 def stream_reviews(
     spark: SparkSession, incoming: str, base: str, load_ts: str, checkpoint: str, name: str = "reviews"
 ) -> StreamingQuery:
     """Process all new JSON files under ``incoming`` and stop. ``checkpoint`` is a shared folder."""
+
+    def merge(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        business, users = (read_table(session, base, f"silver/{table}") for table in ("business", "users"))
+        store_reviews(batch, base, business, users, load_ts, f"{name}-{number}")
+
     stream = spark.readStream.schema(SCHEMAS["review"]).json(incoming)
     return (
         stream.writeStream.queryName(name)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(lambda batch, number: merge_batch(batch, base, load_ts, f"{name}-{number}"))
+        .foreachBatch(merge)
         .start()
     )
