@@ -33,7 +33,10 @@ def fk_flag(
     """Boolean ``flag``, true where ``key`` occurs in the one-column ``valid_keys``.
 
     ``valid_keys`` must be distinct (see :func:`current_keys`), so no row is
-    multiplied. ``hot_share`` splits keys that hold at least that share of rows.
+    multiplied. The adaptive planner splits hot keys only where both sides are
+    shuffled directly, not where one is the output of an aggregation: hand in a
+    written table of keys, or set ``hot_share`` to split keys that hold at least
+    that share of the rows, whatever the planner does.
     """
     probe = valid_keys.select(F.col(valid_keys.columns[0]).alias("_probe"))
     on = F.col(key) == F.col("_probe")

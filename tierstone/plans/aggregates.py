@@ -207,7 +207,8 @@ def agg_user_cohort(fact_reviews: DataFrame, dim_user: DataFrame, load_ts: Stamp
     """M9: activity per join-year cohort and year, with retention against year zero.
 
     Reviews are summed per user and year first. Each user then is one row per
-    year, which turns both distinct counts into plain sums.
+    year, and review ids are unique in the fact (Q2), which turns both distinct
+    counts into plain sums.
     """
     per_user = fact_reviews.groupBy("user_id", "review_year").agg(
         _rows().alias("total_reviews"),

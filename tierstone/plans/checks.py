@@ -35,7 +35,7 @@ def check_accepted(df: DataFrame, column: str, values: Sequence) -> DataFrame:
 def check_single_current(dimension: DataFrame, key: str) -> DataFrame:
     """Q4: keys with more than one current version."""
     counts = current_only(dimension).groupBy(key).agg(F.count(F.lit(1)).alias("current_version_count"))
-    return _fail(counts.filter(F.col("current_version_count") > 1), "multiple current rows for same key")
+    return _fail(counts.filter(F.col("current_version_count") > 1), "more than one current version")
 
 
 def check_count_preserved(
@@ -47,7 +47,7 @@ def check_count_preserved(
         rows = rows.unionByName(rejected.select(key, total))
     counts = rows.groupBy(key).agg(F.max(total).alias("expected_count"), F.count(F.lit(1)).alias("actual_count"))
     return _fail(
-        counts.filter(F.col("expected_count") != F.col("actual_count")), "event count mismatch after explode"
+        counts.filter(F.col("expected_count") != F.col("actual_count")), "exploded rows differ from packed total"
     )
 
 
@@ -58,14 +58,14 @@ def check_no_orphans(fact: DataFrame, dimension: DataFrame, key: str, ts: str) -
 
 def check_valid_window(dimension: DataFrame) -> DataFrame:
     """Q10: versions that do not end after they begin."""
-    return _fail(dimension.filter(F.col("valid_from") >= F.col("valid_to")), "valid_from >= valid_to")
+    return _fail(dimension.filter(F.col("valid_from") >= F.col("valid_to")), "version does not end after it begins")
 
 
 def check_no_overlap(dimension: DataFrame, key: str) -> DataFrame:
     """Q11: versions that begin before an earlier version of the key has ended."""
     by_start = periods([key], ["valid_from", "valid_to"])
     ended = dimension.withColumn("previous_valid_to", F.lag("valid_to").over(by_start))
-    return _fail(ended.filter(F.col("previous_valid_to") > F.col("valid_from")), "validity intervals overlap")
+    return _fail(ended.filter(F.col("previous_valid_to") > F.col("valid_from")), "begins before an earlier version ends")
 
 
 def _fail(violations: DataFrame, reason: str) -> DataFrame:

@@ -234,13 +234,19 @@ def measure_text(bronze: DataFrame) -> DataFrame:
 
 
 def flag_keys(
-    rows: DataFrame, business: DataFrame, users: DataFrame | None, hot_share: float | None = None
+    rows: DataFrame, business_keys: DataFrame, user_keys: DataFrame | None = None, hot_share: float | None = None
 ) -> DataFrame:
-    """``biz_valid`` and ``usr_valid`` against the current versions of the silver tables."""
-    rows = fk_flag(rows, "business_id", current_keys(business, "business_id"), "biz_valid", hot_share)
-    if users is None:
-        return rows
-    return fk_flag(rows, "user_id", current_keys(users, "user_id"), "usr_valid", hot_share)
+    """``biz_valid`` and ``usr_valid`` against one-column frames of distinct keys."""
+    rows = fk_flag(rows, "business_id", business_keys, "biz_valid", hot_share)
+    return rows if user_keys is None else fk_flag(rows, "user_id", user_keys, "usr_valid", hot_share)
+
+
+def _flag_current(
+    rows: DataFrame, business: DataFrame, users: DataFrame | None, hot_share: float | None
+) -> DataFrame:
+    """J2, J1 against the current versions of the silver tables."""
+    user_keys = None if users is None else current_keys(users, "user_id")
+    return flag_keys(rows, current_keys(business, "business_id"), user_keys, hot_share)
 
 
 def no_words() -> Column:
@@ -262,7 +268,7 @@ def tag_reviews(
     bronze: DataFrame, business: DataFrame, users: DataFrame, hot_share: float | None = None
 ) -> DataFrame:
     """P13, J2, J1 twice, P6. ``business`` and ``users`` are the versioned silver tables."""
-    return tag_rejects(flag_keys(measure_text(bronze), business, users, hot_share), review_rules())
+    return tag_rejects(_flag_current(measure_text(bronze), business, users, hot_share), review_rules())
 
 
 def finish_reviews(clean: DataFrame, load_ts: Stamp | None = None) -> DataFrame:
@@ -344,7 +350,7 @@ def tip_rules() -> list[tuple[str, Column]]:
 def tag_tips(
     bronze: DataFrame, business: DataFrame, users: DataFrame, hot_share: float | None = None
 ) -> DataFrame:
-    return tag_rejects(flag_keys(measure_text(bronze), business, users, hot_share), tip_rules())
+    return tag_rejects(_flag_current(measure_text(bronze), business, users, hot_share), tip_rules())
 
 
 def finish_tips(clean: DataFrame, load_ts: Stamp | None = None) -> DataFrame:
@@ -403,7 +409,7 @@ def tag_photos(
     vocabulary: tuple[str, ...] = PHOTO_LABELS,
     hot_share: float | None = None,
 ) -> DataFrame:
-    return tag_rejects(flag_keys(clean_labels(bronze, vocabulary), business, None, hot_share), photo_rules())
+    return tag_rejects(_flag_current(clean_labels(bronze, vocabulary), business, None, hot_share), photo_rules())
 
 
 def finish_photos(clean: DataFrame, load_ts: Stamp | None = None) -> DataFrame:

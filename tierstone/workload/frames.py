@@ -16,6 +16,8 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import current_keys
+from ..operators.quality import split_rejects, tag_rejects
 from ..plans import dimensions, facts, silver, staging
 from ..session import configure, shared_dir
 from ..sources.bronze import COMPLIMENTS
@@ -278,34 +280,50 @@ class Frames:
     def users(self) -> DataFrame:
         return write_table(self.user_versions(), self.scratch(), "silver/users")
 
+    @cache
+    def business_keys(self) -> DataFrame:
+        """Valid keys as a written table, so that key checks are plain joins of two scans."""
+        return self.stored("silver/business_keys", current_keys(self.business(), "business_id"))
+
+    @cache
+    def user_keys(self) -> DataFrame:
+        return self.stored("silver/user_keys", current_keys(self.users(), "user_id"))
+
     @cache
     def tagged_reviews(self) -> DataFrame:
-        return silver.tag_reviews(self.bronze_reviews(), self.business(), self.users())
+        rows = silver.measure_text(self.bronze_reviews())
+        return tag_rejects(silver.flag_keys(rows, self.business_keys(), self.user_keys()), silver.review_rules())
 
     @cache
     def reviews(self) -> DataFrame:
-        return silver.silver_reviews(self.bronze_reviews(), self.business(), self.users())[0]
+        return silver.finish_reviews(split_rejects(self.tagged_reviews())[0])
 
     @cache
     def tagged_tips(self) -> DataFrame:
-        return silver.tag_tips(self.bronze_tips(), self.business(), self.users())
+        rows = silver.measure_text(self.bronze_tips())
+        return tag_rejects(silver.flag_keys(rows, self.business_keys(), self.user_keys()), silver.tip_rules())
 
     @cache
     def tips(self) -> DataFrame:
-        return silver.silver_tips(self.bronze_tips(), self.business(), self.users())[0]
+        return silver.finish_tips(split_rejects(self.tagged_tips())[0])
 
     @cache
     def checkins(self) -> tuple[DataFrame, DataFrame]:
         return silver.silver_checkins(self.bronze_checkins())
 
     @cache
-    def photos(self) -> tuple[DataFrame, DataFrame]:
-        return silver.silver_photos(self.bronze_photos(), self.business(), PAGE_LANGUAGES)
+    def tagged_photos(self) -> DataFrame:
+        rows = silver.clean_labels(self.bronze_photos(), PAGE_LANGUAGES)
+        return tag_rejects(silver.flag_keys(rows, self.business_keys()), silver.photo_rules())
+
+    @cache
+    def photos(self) -> DataFrame:
+        return silver.finish_photos(split_rejects(self.tagged_photos())[0])
 
     @cache
     def categories(self) -> DataFrame:
         """Distinct (business, category) pairs over all snapshots."""
-        clean, _ = silver.split_rejects(silver.tag_business(self.business_snapshots()))
+        clean, _ = split_rejects(silver.tag_business(self.business_snapshots()))
         return silver.business_categories(clean).distinct()
 
     # ------------------------------------------------------------ gold

@@ -542,7 +542,7 @@ oracle("explode_count_guard", ("checkins_packed", "checkin_rows"), """
          (SELECT count(*) AS actual_rows FROM checkin_rows)""")
 oracle("checkin_count_preserved", ("checkins",), """
     SELECT business_id, max(total) AS expected_count, count(*) AS actual_count,
-           'event count mismatch after explode' AS failure_reason
+           'exploded rows differ from packed total' AS failure_reason
     FROM checkins GROUP BY business_id HAVING max(total) <> count(*)""")
 oracle("elite_years_bridge", ("user_tagged",), """
     SELECT DISTINCT a.user_id, cast(b.yr AS int) AS elite_year FROM user_tagged a
@@ -658,13 +658,13 @@ part("doubled", ("business",), """
     SELECT business_id, valid_from - INTERVAL 30 DAY, valid_from - INTERVAL 30 DAY, is_current
     FROM business WHERE is_current""")
 oracle("quality_single_current", ("doubled",), """
-    SELECT business_id, count(*) AS current_version_count, 'multiple current rows for same key' AS failure_reason
+    SELECT business_id, count(*) AS current_version_count, 'more than one current version' AS failure_reason
     FROM doubled WHERE is_current GROUP BY business_id HAVING count(*) > 1""")
 oracle("quality_valid_window", ("doubled",), f"""
-    SELECT business_id, {_VALIDITY}, 'valid_from >= valid_to' AS failure_reason
+    SELECT business_id, {_VALIDITY}, 'version does not end after it begins' AS failure_reason
     FROM doubled WHERE valid_from >= valid_to""")
 oracle("quality_no_overlap", ("doubled",), f"""
-    SELECT business_id, {_VALIDITY}, {ts('previous_valid_to')}, 'validity intervals overlap' AS failure_reason
+    SELECT business_id, {_VALIDITY}, {ts('previous_valid_to')}, 'begins before an earlier version ends' AS failure_reason
     FROM (SELECT *, lag(valid_to) OVER (PARTITION BY business_id ORDER BY valid_from, valid_to) AS previous_valid_to
           FROM doubled)
     WHERE previous_valid_to > doubled_from""".replace("doubled_from", "valid_from"))

@@ -17,12 +17,13 @@ from ..functions.features import sentiment, text_features, vote_features
 from ..functions.hashing import change_hash, surrogate_key
 from ..operators.joins import current_keys, fk_flag, point_in_time_join
 from ..operators.nested import explode_delimited, explode_events, flatten_attributes, flatten_hours
-from ..operators.quality import REASON, split_rejects
+from ..operators.quality import REASON, split_rejects, tag_rejects
 from ..operators.scd import current_only, dedup_latest, first_versions, scd2_merge, upsert
 from ..operators.spine import date_spine_of
 from ..operators.windows import cumulative, delta, pct_change, periods, prior, rank_in, rolling, with_rank
 from ..plans import aggregates, checks, dimensions, silver, staging
 from ..plans.monitoring import SourceFrames, ingestion_metrics, quarantine_alerts
+from ..plans.pipeline import flag_by_stored_keys
 from ..sources.bronze import read_bronze
 from ..sources.tables import append_quarantine, read_quarantine, read_table, upsert_partitions, write_table
 from .frames import PAGE_LANGUAGES, Frames, cents
@@ -265,7 +266,7 @@ def fk_flag_reject_tagging(f: Frames) -> DataFrame:
 def fk_flag_hot_keys_split(f: Frames) -> DataFrame:
     """J1 with hot keys split over salts: line items per flag."""
     lines = f.table("lineitem").withColumn("business_id", F.col("l_suppkey").cast("string"))
-    flagged = fk_flag(lines, "business_id", current_keys(f.business(), "business_id"), "known", hot_share=0.005)
+    flagged = fk_flag(lines, "business_id", f.business_keys(), "known", hot_share=0.005)
     return flagged.groupBy("known").agg(
         F.count(F.lit(1)).alias("lines"), F.sum(cents("l_extendedprice")).alias("cents")
     )
@@ -277,7 +278,7 @@ def reject_reason_counts(f: Frames) -> DataFrame:
     tagged = {
         "reviews": f.tagged_reviews(),
         "tips": f.tagged_tips(),
-        "photos": silver.tag_photos(f.bronze_photos(), f.business()),
+        "photos": f.tagged_photos(),
         "business": silver.tag_business(f.business_snapshots()),
         "users": silver.tag_users(f.user_snapshots(), F.year("snapshot_ts"), carry=("snapshot_ts",)),
     }
@@ -397,7 +398,7 @@ def page_label_captions(f: Frames) -> DataFrame:
 @register
 def label_distribution(f: Frames) -> DataFrame:
     """B6, A3, O2."""
-    return silver.label_distribution(f.photos()[0])
+    return silver.label_distribution(f.photos())
 
 
 @register
@@ -479,7 +480,7 @@ def _sources(f: Frames) -> dict[str, SourceFrames]:
 
     reviews = stored("reviews", f.tagged_reviews().drop("text"), *REVIEW_COLUMNS)
     tips = stored("tips", f.tagged_tips().drop("text"), *TIP_COLUMNS)
-    photos = stored("photos", silver.tag_photos(f.bronze_photos(), f.business(), PAGE_LANGUAGES), "photo_id")
+    photos = stored("photos", f.tagged_photos(), "photo_id")
     business = stored("business", silver.tag_business(f.business_snapshots()), "business_id")
     sides = {
         "business": (business, current_only(f.business())),
@@ -575,12 +576,13 @@ def quality_no_overlap(f: Frames) -> DataFrame:
 
 @register
 def bronze_json_roundtrip(f: Frames) -> DataFrame:
-    """Reviews written as JSON lines, read by schema, rejects kept per run."""
+    """Reviews written as JSON lines, read by schema, flagged by stored missing keys, rejects kept per run."""
     base = f.scratch()
     f.bronze_reviews().write.json(f"{base}/review.json")
     raw = read_bronze(f.spark, base, "review")
-    tagged = silver.tag_reviews(raw, f.business(), f.users())
-    staged = write_table(tagged, base, "staging/reviews")
+    rows = write_table(silver.measure_text(raw), base, "staging/reviews")
+    lookups = {"business_id": ("biz_valid", f.business()), "user_id": ("usr_valid", f.users())}
+    staged = tag_rejects(flag_by_stored_keys(base, "reviews", rows, lookups), silver.review_rules())
     clean, rejected = split_rejects(staged)
     append_quarantine(rejected, base, "reviews", "run-1")
     append_quarantine(rejected, base, "reviews", "run-1")  # a rerun replaces its own rows
