@@ -185,7 +185,9 @@ def store_reviews(
     tagged = tag_rejects(flag_by_stored_keys(base, "reviews", rows, lookups), silver.review_rules())
     reviews = silver.finish_reviews(quarantine_rejects(base, "reviews", tagged, run_id), load_ts)
     if merging and table_exists(parsed.sparkSession, base, name):
-        upsert_partitions(reviews, base, name, "review_id", PARTITIONS[name], CLUSTERS[name])
+        # The upsert reads its input several times, so it gets a written one.
+        updates = write_table(reviews, base, "staging/reviews_updates")
+        upsert_partitions(updates, base, name, "review_id", PARTITIONS[name], CLUSTERS[name])
     else:
         write_table(reviews, base, name, PARTITIONS[name], CLUSTERS[name])
 
