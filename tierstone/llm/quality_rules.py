@@ -104,25 +104,27 @@ def vote_pattern() -> Column:
     return F.concat(*[F.when(bad, BAD).when(good, GOOD).otherwise(ABSTAIN) for bad, good in rules().values()])
 
 
-def fit(patterns: Mapping[str, int], rounds: int = 100, floor: float = 0.55) -> tuple[float, np.ndarray]:
+def fit(patterns: Mapping[str, int], rounds: int = 200) -> tuple[float, np.ndarray]:
     """Prior of good and accuracies [rule, (on bad, on good)] by EM over vote patterns.
 
     A vote is right with a probability that depends on the rule and the class; whether a
-    rule votes at all says nothing. Accuracies start alike and stay above `floor`, which
-    fixes which class is which.
+    rule votes at all says nothing. Every rule stays a little better than chance (its two
+    accuracies sum to over one), which fixes which class is which; a rule for one fault may
+    call most bad texts good, so the accuracy on bad has no floor of its own.
     """
     keys = list(patterns)
     n = np.array([patterns[k] for k in keys], float)
     votes = np.array([[(c == GOOD) - (c == BAD) for c in k] for k in keys], float).reshape(len(keys), -1)
-    prior, right = 0.8, np.full((votes.shape[1], 2), 0.75)
+    prior, right = 0.8, np.tile([0.4, 0.95], (votes.shape[1], 1))
     for _ in range(rounds):
         p = posterior(votes, prior, right)
         mass = np.stack([(1 - p) * n, p * n])
-        prior = float(np.clip(mass[1].sum() / max(n.sum(), 1), 0.01, 0.99))
-        for side, vote in enumerate((-1, 1)):
-            hits = mass[side] @ (votes == vote)
-            cast = mass[side] @ (votes != 0)
-            right[:, side] = np.clip((hits + 3) / (cast + 4), floor, 0.99)
+        prior = float(np.clip(mass[1].sum() / max(n.sum(), 1), 0.5, 0.99))
+        for side, vote, hits, cast in ((1, 1, 4.5, 5), (0, -1, 1, 2)):
+            hits = hits + mass[side] @ (votes == vote)
+            cast = cast + mass[side] @ (votes != 0)
+            right[:, side] = np.clip(hits / cast, 0.01, 0.995)
+        right[:, 0] = np.maximum(right[:, 0], 1 - right[:, 1] + 0.01)
     return prior, right
 
 
