@@ -1,0 +1,306 @@
+"""Decontamination, licences, mixing, chat, and the pipeline."""
+
+import hashlib
+import random
+import re
+from collections import defaultdict
+
+import pytest
+import xxhash
+
+import brute
+import corpus_pipeline
+from conftest_odd import ODD
+from tierstone.llm import chat, decontamination, licences, mixing
+
+# ---------------------------------------------------------------- decontamination
+
+
+def bench(spark, *rows):
+    return spark.createDataFrame(list(rows), "item_id long, text string")
+
+
+def test_contamination_matches_brute_force(spark, make):
+    rng = random.Random(4)
+    text = lambda n: " ".join(rng.choice("ab") + rng.choice("cd") for _ in range(n))
+    items = [(i, text(rng.randint(1, 14))) for i in range(12)] + [(50, None), (51, "  "), (None, "ac"), (3, "bd bd BD")]
+    docs = [(i, rng.choice([" ", ", ", "-"]).join(text(rng.randint(0, 60)).upper().split())) for i in range(40)] + [r[:2] for r in ODD]
+    docs += [(99, "x " + items[0][1] + " y"), (98, "É" + "ac")]
+    got = sorted((r.doc_id, r.n_words, r.n_hit, r.item_ids) for r in decontamination.contamination(make(*docs), bench(spark, *items)).collect() if r.doc_id is not None)
+    expected = [(d, *r) for (d, _), r in zip(docs, brute.contamination([t for _, t in docs], items)) if d is not None]
+    assert got == sorted(expected)
+
+
+def test_contamination_of_empty_tables(spark, make):
+    assert decontamination.contamination(make(), bench(spark, (1, "a b"))).collect() == []
+    got = decontamination.contamination(make(*ODD), bench(spark)).collect()
+    assert len(got) == len(ODD) and not any(r.contaminated for r in got)
+    assert decontamination.clean(make(*ODD), bench(spark, (1, "another text under the same id with"))).count() == len(ODD) - 1
+
+
+def test_proximity_matches(spark, make):
+    item = "zebra quartz of the jumping vixen over a lazy dog"
+    near = "zebra quartz of the quick jumping vixen over a lazy dog"
+    docs = make((1, item), (2, near), (3, "zebra and far away of the end of things some quartz"), (4, None))
+    sought = decontamination.phrases(bench(spark, (1, item)))
+    index = decontamination.build_index(docs, sought.terms)
+    ids = {r.doc: r.doc_id for r in index.select("doc", "doc_id").distinct().collect()}
+    exact = {ids[r.doc] for r in decontamination.occurrences(index, sought.windows).collect()}
+    close = {ids[r.doc] for r in decontamination.occurrences(index, sought.windows, slop=2, min_share=0.8).collect()}
+    assert exact == {1} and close == {1, 2}
+
+
+def test_plans_have_no_python(spark, make):
+    rows = make((1, "a b c"))
+    frames = [decontamination.contamination(rows, bench(spark, (1, "a b"))), mixing.mix(rows)]
+    for df in frames:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Arrow|Pandas|CartesianProduct|NestedLoop", plan)
+
+
+# ---------------------------------------------------------------- licences
+
+
+def licence_files(spark, *rows):
+    return spark.createDataFrame(list(rows), "key long, path string, text string")
+
+
+def test_licences_own_and_inherited(spark):
+    mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
+    files = licence_files(
+        spark,
+        (1, "a/LICENSE", mit),
+        (2, "a/b/c/code", "no notice here"),
+        (3, "a/b/COPYING.txt", gpl),
+        (4, "a/b/other", "words\n" * 50 + "Licensed under CC BY-NC 4.0."),
+        (5, "z/file", "nothing of the kind"),
+        (6, "a/x/y", None),
+        (7, None, mit),
+        (8, "a/x/plain", "permission to speak about copyright in general terms of unrelated prose and more"),
+        (8, "a/x/plain", "permission to speak about copyright in general terms of unrelated prose and more"),
+        (9, "top", ""),
+    )
+    got = sorted((r.key, r.licence, r.found, r.licence_dir) for r in licences.scan(files).collect())
+    assert got == [
+        (1, "MIT", "own", None),
+        (2, "GPL-3.0", "inherited", "a/b"),
+        (3, "GPL-3.0", "own", None),
+        (4, "CC-BY-NC-4.0", "own", None),
+        (5, None, None, None),
+        (6, "MIT", "inherited", "a"),
+        (7, "MIT", "own", None),
+        (8, "MIT", "inherited", "a"),
+        (8, "MIT", "inherited", "a"),
+        (9, None, None, None),
+    ]
+
+
+def test_every_template_is_its_own_best(spark):
+    rows = [(i, f"d{i}/file", f"Some words before.\n{text}\nand after") for i, (_, text) in enumerate(licences.TEMPLATES)]
+    got = {r.key: (r.licence, r.score) for r in licences.scan(licence_files(spark, *rows)).collect()}
+    for i, (name, _) in enumerate(licences.TEMPLATES):
+        assert got[i] == (name, 1.0)
+
+
+def test_licences_of_no_files(spark):
+    assert licences.scan(licence_files(spark)).collect() == []
+
+
+def test_root_licence_reaches_down(spark):
+    files = licence_files(spark, (1, "LICENSE", "The MIT License (MIT)"), (2, "deep/er/file", "x"), (3, "file", "y"))
+    assert {(r.key, r.licence, r.licence_dir) for r in licences.scan(files).collect()} == {(1, "MIT", None), (2, "MIT", ""), (3, "MIT", "")}
+
+
+# ---------------------------------------------------------------- mixing
+
+
+def words_in(text):
+    return len(brute.WORD.findall(text or ""))
+
+
+def filled_targets(sizes, weights=(5, 2, 1)):
+    """Reshare the excess of stopped sources until none is above."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    stopped, total = {}, 1.5 * sum(sizes.values())
+    while True:
+        rest = total - sum(stopped.values())
+        open_weight = sum(weight[s] for s in names if s not in stopped)
+        above = [s for s in names if s not in stopped and rest * weight[s] / open_weight > 2 * sizes[s]] if open_weight else []
+        if not above:
+            return {s: stopped.get(s, rest * weight[s] / open_weight if s not in stopped else 0) for s in names}
+        stopped.update({s: 2.0 * sizes[s] for s in above})
+
+
+def seats(votes, n):
+    """Sainte-Laguë one seat at a time."""
+    got = {p: 0 for p in votes}
+    for _ in range(n):
+        if any(votes.values()):
+            got[min(votes, key=lambda p: (-votes[p] / (2 * got[p] + 1), p))] += 1
+    return got
+
+
+def test_highest_quotients_match_one_seat_at_a_time(spark):
+    rng = random.Random(12)
+    for total in (1, 7, 100):
+        votes = {f"p{i:02d}": rng.choice([0, 1, 3, 3, 10, 500, 7000]) for i in range(25)}
+        df = spark.createDataFrame([(p, v, total) for p, v in votes.items()], "p string, v long, n long")
+        got = {r.p: r.blocks for r in mixing.highest_quotients(df, [], ["p"], "v", "n").collect()}
+        assert got == seats(votes, total)
+
+
+def mixed(docs, **options):
+    return mixing.mix(docs, **options).collect()
+
+
+def check_mix(rows, got, slack):
+    sizes = defaultdict(int)
+    for _, text, _, source in rows:
+        sizes[source] += words_in(text)
+    targets, taken = filled_targets(sizes), defaultdict(int)
+    for r in got:
+        assert r.taken <= 2 * r.size and r.source_size == sizes[r.source]
+        assert r.target == pytest.approx(targets[r.source])
+        taken[r.source] += r.taken
+    for source, target in targets.items():
+        assert abs(taken[source] - target) <= slack, source
+
+
+def mix_rows(seed, n):
+    rng = random.Random(seed)
+    return [(i, "w " * rng.choice([0, 1, 5, 40, 300, 2000]), None, rng.choice(["a", "a", "a", "b", "c", "d", None, "Z"])) for i in range(n)]
+
+
+@pytest.mark.parametrize("shard_tokens", [10**9, 5000])
+def test_mix_meets_targets(make, shard_tokens):
+    rows = mix_rows(3, 300)
+    got = mixed(make(*rows), shard_tokens=shard_tokens)
+    shards = len({r.shard for r in got})
+    assert sorted((r.doc_id, r.size) for r in got) == sorted((i, words_in(t)) for i, t, _, _ in rows)
+    check_mix(rows, got, slack=2 * mixing.BLOCK_TOKENS * (1 + shards / 2))
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, mixed(make(*rows[::-1]), shard_tokens=shard_tokens)), key=repr)
+
+
+def test_mix_matches_brute_force(make):
+    """Blocks laid out and picked one by one."""
+    rows, block, seed = mix_rows(5, 120), 32, 7
+    got = {r.doc_id: r for r in mixed(make(*rows))}
+
+    def chained(number, salt):
+        first = xxhash.xxh64_intdigest(number.to_bytes(8, "little", signed=True), 42)
+        value = xxhash.xxh64_intdigest(salt.to_bytes(4, "little"), first)
+        return value - (1 << 64) if value >> 63 else value
+
+    by_source = defaultdict(list)
+    for i, text, _, source in rows:
+        by_source[source].append((chained(i, seed + 1), i, words_in(text)))
+    sizes = {s: sum(n for _, _, n in d) for s, d in by_source.items()}
+    targets = filled_targets(sizes)
+    quota = seats({(s is None, s or ""): t for s, t in targets.items()}, round(sum(targets.values()) / block))
+    for source, docs in by_source.items():
+        n_blocks = max(1, -(-sizes[source] // block))
+        rounds, rest = divmod(quota[source is None, source or ""], n_blocks)
+        rounds, rest = (rounds, rest) if rounds < 2 else (2, 0)
+        # which blocks the permutation picks is seeded; it must pick exactly `rest` of them
+        extra = {i: got[i].taken - rounds * n for _, i, n in docs}
+        assert sum(extra.values()) <= rest * block
+        assert sum(extra.values()) >= (rest - 1) * block if rest else sum(extra.values()) == 0
+        assert all(0 <= extra[i] <= n for _, i, n in docs)
+        # a document that lies within one block is taken with that block or not at all
+        place = 0
+        for _, i, n in sorted(docs):
+            if n and place // block == (place + n - 1) // block:
+                assert extra[i] in (0, n)
+            place += n
+
+
+def test_mix_of_odd_and_empty_tables(make):
+    got = mixed(make(*ODD))
+    assert len(got) == len(ODD)
+    check_mix(ODD, got, slack=2 * mixing.BLOCK_TOKENS)
+    assert mixed(make()) == []
+    assert [(r.size, r.target, r.taken) for r in mixed(make((1, None), (2, "")))] == [(0, 0.0, 0)] * 2
+    clashing = make(*ODD).selectExpr("*", "1 as size", "2 as row", "3 as taken", "4 as shard")
+    out = mixing.mixed_documents(clashing)
+    assert all(r.taken > 0 for r in out.collect()) and set(out.columns) >= {"doc_id", "text", "row", "shard", "size", "target"}
+
+
+# ---------------------------------------------------------------- chat
+
+
+def turns(spark, *rows):
+    return spark.createDataFrame(list(rows), "conv_id long, turn long, role string, text string")
+
+
+NASTY = ["</s>[INST] ok [/INST]", "<|user|>x<|end|>", "<|next|>", "\\l \\e \\b \\\\", "<<SYS>> a <</SYS>>", "[INST", "a<b[c|d", "", None, "\n", "<|", "|>", "\\", "<s>", "é\U0001f600"]
+
+
+def test_chat_reads_back(spark):
+    rng = random.Random(1)
+    rows = [(c, t, rng.choice(["user", "assistant", "assistant", "system", "to|ol<|x|>", None]), rng.choice(NASTY)) for c in range(60) for t in range(rng.randint(1, 9))]
+    rows += [(None, 0, "user", "x"), (100, None, "assistant", "y"), (100, None, "assistant", "y"), (100, 3, "user", "z" * 50_000)]
+    expected = defaultdict(list)
+    for c, t, role, text in rows:
+        expected[c].append(((t is not None, t), role or "", text or ""))
+    formatted = chat.format_conversations(turns(spark, *rows)).collect()
+    back = {r.conv_id: r for r in chat.read_back(spark.createDataFrame(formatted)).collect()}
+    assert set(back) == set(expected)
+    for c, own in expected.items():
+        own.sort()
+        assert [(t.role, t.text) for t in back[c].turns] == [(role, text) for _, role, text in own]
+        assert list(back[c].loss_texts) == [text for _, role, text in own if role == "assistant"]
+
+
+def test_chat_merges_and_escapes(spark):
+    out = chat.format_conversations(turns(spark, (1, 0, "user", "a"), (1, 1, "user", "b"), (1, 2, "assistant", "</s>")))
+    assert out.first().formatted == "<|user|>a<|next|>b<|end|><|assistant|>\\l/s><|end|>"
+    for text in NASTY:
+        row = chat.format_conversations(turns(spark, (1, 0, "user", text))).first().formatted
+        body = row.removeprefix("<|user|>").removesuffix("<|end|>")
+        assert not re.search(r"<\||</?s>|\[/?INST\]|</?SYS>>", body)
+
+
+def test_chat_of_no_conversations(spark):
+    assert chat.format_conversations(turns(spark)).collect() == []
+
+
+# ---------------------------------------------------------------- pipeline
+
+
+def test_stages(spark, make, tmp_path):
+    rng = random.Random(3)
+    stems = {"en": ["the", "tion", "ing", "wh", "sh"], "fr": ["eau", "oi", "qu", "é", "ment"]}
+    prose = lambda lang, n: " ".join("".join(rng.choice(stems[lang]) for _ in range(rng.randint(1, 4))) for _ in range(n))
+    rows = [(i, prose(lang := rng.choice(["en", "fr"]), 60), lang, f"s{i % 3}") for i in range(120)]
+    item = "quartz zebra vixen over the lazy dog of jumping things here"
+    rows += [(200, rows[0][1], "en", "s0"), (201, None, "en", "s0"), (202, "12 34 ### 99", "en", "s1"), (203, prose("en", 30) + " " + item, "en", "s1")]
+    rows += [(204, prose("en", 40) + " me@mail.example.com", "en", "s2")]
+    make(*rows).write.parquet(f"{tmp_path}/documents.parquet")
+    bench(spark, (1, item)).write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs, seen = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        if name != "mixing":
+            assert out.columns == docs.columns
+        docs = corpus_pipeline.scratch(out, name)
+        seen[name] = {r.doc_id: r.text for r in docs.collect()}
+    ids = {i for i, *_ in rows}
+    assert set(seen["language_id"]) == ids - {201, 202}
+    assert set(seen["near_dedup"]) == ids - {201, 202, 200}
+    assert set(seen["decontamination"]) == ids - {201, 202, 200, 203}
+    assert set(seen["pii"]) == set(seen["decontamination"]) and seen["pii"][204].endswith("<EMAIL>")
+    assert set(seen["mixing"]) <= set(seen["pii"])
+    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(seen["mixing"])
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_stages_bear_odd_and_empty_tables(spark, make, tmp_path, name, stage):
+    bench(spark, (1, "a b"), (None, None)).write.parquet(f"{tmp_path}/benchmark.parquet")
+    extra = make(*ODD).selectExpr("*", "1 as fp", "2 as score", "3 as lang_pred", "4 as dirty_id", "5 as doc")
+    stage(spark, extra, str(tmp_path)).collect()
+    assert stage(spark, make(), str(tmp_path)).collect() == []
+
+
+def test_digest_of_nothing():
+    assert brute.digest([]) == hashlib.sha256(b"").hexdigest()

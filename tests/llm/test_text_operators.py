@@ -1,0 +1,189 @@
+"""Language, tokens, quality rules, personal data, site quality."""
+
+import random
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+import brute
+from conftest_odd import ODD
+from tierstone.llm import langid, pii, quality_rules, site_quality, tokens
+
+STEMS = {"en": ["the", "tion", "ing", "wh", "sh", "ea"], "fr": ["eau", "oi", "qu", "é", "ê", "ment"], "de": ["sch", "keit", "ß", "ung", "ä", "ver"]}
+
+
+def prose(rng, lang, n):
+    return " ".join("".join(rng.choice(STEMS[lang]) for _ in range(rng.randint(1, 4))) for _ in range(n))
+
+
+def corpus(seed, n):
+    rng = random.Random(seed)
+    return [(i, prose(rng, lang := rng.choice(sorted(STEMS)), rng.randint(3, 80)), lang, f"s{i % 4}") for i in range(n)]
+
+
+def test_language_accuracy_on_held_out_rows(make):
+    rows = corpus(2, 600)
+    got = {r.doc_id: r for r in langid.identify(make(*rows), per_language=60, landmarks=10).collect()}
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0]
+    assert {i for i, r in got.items() if r.held_out} == {r[0] for r in held}
+    assert sum(got[r[0]].lang_pred == r[2] for r in held) / len(held) >= 0.97
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_prediction_does_not_use_labels(make):
+    rows = corpus(4, 300)
+    model = langid.train(make(*rows), per_language=30, landmarks=8)
+    plain = langid.predict(make(*rows), model).select("doc_id", "lang_pred", "score").collect()
+    other = langid.predict(make(*[(i, t, "xx", None) for i, t, _, _ in rows]), model).select("doc_id", "lang_pred", "score").collect()
+    assert plain == other
+
+
+def test_language_of_odd_rows(make):
+    rows = {(r.doc_id, r.lang_pred) for r in langid.identify(make(*ODD)).collect() if r.doc_id in (1, 2, 3)}
+    assert rows == {(1, "und"), (2, "und"), (3, "und")}
+    assert langid.identify(make(*ODD)).count() == len(ODD)
+    assert langid.identify(make()).collect() == []
+    unlabelled = langid.identify(make((1, "some text"), (2, "12 34"))).collect()
+    assert [(r.lang_pred, r.score) for r in unlabelled] == [("und", 0.0)] * 2
+
+
+def test_sample_is_bounded_though_ids_repeat(make):
+    docs = make(*[(1, f"text number {i}", "en", None) for i in range(50)], *corpus(5, 40))
+    assert langid.sample(docs, 5).count() <= 5 * 3
+
+
+TEXTS = [None, "", " ", "  two  spaces ", "a\nb\tc", "▁x ▁", "</s><s> [INST] x", "ünḯcôde \U0001f600\U0001f600", "a\x00b", "x" * 3000, "tab\t\tend ", "1,234.56 $$$ %%% ###"]
+
+
+@pytest.mark.parametrize("common", [100_000, 2])
+def test_token_counts_equal_the_library(make, common):
+    rng = random.Random(7)
+    texts = TEXTS + ["".join(rng.choice(" \n.aeüx▁<") for _ in range(rng.randint(0, 60))) for _ in range(80)]
+    model = tokens.load(tokens.default_tokenizer_path())
+    got = {r.doc_id: r for r in tokens.count_tokens(make(*enumerate(texts)), limit=20, common=common).collect()}
+    for i, text in enumerate(texts):
+        n = len(model.encode(text or ""))
+        assert (got[i].n_tokens, got[i].n_bytes, got[i].over_limit) == (n, len((text or "").encode()), n > 20), text
+
+
+def test_tokens_of_odd_and_empty_tables(make):
+    assert tokens.count_tokens(make(*ODD)).count() == len(ODD)
+    assert tokens.count_tokens(make()).collect() == []
+
+
+def test_quality_counts_match_brute_force():
+    rng = random.Random(3)
+    texts = [None, "", "a", "a a a a a a", "x y z\nx y z\n\nx y z", "<|#*$%&>", "é é\x0bé"]
+    texts += [" \n"[rng.random() < 0.2].join(rng.choice("abc") for _ in range(rng.randint(1, 60))) for _ in range(80)]
+    assert [quality_rules.text_stats(t)[:1] + quality_rules.text_stats(t)[1:5] for t in texts] == [brute.quality_counts(t) for t in texts]
+
+
+def test_quality_verdicts(make):
+    rng = random.Random(5)
+    words = ["the", "of", "and", "house", "garden", "window", "letter", "to", "is", "river", "paper", "street", "in", "a"]
+    clean = [(i, ". ".join(" ".join(rng.choice(words) for _ in range(12)) for _ in range(15)) + ".") for i in range(200)]
+    junk = [(1000 + i, " ".join(rng.choice(words) + rng.choice(["$$$", "###", "%%%"]) for _ in range(100))) for i in range(20)]
+    shouting = [(2000 + i, " ".join(rng.choice(words).upper() + "!!" for _ in range(100))) for i in range(20)]
+    kept = {r.doc_id: r.kept for r in quality_rules.judge(make(*clean, *junk, *shouting, (3000, None), (3001, "too short"))).collect()}
+    assert all(kept[i] for i, _ in clean)
+    assert not any(kept[i] for i, _ in junk + shouting)
+    assert not kept[3000] and not kept[3001]
+
+
+def test_quality_of_odd_and_empty_tables(make):
+    assert quality_rules.judge(make(*ODD)).count() == len(ODD)
+    assert quality_rules.judge(make()).collect() == []
+
+
+PERSONAL = [
+    None,
+    "",
+    "a@b.c",
+    "x@@y.z a.b@c-d.e.f@g.h",
+    "1.2.3.4.5.6.7.8 999.1.1.1 01.002.3.255",
+    "4111 1111 1111 1111 and 4111-1111-1111-1112 and 4111  1111",
+    "+1 (017) 555-7713 +12 +1-------2 ++49 30 1234567",
+    "0" * 5000 + ".1.1.1",
+    "é" * 5 + "me@mail.example.com,+49 (30) 123-4567",
+    "@" * 50 + "a@" * 50 + "b.c",
+    "9" * 20 + "@1.2.3.4",
+]
+
+
+def test_base_spans_match_brute_force():
+    rng = random.Random(8)
+    texts = PERSONAL[:7] + PERSONAL[8:] + ["".join(rng.choice("a1@.+-( 52)9") for _ in range(rng.randint(0, 70))) for _ in range(3000)]
+    for text in texts:
+        assert pii.base_spans(text or "") == brute.base_spans(text), text
+    assert pii.base_spans(PERSONAL[7]) == []
+
+
+def test_base_patterns_are_linear():
+    for text in ("a" * 400_000, "1" * 400_000, "1." * 200_000, "+1(" * 100_000, "a@" * 100_000, "1-" * 200_000):
+        pii.candidates(text, pii.base_spans(text))
+
+
+def hexes(rng, n):
+    return "".join(rng.choice("0123456789abcdef") for _ in range(n))
+
+
+def test_secrets_are_added_and_plain_words_are_not(make):
+    rng = random.Random(2)
+    rows = [(i, f'some words token = "{hexes(rng, 40)}" and more') for i in range(30)]
+    rows += [(100 + i, f"see commit {hexes(rng, 17)}x of the averylongcompoundwordwithout digits2024inside") for i in range(60)]
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.find(make(*rows)).collect()}
+    assert all([k for k, _, _ in got[i]] == ["secret"] for i in range(30))
+    start = rows[0][1].index('"') + 1
+    assert got[0] == [("secret", start, start + 40)]
+    assert not any(got[100 + i] for i in range(60))
+
+
+def test_redaction(make):
+    docs = make((1, "write to me@mail.example.com now", "en", "a"), (2, None, "en", "a"), (3, "call +1 (017) 555-7713", "en", "a"))
+    got = {r.doc_id: r for r in pii.redact(docs).collect()}
+    assert got[1].text == "write to <EMAIL> now" and got[1].n_chars == len(got[1].text)
+    assert got[2].text is None and got[3].text == "call <PHONE>"
+    assert pii.redact(docs).columns == docs.columns
+
+
+def test_personal_data_of_odd_and_empty_tables(make):
+    got = pii.find(make(*ODD, (8, PERSONAL[6]))).collect()
+    assert len(got) == len(ODD) + 1
+    assert pii.find(make()).collect() == []
+    by_id = {r.doc_id: [(s.start, s.kind, s.end) for s in r.base] for r in got}
+    assert by_id[8] == brute.base_spans(PERSONAL[6])
+
+
+def test_site_quality_learns_and_shrinks(spark, make):
+    rng = random.Random(6)
+    words = ["the", "of", "and", "house", "garden", "window", "letter", "river"]
+    rows, labels = [], []
+    for i in range(800):
+        bad = rng.random() < (0.7 if i % 10 == 0 else 0.1)
+        tail = "###" if bad else ""
+        rows.append((i, " ".join(rng.choice(words) + tail for _ in range(40)), "en", f"s{i % 10}"))
+        if i % 2 == 0:
+            labels.append((i, int(not bad), 0))
+    rows.append((900, None, "en", "never seen"))
+    labelled = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in site_quality.assess(make(*rows), labelled, F.col("source"), F.col("lang")).collect()}
+    held = [(i, q) for i, q, _ in labels if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum(got[i].kept == bool(q) for i, q in held) / len(held) >= 0.97
+    assert got[0].p_host < got[1].p_host  # s0 is the bad host
+    overall = sum(q for _, q, _ in labels) / len(labels)
+    assert abs(got[900].p_host - overall) < 0.15  # an unseen host stays near the mean
+
+
+def test_site_quality_of_odd_and_empty_tables(spark, make):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert site_quality.assess(make(*ODD), none, F.col("source"), F.col("lang")).count() == len(ODD)
+    odd = spark.createDataFrame([(4, 1, 0), (4, 0, 0), (None, 1, None), (6, None, 1), (7, 0, 0)], "doc_id long, quality int, toxic int")
+    assert site_quality.assess(make(*ODD), odd, F.col("source"), F.col("lang")).count() == len(ODD)
+    assert site_quality.assess(make(), odd, F.col("source"), F.col("lang")).collect() == []
+
+
+def test_pre_tokens_join_back():
+    assert "".join(" " + x for x in tokens.pre_tokens("a  b"))[1:] == "a  b"
+    assert re.sub("▁", " ", "x") == "x"

@@ -105,7 +105,8 @@ def mix(
     per_source = per_shard.groupBy("source").agg(F.sum("stream").alias("source_size"))
     targets = source_targets(per_source, weights, share, limit)
     whole = Window.partitionBy()
-    all_blocks = F.round(F.sum("target").over(whole) / block_tokens).cast("long")
+    whole_mix = F.sum("source_size").over(whole) * F.least(F.lit(share[0] / share[1]), F.lit(float(limit)))
+    all_blocks = F.round(whole_mix / block_tokens).cast("long")
     by_source = highest_quotients(targets.withColumn("all_blocks", all_blocks), [], ["source"], "target", "all_blocks")
     by_source = scratch(by_source.select(F.col("source").alias("s"), "source_size", "target", F.col("blocks").alias("source_blocks")), "mix-sources")
     votes = per_shard.join(by_source, F.col("source").eqNullSafe(F.col("s"))).drop("s")
