@@ -243,8 +243,7 @@ def test_chat_reads_back(spark):
     expected = defaultdict(list)
     for c, t, role, text in rows:
         expected[c].append(((t is not None, t), role or "", text or ""))
-    formatted = chat.format_conversations(turns(spark, *rows)).collect()
-    back = {r.conv_id: r for r in chat.read_back(spark.createDataFrame(formatted)).collect()}
+    back = {r.conv_id: r for r in chat.read_back(chat.format_conversations(turns(spark, *rows))).collect()}
     assert set(back) == set(expected)
     for c, own in expected.items():
         own.sort()

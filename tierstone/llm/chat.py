@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 OPEN, CLOSE, NEXT, END = "<|", "|>", "<|next|>", "<|end|>"
 #: Openings of control strings: of this template, and of common instruction templates.
 #: In an escaped text `\e`, `\l`, `\b` stand for a backslash and the two openings.
-ANGLE = r"<(?=\||/?s>|</?SYS>>|/SYS>>)"
+ANGLE = r"<(?=\||/?s>|<?/?SYS>>)"
 BRACKET = r"\[(?=/?INST\])"
 
 

@@ -12,7 +12,8 @@ with turns as (
 ), marked as (
   select *, lag(role) over w as before, lead(role) over w as after,
          length(replace(text, '\', '\e'))
-           + len(regexp_extract_all(text, '<\||</?s>|<<SYS>>|<</SYS>>|</SYS>>|<SYS>>')) + len(regexp_extract_all(text, '\[/?INST\]')) as escaped
+           + len(regexp_extract_all(text, '<\|')) + len(regexp_extract_all(text, '</?s>')) + len(regexp_extract_all(text, '</?SYS>>'))
+           + len(regexp_extract_all(text, '<</?SYS>>')) + len(regexp_extract_all(text, '\[/?INST\]')) as escaped
   from turns window w as (partition by conv_id order by turn, role, text)
 )
 select conv_id, count(*) as n_turns,

@@ -119,14 +119,16 @@ def candidates(text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, s
 
     The pattern is the kind and the labelers' votes: all that the classifier sees.
     """
-    taken = np.array([(a, b) for a, _, b in base], int).reshape(-1, 2)
+    starts = np.array([a for a, _, _ in base], int)  # base spans come by start
+    furthest = np.maximum.accumulate(np.array([b for _, _, b in base], int)) if base else starts
     found: list[tuple[int, str, int]] = []
     for kind, pattern in (("account", ACCOUNT), ("secret", SECRET), ("contact", CONTACT), ("handle", HANDLE)):
         for m in pattern.finditer(text) if kind != "handle" or "@" in text else ():
             if kind == "secret" and not (re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])):
                 continue
             a, b = m.span()
-            if not ((taken[:, 0] < b) & (taken[:, 1] > a)).any():
+            before = int(np.searchsorted(starts, b))  # base spans that start before the end
+            if not before or furthest[before - 1] <= a:
                 found.append((a, kind, b))
     found.sort(key=lambda s: (s[0], -s[2]))
     out, end = [], 0
