@@ -16,6 +16,8 @@ BUCKETS = 1 << 13
 BINS, SPAN = 200, 4.0
 #: An unlabelled document counts for its site as this many labelled ones, by its own probability.
 SOFT_WEIGHT = 0.25
+#: Most labelled ids the classifier is fitted on.
+FIT_ROWS = 20_000
 TOKEN = re.compile(r"[^ \t\n\x0b\f\r]+")
 RUNS = ((re.compile("[0-9]+"), "9"), (re.compile("[A-ZÀ-ÖØ-Þ]+"), "A"), (re.compile(r"[^\W\d_A-ZÀ-ÖØ-Þ]+"), "a"), (re.compile(r"(\W)\1+"), r"\1"))
 
@@ -63,7 +65,7 @@ def evidence(counts: tuple[np.ndarray, np.ndarray], weights: np.ndarray) -> floa
 
 
 def feature_weights(labelled: DataFrame) -> np.ndarray:
-    """Naive Bayes log-likelihood ratios per bucket, from grouped sums over all labelled texts.
+    """Naive Bayes log-likelihood ratios per bucket, from grouped sums over the labelled texts.
 
     A text counts by feature frequency, so that a very long text weighs like any other.
     Only the sums, two per bucket, reach the driver.
@@ -140,13 +142,17 @@ def shrink(sites: DataFrame, good: str, n: str, parent: Column, overall: float)
     return (F.col(good) + strength * parent) / (F.col(n) + strength), strength
 
 
-def assess(docs: DataFrame, labels: DataFrame, host: Column, path: Column, threshold: float = 0.5) -> DataFrame:
+def assess(
+    docs: DataFrame, labels: DataFrame, host: Column, path: Column, threshold: float = 0.5, fit_rows: int = FIT_ROWS
+) -> DataFrame:
     """doc_id, host, path, p_doc, p_host, p_path, quality, kept, per document.
 
     p_doc is the calibrated classifier of the text alone. p_host shrinks a host's mean to the
     global mean, p_path a path's mean (a path lies within a host) to its host's; labelled
     documents count fully, others by p_doc at `SOFT_WEIGHT`. `quality` puts the document's
-    evidence, relative to the global mean, on top of its path's posterior.
+    evidence, relative to the global mean, on top of its path's posterior. The classifier is
+    fitted on at most `fit_rows` labelled ids, by seeded order, so that no text is shuffled to
+    meet its label; calibration and sites use all labels.
 
     Labels of rows with crc32(doc_id) mod 5 = 0 are held out everywhere. Null host and path
     are sites of their own. Null text gives no evidence. Several labels of an id: the mean,
@@ -155,7 +161,9 @@ def assess(docs: DataFrame, labels: DataFrame, host: Column, path: Column, thres
     by_id = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg((F.avg("quality") >= 0.5).alias("good"))
     by_id = by_id.filter(crc_fold(F.col("doc_id")) != 0)
     own = docs.select("doc_id", host.cast("string").alias("host"), path.cast("string").alias("path"), "text")
-    weights = feature_weights(docs.select("doc_id", "text").join(by_id, "doc_id"))
+    by_id = scratch(by_id, "labels")
+    fitted = scratch(by_id.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(fit_rows), "fitted-labels")
+    weights = feature_weights(docs.select("doc_id", "text").join(fitted, "doc_id"))
     scored = scratch(with_evidence(own, weights).join(by_id, "doc_id", "left"), "evidence")
     a, b = calibrate(scored.filter("good is not null"))
     p_doc = 1 / (1 + F.exp(-(F.lit(a) + F.lit(b) * F.greatest(F.least(F.col("evidence"), F.lit(SPAN)), F.lit(-SPAN)))))
