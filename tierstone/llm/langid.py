@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tierstone.llm.common import crc_fold, extended, texts
+from tierstone.llm.common import crc_fold, extended, scratch, texts
 
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)
@@ -61,7 +61,7 @@ def sample(docs: DataFrame, per_language: int, seed: int = 11) -> DataFrame:
     labelled = docs.filter(F.col("lang").isNotNull() & (crc_fold(F.col("doc_id")) != 0))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id")
     ids = labelled.select("doc_id", "lang").distinct().withColumn("place", F.row_number().over(order))
-    ids = ids.filter(F.col("place") <= per_language).select("doc_id", "lang")
+    ids = scratch(ids.filter(F.col("place") <= per_language).select("doc_id", "lang"), "training-ids")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
