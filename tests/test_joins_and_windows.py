@@ -68,6 +68,22 @@ def test_hot_keys_are_bounded_and_found(spark):
     assert [r.k for r in skew.hot_keys(df, "k", 0.1).collect()] == [-1]
 
 
+def test_null_keys_spread_over_all_salts(spark):
+    df = spark.range(1000).select(F.when(F.col("id") % 10 >= 6, F.col("id")).alias("k"), "id")
+    small = spark.range(500).select(F.col("id").alias("s"))
+    left, _ = skew.split_hot_keys(df, small, "k", "s", 0.5, 8)
+    sizes = {r[skew.SALT]: r["count"] for r in left.filter("k is null").groupBy(skew.SALT).count().collect()}
+    assert set(sizes) == set(range(8)) and max(sizes.values()) < 600 / 4
+
+
+def test_orphans_with_hot_keys_split(spark):
+    fact = spark.range(300).select(F.when(F.col("id") % 3 > 0, F.lit("a")).alias("k"), F.lit("2020-06-01").cast("timestamp").alias("ts"), "id")
+    fact = fact.unionByName(fact.limit(5).withColumn("k", F.lit("zz")))
+    plain = joins.orphans(fact, dimension(spark), "k", "ts")
+    split = joins.orphans(fact, dimension(spark), "k", "ts", hot_share=0.2, hot_parts=4)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect())) and plain.columns == split.columns
+
+
 def test_hot_key_rows_spread_over_salts(spark):
     df = spark.range(1000).select(F.lit("hot").alias("k"), "id")
     small = spark.createDataFrame([("hot",), ("cold",)], "s string")

@@ -146,6 +146,46 @@ def test_log_and_quarantine_per_run(spark, runs, lake):
     assert kept_text.text.startswith("word ")
 
 
+def test_broken_lines_are_quarantined(spark, lake, runs, tmp_path):
+    """One line of each file is no JSON: it is rejected with its text, and counted."""
+    source = tmp_path / "in"
+    shutil.copytree(lake / "in0", source)
+    for file in source.iterdir():
+        file.write_text(file.read_text() + "\n{broken " + file.stem)
+    base = str(tmp_path / "base")
+    result = run_pipeline(spark, str(source), base, LOADS[0], "run-0", 2019)
+    clean = {r.source_name: r for r in read_log(spark, str(lake / "base")).filter("pipeline_run_id = 'run-0'").collect()}
+    for r in result.metrics.collect():
+        assert r.bronze_row_count == clean[r.source_name].bronze_row_count + 1
+        assert r.silver_row_count == clean[r.source_name].silver_row_count
+        assert r.quarantine_count == clean[r.source_name].quarantine_count + 1
+        kept = read_quarantine(spark, base, r.source_name).filter("_corrupt_record is not null").collect()
+        assert len(kept) == 1 and kept[0]._corrupt_record.startswith("{broken")
+    assert result.failed_tests.collect() == []
+
+
+def test_load_without_photos_tips_and_checkins(spark, lake, runs, tmp_path):
+    source = tmp_path / "in"
+    shutil.copytree(lake / "in0", source)
+    for name in ("photo", "tip", "checkin"):
+        (source / f"{name}.json").write_text("")
+    for load in LOADS:
+        result = run_pipeline(spark, str(source), str(tmp_path / "base"), load, load[:4], 2019)
+        assert all(result.tables[f"silver/{name}"].isEmpty() for name in ("photos", "tips", "checkins"))
+        assert result.tables["gold/agg_business_monthly"].count() > 0
+
+
+def test_late_load_is_refused(spark, lake, runs):
+    with pytest.raises(ValueError, match="older"):
+        run_pipeline(spark, str(lake / "in0"), str(lake / "base"), "2020-06-01 00:00:00", "late", 2019)
+
+
+def test_text_is_neither_staged_nor_shuffled(spark, runs, lake):
+    catalog = Catalog(spark, str(lake / "base"))
+    for name in ("reviews", "tips"):
+        assert "text" not in catalog.table(f"staging/{name}").columns
+
+
 def test_full_mode_drops_history(spark, lake, runs, tmp_path):
     result = run_pipeline(
         spark, str(lake / "in0"), str(tmp_path / "full"), LOADS[0], "run-0", 2019, load_mode="full"

@@ -95,6 +95,29 @@ def test_tip_job(spark):
     assert [r.reject_reason for r in rejected.collect()] == ["empty_text"]
 
 
+def test_tips_with_days_that_do_not_parse_stay_apart(spark):
+    b, u = dims(spark)
+    row = {"business_id": "b", "user_id": "u", "text": "go", "compliment_count": 1}
+    days = ("soon", "later", "2018", "2018-07", "2018-07-07 garbage", "2018-07-07", "2018-07-07 10:00:00", None)
+    tips, rejected = silver.silver_tips(bronze(spark, "tip", [{**row, "date": d} for d in days]), b, u)
+    assert sorted(str(r.tip_date) for r in tips.collect()) == ["2018-07-07"] + ["None"] * 6
+    assert rejected.isEmpty()
+
+
+def test_hot_share_gives_the_same_rows(spark):
+    b, u = dims(spark)
+    tip = {"business_id": "b", "user_id": "u", "text": "go", "date": "2020-02-03", "compliment_count": 1}
+    rows = [{**tip, "date": f"2020-02-{d:02d}", "business_id": [None, "b", "x"][d % 3]} for d in range(1, 28)]
+    for job, entity, data in (
+        (lambda df, **o: silver.silver_tips(df, b, u, **o), "tip", rows),
+        (lambda df, **o: silver.silver_photos(df, b, **o), "photo", [{"photo_id": str(i), "business_id": r["business_id"]} for i, r in enumerate(rows)]),
+        (lambda df, **o: silver.silver_reviews(df, b, u, **o), "review", [{"review_id": str(i), "stars": 3.0, "user_id": "u", **r} for i, r in enumerate(rows)]),
+    ):
+        df = spark.createDataFrame([{k: v for k, v in r.items() if k in SCHEMAS[entity]} for r in data], SCHEMAS[entity])
+        for plain, split in zip(job(df), job(df, hot_share=0.2)):
+            assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
+
+
 def test_photo_job_and_distribution(spark):
     b, _ = dims(spark)
     rows = [{"photo_id": "p", "business_id": "b", "label": " Food"}, {"photo_id": "q", "business_id": "x"}]

@@ -23,8 +23,10 @@ ENGAGEMENT_WEIGHTS = {"review_count": 3, "fans": 2, "friend_count": 1, "total_co
 
 
 def word_count(text: ColumnOrName) -> Column:
-    """Number of whitespace-separated words, counted without building an array."""
-    return F.regexp_count(as_column(text), F.lit(r"\S+"))
+    """Number of whitespace-separated words: what is left of the text when each word is one
+    character and white space is gone. No array of words is built."""
+    short = F.regexp_replace(as_column(text), r"\S+", "w")
+    return F.length(F.regexp_replace(short, r"\s+", ""))
 
 
 def text_features(text: ColumnOrName) -> dict[str, Column]:

@@ -109,10 +109,19 @@ def point_in_time_join(
     return fact.join(versions, on, how).drop("_pit_key", "_pit_from", "_pit_to", "_pit_salt", SALT)
 
 
-def orphans(fact: DataFrame, dimension: DataFrame, key: str, ts: str) -> DataFrame:
-    """Fact rows without a dimension version at the event time, as an anti-join."""
+def orphans(
+    fact: DataFrame, dimension: DataFrame, key: str, ts: str, hot_share: float | None = None, hot_parts: int = 16
+) -> DataFrame:
+    """Fact rows without a dimension version at the event time, as an anti-join.
+
+    ``hot_share`` splits keys that hold at least that share of the fact rows.
+    """
     versions = dimension.select(
         F.col(key).alias("_pit_key"), F.col("valid_from").alias("_pit_from"), F.col("valid_to").alias("_pit_to")
     )
-    on = (F.col(key) == F.col("_pit_key")) & valid_at(ts, "_pit_from", "_pit_to")
-    return fact.join(versions, on, "left_anti")
+    on = F.col(key) == F.col("_pit_key")
+    if hot_share is not None:
+        fact, versions = split_hot_keys(fact, versions, key, "_pit_key", hot_share, hot_parts)
+        versions = versions.withColumnRenamed(SALT, "_pit_salt")
+        on = on & (F.col(SALT) == F.col("_pit_salt"))
+    return fact.join(versions, on & valid_at(ts, "_pit_from", "_pit_to"), "left_anti").drop(SALT)

@@ -72,6 +72,21 @@ def scd2_merge(
 ) -> DataFrame:
     """Merge a snapshot into a versioned table; returns the new table content.
 
+    The closed versions of ``target`` and :func:`scd2_changes`.
+    """
+    history = target.filter(~F.col("is_current"))
+    return history.unionByName(scd2_changes(target, snapshot, key, load_ts, first_from), allowMissingColumns=True)
+
+
+def scd2_changes(
+    target: DataFrame,
+    snapshot: DataFrame,
+    key: str,
+    load_ts: str | datetime | Column,
+    first_from: str | None = HISTORY_FLOOR,
+) -> DataFrame:
+    """All current versions after merging a snapshot, and the versions it closes.
+
     * key unknown so far: a new current version is opened,
     * ``change_hash`` differs: the current version is closed at ``load_ts`` and a
       new one opens at the same instant (no gap, no overlap),
@@ -80,11 +95,12 @@ def scd2_merge(
     Merging the same snapshot again changes nothing. ``snapshot`` must be unique
     on ``key``. Only current versions are joined, once: each key pair yields an
     array of the one or two versions it leaves behind. A snapshot merged again
-    under the ``load_ts`` of an existing version replaces that version.
+    under the ``load_ts`` of an existing version replaces that version. ``load_ts`` must
+    not lie before a current ``valid_from`` (see :func:`refuse_late_load`).
     """
     load_at = as_timestamp(load_ts)
     first_at = load_at if first_from is None else as_timestamp(first_from)
-    history, current = target.filter(~F.col("is_current")), current_only(target)
+    current = current_only(target)
 
     fields = list(target.columns) + [c for c in snapshot.columns if c not in target.columns]
     types = {**{f.name: f.dataType for f in snapshot.schema}, **{f.name: f.dataType for f in target.schema}}
@@ -116,13 +132,20 @@ def scd2_merge(
         F.when(known & ~changed, version(current, "c")).when(changed & ~same_load, closed),
         F.when(changed | ~known, opened),
     )
-    merged = (
+    return (
         current.alias("c")
         .join(snapshot.alias("s"), F.col(f"c.{key}") == F.col(f"s.{key}"), "full_outer")
         .select(F.explode(F.filter(left_behind, lambda v: v.isNotNull())).alias("v"))
         .select("v.*")
     )
-    return history.unionByName(merged, allowMissingColumns=True)
+
+
+def refuse_late_load(target: DataFrame, load_ts: str | datetime) -> None:
+    """Raise if a current version began after ``load_ts``: it would be closed before it began."""
+    newest = current_only(target).agg(F.max("valid_from").alias("newest"))
+    late = newest.filter(F.col("newest") > as_timestamp(load_ts)).first()  # one row at most
+    if late:
+        raise ValueError(f"load of {load_ts} is older than a version of {late.newest}")
 
 
 def scd2_from_snapshots(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import orphans
@@ -39,13 +39,14 @@ def check_single_current(dimension: DataFrame, key: str) -> DataFrame:
 
 
 def check_count_preserved(
-    exploded: DataFrame, key: str, total: str, rejected: DataFrame | None = None
+    exploded: DataFrame, key: str | Sequence[str], total: str, rejected: DataFrame | None = None
 ) -> DataFrame:
-    """Q5: keys whose exploded rows, good and rejected together, differ from the packed total."""
-    rows = exploded.select(key, total)
+    """Q5: packed rows, by ``key``, whose exploded rows, good and rejected together, differ from the packed total."""
+    keys = [key] if isinstance(key, str) else list(key)
+    rows = exploded.select(*keys, total)
     if rejected is not None:
-        rows = rows.unionByName(rejected.select(key, total))
-    counts = rows.groupBy(key).agg(F.max(total).alias("expected_count"), F.count(F.lit(1)).alias("actual_count"))
+        rows = rows.unionByName(rejected.select(*keys, total))
+    counts = rows.groupBy(*keys).agg(F.max(total).alias("expected_count"), F.count(F.lit(1)).alias("actual_count"))
     return _fail(
         counts.filter(F.col("expected_count") != F.col("actual_count")), "exploded rows differ from packed total"
     )
@@ -63,8 +64,8 @@ def check_valid_window(dimension: DataFrame) -> DataFrame:
 
 def check_no_overlap(dimension: DataFrame, key: str) -> DataFrame:
     """Q11: versions that begin before an earlier version of the key has ended."""
-    by_start = periods([key], ["valid_from", "valid_to"])
-    ended = dimension.withColumn("previous_valid_to", F.lag("valid_to").over(by_start))
+    before = periods([key], ["valid_from", "valid_to"]).rowsBetween(Window.unboundedPreceding, -1)
+    ended = dimension.withColumn("previous_valid_to", F.max("valid_to").over(before))
     return _fail(ended.filter(F.col("previous_valid_to") > F.col("valid_from")), "begins before an earlier version ends")
 
 

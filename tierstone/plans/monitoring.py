@@ -48,8 +48,8 @@ def ingestion_metrics(
 ) -> DataFrame:
     """One row per source. All counting happens in the returned frame's own job.
 
-    The three counts of a source are one-row frames paired by position; nothing
-    passes through the driver.
+    The three counts of a source are one-row frames, brought together by the source's name;
+    nothing passes through the driver.
     """
     rows = []
     for source, frames in sources.items():

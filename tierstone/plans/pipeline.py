@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import current_keys, fk_flag_by_missing, missing_keys
 from ..operators.quality import REASON, split_unparseable, tag_rejects
-from ..operators.scd import HISTORY_FLOOR
+from ..operators.scd import HISTORY_FLOOR, refuse_late_load
 from ..session import configure
-from ..sources.bronze import bronze_path, read_bronze
+from ..sources.bronze import CORRUPT, bronze_path, read_bronze
 from ..sources.tables import (
     append_log,
     append_quarantine,
@@ -28,6 +28,7 @@ from ..sources.tables import (
     table_exists,
     upsert_partitions,
     write_table,
+    write_versions,
 )
 from . import aggregates, checks, dimensions, facts, silver, staging
 from .monitoring import SourceFrames, ingestion_metrics, quarantine_alerts
@@ -90,6 +91,12 @@ class Catalog:
         """Materialise under the table's declared layout."""
         return write_table(df, self.base, name, PARTITIONS.get(name, ()), CLUSTERS.get(name, ()))
 
+    def save_versions(self, name: str, changes: DataFrame, keep_history: bool = True) -> DataFrame:
+        """S12 for a type-2 table: its closed versions stay where they are."""
+        return write_versions(
+            changes, self.base, name, PARTITIONS.get(name, ()), CLUSTERS.get(name, ()), keep_history
+        )
+
     def build(self, name: str) -> DataFrame:
         return self.save(name, self._models[name](self))
 
@@ -148,9 +155,16 @@ class RunResult:
     tables: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def quarantine_rejects(base: str, entity: str, tagged: DataFrame, run_id: str) -> DataFrame:
-    """Append the rejects of a stored, tagged frame and return its clean rows."""
-    rejected = tagged.filter(F.col(REASON).isNotNull()).drop("text_char_len", "text_word_count")
+def quarantine_rejects(
+    base: str, entity: str, tagged: DataFrame, run_id: str, bronze: DataFrame | None = None
+) -> DataFrame:
+    """Append the rejects of a stored, tagged frame and return its clean rows.
+
+    ``bronze``: where the texts of rejects are fetched, if the stored frame is without them.
+    """
+    rejected = tagged.filter(F.col(REASON).isNotNull())
+    if bronze is not None:
+        rejected = silver.with_text(bronze, rejected)
     append_quarantine(rejected, base, entity, run_id)
     return tagged.filter(F.col(REASON).isNull()).drop(REASON)
 
@@ -180,10 +194,11 @@ def store_reviews(
 ) -> None:
     """B3 with its tables: stage, flag, quarantine, then upsert or rebuild. Safe to repeat."""
     name = "silver/reviews"
-    rows = write_table(silver.measure_text(parsed), base, "staging/reviews")
+    rows = write_table(silver.metrics_only(parsed), base, "staging/reviews")
     lookups = {"business_id": ("biz_valid", business), "user_id": ("usr_valid", users)}
-    tagged = tag_rejects(flag_by_stored_keys(base, "reviews", rows, lookups), silver.review_rules())
-    reviews = silver.finish_reviews(quarantine_rejects(base, "reviews", tagged, run_id), load_ts)
+    rules = silver.corrupt_rule(parsed) + silver.review_rules()
+    tagged = tag_rejects(flag_by_stored_keys(base, "reviews", rows, lookups), rules)
+    reviews = silver.finish_reviews(quarantine_rejects(base, "reviews", tagged, run_id, parsed), load_ts)
     if merging and table_exists(parsed.sparkSession, base, name):
         # The upsert reads its input several times, so it gets a written one.
         updates = write_table(reviews, base, "staging/reviews_updates")
@@ -210,44 +225,53 @@ def run_silver(
     merging = load_mode == "merge"
 
     def read(entity: str) -> DataFrame:
-        return read_bronze(spark, bronze, entity, (rename or {}).get(entity))
+        return read_bronze(spark, bronze, entity, (rename or {}).get(entity), keep_corrupt=True)
 
     def target(name: str) -> DataFrame | None:
-        return catalog.table(name) if merging and catalog.exists(name) else None
+        if not (merging and catalog.exists(name)):
+            return None
+        refuse_late_load(catalog.table(name), load_ts)
+        return catalog.table(name)
 
     def stage(name: str, df: DataFrame) -> DataFrame:
         """Columnar copy of parsed rows, so several readers share one parse."""
         return write_table(df, base, f"staging/{name}")
 
     clean = quarantine_rejects(base, "business", stage("business", silver.tag_business(read("business"))), run_id)
-    business = silver.finish_business(clean, target("silver/business"), load_ts, first_from)
-    business = catalog.save("silver/business", business)
+    changes = silver.finish_business(clean, target("silver/business"), load_ts, first_from)
+    business = catalog.save_versions("silver/business", changes, merging)
     catalog.save("silver/business_categories", silver.business_categories(clean).distinct())
 
     clean = quarantine_rejects(base, "users", stage("users", silver.tag_users(read("user"), snapshot_year)), run_id)
-    users = catalog.save(
-        "silver/users", silver.finish_users(clean, target("silver/users"), load_ts, first_from)
-    )
+    changes = silver.finish_users(clean, target("silver/users"), load_ts, first_from)
+    users = catalog.save_versions("silver/users", changes, merging)
     catalog.save("silver/user_elite_years", silver.user_elite_years(clean).distinct())
 
     store_reviews(read("review"), base, business, users, load_ts, run_id, merging)
 
-    events = stage("checkins", silver.expand_checkins(read("checkin")))
-    packed = read("checkin").select(F.size(silver.split_items("date")).alias("_size"))
-    checks.explode_guard(packed, "_size", events)
+    lines = stage("checkin_lines", read("checkin"))
+    # a line that is no JSON is one row without a stamp, and so one of the rejects
+    corrupt = lines.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    exploded = silver.expand_checkins(lines)
+    events = stage("checkins", exploded.unionByName(corrupt, allowMissingColumns=True))
+    packed = lines.select(F.size(silver.split_items("date")).alias("_size"))
+    checks.explode_guard(packed, "_size", events.filter(F.col(CORRUPT).isNull()))
     parsed, rejected = split_unparseable(events, "checkin_ts_raw", "checkin_at")
     append_quarantine(rejected, base, "checkins", run_id)
-    catalog.save("silver/checkins", silver.finish_checkins(parsed, load_ts))
+    catalog.save("silver/checkins", silver.finish_checkins(parsed.drop(CORRUPT), load_ts))
 
-    rows = stage("tips", silver.measure_text(read("tip")))
+    tips = read("tip")
+    rows = stage("tips", silver.metrics_only(tips))
     lookups = {"business_id": ("biz_valid", business), "user_id": ("usr_valid", users)}
-    tagged = tag_rejects(flag_by_stored_keys(base, "tips", rows, lookups), silver.tip_rules())
-    clean = quarantine_rejects(base, "tips", tagged, run_id)
+    rules = silver.corrupt_rule(tips) + silver.tip_rules()
+    tagged = tag_rejects(flag_by_stored_keys(base, "tips", rows, lookups), rules)
+    clean = quarantine_rejects(base, "tips", tagged, run_id, tips)
     catalog.save("silver/tips", silver.finish_tips(clean, load_ts))
 
     rows = stage("photos", silver.clean_labels(read("photo")))
     lookups = {"business_id": ("biz_valid", business)}
-    tagged = tag_rejects(flag_by_stored_keys(base, "photos", rows, lookups), silver.photo_rules())
+    rules = silver.corrupt_rule(rows) + silver.photo_rules()
+    tagged = tag_rejects(flag_by_stored_keys(base, "photos", rows, lookups), rules)
     clean = quarantine_rejects(base, "photos", tagged, run_id)
     catalog.save("silver/photos", silver.finish_photos(clean, load_ts))
     return catalog

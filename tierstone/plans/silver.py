@@ -43,13 +43,15 @@ from ..operators.scd import (
     dedup_latest,
     first_versions,
     scd2_from_snapshots,
-    scd2_merge,
+    scd2_changes,
     upsert,
 )
-from ..sources.bronze import COMPLIMENTS
+from ..sources.bronze import COMPLIMENTS, CORRUPT
 
 Stamp = str | datetime | Column
 
+LINE = "_line"
+
 # --- fixed values: columns whose change opens a new version, photo vocabulary ---
 BUSINESS_TRACKED = ("stars", "review_count", "is_open", "city", "state", "categories", "price_range")
 USER_TRACKED = ("user_tier", "review_count", "fans", "average_stars", "is_currently_elite")
@@ -57,8 +59,18 @@ PHOTO_LABELS = ("food", "drink", "menu", "inside", "outside")
 
 
 def parse_date(text: str) -> Column:
-    """Date from text with or without a time part; NULL when it is neither."""
-    return F.col(text).try_cast("date")
+    """Date from ``yyyy-MM-dd``, with or without ``HH:mm:ss``; NULL when the text is neither."""
+    with_time = F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss"))
+    return F.coalesce(with_time, F.try_to_timestamp(text, F.lit("yyyy-MM-dd"))).cast("date")
+
+
+def corrupt_rule(bronze: DataFrame) -> list[tuple[str, Column]]:
+    """Lines that were not valid JSON come first, if the reader kept them."""
+    return [("corrupt_record", F.col(CORRUPT).isNotNull())] if CORRUPT in bronze.columns else []
+
+
+def _carried(bronze: DataFrame, carry: tuple[str, ...]) -> tuple[str, ...]:
+    return (*carry, CORRUPT) if CORRUPT in bronze.columns else carry
 
 
 def _content_order(df: DataFrame) -> Column:
@@ -101,13 +113,17 @@ def business_rules() -> list[tuple[str, Column]]:
 
 
 def tag_business(bronze: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    return tag_rejects(shape_business(bronze, carry), business_rules())
+    return tag_rejects(shape_business(bronze, _carried(bronze, carry)), corrupt_rule(bronze) + business_rules())
 
 
 def finish_business(
     clean: DataFrame, target: DataFrame | None, load_ts: Stamp, first_from: str | None = HISTORY_FLOOR
 ) -> DataFrame:
-    """Versioned business table; ``target=None`` rebuilds it from this snapshot alone."""
+    """Current and newly closed versions; ``target=None`` rebuilds from this snapshot alone.
+
+    With a target, closed versions it already has are not among the result.
+    """
+    clean = clean.drop(CORRUPT)
     unique = dedup_latest(clean, ["business_id"], [F.col("review_count").desc(), _content_order(clean)])
     return _version(unique, target, "business_id", BUSINESS_TRACKED, load_ts, first_from)
 
@@ -122,7 +138,7 @@ def silver_business(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """B1: ``(business, categories, rejected)``."""
     clean, rejected = split_rejects(tag_business(bronze))
-    return finish_business(clean, target, load_ts, first_from), business_categories(clean), rejected
+    return _whole(finish_business(clean, target, load_ts, first_from), target), business_categories(clean), rejected
 
 
 def business_history(snapshots: DataFrame, ts: str, first_from: str | None = HISTORY_FLOOR) -> DataFrame:
@@ -131,6 +147,13 @@ def business_history(snapshots: DataFrame, ts: str, first_from: str | None = HIS
     return scd2_from_snapshots(clean, "business_id", BUSINESS_TRACKED, ts, first_from)
 
 
+def _whole(changes: DataFrame, target: DataFrame | None) -> DataFrame:
+    """The full type-2 table: what was closed before, and what a load leaves."""
+    if target is None:
+        return changes
+    return target.filter(~F.col("is_current")).unionByName(changes, allowMissingColumns=True)
+
+
 def _version(
     snapshot: DataFrame,
     target: DataFrame | None,
@@ -142,7 +165,7 @@ def _version(
     stamped = snapshot.withColumns({"change_hash": change_hash(*tracked), "loaded_at": as_timestamp(load_ts)})
     if target is None:
         return first_versions(stamped, load_ts, first_from)
-    return scd2_merge(target, stamped, key, load_ts, first_from)
+    return scd2_changes(target, stamped, key, load_ts, first_from)
 
 
 # ---------------------------------------------------------------- users
@@ -188,13 +211,15 @@ def user_rules() -> list[tuple[str, Column]]:
 
 
 def tag_users(bronze: DataFrame, snapshot_year: int | Column, carry: tuple[str, ...] = ()) -> DataFrame:
-    return tag_rejects(shape_users(bronze, snapshot_year, carry), user_rules())
+    shaped = shape_users(bronze, snapshot_year, _carried(bronze, carry))
+    return tag_rejects(shaped, corrupt_rule(bronze) + user_rules())
 
 
 def finish_users(
     clean: DataFrame, target: DataFrame | None, load_ts: Stamp, first_from: str | None = HISTORY_FLOOR
 ) -> DataFrame:
-    rows = clean.drop("elite")
+    """Current and newly closed versions, as :func:`finish_business`."""
+    rows = clean.drop("elite", CORRUPT)
     unique = dedup_latest(rows, ["user_id"], [F.col("review_count").desc(), _content_order(rows)])
     return _version(unique, target, "user_id", USER_TRACKED, load_ts, first_from)
 
@@ -213,7 +238,7 @@ def silver_users(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """B2: ``(users, elite_years, rejected)``."""
     clean, rejected = split_rejects(tag_users(bronze, snapshot_year))
-    return finish_users(clean, target, load_ts, first_from), user_elite_years(clean), rejected
+    return _whole(finish_users(clean, target, load_ts, first_from), target), user_elite_years(clean), rejected
 
 
 def user_history(
@@ -228,11 +253,32 @@ def user_history(
 
 
 def measure_text(bronze: DataFrame) -> DataFrame:
-    """P13 on the scan itself. Everything after works on the metrics, so whoever
-    does not ask for the text never has it shuffled."""
+    """P13 on the scan itself, so that whoever does not ask for the text never has it shuffled."""
     return bronze.withColumns(text_features("text"))
 
 
+def metrics_only(bronze: DataFrame) -> DataFrame:
+    """P13 with a content hash of the row, ``_line``, in place of the text.
+
+    The rows go through joins and tables without the text; :func:`with_text` fetches it
+    for the few that need it.
+    """
+    return measure_text(hashed_lines(bronze)).drop("text")
+
+
+def hashed_lines(bronze: DataFrame) -> DataFrame:
+    return bronze.withColumn(LINE, F.xxhash64(*[F.col(c) for c in bronze.columns]))
+
+
+def with_text(bronze: DataFrame, few: DataFrame) -> DataFrame:
+    """Bronze rows, text included, of the lines in ``few``, with what ``few`` adds to them.
+
+    Lines that are equal in every field share a hash, and so flags and reason.
+    """
+    added = [c for c in few.columns if c not in bronze.columns and not c.startswith("text_")]
+    return hashed_lines(bronze).join(few.select(*added).dropDuplicates([LINE]), LINE).drop(LINE)
+
+
 def flag_keys(
     rows: DataFrame, business_keys: DataFrame, user_keys: DataFrame | None = None, hot_share: float | None = None
 ) -> DataFrame:
@@ -268,7 +314,8 @@ def tag_reviews(
     bronze: DataFrame, business: DataFrame, users: DataFrame, hot_share: float | None = None
 ) -> DataFrame:
     """P13, J2, J1 twice, P6. ``business`` and ``users`` are the versioned silver tables."""
-    return tag_rejects(_flag_current(measure_text(bronze), business, users, hot_share), review_rules())
+    flagged = _flag_current(measure_text(bronze), business, users, hot_share)
+    return tag_rejects(flagged, corrupt_rule(bronze) + review_rules())
 
 
 def finish_reviews(clean: DataFrame, load_ts: Stamp | None = None) -> DataFrame:
@@ -304,9 +351,14 @@ def silver_reviews(
     users: DataFrame,
     target: DataFrame | None = None,
     load_ts: Stamp | None = None,
+    hot_share: float | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(reviews, rejected)``; with a target, resubmitted reviews replace their old rows."""
-    clean, rejected = split_rejects(tag_reviews(bronze, business, users))
+    """``(reviews, rejected)``; with a target, resubmitted reviews replace their old rows.
+
+    ``hot_share`` splits keys that hold at least that share of the rows: here the key lists
+    are aggregations, which the adaptive planner does not split against.
+    """
+    clean, rejected = split_rejects(tag_reviews(bronze, business, users, hot_share))
     reviews = finish_reviews(clean, load_ts)
     return (reviews if target is None else upsert(target, reviews, "review_id")), rejected
 
@@ -314,10 +366,10 @@ def silver_reviews(
 # ---------------------------------------------------------------- check-ins
 
 
-def expand_checkins(bronze: DataFrame) -> DataFrame:
-    """One row per packed check-in, total and position kept."""
+def expand_checkins(bronze: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per packed check-in, total and position kept. ``carry`` keeps columns of the packed row."""
     return explode_events(
-        bronze, ["business_id"], "date", "checkin_ts_raw", "total_checkins_for_business", "checkin_ordinal"
+        bronze, ["business_id", *carry], "date", "checkin_ts_raw", "total_checkins_for_business", "checkin_ordinal"
     )
 
 
@@ -328,9 +380,11 @@ def finish_checkins(parsed: DataFrame, load_ts: Stamp | None = None) -> DataFram
     )
 
 
-def silver_checkins(bronze: DataFrame, load_ts: Stamp | None = None) -> tuple[DataFrame, DataFrame]:
+def silver_checkins(
+    bronze: DataFrame, load_ts: Stamp | None = None, carry: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
     """``(checkins, rejected)``; rejected rows are single unparseable stamps."""
-    parsed, rejected = split_unparseable(expand_checkins(bronze), "checkin_ts_raw", "checkin_at")
+    parsed, rejected = split_unparseable(expand_checkins(bronze, carry), "checkin_ts_raw", "checkin_at")
     return finish_checkins(parsed, load_ts), rejected
 
 
@@ -350,11 +404,15 @@ def tip_rules() -> list[tuple[str, Column]]:
 def tag_tips(
     bronze: DataFrame, business: DataFrame, users: DataFrame, hot_share: float | None = None
 ) -> DataFrame:
-    return tag_rejects(_flag_current(measure_text(bronze), business, users, hot_share), tip_rules())
+    flagged = _flag_current(measure_text(bronze), business, users, hot_share)
+    return tag_rejects(flagged, corrupt_rule(bronze) + tip_rules())
 
 
 def finish_tips(clean: DataFrame, load_ts: Stamp | None = None) -> DataFrame:
-    """P12 and W1 on the parsed day: one tip per business, user and day."""
+    """P12 and W1 on the parsed day: one tip per business, user and day.
+
+    A day that does not parse counts as the text it is, so such tips stay apart.
+    """
     narrow = clean.select(
         "business_id",
         "user_id",
@@ -365,7 +423,8 @@ def finish_tips(clean: DataFrame, load_ts: Stamp | None = None) -> DataFrame:
         "text_word_count",
     )
     order = [F.col(c).desc_nulls_last() for c in ("date", "compliment_count", "text_char_len", "text_word_count")]
-    latest = dedup_latest(narrow, ["business_id", "user_id", "tip_date"], order).drop("date")
+    day = F.coalesce(F.col("tip_date").cast("string"), F.col("date"))
+    latest = dedup_latest(narrow.withColumn("_day", day), ["business_id", "user_id", "_day"], order).drop("date", "_day")
     return stamp(
         latest.withColumns(
             {
@@ -380,10 +439,14 @@ def finish_tips(clean: DataFrame, load_ts: Stamp | None = None) -> DataFrame:
 
 
 def silver_tips(
-    bronze: DataFrame, business: DataFrame, users: DataFrame, load_ts: Stamp | None = None
+    bronze: DataFrame,
+    business: DataFrame,
+    users: DataFrame,
+    load_ts: Stamp | None = None,
+    hot_share: float | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(tips, rejected)``."""
-    clean, rejected = split_rejects(tag_tips(bronze, business, users))
+    """``(tips, rejected)``. ``hot_share``: see :func:`silver_reviews`."""
+    clean, rejected = split_rejects(tag_tips(bronze, business, users, hot_share))
     return finish_tips(clean, load_ts), rejected
 
 
@@ -409,7 +472,8 @@ def tag_photos(
     vocabulary: tuple[str, ...] = PHOTO_LABELS,
     hot_share: float | None = None,
 ) -> DataFrame:
-    return tag_rejects(_flag_current(clean_labels(bronze, vocabulary), business, None, hot_share), photo_rules())
+    flagged = _flag_current(clean_labels(bronze, vocabulary), business, None, hot_share)
+    return tag_rejects(flagged, corrupt_rule(bronze) + photo_rules())
 
 
 def finish_photos(clean: DataFrame, load_ts: Stamp | None = None) -> DataFrame:
@@ -428,9 +492,10 @@ def silver_photos(
     business: DataFrame,
     vocabulary: tuple[str, ...] = PHOTO_LABELS,
     load_ts: Stamp | None = None,
+    hot_share: float | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(photos, rejected)``."""
-    clean, rejected = split_rejects(tag_photos(bronze, business, vocabulary))
+    """``(photos, rejected)``. ``hot_share``: see :func:`silver_reviews`."""
+    clean, rejected = split_rejects(tag_photos(bronze, business, vocabulary, hot_share))
     return finish_photos(clean, load_ts), rejected
 
 

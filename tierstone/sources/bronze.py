@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 # --- fixed values: field names and types of the six source files ---
 _ATTRIBUTES = (
@@ -58,12 +59,15 @@ def read_bronze(
     ``keep_corrupt`` adds ``_corrupt_record`` with lines that are not valid JSON.
     """
     rename = rename or {}
-    fields = SCHEMAS[entity]
-    for source, declared in rename.items():
-        fields = fields.replace(f"{declared} ", f"`{source}` ", 1)
+    declared = StructType.fromDDL(SCHEMAS[entity])
+    unknown = set(rename.values()) - set(declared.names)
+    if unknown:
+        raise ValueError(f"{entity} has no field {', '.join(sorted(unknown))}")
+    source_of = {field: source for source, field in rename.items()}
+    fields = StructType([StructField(source_of.get(f.name, f.name), f.dataType) for f in declared])
     reader = spark.read
     if keep_corrupt:
-        fields = f"{fields}, {CORRUPT} string"
+        fields = fields.add(CORRUPT, "string")
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     df = reader.schema(fields).option("mode", "PERMISSIVE").json(bronze_path(base, entity))
     return df.withColumnsRenamed(rename)

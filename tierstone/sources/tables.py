@@ -3,20 +3,29 @@
 A table is a folder with one sub-folder per written version. A version counts
 from the moment Spark has put its ``_SUCCESS`` marker there, so readers keep the
 previous version while a new one is being written, and a failed write leaves no
-trace in the data that readers see. Nothing is overwritten while it is read.
+trace in the data that readers see. The one exception is a keyed upsert, which
+swaps partitions inside the current version: do not read the table meanwhile,
+and repeat an upsert that failed.
+
+Each version's schema is stored beside it and reading goes by it, so a table
+without rows is a table, and partition values keep the type they were written
+with. Old versions stay until ``drop_old_versions``.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..operators.scd import upsert
 
-_PREFIX = "version-"
+VERSION = "version"
+_PREFIX = f"{VERSION}="
 
 
 def table_path(base: str, name: str) -> str:
@@ -57,12 +66,50 @@ def table_exists(spark: SparkSession, base: str, name: str) -> bool:
     return current_version(spark, base, name) is not None
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a file or folder."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, jvm_path = _hadoop_path(spark, path)
+    fs.delete(jvm_path, True)
+
+
+def _facts_path(version_path: str) -> str:
+    table, version = version_path.rsplit("/", 1)
+    return f"{table}/_schemas/{version}.json"
+
+
+def _put_facts(spark: SparkSession, version_path: str, schema: StructType, **more) -> None:
+    fs, path = _hadoop_path(spark, _facts_path(version_path))
+    out = fs.create(path, True)
+    fields = [StructField(f.name, f.dataType, True) for f in schema]
+    out.write(bytearray(json.dumps({"schema": StructType(fields).jsonValue(), **more}).encode()))
+    out.close()
+
+
+def _get_facts(spark: SparkSession, version_path: str) -> dict:
+    _, path = _hadoop_path(spark, _facts_path(version_path))
+    return json.loads("".join(r.value for r in spark.read.text(path.toString(), wholetext=True).collect()))  # one small file
+
+
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Scan of the current version."""
+    """Scan of the current version, with the history of a type-2 table (see ``write_versions``)."""
     path = current_version(spark, base, name)
     if path is None:
         raise FileNotFoundError(f"no complete version of {name} under {base}")
-    return spark.read.parquet(path)
+    facts = _get_facts(spark, path)
+    schema = StructType.fromJson(facts["schema"])
+    if "since" not in facts:
+        return spark.read.schema(schema).parquet(path)
+    root = table_path(base, name)
+    complete = sorted(n for n, done in _versions(spark, root).items() if done and n >= facts["since"])
+    every = spark.read.schema(StructType([*schema.fields, StructField(VERSION, IntegerType(), True)])).parquet(root)
+    number = F.col(VERSION)
+    shown = F.col("is_current") & (number == complete[-1]) | ~F.col("is_current") & number.isin(complete)
+    return every.filter(shown).drop(VERSION)
 
 
 def lay_out(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> DataFrame:
@@ -93,18 +140,56 @@ def write_table(
     cluster_by: Sequence[str] = (),
 ) -> DataFrame:
     """Write a new version of the table and return its scan."""
+    return _write_version(df, base, name, partition_by, cluster_by)
+
+
+def _write_version(
+    df: DataFrame, base: str, name: str, partition_by: Sequence[str], cluster_by: Sequence[str], **facts
+) -> DataFrame:
     spark = df.sparkSession
     path = table_path(base, name)
-    number = max(_versions(spark, path), default=0) + 1
+    target = f"{path}/{_PREFIX}{max(_versions(spark, path), default=0) + 1:06d}"
     writer = lay_out(df, partition_by, cluster_by).write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(
-        f"{path}/{_PREFIX}{number:06d}"
-    )
+    _put_facts(spark, target, df.schema, **facts)
+    writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(target)
     return read_table(spark, base, name)
 
 
+def write_versions(
+    changes: DataFrame,
+    base: str,
+    name: str,
+    partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+    keep_history: bool = True,
+) -> DataFrame:
+    """A type-2 table after a load, without touching its history.
+
+    ``changes`` holds all current versions and those this load has closed (see
+    ``operators.scd.scd2_changes``). They become one version of the table,
+    partitioned by ``is_current`` first. Readers see the current rows of the newest
+    version and the closed rows of it and all before, so closed rows are
+    written once. ``keep_history=False`` begins anew.
+    """
+    spark, path = changes.sparkSession, table_path(base, name)
+    number = max(_versions(spark, path), default=0) + 1
+    before = current_version(spark, base, name) if keep_history else None
+    since = _get_facts(spark, before).get("since", number) if before else number
+    return _write_version(changes, base, name, ("is_current", *partition_by), cluster_by, since=since)
+
+
+def drop_old_versions(spark: SparkSession, base: str, name: str, keep: int = 2) -> None:
+    """Delete all but the newest ``keep`` versions; of a type-2 table only what readers no longer see."""
+    path = table_path(base, name)
+    complete = sorted(number for number, done in _versions(spark, path).items() if done)
+    since = _get_facts(spark, current_version(spark, base, name)).get("since") if complete else None
+    for number in complete[:-keep] if keep > 0 else []:
+        folder = f"{path}/{_PREFIX}{number:06d}"
+        _delete(spark, folder if since is None or number < since else f"{folder}/is_current=true")
+
+
 def replace_partitions(
     changed: DataFrame, base: str, name: str, partition_by: Sequence[str], cluster_by: Sequence[str] = ()
 ) -> DataFrame:
@@ -112,10 +197,13 @@ def replace_partitions(
 
     Spark stages the new files next to the table and swaps the touched
     partitions when the whole job has succeeded, so ``changed`` may be derived
-    from the table itself.
+    from the table itself. A reader during the swap may see some partitions old
+    and some new.
     """
     spark = changed.sparkSession
     path = current_version(spark, base, name)
+    known = StructType.fromJson(_get_facts(spark, path)["schema"])
+    _put_facts(spark, path, StructType([*known.fields, *[f for f in changed.schema if f.name not in known.names]]))
     (
         lay_out(changed, partition_by, cluster_by)
         .write.mode("overwrite")
@@ -126,15 +214,6 @@ def replace_partitions(
     return read_table(spark, base, name)
 
 
-def _in_partitions(values: Sequence[tuple], partition_by: Sequence[str]) -> Column:
-    """Static, null-safe partition filter: the scan skips every other partition."""
-    tests = [
-        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(partition_by, value)])
-        for value in values
-    ]
-    return reduce(lambda a, b: a | b, tests, F.lit(False))
-
-
 def upsert_partitions(
     updates: DataFrame,
     base: str,
@@ -145,27 +224,32 @@ def upsert_partitions(
 ) -> DataFrame:
     """J11 on a partitioned table: rewrite only the partitions an update touches.
 
-    A first pass over key and partition columns alone counts, per partition, the
-    rows to be replaced and the rows that stay; its result has one row per
-    partition of the table, which is what the driver collects. The rewrite then
-    reads and writes the touched partitions only. A partition whose rows all
-    move elsewhere would survive a partition-wise overwrite, so in that case the
-    table gets a whole new version instead.
+    A first pass over key, partition columns and file names finds the folders of the
+    touched partitions: those with rows to be replaced, and those that get rows.
+    The driver collects one row per touched partition. The rewrite then reads just those
+    folders. A partition whose rows all move elsewhere gets no new files; its folder is
+    deleted after the swap.
     """
     spark = updates.sparkSession
-    target = read_table(spark, base, name)
+    path, target = current_version(spark, base, name), read_table(spark, base, name)
     hits = updates.select(F.col(key).alias("_hit"))
-    found = target.select(key, *partition_by).join(hits, F.col(key) == F.col("_hit"), "left")
-    per_partition = found.groupBy(*partition_by).agg(
-        F.count("_hit").alias("_replaced"), (F.count(F.lit(1)) - F.count("_hit")).alias("_kept")
+    rows = target.select(key, *partition_by, F.col("_metadata.file_path").alias("_file"))
+    per_partition = (
+        rows.join(hits, F.col(key) == F.col("_hit"), "left")
+        .groupBy(*partition_by)
+        .agg(F.count("_hit").alias("_replaced"), F.count(F.lit(1)).alias("_rows"), F.min("_file").alias("_file"))
     )
-    old = [(tuple(r[c] for c in partition_by), r._kept) for r in per_partition.filter("_replaced > 0").collect()]
-    incoming = {tuple(r) for r in updates.select(*partition_by).distinct().collect()}
-    if any(kept == 0 and value not in incoming for value, kept in old):
-        return write_table(upsert(target, updates, key), base, name, partition_by, cluster_by)
-    touched = incoming | {value for value, _ in old}
-    merged = upsert(target.filter(_in_partitions(sorted(touched, key=str), partition_by)), updates, key)
-    return replace_partitions(merged, base, name, partition_by, cluster_by)
+    incoming = updates.select(*[F.col(c).alias(f"_in_{c}") for c in partition_by]).distinct().withColumn("_gets", F.lit(True))
+    same = [F.col(c).eqNullSafe(F.col(f"_in_{c}")) for c in partition_by]
+    touched = per_partition.join(incoming, same, "left").filter("_replaced > 0 or _gets")
+    found = touched.select("_file", (F.coalesce("_gets", F.lit(False)) | (F.col("_replaced") < F.col("_rows"))).alias("_stays")).collect()
+    folders = {unquote(r._file).rsplit("/", 1)[0]: r._stays for r in found}
+    old = spark.read.schema(target.schema).option("basePath", path).parquet(*sorted(folders)) if folders else target.limit(0)
+    result = replace_partitions(upsert(old, updates, key), base, name, partition_by, cluster_by)
+    for folder, stays in folders.items():
+        if not stays:
+            _delete(spark, folder)
+    return result if all(folders.values()) else read_table(spark, base, name)
 
 
 def append_quarantine(df: DataFrame, base: str, entity: str, run_id: str) -> None:

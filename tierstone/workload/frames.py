@@ -2,22 +2,25 @@
 
 The tables stand in for the review domain: a supplier is a business, described
 by one snapshot per shipping year; a customer is a user, described by one
-snapshot per ordering year; a line item is a review; an activity hour of an
-event stream is a check-in; a document is a tip; a web page is a photo. All
-rows of the tables take part. Prices are turned into whole cents before they
+snapshot per ordering year; a line item is a review; an event is a check-in,
+packed with the others of its user and day; a document is a tip; a web page is a photo. All
+events, documents, pages, line items and orders take part; a supplier without a line
+item and a customer without an order have no snapshot. Prices are turned into whole cents before they
 are summed, so sums do not depend on row order.
 """
 
 from __future__ import annotations
 
 import uuid
-from functools import cache
+from collections.abc import Callable
+from functools import wraps
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import current_keys
-from ..operators.quality import split_rejects, tag_rejects
+from ..operators.quality import split_rejects, split_unparseable, tag_rejects
 from ..plans import dimensions, facts, silver, staging
 from ..session import configure, shared_dir
 from ..sources.bronze import COMPLIMENTS
@@ -39,33 +42,36 @@ def day_time(ts: str) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
 
 
+def once(build: Callable[[Frames], Any]) -> Callable[[Frames], Any]:
+    """Build at most once per instance; what is built goes with the instance."""
+
+    @wraps(build)
+    def get(self: Frames) -> Any:
+        if build.__name__ not in self._built:
+            self._built[build.__name__] = build(self)
+        return self._built[build.__name__]
+
+    return get
+
+
 class Frames:
     """Frames over one data folder, built lazily."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = configure(spark), sf_dir.rstrip("/")
+        self._built: dict[str, Any] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def spread(self, df: DataFrame, key: str) -> DataFrame:
-        """Rows hashed over all cores, if the files offer fewer splits than there are cores.
-
-        A small file with one row group is read by one task, which would then do
-        all the per-row work up to the next shuffle. Large inputs have enough
-        splits and pass through unchanged.
-        """
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-    @cache
+    @once
     def scratch(self) -> str:
         """A fresh folder under the shared one, for tables a query writes."""
         return f"{shared_dir(self.spark)}/tierstone-{uuid.uuid4()}"
 
     # ------------------------------------------------------------ bronze
 
-    @cache
+    @once
     def business_snapshots(self) -> DataFrame:
         """One row per supplier and shipping year, in the bronze business shape."""
         yearly = (
@@ -140,7 +146,7 @@ class Frames:
             hours.alias("hours"),
         )
 
-    @cache
+    @once
     def user_snapshots(self) -> DataFrame:
         """One row per customer and ordering year, in the bronze user shape."""
         priorities = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -190,12 +196,12 @@ class Frames:
             *[given.get(c, F.lit(None)).cast("int").alias(c) for c in COMPLIMENTS],
         )
 
-    @cache
+    @once
     def bronze_reviews(self) -> DataFrame:
         """One row per line item, in the bronze review shape."""
         words = F.floor(F.col("l_extendedprice") / F.col("l_quantity") / 100).cast("int")
         return (
-            self.spread(self.table("lineitem"), "l_orderkey")
+            self.table("lineitem")
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .select(
                 F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber")).alias("review_id"),
@@ -210,30 +216,36 @@ class Frames:
             )
         )
 
-    @cache
+    @once
     def bronze_checkins(self) -> DataFrame:
-        """One row per event user: the hours with activity, packed into one string.
+        """One row per event user and day: the stamps of all its events, packed into one string.
 
-        Hours are distinct per user, so a packed string is bounded by the
-        calendar, not by the number of events. An hour with an error event is
-        written in a format that does not parse.
+        A row is as long as one user's day. An error event's stamp is written in a
+        format that does not parse. ``day`` tells the rows of a user apart.
         """
-        hourly = (
+        stamp = F.when(F.col("event_type") == "error", F.date_format("ts", "yyyy/MM/dd HH:mm")).otherwise(day_time("ts"))
+        packed = (
             self.table("events")
-            .groupBy("user_id", F.date_trunc("hour", "ts").alias("hour"))
-            .agg(F.min("ts").alias("first_ts"), F.max(F.col("event_type") == "error").alias("broken"))
+            .groupBy("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+            .agg(F.sort_array(F.collect_list(stamp)).alias("stamps"))
         )
-        stamp = F.when(F.col("broken"), F.date_format("first_ts", "yyyy/MM/dd HH:mm")).otherwise(day_time("first_ts"))
-        packed = hourly.groupBy("user_id").agg(F.sort_array(F.collect_list(stamp)).alias("stamps"))
         return packed.select(
-            F.col("user_id").cast("string").alias("business_id"), F.array_join("stamps", ", ").alias("date")
+            F.col("user_id").cast("string").alias("business_id"), F.array_join("stamps", ", ").alias("date"), "day"
         )
 
-    @cache
+    @once
     def bronze_tips(self) -> DataFrame:
         """One row per document, attached to the order of the same number."""
+        return self._tips_of(self.table("documents"), "text")
+
+    @once
+    def measured_tips(self) -> DataFrame:
+        """The same with metrics in place of the text, taken on the scan."""
+        measured = silver.measure_text(self.table("documents").select("doc_id", "text")).drop("text")
+        return self._tips_of(measured, "text_char_len", "text_word_count")
+
+    def _tips_of(self, documents: DataFrame, *columns: str) -> DataFrame:
         lead_supplier = self.table("lineitem").groupBy("l_orderkey").agg(F.min("l_suppkey").alias("l_suppkey"))
-        documents = self.spread(self.table("documents"), "doc_id")
         return (
             documents.join(self.table("labels"), "doc_id", "left")
             .join(self.table("orders"), F.col("doc_id") == F.col("o_orderkey"), "left")
@@ -241,13 +253,13 @@ class Frames:
             .select(
                 F.col("l_suppkey").cast("string").alias("business_id"),
                 F.col("o_custkey").cast("string").alias("user_id"),
-                "text",
+                *columns,
                 day_time("o_orderdate").alias("date"),
                 (F.col("quality") * 4 + F.col("toxic") * 8).cast("int").alias("compliment_count"),
             )
         )
 
-    @cache
+    @once
     def bronze_photos(self) -> DataFrame:
         """One row per web page; its title is the caption, its language segment the label."""
         language = F.regexp_extract("url", r"^https?://[^/]+/([a-z]+)/", 1)
@@ -261,66 +273,72 @@ class Frames:
 
     # ------------------------------------------------------------ silver
 
-    @cache
+    @once
     def business_versions(self) -> DataFrame:
         """Supplier versions; a supplier has none before its first snapshot."""
         return silver.business_history(self.business_snapshots(), "snapshot_ts", first_from=None)
 
-    @cache
+    @once
     def user_versions(self) -> DataFrame:
         return silver.user_history(self.user_snapshots(), "snapshot_ts", first_from=None)
 
-    @cache
+    @once
     def business(self) -> DataFrame:
         """The versions as a written table, as the load keeps them: facts read it
         several times, and the planner knows its size."""
         return write_table(self.business_versions(), self.scratch(), "silver/business")
 
-    @cache
+    @once
     def users(self) -> DataFrame:
         return write_table(self.user_versions(), self.scratch(), "silver/users")
 
-    @cache
+    @once
     def business_keys(self) -> DataFrame:
         """Valid keys as a written table, so that key checks are plain joins of two scans."""
         return self.stored("silver/business_keys", current_keys(self.business(), "business_id"))
 
-    @cache
+    @once
     def user_keys(self) -> DataFrame:
         return self.stored("silver/user_keys", current_keys(self.users(), "user_id"))
 
-    @cache
+    @once
     def tagged_reviews(self) -> DataFrame:
         rows = silver.measure_text(self.bronze_reviews())
         return tag_rejects(silver.flag_keys(rows, self.business_keys(), self.user_keys()), silver.review_rules())
 
-    @cache
+    @once
     def reviews(self) -> DataFrame:
         return silver.finish_reviews(split_rejects(self.tagged_reviews())[0])
 
-    @cache
+    @once
     def tagged_tips(self) -> DataFrame:
-        rows = silver.measure_text(self.bronze_tips())
+        rows = self.measured_tips()
         return tag_rejects(silver.flag_keys(rows, self.business_keys(), self.user_keys()), silver.tip_rules())
 
-    @cache
+    @once
     def tips(self) -> DataFrame:
         return silver.finish_tips(split_rejects(self.tagged_tips())[0])
 
-    @cache
+    @once
     def checkins(self) -> tuple[DataFrame, DataFrame]:
-        return silver.silver_checkins(self.bronze_checkins())
+        """Good and rejected check-ins, from one stored explode."""
+        parsed, rejected = split_unparseable(self.exploded_checkins(), "checkin_ts_raw", "checkin_at")
+        return silver.finish_checkins(parsed), rejected
+
+    @once
+    def exploded_checkins(self) -> DataFrame:
+        return self.stored("staging/checkins", silver.expand_checkins(self.bronze_checkins(), carry=("day",)))
 
-    @cache
+    @once
     def tagged_photos(self) -> DataFrame:
         rows = silver.clean_labels(self.bronze_photos(), PAGE_LANGUAGES)
         return tag_rejects(silver.flag_keys(rows, self.business_keys()), silver.photo_rules())
 
-    @cache
+    @once
     def photos(self) -> DataFrame:
         return silver.finish_photos(split_rejects(self.tagged_photos())[0])
 
-    @cache
+    @once
     def categories(self) -> DataFrame:
         """Distinct (business, category) pairs over all snapshots."""
         clean, _ = split_rejects(silver.tag_business(self.business_snapshots()))
@@ -328,25 +346,25 @@ class Frames:
 
     # ------------------------------------------------------------ gold
 
-    @cache
+    @once
     def dim_business(self) -> DataFrame:
         return dimensions.dim_business(staging.stg_business(self.business()))
 
-    @cache
+    @once
     def dim_user(self) -> DataFrame:
         return dimensions.dim_user(staging.stg_users(self.users()))
 
-    @cache
+    @once
     def fact_reviews(self) -> DataFrame:
         return facts.fact_reviews(staging.stg_reviews(self.reviews()), self.dim_business(), self.dim_user())
 
-    @cache
+    @once
     def fact_tips(self) -> DataFrame:
         return facts.fact_tips(staging.stg_tips(self.tips()), self.dim_business(), self.dim_user())
 
-    @cache
+    @once
     def fact_checkins(self) -> DataFrame:
-        return facts.fact_checkins(staging.stg_checkins(self.checkins()[0]), self.dim_business())
+        return facts.fact_checkins(staging.stg_checkins(self.checkins()[0].drop("day")), self.dim_business())
 
     def stored(self, name: str, df: DataFrame) -> DataFrame:
         """A frame as a written table, for results that read it more than once."""

@@ -7,6 +7,8 @@ grouping, conditional counts over whole rows, ``count(distinct ...)``, plain
 
 from __future__ import annotations
 
+from ..plans.checks import ACCEPTED, NOT_NULL, UNIQUE
+
 # name -> (names it builds on, body)
 PARTS: dict[str, tuple[tuple[str, ...], str]] = {}
 ORACLES: dict[str, str] = {}
@@ -212,19 +214,20 @@ part("reviews", ("reviews_tagged",), f"""
         cool DESC, business_id, user_id, text_char_len, text_word_count) = 1""")
 
 part("checkins_packed", (), """
-    SELECT cast(user_id AS varchar) AS business_id, list(stamp ORDER BY stamp) AS stamps
-    FROM (SELECT user_id, CASE WHEN bool_or(event_type = 'error') THEN strftime(min(ts), '%Y/%m/%d %H:%M')
-                               ELSE strftime(min(ts), '%Y-%m-%d %H:%M:%S') END AS stamp
-          FROM events GROUP BY user_id, date_trunc('hour', ts))
-    GROUP BY user_id""")
+    SELECT cast(user_id AS varchar) AS business_id, day, list(stamp ORDER BY stamp) AS stamps
+    FROM (SELECT user_id, strftime(ts, '%Y-%m-%d') AS day,
+                 CASE WHEN event_type = 'error' THEN strftime(ts, '%Y/%m/%d %H:%M')
+                      ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS stamp
+          FROM events)
+    GROUP BY user_id, day""")
 
 part("checkin_rows", ("checkins_packed",), """
-    SELECT business_id, unnest(stamps) AS stamp, cast(len(stamps) AS int) AS total,
+    SELECT business_id, day, unnest(stamps) AS stamp, cast(len(stamps) AS int) AS total,
            cast(unnest(range(len(stamps))) AS int) AS ordinal
     FROM checkins_packed""")
 
 part("checkins", ("checkin_rows",), """
-    SELECT business_id, total, ordinal, try_strptime(stamp, '%Y-%m-%d %H:%M:%S') AS checkin_at
+    SELECT business_id, day, total, ordinal, try_strptime(stamp, '%Y-%m-%d %H:%M:%S') AS checkin_at
     FROM checkin_rows WHERE try_strptime(stamp, '%Y-%m-%d %H:%M:%S') IS NOT NULL""")
 
 part("tips_tagged", ("valid_business", "valid_user"), r"""
@@ -417,13 +420,13 @@ oracle("customer_cohort_retention", ("cohort_yearly",), f"""    SELECT y.*, coho
     LEFT JOIN (SELECT cohort_year, active_users AS cohort_size_year_0, avg_stars AS baseline_avg_stars
                FROM cohort_yearly WHERE years_since_joining = 0) USING (cohort_year)""", counts=("cohort_size_year_0",))
 
-oracle("pit_join_two_dims", ("fact_reviews",), "SELECT * EXCLUDE (business_key, user_key) FROM fact_reviews", dates=("review_date",), counts=("category_count", "user_total_reviews_at_review_time", "user_engagement_at_review_time"))
+oracle("pit_join_two_dims", ("fact_reviews",), "SELECT * FROM fact_reviews", dates=("review_date",), counts=("category_count", "user_total_reviews_at_review_time", "user_engagement_at_review_time"))
 
-oracle("tip_tiers_documents", ("fact_tips",), "SELECT * EXCLUDE (business_key, user_key) FROM fact_tips", dates=("tip_date",))
+oracle("tip_tiers_documents", ("fact_tips",), "SELECT * FROM fact_tips", dates=("tip_date",))
 
 oracle("event_time_features", ("checkins", "dim_business"), """
     SELECT md5(concat_ws('-', c.business_id, strftime(checkin_at, '%Y-%m-%d %H:%M:%S'), ordinal)) AS checkin_id,
-           c.business_id, business_name, city, state, price_tier, status AS business_status,
+           c.business_id, business_key, business_name, city, state, price_tier, status AS business_status,
            strftime(checkin_at, '%Y-%m-%d %H:%M:%S') AS checkin_at, ordinal AS checkin_ordinal,
            cast(checkin_at AS date) AS checkin_date, cast(year(checkin_at) AS int) AS checkin_year,
            cast(month(checkin_at) AS int) AS checkin_month, cast(hour(checkin_at) AS int) AS checkin_hour,
@@ -504,6 +507,11 @@ oracle("orphan_lineitems", ("reviews", "business"), """
          AND review_date >= valid_from AND review_date < valid_to
     WHERE b.business_id IS NULL""", dates=("review_date",))
 
+oracle("orphan_tips", ("tips", "business"), """
+    SELECT t.business_id, user_id, tip_date, compliment_count
+    FROM tips t LEFT JOIN business b ON t.business_id = b.business_id AND tip_date >= valid_from AND tip_date < valid_to
+    WHERE b.business_id IS NULL""", dates=("tip_date",))
+
 oracle("fk_flag_reject_tagging", ("reviews_tagged",), """
     SELECT review_id, business_id, user_id, stars, useful, biz_valid, usr_valid, date,
            coalesce(reject_reason, 'clean') AS reject_reason FROM reviews_tagged""")
@@ -532,18 +540,18 @@ oracle("explode_part_categories", (), """
             AS category FROM part)
     WHERE trim(category) <> ''""")
 oracle("business_category_bridge", ("categories",), "SELECT * FROM categories")
-oracle("explode_event_times", ("checkin_rows",), "SELECT business_id, stamp, total, ordinal FROM checkin_rows")
+oracle("explode_event_times", ("checkin_rows",), "SELECT business_id, day, stamp, total, ordinal FROM checkin_rows")
 oracle("unparseable_split", ("checkin_rows",), """
-    SELECT business_id, stamp AS checkin_ts_raw, total AS total_checkins_for_business, ordinal AS checkin_ordinal
+    SELECT business_id, day, stamp AS checkin_ts_raw, total AS total_checkins_for_business, ordinal AS checkin_ordinal
     FROM checkin_rows WHERE try_strptime(stamp, '%Y-%m-%d %H:%M:%S') IS NULL""")
 oracle("explode_count_guard", ("checkins_packed", "checkin_rows"), """
     SELECT expected_rows, actual_rows, expected_rows = actual_rows AS matches
     FROM (SELECT cast(sum(len(stamps)) AS bigint) AS expected_rows FROM checkins_packed),
          (SELECT count(*) AS actual_rows FROM checkin_rows)""")
 oracle("checkin_count_preserved", ("checkins",), """
-    SELECT business_id, max(total) AS expected_count, count(*) AS actual_count,
+    SELECT business_id, day, max(total) AS expected_count, count(*) AS actual_count,
            'exploded rows differ from packed total' AS failure_reason
-    FROM checkins GROUP BY business_id HAVING max(total) <> count(*)""")
+    FROM checkins GROUP BY business_id, day HAVING max(total) <> count(*)""")
 oracle("elite_years_bridge", ("user_tagged",), """
     SELECT DISTINCT a.user_id, cast(b.yr AS int) AS elite_year FROM user_tagged a
     JOIN user_tagged b ON a.user_id = b.user_id AND b.yr <= a.yr AND b.is_currently_elite
@@ -620,6 +628,8 @@ _SIDES = {
                "(SELECT count(*) FROM photos_tagged WHERE reject_reason IS NOT NULL)"),
     "checkins": ("(SELECT count(*) FROM checkin_rows)", "(SELECT count(*) FROM checkins)",
                  "(SELECT count(*) FROM checkin_rows) - (SELECT count(*) FROM checkins)"),
+    "users": ("(SELECT count(*) FROM user_snap)", "(SELECT count(*) FROM users WHERE is_current)",
+              "(SELECT count(*) FROM user_tagged WHERE reject_reason IS NOT NULL)"),
     "labels": ("(SELECT count(*) FROM labels)", "(SELECT count(*) FROM labels)", "0"),
     "regions": ("cast(NULL AS bigint)", "(SELECT count(*) FROM region)", "0"),
 }
@@ -646,11 +656,51 @@ oracle("quality_unique_violations", (), """
     SELECT l_orderkey, l_linenumber, count(*) AS occurrences FROM lineitem GROUP BY ALL HAVING count(*) > 1""")
 oracle("quality_accepted_values", (), """
     SELECT o_orderstatus, count(*) AS occurrences FROM orders WHERE o_orderstatus NOT IN ('F', 'O') GROUP BY 1""")
-oracle("quality_column_tests", ("fact_reviews", "fact_tips"), " UNION ALL ".join(
-    f"SELECT 'gold/{table}' AS table_name, 'not_null' AS test, '{column}' AS column_name, count(*) AS violations "
-    f"FROM {table} WHERE {column} IS NULL HAVING count(*) > 0"
-    for table, column in (("fact_reviews", "business_key"), ("fact_reviews", "user_key"),
-                          ("fact_tips", "business_key"), ("fact_tips", "user_key"))))
+part("seeded_reviews", ("reviews",), """
+    SELECT * FROM reviews UNION ALL SELECT * REPLACE (9 AS stars) FROM reviews WHERE stars = 1""")
+part("dim_date", (), ORACLES["date_dimension"])
+part("elite_years", ("user_tagged",), """
+    SELECT DISTINCT a.user_id, cast(b.yr AS int) AS elite_year FROM user_tagged a
+    JOIN user_tagged b ON a.user_id = b.user_id AND b.yr <= a.yr AND b.is_currently_elite
+    WHERE a.reject_reason IS NULL""")
+part("agg_monthly", (), ORACLES["flagship_business_monthly"])
+part("agg_city", (), ORACLES["category_city_yearly"])
+part("agg_cohort", (), ORACLES["customer_cohort_retention"])
+part("fact_checkins", (), ORACLES["event_time_features"])
+_TESTED = {
+    "silver/business": "business", "silver/users": "users", "silver/reviews": "seeded_reviews",
+    "silver/checkins": "checkins", "silver/tips": "tips", "silver/business_categories": "categories",
+    "silver/user_elite_years": "elite_years", "gold/dim_business": "dim_business", "gold/dim_user": "dim_user",
+    "gold/dim_date": "dim_date", "gold/fact_reviews": "fact_reviews", "gold/fact_checkins": "fact_checkins",
+    "gold/fact_tips": "fact_tips", "gold/agg_business_monthly": "agg_monthly", "gold/agg_city_category": "agg_city",
+    "gold/agg_user_cohort": "agg_cohort",
+}
+
+
+def _column_tests() -> str:
+    """Every declared test, each as a query of its own."""
+    found = []
+
+    def add(table: str, test: str, column: str, count: str) -> None:
+        found.append(
+            f"SELECT * FROM (SELECT '{table}' AS table_name, '{test}' AS test, '{column}' AS column_name, "
+            f"({count}) AS violations) WHERE violations > 0"
+        )
+
+    for table, part_name in _TESTED.items():
+        for column in NOT_NULL.get(table, ()):
+            if column != "change_hash":  # not formed in this SQL; a hash of non-NULL text
+                add(table, "not_null", column, f"SELECT count(*) FROM {part_name} WHERE {column} IS NULL")
+        for column in UNIQUE.get(table, ()):
+            inner = f"SELECT {column} FROM {part_name} WHERE {column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1"
+            add(table, "unique", column, f"SELECT count(*) FROM ({inner})")
+        for column, values in ACCEPTED.get(table, {}).items():
+            listed = ", ".join(repr(v) for v in values)
+            add(table, "accepted_values", column, f"SELECT count(*) FROM {part_name} WHERE {column} NOT IN ({listed})")
+    return " UNION ALL ".join(found)
+
+
+oracle("quality_column_tests", tuple(_TESTED.values()), _column_tests())
 
 part("doubled", ("business",), """
     SELECT business_id, valid_from, valid_to, is_current FROM business
@@ -663,21 +713,70 @@ oracle("quality_single_current", ("doubled",), """
 oracle("quality_valid_window", ("doubled",), f"""
     SELECT business_id, {_VALIDITY}, 'version does not end after it begins' AS failure_reason
     FROM doubled WHERE valid_from >= valid_to""")
-oracle("quality_no_overlap", ("doubled",), f"""
+part("spanned", ("business",), """
+    SELECT business_id, valid_from, valid_to, is_current FROM business
+    UNION ALL SELECT business_id, TIMESTAMP '1900-01-01 00:00:00', valid_to, false FROM business WHERE is_current""")
+oracle("quality_no_overlap", ("spanned",), f"""
     SELECT business_id, {_VALIDITY}, {ts('previous_valid_to')}, 'begins before an earlier version ends' AS failure_reason
-    FROM (SELECT *, lag(valid_to) OVER (PARTITION BY business_id ORDER BY valid_from, valid_to) AS previous_valid_to
-          FROM doubled)
-    WHERE previous_valid_to > doubled_from""".replace("doubled_from", "valid_from"))
+    FROM (SELECT a.*, (SELECT max(b.valid_to) FROM spanned b
+                       WHERE b.business_id = a.business_id
+                         AND (b.valid_from < a.valid_from OR b.valid_from = a.valid_from AND b.valid_to < a.valid_to))
+                 AS previous_valid_to
+          FROM spanned a)
+    WHERE previous_valid_to > from_column""".replace("from_column", "valid_from"))
 
 # ------------------------------------------------------------ sources and sinks
 
 oracle("bronze_json_roundtrip", ("reviews_tagged",), """
     SELECT CASE WHEN reject_reason IS NULL THEN 'clean' ELSE 'rejected' END AS side, count(*) AS rows,
-           cast(sum(useful) AS bigint) AS useful FROM reviews_tagged GROUP BY 1""")
+           cast(sum(useful) AS bigint) AS useful, cast(sum(length(text)) AS bigint) AS chars FROM reviews_tagged GROUP BY 1""")
 oracle("partitioned_clustered_roundtrip", (), """
     SELECT cast(year(l_shipdate) AS int) AS ship_year, l_suppkey, count(*) AS lines,
            cast(sum(cast(round(l_extendedprice * 100) AS bigint)) AS bigint) AS cents
     FROM lineitem GROUP BY ALL""")
 oracle("staging_views", ("reviews", "business", "users", "tips", "checkins"), " UNION ALL ".join(
-    f"SELECT 'stg_{name}' AS view_name, {columns} AS columns, count(*) AS row_count FROM {name}"
-    for name, columns in (("business", 42), ("users", 20), ("reviews", 15), ("tips", 9), ("checkins", 12))))
+    f"SELECT 'stg_{name}' AS view_name, {columns} AS columns, count(*) AS row_count, "
+    f"count(DISTINCT {key}) AS key_count, max({key}) AS last_key FROM {name}"
+    for name, columns, key in (("business", 42, "business_id"), ("users", 20, "user_id"), ("reviews", 15, "review_id"),
+                               ("tips", 9, "user_id"), ("checkins", 12, "business_id"))))
+
+oracle("json_business", ("business_snap",), f"SELECT {_BUSINESS} FROM business_snap", counts=_BUSINESS_COUNTS)
+oracle("json_users", ("user_tagged",), """
+    SELECT user_id, user_name, member_since, review_count, average_stars, fans, votes_useful_given, votes_funny_given,
+           votes_cool_given, friend_count, total_compliments, total_elite_years, engagement_score
+    FROM user_tagged""", dates=("member_since",))
+oracle("json_checkins", ("checkin_rows",), "SELECT business_id, stamp, total, ordinal FROM checkin_rows")
+oracle("json_tips", ("tips_tagged",), f"""
+    SELECT business_id, user_id, date, cast(compliment_count AS double) AS compliment_count,
+           cast(length(text) AS int) AS text_char_len, cast({_WORDS} AS int) AS text_word_count
+    FROM tips_tagged""")
+oracle("json_photos", ("photos_raw",), """
+    SELECT photo_id, business_id, caption, ' ' || upper(lang) || ' ' AS label FROM photos_raw""")
+oracle("log_grows_a_column", (), """
+    SELECT run_id, o_orderstatus, row_count, CASE WHEN run_id = 'run-3' THEN total_cents END AS total_cents
+    FROM (SELECT o_orderstatus, count(*) AS row_count,
+                 cast(sum(cast(round(o_totalprice * 100) AS bigint)) AS double) AS total_cents
+          FROM orders GROUP BY 1), (SELECT unnest(['run-1', 'run-2', 'run-3']) AS run_id)""")
+oracle("load_modes", ("business_tagged",), f"""
+    WITH early AS (SELECT * FROM business_tagged WHERE year(snapshot_ts) = 1996 AND reject_reason IS NULL),
+    late AS (SELECT * FROM business_tagged WHERE year(snapshot_ts) = 1998 AND reject_reason IS NULL),
+    paired AS (
+        SELECT e.business_id AS old_id, l.business_id AS new_id, e.stars AS old_stars, l.stars AS new_stars,
+               e.review_count AS old_count, l.review_count AS new_count,
+               row(e.stars, e.review_count, e.is_open, e.city, e.state, e.categories, e.price_range)
+                 IS NOT DISTINCT FROM
+               row(l.stars, l.review_count, l.is_open, l.city, l.state, l.categories, l.price_range) AS same
+        FROM early e FULL JOIN late l ON e.business_id = l.business_id),
+    versions AS (
+        SELECT 1 AS load_number, business_id, stars, review_count, 1996 AS y1, 9999 AS y2, true AS is_current FROM early
+        UNION ALL SELECT 3, business_id, stars, review_count, 1998, 9999, true FROM late
+        UNION ALL SELECT 2, old_id, old_stars, old_count, 1996, 9999, true FROM paired
+                  WHERE old_id IS NOT NULL AND (new_id IS NULL OR same)
+        UNION ALL SELECT 2, old_id, old_stars, old_count, 1996, 1998, false FROM paired
+                  WHERE old_id IS NOT NULL AND new_id IS NOT NULL AND NOT same
+        UNION ALL SELECT 2, new_id, new_stars, new_count, 1998, 9999, true FROM paired
+                  WHERE new_id IS NOT NULL AND (old_id IS NULL OR NOT same))
+    SELECT load_number, business_id, stars, review_count, y1 || '-12-31 00:00:00' AS valid_from,
+           y2 || '-12-31 00:00:00' AS valid_to, is_current
+    FROM versions""")
+ORACLES["catalog_names"] = ORACLES["flagship_business_monthly"]
