@@ -758,7 +758,7 @@ oracle("log_grows_a_column", (), """
                  cast(sum(cast(round(o_totalprice * 100) AS bigint)) AS double) AS total_cents
           FROM orders GROUP BY 1), (SELECT unnest(['run-1', 'run-2', 'run-3']) AS run_id)""")
 oracle("load_modes", ("business_tagged",), f"""
-    WITH early AS (SELECT * FROM business_tagged WHERE year(snapshot_ts) = 1996 AND reject_reason IS NULL),
+    SELECT * FROM (WITH early AS (SELECT * FROM business_tagged WHERE year(snapshot_ts) = 1996 AND reject_reason IS NULL),
     late AS (SELECT * FROM business_tagged WHERE year(snapshot_ts) = 1998 AND reject_reason IS NULL),
     paired AS (
         SELECT e.business_id AS old_id, l.business_id AS new_id, e.stars AS old_stars, l.stars AS new_stars,
@@ -778,5 +778,5 @@ oracle("load_modes", ("business_tagged",), f"""
                   WHERE new_id IS NOT NULL AND (old_id IS NULL OR NOT same))
     SELECT load_number, business_id, stars, review_count, y1 || '-12-31 00:00:00' AS valid_from,
            y2 || '-12-31 00:00:00' AS valid_to, is_current
-    FROM versions""")
+    FROM versions)""")
 ORACLES["catalog_names"] = ORACLES["flagship_business_monthly"]
