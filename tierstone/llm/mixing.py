@@ -144,10 +144,21 @@ def permuted(k: Column, n: Column, seed: Column) -> Column:
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """`docs` in the mix, with size, source_size, target and taken (over 0).
 
-    Rows are numbered in a stored copy, so that repeated ids are told apart.
+    Rows meet their share by id, source and text hash; rows equal in all three are copies, of
+    which each gets one of the shares that the mix has for them.
     """
     added = ("size", "source_size", "target", "taken")
-    row = free_name(docs, "row")
-    stored = scratch(docs.drop(*added).withColumn(row, F.monotonically_increasing_id()), "numbered")
-    taken = mix(stored, carry=[row], **options).filter("taken > 0").select(row, *added)
-    return stored.join(taken, row).drop(row)
+    docs = docs.drop(*added)
+    own = free_name(docs, "text_hash")
+    hashed = docs.withColumn(own, F.xxhash64("text"))
+    shares = mix(hashed, carry=[own], **options)
+    shares = shares.groupBy("doc_id", "source", own).agg(F.sort_array(F.collect_list(F.struct(*added[::-1])), asc=False).alias("shares"))
+    names = [free_name(docs, f"mixed_{n}") for n in ("id", "source", "hash")]
+    listed = shares.toDF(*names, "shares").hint("merge")
+    keys = ("doc_id", "source", own)
+    same = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(keys, names)]
+    copies = Window.partitionBy(*keys).orderBy(F.lit(0))
+    place, share = free_name(docs, "place"), free_name(docs, "share")
+    joined = hashed.join(listed.withColumnRenamed("shares", share), same).withColumn(place, F.row_number().over(copies))
+    given = joined.withColumn(share, F.element_at(share, F.col(place)))
+    return given.select(*docs.columns, *[F.col(f"{share}.{c}").alias(c) for c in added]).filter("taken > 0")

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tierstone.llm.common import extended, free_name, scratch, texts
 
@@ -244,13 +245,18 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shard_rows: int = SHA
 def keep_one(docs: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """`docs` with one row of each component: the one with the smallest doc_id, null ids last.
 
-    Rows are numbered in a stored copy, so that repeated ids are told apart; of rows equal in
-    id the first stored stays.
+    Rows are told apart by id and text hash, so that repeated ids with different texts are
+    rows of their own; of rows equal in both one stays. The join that keeps the chosen rows is
+    sorted at every size, as the list of them grows with the corpus.
     """
-    fp, row = free_name(docs, "fp"), free_name(docs, "row")
-    stored = scratch(fingerprints(docs, fp).withColumn(row, F.monotonically_increasing_id()), "fingerprinted")
-    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col(row).alias("row"))
-    distinct = scratch(stored.groupBy(F.col(fp).alias("fp")).agg(F.min(first).alias("first")), "distinct-fingerprints")
+    narrow = fingerprints(docs.select("doc_id", "text")).select("doc_id", F.xxhash64("text").alias("text_hash"), "fp")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    distinct = scratch(narrow.groupBy("fp").agg(F.min(first).alias("first")), "distinct-fingerprints")
     kept = linked_roots(distinct, radius, shard_rows).groupBy("root").agg(F.min("first").alias("first"))
-    kept = scratch(kept.select(F.col("first.row").alias(row)), "kept-rows")
-    return stored.join(kept, row, "left_semi").select(*docs.columns)
+    names = free_name(docs, "kept_id"), free_name(docs, "kept_hash")
+    kept = scratch(kept.select("first.doc_id", "first.text_hash").toDF(*names), "kept-rows").hint("merge")
+    own, place = free_name(docs, "text_hash"), free_name(docs, "place")
+    same = F.col("doc_id").eqNullSafe(F.col(names[0])) & (F.col(own) == F.col(names[1]))
+    copies = Window.partitionBy("doc_id", own).orderBy(F.lit(0))
+    chosen = docs.withColumn(own, F.xxhash64("text")).join(kept, same, "left_semi").withColumn(place, F.row_number().over(copies))
+    return chosen.filter(F.col(place) == 1).select(*docs.columns)
