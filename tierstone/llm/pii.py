@@ -22,7 +22,7 @@ DOTTED = re.compile(r"[0-9][0-9.]*")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-# Wide candidates of the labelers; base spans win where they overlap.
+# Wide candidates of the labelers.
 SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,128}(?![A-Za-z0-9+/_-])")
 ACCOUNT = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])")
 CONTACT = re.compile(r"(?<![0-9A-Za-z+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])")
@@ -115,7 +115,9 @@ def labels_of(kind: str, text: str, start: int, end: int) -> str:
 
 
 def candidates(text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, str, int, str]]:
-    """(start, kind, end, pattern) of wide candidates that touch neither a base span nor an earlier candidate.
+    """(start, kind, end, pattern) of wide candidates that lie in no base span and touch no earlier candidate.
+
+    A candidate may hold a base span, as a secret may hold digits that pass for a card.
 
     The pattern is the kind and the labelers' votes: all that the classifier sees.
     """
@@ -127,8 +129,8 @@ def candidates(text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, s
             if kind == "secret" and not (re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])):
                 continue
             a, b = m.span()
-            before = int(np.searchsorted(starts, b))  # base spans that start before the end
-            if not before or furthest[before - 1] <= a:
+            before = int(np.searchsorted(starts, a, "right"))  # base spans that start no later
+            if not before or furthest[before - 1] < b:
                 found.append((a, kind, b))
     found.sort(key=lambda s: (s[0], -s[2]))
     out, end = [], 0
