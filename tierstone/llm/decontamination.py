@@ -94,10 +94,13 @@ def occurrences(index: DataFrame, windows: DataFrame, slop: int = 0, min_share:
     ranked = ranked_windows(index, windows)
     first, second = F.col("terms")[0], F.when(F.col("len") > 1, F.col("terms")[1])
     pairs = ranked.select("win", "len", first["term_id"].alias("term_id"), first["off"].alias("off"), second["term_id"].alias("term_2"), second["off"].alias("off_2"))
-    begun = postings.join(pairs, "term_id").withColumn("start", F.col("pos") - F.col("off")).filter(f"start >= {-slop}")
+    # the list of rarest terms is narrow, so that postings of other terms seldom need a shuffle to be left out
+    rare_one = scratch(pairs.select("term_id").distinct(), "rarest-terms")
+    begun = postings.join(rare_one, "term_id", "left_semi").join(pairs, "term_id").withColumn("start", F.col("pos") - F.col("off")).filter(f"start >= {-slop}")
     begun = begun.select("doc", "win", "len", "start", F.col("term_2").alias("term_id"), (F.col("start") + F.col("off_2")).alias("at"))
     alone = begun.filter("len = 1").select("doc", "win", "len", "start")
-    rare_two = postings.join(pairs.select(F.col("term_2").alias("term_id")).distinct(), "term_id", "left_semi")
+    second_terms = scratch(pairs.select(F.col("term_2").alias("term_id")).distinct(), "second-terms")
+    rare_two = postings.join(second_terms, "term_id", "left_semi")
     both = fitting(begun.filter("len > 1"), rare_two, slop).select("doc", "win", "len", "start")
     kept = scratch(both.union(alone).distinct(), "candidate-starts")
     # the rest of the lists, of documents that still have a candidate
