@@ -49,7 +49,9 @@ def pre_tokens(text: str) -> list[str]:
 
 
 def count_pieces(words: list[str], model) -> list[int]:
-    return [len(ids) for ids in model.encode(words, num_threads=1)] if words else []
+    """An empty one is a single space at the end of a text: the library's own first space would
+    make it the mark alone, which is one piece, but it gives nothing for an empty text."""
+    return [len(ids) if word else 1 for word, ids in zip(words, model.encode(words, num_threads=1))] if words else []
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,7 +77,7 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 4096, co
     One pass counts each distinct pre-token of the corpus; the model runs once on each.
     A second pass sums the `common` most frequent from a table of that size and leaves the
     rest as (pre-token, frequency) per document, to be joined with the piece counts and
-    summed. No ids are formed.
+    summed. No ids are formed, and the texts' pre-tokens are stored nowhere but in that shuffle.
 
     Null text counts as empty: no bytes, no tokens. Repeated rows stay. Empty tables and
     other columns are fine. A text is handled as a whole in one task, however long.
@@ -118,10 +120,14 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 4096, co
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     summed = text.mapInArrow(sums, f"doc_id {id_type}, n_bytes long, n_known long, rare array<struct<pre_token:string,n:long>>")
-    summed = scratch(summed.withColumn("row", F.monotonically_increasing_id()), "known-sums")
-    rare = summed.select("row", F.explode("rare").alias("r")).select("row", "r.pre_token", F.col("r.n").alias("times"))
-    joined = rare.join(counted.select("pre_token", "pieces"), "pre_token")
-    extra = joined.groupBy("row").agg(F.sum(F.col("times") * F.col("pieces")).alias("n_rare"))
-    tokens = F.col("n_known") + F.coalesce("n_rare", F.lit(0))
-    out = summed.select("row", "doc_id", "n_bytes", "n_known").join(extra, "row", "left").withColumn("n_tokens", tokens)
+    summed = summed.withColumn("row", F.monotonically_increasing_id())
+    # each document gives one line with what is known, and one per pre-token to be looked up; the
+    # former looks up a key of its own, so that these lines spread, and zero times what it may find
+    head = F.struct(F.concat(F.lit("\x00"), F.col("row").cast("string")).alias("pre_token"), F.lit(0).cast("long").alias("n"))
+    lines = summed.select("row", "doc_id", "n_bytes", "n_known", F.posexplode(F.concat(F.array(head), "rare")).alias("at", "r"))
+    once = [F.when(F.col("at") == 0, F.col(c)).alias(c) for c in ("doc_id", "n_bytes", "n_known")]
+    lines = lines.select("row", *once, F.col("r.pre_token").alias("pre_token"), F.col("r.n").alias("times"))
+    joined = lines.join(counted.select("pre_token", "pieces"), "pre_token", "left")
+    tokens = F.coalesce("n_known", F.lit(0)) + F.col("times") * F.coalesce("pieces", F.lit(0))
+    out = joined.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum(tokens).alias("n_tokens"))
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
