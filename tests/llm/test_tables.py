@@ -111,6 +111,27 @@ def test_root_licence_reaches_down(spark):
     assert {(r.key, r.licence, r.licence_dir) for r in licences.scan(files).collect()} == {(1, "MIT", None), (2, "MIT", ""), (3, "MIT", "")}
 
 
+def test_notices_that_wrap_or_lie_in_a_paragraph(spark):
+    prose = "some plain words of a story that goes on and says nothing of the kind for quite a while " * 3
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed\n"
+    files = licence_files(
+        spark,
+        (1, "a/COPYING", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n" + prose),
+        (2, "b/code", mpl + prose),
+        (3, "c/LICENSE", "Mozilla Public License Version 2.0\n==================================\n" + prose),
+        (4, "d/code", prose + "This work is licensed under the GNU General Public License, version 3. " + prose),
+        (5, "e/code", "# SPDX-License-Identifier: GPL-3.0-or-later\n" + prose),
+        (6, "f/code", "// SPDX-License-Identifier: (Zlib)\n" + prose),
+        (7, "g/code", prose + "all rights\nreserved " + prose),
+        (8, "h/code", prose + "a license to speak\nin public\n" + prose),
+        (9, "i/code", "SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0"),
+        (10, "a/code", prose),
+    )
+    got = {r.key: (r.licence, r.found) for r in licences.scan(files).collect()}
+    own = {1: "GPL-3.0", 2: "MPL-2.0", 3: "MPL-2.0", 4: "GPL-3.0", 5: "GPL-3.0", 6: "Zlib", 7: "Proprietary", 9: "GPL-2.0"}
+    assert got == {**{k: (v, "own") for k, v in own.items()}, 8: (None, None), 10: ("GPL-3.0", "inherited")}
+
+
 # ---------------------------------------------------------------- mixing
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,11 +40,19 @@ TEMPLATES = (
 )
 #: A line with none of these cannot be a notice.
 TRIGGER = r"(?i)licen[cs]|copyright|spdx|rights reserved|permission|redistribution|public domain|creative commons"
+#: The same for a word and the one before it, however the text is wrapped.
+TRIGGER_WORD = r"licen[cs]|copyright|spdx|permission|redistribution"
+TRIGGER_PAIRS = (("rights", "reserved"), ("public", "domain"), ("creative", "commons"))
+#: Titles of licence texts that no template above is close to; compared with windows only, by the same weights.
+TITLES = (("MPL-2.0", "Mozilla Public License Version 2.0"), ("MPL-2.0", "Mozilla Public License, v. 2.0"))
+SPDX = r"(?i)SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+() \t-]*)"
 WORDS = r"[^0-9a-z]+"
 THRESHOLD = 0.5
 #: Names of licence files, and the share of a file's words that its notices must make up otherwise.
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]es?|copying|notice|unlicense)([.-][^/]*)?$"
 NOTICE_SHARE = 0.25
+#: Words of a licence file's head, which is one vector.
+HEAD_WORDS = 40
 
 
 def words_of(line: str) -> list[str]:
@@ -71,24 +80,156 @@ def word_weights() -> list[tuple[str, float]]:
     return sorted((w, idf(n)) for w, n in df.items())
 
 
-def split_lines(text: Column) -> Column:
-    return F.filter(F.split(text, "\n"), lambda line: line.rlike(TRIGGER))
+def tokens_of(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), WORDS), lambda w: w != "")
 
 
 def total_words(text: Column) -> Column:
-    return F.size(F.filter(F.split(F.lower(text), WORDS), lambda w: w != ""))
+    return F.size(tokens_of(text))
+
+
+def numbered_lines(text: Column) -> Column:
+    return F.transform(F.split(text, "\n"), lambda line, i: F.struct(i.alias("line"), line.alias("content")))
+
+
+def triggered(words: Column, w: Column, i: Column) -> Column:
+    """Whether the word at a place (from 0), or that with the one before it, is a trigger."""
+    before = F.when(i > 0, F.element_at(words, F.greatest(i, F.lit(1))))
+    pairs = [(w == second) & before.eqNullSafe(F.lit(first)) for first, second in TRIGGER_PAIRS]
+    found = w.rlike(TRIGGER_WORD)
+    for pair in pairs:
+        found = found | pair
+    return found
 
 
 def headers(files: DataFrame) -> DataFrame:
-    """Stored: file (a row number), key, path, n_words and lines that may be notices; no texts.
+    """Stored: file (a row number), key, path, n_words, lines, snippets, head and stated; no texts.
 
-    Words are counted only where there is such a line; n_words is null elsewhere.
+    lines: (line, content) that may be notices. snippets: one per trigger word, (at, the place of
+    its first word; of, the trigger's place in it; words, line_of) with the words that a
+    window around the trigger can reach, across lines. head: the first words of a file named
+    like a licence file. stated: expressions of SPDX tags. Only n_words of files with a trigger
+    is set.
     """
-    may = F.col("text").rlike(TRIGGER)
-    found = files.select("key", "path", F.when(may, split_lines(F.col("text"))).alias("lines"), F.when(may, total_words(F.col("text"))).alias("n_words"))
+    spread = "|".join([TRIGGER, *[f"(?i){a}[^0-9a-z]+{b}" for a, b in TRIGGER_PAIRS]])
+    may = F.col("text").rlike(spread)
+    numbered = files.select("key", "path", "text", F.when(may, numbered_lines(F.col("text"))).alias("all_lines"), F.when(may, tokens_of(F.col("text"))).alias("words"))
+    line_of = F.flatten(F.transform("all_lines", lambda x: F.transform(tokens_of(x["content"]), lambda _: x["line"])))
+    places = F.filter(F.transform("words", lambda w, i: F.when(triggered(F.col("words"), w, i), i)), lambda i: i.isNotNull())
+    wide = numbered.select("*", line_of.alias("line_of"), places.alias("places"))
+    reach = window_words() - 1
+
+    def snippet(i: Column) -> Column:
+        start = F.greatest(i - reach, F.lit(0))
+        length = i - start + 1 + reach
+        return F.struct(start.alias("at"), (i - start).alias("of"), F.slice("words", start + 1, length).alias("words"), F.slice("line_of", start + 1, length).alias("line_of"))
+
+    found = wide.select(
+        "key",
+        "path",
+        F.when(F.col("words").isNotNull(), F.size("words")).alias("n_words"),
+        F.filter("all_lines", lambda x: x["content"].rlike(TRIGGER)).alias("lines"),
+        F.transform("places", snippet).alias("snippets"),
+        F.when(F.col("path").rlike(LICENCE_FILE), F.slice("words", 1, HEAD_WORDS)).alias("head"),
+        F.when(F.col("words").isNotNull(), F.regexp_extract_all("text", F.lit(SPDX), 1)).alias("stated"),
+    )
     return scratch(found.withColumn("file", F.monotonically_increasing_id()), "licence-headers")
 
 
+def window_words() -> int:
+    return max(len(words_of(text)) for _, text in (*TEMPLATES, *TITLES))
+
+
+def weight_table() -> tuple[list[str], list[float], list[list[float]]]:
+    """Words; their weights after that of other words; per template or title, normed weights alike and its number."""
+    weights = dict(word_weights())
+    vocabulary = sorted(weights)
+    rows = []
+    for number, (_, text) in enumerate((*TEMPLATES, *TITLES)):
+        bag = Counter(words_of(text))
+        own = {w: c * weights[w] for w, c in bag.items()}
+        norm = math.sqrt(sum(v * v for v in own.values()))
+        rows.append([0.0, *[own.get(w, 0.0) / norm for w in vocabulary], float(number)])
+    return vocabulary, [idf(0)] + [weights[w] for w in vocabulary], rows
+
+
+def rows_by_length() -> dict[int, list[list[float]]]:
+    """Template and title rows by number of words."""
+    out: dict[int, list[list[float]]] = {}
+    for row, (_, text) in zip(weight_table()[2], (*TEMPLATES, *TITLES)):
+        out.setdefault(len(words_of(text)), []).append(row)
+    return out
+
+
+def licence_at(number: Column) -> Column:
+    return F.element_at(F.lit([n for n, _ in (*TEMPLATES, *TITLES)]), number.cast("int") + 1)
+
+
+def best_of(words: Column, ids: Column, rows: Column) -> Column:
+    """(minus, number) of the template among `rows` closest to a bag of words, by arrays alone."""
+    weight = F.lit(weight_table()[1])
+    of = lambda i: F.element_at(weight, i + 1)
+    times = F.transform(words, lambda w: F.size(F.filter(words, lambda x: x == w)))
+    squares = F.zip_with(ids, times, lambda i, n: of(i) * of(i) * n)
+    norm = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda a, x: a + x))
+
+    def pair(row: Column) -> Column:
+        product = F.aggregate(ids, F.lit(0.0), lambda a, i: a + of(i) * F.element_at(row, i + 1))
+        return F.struct((-F.round(product / norm, 6)).alias("minus"), F.element_at(row, -1).alias("number"))
+
+    return F.array_min(F.transform(rows, pair))
+
+
+def numbers_of(words: Column) -> Column:
+    """Places of words in the vocabulary, 0 for others."""
+    vocabulary = F.lit(weight_table()[0])
+    return F.transform(words, lambda w: F.array_position(vocabulary, w).cast("int"))
+
+
+def windows(stored: DataFrame) -> DataFrame:
+    """(file, trigger, licence, score, first, line_of): the best window around each trigger word, if it is a notice.
+
+    Each template is compared with the windows of as many words, across lines, that hold the
+    trigger; a shorter file is one window. Equal ones: the template listed first, then the
+    earlier. Only a file's own row is read, so nothing is shuffled but the best.
+    """
+    by_length = rows_by_length()
+    lengths = sorted(by_length)
+    each = stored.filter(F.size("snippets") > 0).select("file", F.explode("snippets").alias("s")).select("file", "s.*")
+    each = each.withColumn("ids", numbers_of(F.col("words")))
+
+    def cut(n: int, group: int) -> Column:
+        starts = F.sequence(F.greatest(F.col("of") - n + 1, F.lit(0)), F.least(F.col("of"), F.greatest(F.size("words") - n, F.lit(0))))
+        part = lambda c, s: F.slice(c, s + 1, F.lit(n)).alias(c)
+        return F.transform(starts, lambda s: F.struct((F.col("at") + s).alias("first"), F.lit(group).alias("group"), part("words", s), part("ids", s), part("line_of", s)))
+
+    spans = F.concat(*[cut(n, k) for k, n in enumerate(lengths, 1)])
+    one = each.select("file", (F.col("at") + F.col("of")).alias("trigger"), F.explode(spans).alias("w")).select("file", "trigger", "w.*")
+    rows = F.element_at(F.lit([by_length[n] for n in lengths]), F.col("group"))
+    scored = one.withColumn("best", best_of(F.col("words"), F.col("ids"), rows)).filter(-F.col("best.minus") >= THRESHOLD)
+    best = scored.groupBy("file", "trigger").agg(F.min(F.struct("best.minus", "best.number", "first", "line_of")).alias("b"))
+    return best.select("file", "trigger", licence_at(F.col("b.number")).alias("licence"), (-F.col("b.minus")).alias("score"), "b.first", "b.line_of")
+
+
+def heads(stored: DataFrame) -> DataFrame:
+    """(file, licence, score): heads of files named like licence files, each as one vector."""
+    own = stored.filter(F.size("head") > 0).select("file", "head", numbers_of(F.col("head")).alias("ids"))
+    best = own.select("file", best_of(F.col("head"), F.col("ids"), F.lit(weight_table()[2])).alias("b")).filter(-F.col("b.minus") >= THRESHOLD)
+    return best.select("file", licence_at(F.col("b.number")).alias("licence"), (-F.col("b.minus")).alias("score"))
+
+
+def stated(stored: DataFrame) -> DataFrame:
+    """(file, licence, score 1): licences that SPDX tags name; several in an expression count each."""
+    each = stored.filter(F.size("stated") > 0).select("file", F.explode("stated").alias("expression"))
+    parts = each.select("file", F.split("expression", r"[() \t]+").alias("parts"))
+    named = parts.select("file", "parts", F.posexplode("parts").alias("n", "id"))
+    after_with = (F.col("n") > 0) & (F.upper(F.element_at("parts", F.greatest("n", F.lit(1)))) == "WITH")
+    named = named.filter(~after_with & (F.col("id") != "") & ~F.upper("id").isin("AND", "OR", "WITH"))
+    plain = F.regexp_replace("id", r"(?i)(-only|-or-later|\+)$", "")
+    known = F.create_map(*[F.lit(x) for name in sorted({n for n, _ in TEMPLATES}) for x in (name.lower(), name)])
+    return named.select("file", F.coalesce(F.try_element_at(known, F.lower(plain)), plain).alias("licence"), F.lit(1.0).alias("score")).distinct()
+
+
 def notices(stored: DataFrame) -> DataFrame:
     """(file, line, licence, score, line_words): lines whose best cosine to a template is `THRESHOLD` or more.
 
@@ -100,7 +241,7 @@ def notices(stored: DataFrame) -> DataFrame:
     vectors, unknown = template_vectors()
     templates = F.broadcast(spark.createDataFrame(vectors, "template string, word string, weight double"))  # fixed table
     idfs = F.broadcast(spark.createDataFrame(word_weights(), "word string, idf double"))  # fixed table
-    lines = stored.filter(F.size("lines") > 0).select("file", F.posexplode("lines").alias("line", "content"))
+    lines = stored.filter(F.size("lines") > 0).select("file", F.explode("lines").alias("l")).select("file", "l.line", "l.content")
     words = lines.select("file", "line", F.explode(F.split(F.lower("content"), WORDS)).alias("word")).filter("word <> ''")
     bags = words.groupBy("file", "line", "word").agg(F.count("*").alias("tf")).join(idfs, "word", "left")
     bags = bags.withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
@@ -122,7 +263,8 @@ def ancestors(directory: Column) -> Column:
 def scan(files: DataFrame) -> DataFrame:
     """key, path, licence, score, found ('own', 'inherited' or null), licence_dir, per file.
 
-    `files` has key, path and text. A file's own licence is that of its best notice. A
+    `files` has key, path and text. A file's own licence is that of its best notice: a line, a
+    window of words around a trigger word across lines, the head of a licence file, or an SPDX tag. A
     licence file is named like one, or its notices make up `NOTICE_SHARE` of its words; files
     without a licence of their own take that of the nearest ancestor directory that holds a
     licence file. Several such files in a directory: highest score, then the licence that
@@ -133,10 +275,21 @@ def scan(files: DataFrame) -> DataFrame:
     with their ancestors, so a directory with a third of all files is one row of that join.
     """
     stored = headers(files)
-    found = notices(stored).groupBy("file").agg(
-        F.min(F.struct((-F.col("score")).alias("minus"), F.col("licence"))).alias("b"), F.sum("line_words").alias("notice_words")
-    )
-    own = scratch(found.select("file", F.col("b.licence").alias("own"), (-F.col("b.minus")).alias("own_score"), "notice_words"), "own-licences")
+    by_line = scratch(notices(stored), "licence-lines")
+    by_window = scratch(windows(stored), "licence-windows")
+    # words of notices: those of noted lines, and others of windows that are closer than each noted line they touch
+    lines = by_line.select("file", "line", "line_words")
+    touched = by_window.select("file", "trigger", "score", F.explode(F.array_distinct("line_of")).alias("line"))
+    beaten = touched.join(by_line.select("file", "line", F.col("score").alias("of_line")), ["file", "line"]).filter("score <= of_line")
+    closer = by_window.join(beaten.select("file", "trigger").distinct(), ["file", "trigger"], "left_anti")
+    places = closer.select("file", F.explode(F.arrays_zip(F.sequence(F.col("first"), F.col("first") + F.size("line_of") - 1).alias("place"), F.col("line_of").alias("line"))).alias("p"))
+    apart = places.select("file", "p.place", "p.line").distinct().join(lines, ["file", "line"], "left_anti")
+    counted = lines.select("file", "line_words").unionByName(apart.select("file", F.lit(1).cast("long").alias("line_words")))
+    counted = counted.groupBy("file").agg(F.sum("line_words").alias("notice_words"))
+    votes = [x.select("file", "licence", "score") for x in (by_line, by_window, heads(stored), stated(stored))]
+    found = reduce(DataFrame.unionByName, votes).groupBy("file").agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col("licence"))).alias("b"))
+    own = found.join(counted, "file", "left").select("file", F.col("b.licence").alias("own"), (-F.col("b.minus")).alias("own_score"), "notice_words")
+    own = scratch(own, "own-licences")
     placed = stored.select("file", "key", "path", "n_words", F.regexp_replace("path", "/?[^/]*$", "").alias("directory"))
     named = F.col("path").rlike(LICENCE_FILE) | (F.col("notice_words") >= NOTICE_SHARE * F.col("n_words"))
     declared = placed.join(own, "file").filter(named & F.col("directory").isNotNull())
