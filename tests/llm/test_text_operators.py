@@ -175,6 +175,14 @@ def test_site_quality_learns_and_shrinks(spark, make):
     assert abs(got[900].p_host - overall) < 0.15  # an unseen host stays near the mean
 
 
+def test_every_label_counts_for_its_site(spark, make):
+    fold = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 0][:6]
+    rows = [(i, "plain words of a text", "xx" if i in fold else "en", "s") for i in range(400)]
+    labelled = spark.createDataFrame([(i, int(i not in fold), 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    paths = [{r.path: r.p_path for r in site_quality.assess(make(*rows), labelled, F.col("source"), F.col("lang"), hold_out=h).collect()} for h in (False, True)]
+    assert paths[0]["xx"] < 0.5 < paths[1]["xx"]  # all of its labels are bad, and all are in the fold
+
+
 def test_site_quality_of_odd_and_empty_tables(spark, make):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert site_quality.assess(make(*ODD), none, F.col("source"), F.col("lang")).count() == len(ODD)

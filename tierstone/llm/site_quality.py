@@ -143,7 +143,7 @@ def shrink(sites: DataFrame, good: str, n: str, parent: Column, overall: float)
 
 
 def assess(
-    docs: DataFrame, labels: DataFrame, host: Column, path: Column, threshold: float = 0.5, fit_rows: int = FIT_ROWS
+    docs: DataFrame, labels: DataFrame, host: Column, path: Column, threshold: float = 0.5, fit_rows: int = FIT_ROWS, hold_out: bool = False
 ) -> DataFrame:
     """doc_id, host, path, p_doc, p_host, p_path, quality, kept, per document.
 
@@ -154,12 +154,14 @@ def assess(
     fitted on at most `fit_rows` labelled ids, by seeded order, so that no text is shuffled to
     meet its label; calibration and sites use all labels.
 
-    Labels of rows with crc32(doc_id) mod 5 = 0 are held out everywhere. Null host and path
+    With `hold_out`, labels of rows with crc32(doc_id) mod 5 = 0 are left out everywhere, to
+    measure on them. Null host and path
     are sites of their own. Null text gives no evidence. Several labels of an id: the mean,
     rounded up. Repeated documents stay. Without labels p_doc is a half and all are kept.
     """
     by_id = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg((F.avg("quality") >= 0.5).alias("good"))
-    by_id = by_id.filter(crc_fold(F.col("doc_id")) != 0)
+    if hold_out:
+        by_id = by_id.filter(crc_fold(F.col("doc_id")) != 0)
     own = docs.select("doc_id", host.cast("string").alias("host"), path.cast("string").alias("path"), "text")
     by_id = scratch(by_id, "labels")
     fitted = scratch(by_id.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(fit_rows), "fitted-labels")
