@@ -139,6 +139,20 @@ def test_secrets_are_added_and_plain_words_are_not(make):
     assert not any(got[100 + i] for i in range(60))
 
 
+def test_secrets_of_any_length_are_candidates(make):
+    rng = random.Random(4)
+    for n in (16, 128, 129, 5000):
+        text = f'token = "{hexes(rng, n - 2)}1a" end'
+        assert [s[:3] for s in pii.candidates(text, []) if s[1] == "secret"] == [(9, "secret", 9 + n)]
+    for text in ('password = "Tr0ub4dor_3x"', "password=Tr0ub4dor_3x", "api_key: Tr0ub4dor_3x,"):
+        assert [text[a:b] for a, _, b, _ in pii.candidates(text, [])] == ["Tr0ub4dor_3x"]
+    assert pii.candidates("so Tr0ub4dor_3x it is", []) == []
+    rows = [(i, f'some words token = "{hexes(rng, 40)}" and more') for i in range(30)] + [(50, f'token = "{hexes(rng, 5000)}"')]
+    got = {r.doc_id: r.spans for r in pii.find(make(*rows)).collect()}
+    assert ("secret", 9, 5009) in [(s.kind, s.start, s.end) for s in got[50]]
+    pii.candidates("token=" * 60_000 + "a" * 400_000, [])
+
+
 def test_redaction(make):
     docs = make((1, "write to me@mail.example.com now", "en", "a"), (2, None, "en", "a"), (3, "call +1 (017) 555-7713", "en", "a"))
     got = {r.doc_id: r for r in pii.redact(docs).collect()}

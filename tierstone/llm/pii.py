@@ -23,7 +23,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 # Wide candidates of the labelers.
-SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,128}(?![A-Za-z0-9+/_-])")
+SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}+")
 ACCOUNT = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])")
 CONTACT = re.compile(r"(?<![0-9A-Za-z+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])")
 HANDLE = re.compile(r"(?<![A-Za-z0-9._%+@-])@[A-Za-z][A-Za-z0-9_]{2,30}(?![A-Za-z0-9_.@])")
@@ -35,6 +35,8 @@ NEAR = {
     "handle": ("follow", "twitter", "instagram", "contact", "telegram", "dm"),
 }
 AGAINST = ("sha", "sha1", "sha256", "md5", "commit", "checksum", "hash", "isbn", "version", "order", "invoice", "page")
+# A run of any length after such a word and a sign.
+TOLD = re.compile(r"(?i)(?<![a-z0-9])(?:" + "|".join(NEAR["secret"]) + r")[\"']?[ \t]{0,8}[=:][ \t]{0,8}[\"']?(?P<run>[a-z0-9+/_-]++)")
 CONTEXT = 40
 WORD = re.compile(r"\w+")
 HIT, MISS, ABSTAIN = "1", "0", "-"
@@ -124,11 +126,12 @@ def candidates(text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, s
     starts = np.array([a for a, _, _ in base], int)  # base spans come by start
     furthest = np.maximum.accumulate(np.array([b for _, _, b in base], int)) if base else starts
     found: list[tuple[int, str, int]] = []
+    told = {m.span("run") for m in TOLD.finditer(text)}
     for kind, pattern in (("account", ACCOUNT), ("secret", SECRET), ("contact", CONTACT), ("handle", HANDLE)):
-        for m in pattern.finditer(text) if kind != "handle" or "@" in text else ():
-            if kind == "secret" and not (re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])):
+        spans = [m.span() for m in pattern.finditer(text)] if kind != "handle" or "@" in text else []
+        for a, b in sorted(told.union(spans)) if kind == "secret" else spans:
+            if kind == "secret" and not (re.search("[0-9]", text[a:b]) and re.search("[A-Za-z]", text[a:b])):
                 continue
-            a, b = m.span()
             before = int(np.searchsorted(starts, a, "right"))  # base spans that start no later
             if not before or furthest[before - 1] < b:
                 found.append((a, kind, b))
