@@ -153,6 +153,23 @@ def test_secrets_of_any_length_are_candidates(make):
     pii.candidates("token=" * 60_000 + "a" * 400_000, [])
 
 
+def test_overlaps_are_resolved_after_classification(make):
+    both = {s[1]: s[3] for s in pii.candidates('token = "QK47ZP93MWXB28LT"', [])}
+    assert set(both) == {"account", "secret"}
+    rng = random.Random(9)
+    key = lambda: "QK47" + "".join(rng.choice("ABCDEFGH") + rng.choice("0123456789") for _ in range(6))
+    rows = [(i, f'some words token = "{key()}" and more') for i in range(40)]
+    rows += [(100 + i, f"see order {key()} of the invoice") for i in range(60)]
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.find(make(*rows)).collect()}
+    start = rows[0][1].index('"') + 1
+    assert all(got[i] == [("secret", start, start + 16)] for i in range(40))
+    masked = {r.doc_id: r.text for r in pii.redact(make(*rows)).collect()}
+    assert all(masked[i] == 'some words token = "<SECRET>" and more' for i in range(40))
+    found = [(0, "account", 20, "a"), (10, "secret", 40, "b"), (35, "contact", 50, "c"), (60, "secret", 70, "d")]
+    assert pii.resolve(found, {"a": 0.6, "b": 0.9, "c": 0.7}) == [(10, "secret", 40)]
+    assert pii.resolve(found, {"a": 0.6, "c": 0.7}) == [(0, "account", 20), (35, "contact", 50)]
+
+
 def test_redaction(make):
     docs = make((1, "write to me@mail.example.com now", "en", "a"), (2, None, "en", "a"), (3, "call +1 (017) 555-7713", "en", "a"))
     got = {r.doc_id: r for r in pii.redact(docs).collect()}

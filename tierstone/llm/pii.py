@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -117,7 +118,7 @@ def labels_of(kind: str, text: str, start: int, end: int) -> str:
 
 
 def candidates(text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, str, int, str]]:
-    """(start, kind, end, pattern) of wide candidates that lie in no base span and touch no earlier candidate.
+    """(start, kind, end, pattern) of all wide candidates that lie in no base span; they may overlap.
 
     A candidate may hold a base span, as a secret may hold digits that pass for a card.
 
@@ -136,12 +137,24 @@ def candidates(text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, s
             if not before or furthest[before - 1] < b:
                 found.append((a, kind, b))
     found.sort(key=lambda s: (s[0], -s[2]))
-    out, end = [], 0
-    for a, kind, b in found:
-        if a >= end:
-            out.append((a, kind, b, f"{kind}:{labels_of(kind, text, a, b)}"))
-            end = b
-    return out
+    return [(a, kind, b, f"{kind}:{labels_of(kind, text, a, b)}") for a, kind, b in found]
+
+
+def resolve(found: Iterable[tuple[int, str, int, str]], chances: Mapping[str, float]) -> list[tuple[int, str, int]]:
+    """(start, kind, end) of candidates with a pattern in `chances`, the likelier first where they overlap.
+
+    Equally likely ones: the earlier, the longer, the kind listed first. The result is in order.
+    """
+    starts: list[int] = []
+    kept: list[tuple[int, str, int]] = []
+    good = [s for s in found if s[3] in chances]
+    for a, kind, b, _ in sorted(good, key=lambda s: (-chances[s[3]], s[0], -s[2], KINDS.index(s[1]))):
+        at = bisect_left(starts, a)
+        if (at and kept[at - 1][2] > a) or (at < len(starts) and starts[at] < b):
+            continue
+        starts.insert(at, a)
+        kept.insert(at, (a, kind, b))
+    return kept
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -223,7 +236,30 @@ def train(patterns: Mapping[str, int], rounds: int = 30, penalty: float = 1.0) -
 
 
 def accepted(patterns: Mapping[str, int], threshold: float = 0.5) -> list[str]:
-    return sorted(k for k, p in train(patterns).items() if p >= threshold)
+    return sorted(chances(patterns, threshold))
+
+
+def chances(patterns: Mapping[str, int], threshold: float = 0.5) -> dict[str, float]:
+    """The classifier's probabilities of the accepted patterns, at nine decimals."""
+    return {k: round(p, 9) for k, p in train(patterns).items() if p >= threshold}
+
+
+def resolved(scanned: DataFrame, good: Mapping[str, float]) -> DataFrame:
+    """`scanned` with the accepted candidates that remain in place of `extra`."""
+    span_type = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.string()), ("end", pa.int64())]))
+    at = scanned.columns.index("extra")
+    schema = scanned.drop("extra").withColumn("added", F.array().cast("array<struct<start:long,kind:string,end:long>>")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            added = []
+            for found in batch.column(at):
+                own = [(s["start"], s["kind"], s["end"], s["pattern"]) for s in found.as_py()]
+                added.append([dict(zip(("start", "kind", "end"), s)) for s in resolve(own, good)])
+            columns = [c for i, c in enumerate(batch.columns) if i != at]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(added, span_type)], schema.names)
+
+    return scanned.mapInArrow(run, schema)
 
 
 def ordered(spans: Column) -> Column:
@@ -241,19 +277,13 @@ def find(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """doc_id, base and all spans (start, kind, end; code points, end exclusive) per document.
 
     Base spans always stay. Candidates are added if the span classifier, trained on the
-    votes of all candidates of `docs`, gives them `threshold` or more. Null text is empty;
+    votes of all candidates of `docs`, gives them `threshold` or more; of those that overlap, the
+    likeliest. Null text is empty;
     repeated rows stay; other columns are ignored; an empty table gives no rows.
     """
     scanned = scratch(scan(docs), "pii-spans")
-    good = accepted(counts_of(scanned), threshold)
-    span = "array<struct<start:long,kind:string,end:long>>"
-    if good:
-        allowed = F.array(*[F.lit(k) for k in good])
-        chosen = F.filter("extra", lambda s: F.array_contains(allowed, s["pattern"]))
-        added = F.transform(chosen, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    else:
-        added = F.array().cast(span)
-    return scanned.select("doc_id", ordered(F.col("base")).alias("base"), ordered(F.concat("base", added)).alias("spans"))
+    chosen = resolved(scanned, chances(counts_of(scanned), threshold))
+    return chosen.select("doc_id", ordered(F.col("base")).alias("base"), ordered(F.concat("base", "added")).alias("spans"))
 
 
 def mask(text: str, spans: list[tuple[int, str, int]]) -> str:
@@ -272,7 +302,7 @@ def redact(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     Two passes over the text: one counts vote patterns, one finds spans again and masks
     them where the text is, so that no text is shuffled.
     """
-    good = frozenset(accepted(pattern_counts(docs), threshold))
+    good = chances(pattern_counts(docs), threshold)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,7 +311,7 @@ def redact(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
             for text in texts(batch):
                 if text:
                     base = base_spans(text)
-                    more = [s[:3] for s in candidates(text, base) if s[3] in good]
+                    more = resolve(candidates(text, base), good)
                     text = mask(text, sorted(base + more, key=lambda s: (s[0], KINDS.index(s[1]), s[2])))
                 masked.append(text)
             columns = [pa.array(masked, pa.string()) if i == at else c for i, c in enumerate(batch.columns)]
