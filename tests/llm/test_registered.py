@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import brute
-from test_tables import check_mix
+from test_corpus_tables import check_mix
 from tierstone.llm import registry, tokens
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
