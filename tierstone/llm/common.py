@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 from tierstone.session import shared_dir
 
@@ -33,7 +33,7 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def extended(schema: StructType, **types: str) -> StructType:
+def extended(schema: StructType, **types: str | DataType) -> StructType:
     """A new schema with further columns."""
     out = StructType(list(schema.fields))
     for name, kind in types.items():

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstone.llm import chat, decontamination, langid, licences, mixing, pii, quality_rules, simhash, site_quality, tokens
+from tierstone.llm import chat, decontamination, langid, licences, mixing, pii, quality_rules, runs, simhash, site_quality, tokens
 from tierstone.llm.check_sql import CHAT_SQL, CONTAMINATION_SQL, licence_sql
-from tierstone.llm.common import table
+from tierstone.llm.common import SPACE_CLASS, table
 
 DIRECTORY_IDS = 100
 
@@ -83,8 +83,41 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.digest(F.col("base")), 256).alias("base_sha256"), pii.digest(F.col("spans")).alias("spans"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in a tenth of the documents the words from a place on repeat with a period."""
+    number = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", f"{SPACE_CLASS}+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", number.alias("h")).withColumn("words", F.when(F.col("h") % 10 == 0, words))
+    n, g = F.size("words").cast("long"), F.floor(F.col("h") / 10)
+    start = F.when(n > 0, g % n)
+    period = F.lit(1) + F.floor((n - start) / (F.lit(3) + g % 8))
+    rows = rows.withColumn("start", start).withColumn("period", period)
+    place = lambda i: F.when(i < F.col("start"), i).otherwise(F.col("start") + (i - F.col("start")) % F.col("period"))
+    again = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get("words", place(i).cast("int")))
+    return rows.select("doc_id", F.when(F.col("start").isNotNull(), F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    # runs come by start and period, so that of equal exponents the first one stays
+    more = lambda best, r: best["length"].isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    found = found.withColumn("best", F.aggregate("runs", none, lambda best, r: F.when(more(best, r), r).otherwise(best)))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), F.concat(r["period"].cast("string"), F.lit("\n"))))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_license_scan, op2_decontamination, op3_simhash, op4_language_id, op5_mixing, op6_chat_format, op7_quality_rules, op8_token_counts, op9_site_quality, op10_pii)
+    for f in (op1_license_scan, op2_decontamination, op3_simhash, op4_language_id, op5_mixing, op6_chat_format, op7_quality_rules, op8_token_counts, op9_site_quality, op10_pii, op12_periodic_runs)
 }
 ORACLES: dict[str, str] = {"op1_license_scan": licence_sql(DIRECTORY_IDS), "op2_decontamination": CONTAMINATION_SQL, "op6_chat_format": CHAT_SQL}
