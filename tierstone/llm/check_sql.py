@@ -50,6 +50,24 @@ select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
 from doc_words left join hits using (doc_id) left join items using (doc_id)
 """
 
+REPEATED_SQL = r"""
+with words as (
+  select row_number() over () as d, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as ws from documents
+), windows as (
+  select d, i, hash(ws[i : i + 34]) as h, array_to_string(ws[i : i + 34], ' ') as win
+  from words, unnest(range(1, len(ws) - 33)) as r(i)
+), twice as (select h, win from windows group by h, win having count(*) > 1
+), gone as (
+  select distinct d, p from windows join twice using (h, win), unnest(range(i, i + 35)) as r(p)
+), kept as (
+  select d, string_agg(w, ' ' order by p) as text, count(*) as n
+  from (select d, unnest(ws) as w, unnest(range(1, len(ws) + 1)) as p from words) left join (select d, p, true as hit from gone) using (d, p)
+  where hit is null group by d
+)
+select doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(text, '')) as kept_sha256
+from words left join kept using (d)
+"""
+
 
 def licence_sql(ids: int) -> str:
     vectors, unknown = licences.template_vectors()

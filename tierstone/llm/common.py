@@ -71,3 +71,10 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[str | None]:
     """The texts of a batch one by one, so that only one is a Python object at a time."""
     for value in batch.column(column):
         yield value.as_py()
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, for operators that return texts: only so many are in memory a second time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstone.llm import chat, decontamination, langid, licences, mixing, pii, quality_rules, runs, simhash, site_quality, tokens
-from tierstone.llm.check_sql import CHAT_SQL, CONTAMINATION_SQL, licence_sql
+from tierstone.llm import chat, decontamination, langid, licences, mixing, pii, quality_rules, runs, simhash, site_quality, substrings, tokens
+from tierstone.llm.check_sql import CHAT_SQL, CONTAMINATION_SQL, REPEATED_SQL, licence_sql
 from tierstone.llm.common import SPACE_CLASS, table
 
 DIRECTORY_IDS = 100
@@ -116,8 +116,15 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.find_repeated(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    kept = F.coalesce(F.sha2("kept_text", 256), "words_sha256")
+    return found.select("doc_id", "n_words", removed.alias("n_removed"), kept.alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_license_scan, op2_decontamination, op3_simhash, op4_language_id, op5_mixing, op6_chat_format, op7_quality_rules, op8_token_counts, op9_site_quality, op10_pii, op12_periodic_runs)
+    for f in (op1_license_scan, op2_decontamination, op3_simhash, op4_language_id, op5_mixing, op6_chat_format, op7_quality_rules, op8_token_counts, op9_site_quality, op10_pii, op12_periodic_runs, op13_substring_dedup)
 }
-ORACLES: dict[str, str] = {"op1_license_scan": licence_sql(DIRECTORY_IDS), "op2_decontamination": CONTAMINATION_SQL, "op6_chat_format": CHAT_SQL}
+ORACLES: dict[str, str] = {"op1_license_scan": licence_sql(DIRECTORY_IDS), "op2_decontamination": CONTAMINATION_SQL, "op6_chat_format": CHAT_SQL, "op13_substring_dedup": REPEATED_SQL}
