@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from tierstone.llm.common import extended, free_name, texts
+from tierstone.llm.common import extended, free_name, slices, texts
 from tierstone.llm.rolling import BASES, mixed, powers
 
 MIN_LENGTH, MIN_EXPONENT = 24, 3
@@ -188,7 +188,7 @@ def find_runs(docs: DataFrame, min_length: int = MIN_LENGTH, exponent: int = MIN
     run_type = pa.list_(pa.struct([(x, pa.int64()) for x in ("start", "length", "period")]))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             runs, kept = [], []
             for text in texts(batch):
                 words = (text or "").encode().split()
