@@ -50,6 +50,25 @@ select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
 from doc_words left join hits using (doc_id) left join items using (doc_id)
 """
 
+RANKED_SQL = r"""
+with doc_terms as (
+  select row_number() over () as d, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from documents
+), lengths as (select d, count(*) as n from doc_terms group by d
+), totals as (select count(*)::bigint as docs, sum(n)::bigint as length from lengths
+), counts as (select d, doc_id, term, count(*) as tf from doc_terms group by all
+), items as (
+  select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark
+), weights as (
+  select term, floor(1000 * ln((2 * any_value(docs) + 2)::double / (2 * count(*) + 1)::double))::bigint as w from counts, totals group by term
+), scores as (
+  select item_id, d, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // length))))::bigint as score
+  from items join weights using (term) join counts using (term) join lengths using (d), totals group by all
+), ranks as (select item_id, doc_id, score, row_number() over (partition by item_id order by score desc, doc_id) as rank from scores where score > 0)
+select item_id, rank::integer as rank, doc_id, score from ranks where rank <= 50
+"""
+
 REPEATED_SQL = r"""
 with words as (
   select row_number() over () as d, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as ws from documents

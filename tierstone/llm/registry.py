@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstone.llm import chat, decontamination, langid, licences, mixing, pii, quality_rules, runs, simhash, site_quality, substrings, tokens
-from tierstone.llm.check_sql import CHAT_SQL, CONTAMINATION_SQL, REPEATED_SQL, licence_sql
+from tierstone.llm import balltree, chat, decontamination, langid, licences, mixing, pii, quality_rules, runs, simhash, site_quality, substrings, tokens
+from tierstone.llm.check_sql import CHAT_SQL, CONTAMINATION_SQL, RANKED_SQL, REPEATED_SQL, licence_sql
 from tierstone.llm.common import SPACE_CLASS, table
 
 DIRECTORY_IDS = 100
@@ -83,6 +83,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.digest(F.col("base")), 256).alias("base_sha256"), pii.digest(F.col("spans")).alias("spans"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """doc_id and text; in a tenth of the documents the words from a place on repeat with a period."""
     number = F.crc32(F.col("doc_id").cast("string"))
@@ -125,6 +129,6 @@ def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_license_scan, op2_decontamination, op3_simhash, op4_language_id, op5_mixing, op6_chat_format, op7_quality_rules, op8_token_counts, op9_site_quality, op10_pii, op12_periodic_runs, op13_substring_dedup)
+    for f in (op1_license_scan, op2_decontamination, op3_simhash, op4_language_id, op5_mixing, op6_chat_format, op7_quality_rules, op8_token_counts, op9_site_quality, op10_pii, op11_ranked_search, op12_periodic_runs, op13_substring_dedup)
 }
-ORACLES: dict[str, str] = {"op1_license_scan": licence_sql(DIRECTORY_IDS), "op2_decontamination": CONTAMINATION_SQL, "op6_chat_format": CHAT_SQL, "op13_substring_dedup": REPEATED_SQL}
+ORACLES: dict[str, str] = {"op1_license_scan": licence_sql(DIRECTORY_IDS), "op2_decontamination": CONTAMINATION_SQL, "op6_chat_format": CHAT_SQL, "op11_ranked_search": RANKED_SQL, "op13_substring_dedup": REPEATED_SQL}
