@@ -4,8 +4,11 @@ import re
 
 from pyspark.sql import functions as F
 
-from tierstone.operators.scd import current_only
-from tierstone.plans import silver
+from tierstone.operators.joins import current_keys
+from tierstone.operators.quality import tag_rejects
+from tierstone.operators.scd import current_only, dedup_latest
+from tierstone.plans import facts, silver
+from tierstone.plans.checks import check_unique
 from tierstone.sources.bronze import SCHEMAS
 
 T0, T1 = "2020-01-01 00:00:00", "2021-01-01 00:00:00"
@@ -26,6 +29,10 @@ def users(spark, **changes):
     return bronze(spark, "user", [{**row, **changes}])
 
 
+def dimension(spark, key, value):
+    return spark.createDataFrame([(value, True)], f"{key} string, is_current boolean")
+
+
 def dims(spark):
     return silver.silver_business(business(spark), None, T0)[0], silver.silver_users(users(spark), None, 2019, T0)[0]
 
@@ -132,3 +139,37 @@ def test_checkin_job(spark):
     got = good.first()
     assert (got.checkin_year, got.checkin_dow, got.is_weekend, got.total_checkins_for_business) == (2018, 7, True, 2)
     assert [r.checkin_ts_raw for r in bad.select(F.col("checkin_ts_raw")).collect()] == ["bad"]
+
+
+def test_texts_are_fetched_for_the_very_line(spark):
+    """Two lines that differ only in which key is NULL are told apart, one of them rejected."""
+    b, u = dimension(spark, "business_id", "x"), dimension(spark, "user_id", "x")
+    tip = {"business_id": "x", "user_id": None, "text": "go", "date": "2020-02-03", "compliment_count": 1}
+    raw = bronze(spark, "tip", [tip, {**tip, "business_id": None, "user_id": "x"}, {**tip, "user_id": "x"}])
+    review = {"review_id": "x", "business_id": "x", "user_id": None, "stars": 3.0, "text": "go", "date": "2020-02-03", "useful": 1, "funny": 1, "cool": 1}
+    reviews = bronze(spark, "review", [review, {**review, "business_id": None, "user_id": "x"}, {**review, "user_id": "x"}])
+    for rows, rules in ((raw, silver.tip_rules()), (reviews, silver.review_rules())):
+        tagged = tag_rejects(silver.flag_keys(silver.metrics_only(rows), current_keys(b, "business_id"), current_keys(u, "user_id")), rules)
+        rejected = tagged.filter("reject_reason is not null")
+        one = rejected.filter("user_id is null")
+        assert [(r.business_id, r.user_id, r.text) for r in silver.with_text(rows, one).collect()] == [("x", None, "go")]
+        both = silver.with_text(rows, rejected).collect()
+        assert len(both) == 2 and len({r.reject_reason for r in both}) == 2
+
+
+def test_ties_in_which_column_is_null_do_not_depend_on_order(spark):
+    rows = [("b", "n", "a", None), ("b", "n", None, "a")]
+    kept = []
+    for some in (rows, rows[::-1]):
+        df = spark.createDataFrame(some, "business_id string, business_name string, city string, state string")
+        kept.append(dedup_latest(df.coalesce(1), ["business_id"], [silver._content_order(df)]).collect())
+    assert kept[0] == kept[1]
+
+
+def test_tips_without_a_parsed_day_have_ids_of_their_own(spark):
+    b, u = dimension(spark, "business_id", "b"), dimension(spark, "user_id", "u")
+    tip = {"business_id": "b", "user_id": "u", "text": "go", "compliment_count": 1}
+    tips, _ = silver.silver_tips(bronze(spark, "tip", [{**tip, "date": d} for d in ("soon", "later", "2020-02-03", None)]), b, u)
+    keyed = tips.withColumn("tip_id", facts.surrogate_key("business_id", "user_id", "tip_day"))
+    assert {r.tip_day for r in keyed.collect()} == {"soon", "later", "2020-02-03", None}
+    assert check_unique(keyed, "tip_id").isEmpty()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,6 +30,12 @@ def change_hash(*columns: ColumnOrName, null_token: str | None = NULL_TOKEN) ->
     return F.sha2(_joined("|", columns, null_token), 256)
 
 
+def row_hash(columns: Sequence[str]) -> Column:
+    """64-bit hash of a row that tells which columns are NULL; ``xxhash64`` alone skips NULLs."""
+    marks = [F.col(c).isNull() for c in columns]
+    return F.xxhash64(*[F.col(c) for c in columns], *marks)
+
+
 def surrogate_key(*columns: ColumnOrName, null_token: str = NULL_TOKEN) -> Column:
     """H3: MD5 over the ``-``-joined string casts of the key columns."""
     return F.md5(_joined("-", columns, null_token))

@@ -102,7 +102,7 @@ def fact_tips(
     load_ts: Stamp | None = None,
     hot_share: float | None = None,
 ) -> DataFrame:
-    """M5: one row per tip."""
+    """M5: one row per tip. The id takes the day as text, so tips whose day does not parse have ids of their own."""
     with_business = point_in_time_join(
         tips,
         dim_business,
@@ -133,7 +133,7 @@ def fact_tips(
     )
     classified = with_user.withColumns(
         {
-            "tip_id": surrogate_key("business_id", "user_id", "tip_date"),
+            "tip_id": surrogate_key("business_id", "user_id", "tip_day"),
             "tip_engagement_tier": tip_engagement_tier(),
             "tip_length_tier": tip_length_tier(),
         }

@@ -9,6 +9,7 @@ in between, so the JSON is parsed once for the clean and the rejected side.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from ..functions.features import (
     user_tier,
     vote_features,
 )
-from ..functions.hashing import change_hash
+from ..functions.hashing import change_hash, row_hash
 from ..operators.joins import current_keys, fk_flag
 from ..operators.nested import (
     attribute_columns,
@@ -74,7 +75,7 @@ def _carried(bronze: DataFrame, carry: tuple[str, ...]) -> tuple[str, ...]:
 
 
 def _content_order(df: DataFrame) -> Column:
-    return F.xxhash64(*[F.col(c) for c in df.columns])
+    return row_hash(df.columns)
 
 
 # ---------------------------------------------------------------- business
@@ -267,16 +268,21 @@ def metrics_only(bronze: DataFrame) -> DataFrame:
 
 
 def hashed_lines(bronze: DataFrame) -> DataFrame:
-    return bronze.withColumn(LINE, F.xxhash64(*[F.col(c) for c in bronze.columns]))
+    return bronze.withColumn(LINE, row_hash(bronze.columns))
 
 
 def with_text(bronze: DataFrame, few: DataFrame) -> DataFrame:
     """Bronze rows, text included, of the lines in ``few``, with what ``few`` adds to them.
 
-    Lines that are equal in every field share a hash, and so flags and reason.
+    Lines meet by their hash and by every plain column both sides have, so only lines that are equal in all
+    of them and in the hash of the text count as one; such lines share flags and reason.
     """
-    added = [c for c in few.columns if c not in bronze.columns and not c.startswith("text_")]
-    return hashed_lines(bronze).join(few.select(*added).dropDuplicates([LINE]), LINE).drop(LINE)
+    added = [c for c in few.columns if c not in bronze.columns and not c.startswith("text_") and c != LINE]
+    shared = [c for c in bronze.columns if c in few.columns]
+    wanted = few.select(F.col(LINE).alias("_wanted"), *[F.col(c).alias(f"_few_{c}") for c in shared], *added)
+    wanted = wanted.dropDuplicates(["_wanted", *[f"_few_{c}" for c in shared]])
+    same = (F.col(LINE) == F.col("_wanted")) & reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_few_{c}")) for c in shared], F.lit(True))
+    return hashed_lines(bronze).join(wanted, same).select(*bronze.columns, *added)
 
 
 def flag_keys(
@@ -411,7 +417,8 @@ def tag_tips(
 def finish_tips(clean: DataFrame, load_ts: Stamp | None = None) -> DataFrame:
     """P12 and W1 on the parsed day: one tip per business, user and day.
 
-    A day that does not parse counts as the text it is, so such tips stay apart.
+    A day that does not parse counts as the text it is, so such tips stay apart. ``tip_day`` keeps
+    that day, parsed or not, as part of the tip's key.
     """
     narrow = clean.select(
         "business_id",
@@ -424,7 +431,7 @@ def finish_tips(clean: DataFrame, load_ts: Stamp | None = None) -> DataFrame:
     )
     order = [F.col(c).desc_nulls_last() for c in ("date", "compliment_count", "text_char_len", "text_word_count")]
     day = F.coalesce(F.col("tip_date").cast("string"), F.col("date"))
-    latest = dedup_latest(narrow.withColumn("_day", day), ["business_id", "user_id", "_day"], order).drop("date", "_day")
+    latest = dedup_latest(narrow.withColumn("tip_day", day), ["business_id", "user_id", "tip_day"], order).drop("date")
     return stamp(
         latest.withColumns(
             {

@@ -33,7 +33,7 @@ CHECKINS = (
     "loaded_at",
 )
 TIPS = (
-    "business_id", "user_id", "tip_date", "tip_year", "tip_month", "compliment_count", "text_char_len",
+    "business_id", "user_id", "tip_day", "tip_date", "tip_year", "tip_month", "compliment_count", "text_char_len",
     "text_word_count", "is_popular_tip", "loaded_at",
 )
 

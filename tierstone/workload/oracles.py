@@ -245,7 +245,7 @@ part("tips_tagged", ("valid_business", "valid_user"), r"""
     LEFT JOIN valid_business ON business_id = b LEFT JOIN valid_user ON user_id = u""")
 
 part("tips", ("tips_tagged",), f"""
-    SELECT business_id, user_id, tip_date, compliment_count, text_char_len, text_word_count,
+    SELECT business_id, user_id, date[:10] AS tip_day, tip_date, compliment_count, text_char_len, text_word_count,
            cast(year(tip_date) AS int) AS tip_year, cast(month(tip_date) AS int) AS tip_month,
            compliment_count >= 5 AS is_popular_tip
     FROM (SELECT business_id, user_id, date, cast(date[:10] AS date) AS tip_date,
@@ -315,7 +315,7 @@ part("fact_tips", ("tips", "dim_business", "dim_user"), """
     SELECT t.*, b.business_key, b.business_name, b.city, b.state, b.price_tier, b.rating_tier,
            b.status AS business_status_at_tip_time, u.user_key, u.user_tier AS user_tier_at_tip_time,
            u.is_currently_elite AS user_was_elite_at_tip_time,
-           md5(concat_ws('-', t.business_id, t.user_id, strftime(tip_date, '%Y-%m-%d'))) AS tip_id,
+           md5(concat_ws('-', t.business_id, t.user_id, tip_day)) AS tip_id,
            CASE WHEN compliment_count >= 10 THEN 'viral' WHEN compliment_count >= 5 THEN 'popular'
                 WHEN compliment_count >= 1 THEN 'engaged' ELSE 'no_engagement' END AS tip_engagement_tier,
            CASE WHEN text_word_count <= 10 THEN 'very_brief' WHEN text_word_count <= 30 THEN 'brief'
@@ -735,10 +735,12 @@ oracle("partitioned_clustered_roundtrip", (), """
            cast(sum(cast(round(l_extendedprice * 100) AS bigint)) AS bigint) AS cents
     FROM lineitem GROUP BY ALL""")
 oracle("staging_views", ("reviews", "business", "users", "tips", "checkins"), " UNION ALL ".join(
-    f"SELECT 'stg_{name}' AS view_name, {columns} AS columns, count(*) AS row_count, "
-    f"count(DISTINCT {key}) AS key_count, max({key}) AS last_key FROM {name}"
-    for name, columns, key in (("business", 42, "business_id"), ("users", 20, "user_id"), ("reviews", 15, "review_id"),
-                               ("tips", 9, "user_id"), ("checkins", 12, "business_id"))))
+    f"SELECT 'stg_{name}' AS view_name, {key} AS row_key, strftime(cast({at} AS timestamp), '%Y-%m-%d %H:%M:%S') AS row_time, "
+    f"cast({measure} AS double) AS measure FROM {name}"
+    for name, key, at, measure in (
+        ("business", "business_id", "valid_from", "review_count"), ("users", "user_id", "valid_from", "engagement_score"),
+        ("reviews", "review_id", "review_date", "total_votes"), ("tips", "user_id", "tip_date", "text_char_len"),
+        ("checkins", "business_id", "checkin_at", "ordinal"))))
 
 oracle("json_business", ("business_snap",), f"SELECT {_BUSINESS} FROM business_snap", counts=_BUSINESS_COUNTS)
 oracle("json_users", ("user_tagged",), """
@@ -757,9 +759,15 @@ oracle("log_grows_a_column", (), """
     FROM (SELECT o_orderstatus, count(*) AS row_count,
                  cast(sum(cast(round(o_totalprice * 100) AS bigint)) AS double) AS total_cents
           FROM orders GROUP BY 1), (SELECT unnest(['run-1', 'run-2', 'run-3']) AS run_id)""")
-oracle("load_modes", ("business_tagged",), f"""
-    SELECT * FROM (WITH early AS (SELECT * FROM business_tagged WHERE year(snapshot_ts) = 1996 AND reject_reason IS NULL),
-    late AS (SELECT * FROM business_tagged WHERE year(snapshot_ts) = 1998 AND reject_reason IS NULL),
+part("halves", ("business_tagged",), """
+    SELECT * EXCLUDE (rn), make_timestamp(last_year, 12, 31, 0, 0, 0.0) AS load_ts
+    FROM (SELECT *, max(year(snapshot_ts)) OVER (PARTITION BY half) AS last_year,
+                 row_number() OVER (PARTITION BY half, business_id ORDER BY snapshot_ts DESC) AS rn
+          FROM (SELECT *, year(snapshot_ts) * 2 > min(year(snapshot_ts)) OVER () + max(year(snapshot_ts)) OVER () AS half
+                FROM business_tagged WHERE reject_reason IS NULL))
+    WHERE rn = 1""")
+oracle("load_modes", ("halves",), f"""
+    WITH early AS (SELECT * FROM halves WHERE NOT half), late AS (SELECT * FROM halves WHERE half),
     paired AS (
         SELECT e.business_id AS old_id, l.business_id AS new_id, e.stars AS old_stars, l.stars AS new_stars,
                e.review_count AS old_count, l.review_count AS new_count,
@@ -767,16 +775,16 @@ oracle("load_modes", ("business_tagged",), f"""
                  IS NOT DISTINCT FROM
                row(l.stars, l.review_count, l.is_open, l.city, l.state, l.categories, l.price_range) AS same
         FROM early e FULL JOIN late l ON e.business_id = l.business_id),
+    loads AS (SELECT (SELECT max(load_ts) FROM early) AS t1, (SELECT max(load_ts) FROM late) AS t2, TIMESTAMP '9999-12-31 00:00:00' AS t3),
     versions AS (
-        SELECT 1 AS load_number, business_id, stars, review_count, 1996 AS y1, 9999 AS y2, true AS is_current FROM early
-        UNION ALL SELECT 3, business_id, stars, review_count, 1998, 9999, true FROM late
-        UNION ALL SELECT 2, old_id, old_stars, old_count, 1996, 9999, true FROM paired
+        SELECT 1 AS load_number, business_id, stars, review_count, t1 AS valid_from, t3 AS valid_to, true AS is_current FROM early, loads
+        UNION ALL SELECT 3, business_id, stars, review_count, t2, t3, true FROM late, loads
+        UNION ALL SELECT 2, old_id, old_stars, old_count, t1, t3, true FROM paired, loads
                   WHERE old_id IS NOT NULL AND (new_id IS NULL OR same)
-        UNION ALL SELECT 2, old_id, old_stars, old_count, 1996, 1998, false FROM paired
+        UNION ALL SELECT 2, old_id, old_stars, old_count, t1, t2, false FROM paired, loads
                   WHERE old_id IS NOT NULL AND new_id IS NOT NULL AND NOT same
-        UNION ALL SELECT 2, new_id, new_stars, new_count, 1998, 9999, true FROM paired
+        UNION ALL SELECT 2, new_id, new_stars, new_count, t2, t3, true FROM paired, loads
                   WHERE new_id IS NOT NULL AND (old_id IS NULL OR NOT same))
-    SELECT load_number, business_id, stars, review_count, y1 || '-12-31 00:00:00' AS valid_from,
-           y2 || '-12-31 00:00:00' AS valid_to, is_current
-    FROM versions)""")
+    SELECT load_number, business_id, stars, review_count, {ts('valid_from')}, {ts('valid_to')}, is_current
+    FROM versions""".replace("WITH early", "SELECT * FROM (WITH early", 1) + ")")
 ORACLES["catalog_names"] = ORACLES["flagship_business_monthly"]

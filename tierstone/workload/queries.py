@@ -658,16 +658,21 @@ def staging_views(f: Frames) -> DataFrame:
         "stg_tips": staging.stg_tips(f.stored("silver/tips", f.tips())),
         "stg_checkins": staging.stg_checkins(f.checkins()[0].drop("day")),
     }
-    keys = {"stg_business": "business_id", "stg_users": "user_id", "stg_reviews": "review_id",
-            "stg_tips": "user_id", "stg_checkins": "business_id"}
+    rows = {
+        "stg_business": ("business_id", "valid_from", "review_count"),
+        "stg_users": ("user_id", "valid_from", "engagement_score"),
+        "stg_reviews": ("review_id", "review_date", "total_votes"),
+        "stg_tips": ("user_id", "tip_date", "text_char_len"),
+        "stg_checkins": ("business_id", "checkin_at", "checkin_ordinal"),
+    }
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     parts = [
         f.spark.sql(
-            f"SELECT '{name}' AS view_name, {len(df.columns)} AS columns, count(*) AS row_count, "
-            f"count(DISTINCT {keys[name]}) AS key_count, max({keys[name]}) AS last_key FROM {name}"
+            f"SELECT '{name}' AS view_name, {key} AS row_key, date_format({at}, 'yyyy-MM-dd HH:mm:ss') AS row_time, "
+            f"cast({measure} AS double) AS measure FROM {name}"
         )
-        for name, df in views.items()
+        for name, (key, at, measure) in rows.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -733,19 +738,24 @@ def log_grows_a_column(f: Frames) -> DataFrame:
 def load_modes(f: Frames) -> DataFrame:
     """A table that exists is merged into, one that does not is built, and a full load drops history.
 
-    Businesses as of the earlier and of the later half of the years; the result holds the
-    versions seen after each of three loads.
+    All snapshots, cut at the middle of their years; a load sees the latest of each business on its side.
+    The result holds the versions seen after each of three loads.
     """
     base, seen = f.scratch(), []
     clean, _ = split_rejects(silver.tag_business(f.business_snapshots(), carry=("snapshot_ts",)))
-    for number, (mode, year) in enumerate((("merge", 1996), ("merge", 1998), ("full", 1998)), 1):
-        load_ts = f"{year}-12-31 00:00:00"
-        rows = clean.filter(F.year("snapshot_ts") == year).drop("snapshot_ts")
+    year = F.year("snapshot_ts")
+    stored = write_table(clean.withColumn("year", year), base, "snapshots", ("year",))
+    span = stored.agg(F.min("year").alias("first"), F.max("year").alias("last")).first()  # two numbers
+    late = F.col("year") * 2 > span.first + span.last
+    for number, (mode, side) in enumerate((("merge", ~late), ("merge", late), ("full", late)), 1):
+        rows = stored.filter(side)
+        load_ts = f"{rows.agg(F.max('year')).first()[0]}-12-31 00:00:00"  # one number
+        rows = dedup_latest(rows, ["business_id"], [F.desc("snapshot_ts")]).drop("snapshot_ts", "year")
         known = read_table(f.spark, base, "business") if mode == "merge" and table_exists(f.spark, base, "business") else None
         changes = silver.finish_business(rows, known, load_ts, first_from=None)
-        stored = write_versions(changes, base, "business", keep_history=mode == "merge")
+        versions = write_versions(changes, base, "business", keep_history=mode == "merge")
         seen.append(
-            stored.select(F.lit(number).alias("load_number"), "business_id", "stars", "review_count", "valid_from", "valid_to", "is_current")
+            versions.select(F.lit(number).alias("load_number"), "business_id", "stars", "review_count", "valid_from", "valid_to", "is_current")
         )
     return reduce(DataFrame.unionByName, seen)
 
