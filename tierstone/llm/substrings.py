@@ -90,6 +90,15 @@ def grouped(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, first
 
 
+def to_steps(numbers: np.ndarray) -> bytes:
+    """Ascending numbers as steps in uint32: mostly zero bytes, which compress away."""
+    return np.diff(numbers, prepend=0).astype(np.uint32).tobytes()
+
+
+def from_steps(steps: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(steps, np.uint32), dtype=np.int64)
+
+
 def repeated(first: np.ndarray) -> np.ndarray:
     """Of sorted rows, those whose hash another row has too."""
     last = np.concatenate((first[1:], [True]))[: len(first)]
@@ -123,16 +132,16 @@ def packed(rows: DataFrame, look: Callable, looked: dict[str, str], carried: lis
                 return
             hashes = np.concatenate(parts)
             order, first = grouped(hashes)
-            twice = order[repeated(first)].astype(np.uint32)
+            twice = np.sort(order[repeated(first)])
             if len(twice):
-                yield table([{"chunk": chunk, "entries": np.sort(twice).tobytes()}])
-            one = order[first]
+                yield table([{"chunk": chunk, "entries": to_steps(twice)}])
+            one = np.sort(order[first])
             bucket = (mixed(hashes[one, 0]) % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
             one, bucket = one[by], bucket[by]
             edges = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))).tolist()
             records = [
-                {"chunk": chunk, "bucket": int(bucket[a]), "hashes": hashes[one[a:b]].tobytes(), "entries": one[a:b].astype(np.uint32).tobytes()}
+                {"chunk": chunk, "bucket": int(bucket[a]), "hashes": hashes[one[a:b]].tobytes(), "entries": to_steps(one[a:b])}
                 for a, b in zip(edges[:-1], edges[1:])
             ]
             for at in range(0, len(records), 1000):
@@ -156,7 +165,7 @@ def packed(rows: DataFrame, look: Callable, looked: dict[str, str], carried: lis
 
 
 def repeated_entries(index: DataFrame, key: str, width: int) -> DataFrame:
-    """(key, places): per key the numbers, as uint32, of its entries whose hash occurs elsewhere too.
+    """(key, places): per key the numbers, as steps, of its entries whose hash occurs elsewhere too.
 
     Buckets hold one entry a hash and chunk; what they find goes back to the chunks, where
     document rows turn numbers into places. Documents under one key have the same entries.
@@ -164,7 +173,7 @@ def repeated_entries(index: DataFrame, key: str, width: int) -> DataFrame:
 
     def match(group: pa.Table) -> pa.Table:
         chunks = [np.int64(c) for c in group.column("chunk").to_pylist()]
-        entries = [np.frombuffer(e, np.uint32) for e in group.column("entries").to_pylist()]
+        entries = [from_steps(e) for e in group.column("entries").to_pylist()]
         hashes = np.concatenate([np.frombuffer(h, np.uint64).reshape(-1, width) for h in group.column("hashes").to_pylist()])
         owner = np.repeat(chunks, [len(e) for e in entries])
         order, first = grouped(hashes)
@@ -174,19 +183,19 @@ def repeated_entries(index: DataFrame, key: str, width: int) -> DataFrame:
         owner, entry = owner[by], entry[by]
         edges = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1], [True]))).tolist() if len(owner) else []
         spans = list(zip(edges[:-1], edges[1:]))
-        out = [pa.array([int(owner[a]) for a, _ in spans], pa.int64()), pa.array([entry[a:b].tobytes() for a, b in spans], pa.binary())]
+        out = [pa.array([int(owner[a]) for a, _ in spans], pa.int64()), pa.array([to_steps(entry[a:b]) for a, b in spans], pa.binary())]
         return pa.table(out, names=["chunk", "entries"])
 
     def assign(group: pa.Table) -> pa.Table:
         said = [e for e in group.column("entries").to_pylist() if e is not None]
-        entries = np.unique(np.concatenate([np.frombuffer(e, np.uint32) for e in said])) if said else np.zeros(0, np.uint32)
+        entries = np.unique(np.concatenate([from_steps(e) for e in said])) if said else np.zeros(0, np.int64)
         keys, places = [], []
         for k, first, n in zip(*(group.column(c).to_pylist() for c in (key, "first", "n"))):
             if n:
                 a, b = np.searchsorted(entries, (first, first + n))
                 if a < b:
                     keys.append(k)
-                    places.append((entries[a:b].astype(np.int64) - first).astype(np.uint32).tobytes())
+                    places.append(to_steps(entries[a:b] - first))
         return pa.table([pa.array(keys, pa.binary()), pa.array(places, pa.binary())], names=[key, "places"])
 
     met = index.filter("bucket is not null").select("bucket", "chunk", "hashes", "entries")
@@ -231,7 +240,7 @@ def find_repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     candidates = scratch(rows.join(marked, "text_key"), "candidate-texts")
 
     def starts_of(words: list[bytes], places: bytes) -> np.ndarray:
-        chosen = anchor_places(len(words), window)[np.frombuffer(places, np.uint32)]
+        chosen = anchor_places(len(words), window)[from_steps(places)]
         return window_starts(len(words), chosen, window)
 
     def windows(row: dict) -> tuple[tuple, np.ndarray]:
@@ -250,7 +259,7 @@ def find_repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             made: list[tuple] = []
             for text, places, numbers in zip(texts(batch), texts(batch, "places"), texts(batch, "windows")):
                 words = split(text)
-                starts = starts_of(words, places)[np.frombuffer(numbers, np.uint32)]
+                starts = starts_of(words, places)[from_steps(numbers)]
                 gone = covered_words(len(words), starts, window)
                 edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))).tolist()
                 spans = [{"start": a, "stop": b} for a, b in zip(edges[::2], edges[1::2])]
