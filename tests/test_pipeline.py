@@ -6,7 +6,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from tierstone.plans.pipeline import Catalog, define_gold, run_pipeline
+from tierstone.plans.pipeline import Catalog, define_gold, run_pipeline, run_silver
 from tierstone.sources.tables import read_log, read_quarantine, write_table
 from tierstone.streaming.reviews import stream_reviews
 
@@ -226,3 +226,28 @@ def test_stream_equals_batch(spark, runs, lake, tmp_path):
     want = source.table("silver/reviews").select(*columns)
     assert got.count() == 61 and got.exceptAll(want).isEmpty()
     assert read_quarantine(spark, base, "reviews").agg(F.count(F.lit(1))).first()[0] == 5
+
+
+def test_a_late_load_is_spliced_in(spark, tmp_path):
+    """Three loads, the middle one last: the versions are those of the sorted loads."""
+
+    def state(load):
+        return [{**b, "stars": (3.0, 4.0, 3.0)[load]} if b["business_id"] in ("b0", "b1") else b for b in businesses(0)]
+
+    loads = ("2020-01-01 00:00:00", "2020-06-01 00:00:00", "2021-01-01 00:00:00")
+    got = {}
+    for name, order in (("sorted", (0, 1, 2)), ("late", (0, 2, 1)), ("first last", (1, 2, 0))):
+        base = str(tmp_path / name / "base")
+        catalog = None
+        for load in order:
+            folder = tmp_path / name / f"in{load}"
+            folder.mkdir(parents=True)
+            for entity, rows in {"business": state(load), "user": users(load == 1), "review": reviews(0)[:5], "checkin": [], "tip": [], "photo": []}.items():
+                (folder / f"{entity}.json").write_text("\n".join(json.dumps(r) for r in rows))
+            catalog = run_silver(spark, str(folder), base, loads[load], f"run-{load}", 2019, late="splice")
+        columns = {"silver/business": ("business_id", "stars"), "silver/users": ("user_id", "review_count")}
+        got[name] = {t: sorted(map(str, catalog.table(t).select(*c, "valid_from", "valid_to", "is_current").collect())) for t, c in columns.items()}
+    assert got["late"] == got["sorted"] == got["first last"]
+    assert len(got["sorted"]["silver/business"]) == 6 + 2 * 2
+    with pytest.raises(ValueError):
+        run_silver(spark, str(tmp_path / "late" / "in0"), str(tmp_path / "late" / "base"), loads[0], "run", 2019, late="never")

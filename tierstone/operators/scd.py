@@ -148,6 +148,90 @@ def refuse_late_load(target: DataFrame, load_ts: str | datetime) -> None:
         raise ValueError(f"load of {load_ts} is older than a version of {late.newest}")
 
 
+def splice_late(
+    versions: DataFrame,
+    snapshot: DataFrame,
+    seen: DataFrame,
+    key: str,
+    load_ts: str | datetime | Column,
+    seen_at: str = "seen_at",
+    first_from: str | None = HISTORY_FLOOR,
+) -> DataFrame:
+    """J9/J10 out of order: the table as if ``snapshot`` had been loaded in its turn.
+
+    ``versions`` is a whole type-2 table, ``snapshot`` the late one (unique on ``key``, with ``change_hash``), ``seen`` the rows
+    of all other snapshots loaded so far with their times in ``seen_at``: a version alone does not tell when its
+    key was next seen, and that is where the late version ends. For each key of the snapshot:
+
+    * the version open at the late time has the same hash: it stays (before the first sighting its
+      row is the late one, from which it opens now),
+    * else it is closed there, the late row holds until the key's next sighting, and from there on the old version goes on
+      with the row of that sighting,
+    * if that sighting opened a version with the late hash, the late version takes its place,
+    * a key not known by then opens at the late time, or at ``first_from`` if no sighting came before.
+
+    One join of the snapshot's keys with their versions, and one with their sightings after the late time. Rows of other keys and
+    other versions pass through. Loading the same late snapshot again changes nothing.
+    """
+    at = as_timestamp(load_ts)
+    names, types = versions.columns, {f.name: f.dataType for f in versions.schema}
+    content = [c for c in names if c not in VALIDITY]
+
+    def row_of(df: DataFrame) -> Column:
+        return F.struct(*[(F.col(c) if c in df.columns else F.lit(None)).cast(types[c]).alias(c) for c in content])
+
+    late = snapshot.select(F.col(key).alias("_key"), row_of(snapshot).alias("_late"))
+    after = F.col(seen_at) > at
+    sightings = seen.filter(F.col(seen_at) != at).select(F.col(key).alias("_key"), F.col(seen_at).alias("_seen"), after.alias("_after"), row_of(seen).alias("_row"))
+    sightings = sightings.join(late.select("_key"), "_key", "left_semi").groupBy("_key").agg(
+        F.min_by(F.when(F.col("_after"), F.struct("_seen", "_row")), F.when(F.col("_after"), F.col("_seen"))).alias("_next"),
+        F.coalesce(F.bool_or(~F.col("_after")), F.lit(False)).alias("_earlier"),
+    )
+    each = F.struct(*[F.col(c) for c in names])
+    begins, ends = F.col("valid_from"), F.col("valid_to")
+    touched = versions.join(late.select(F.col("_key").alias(key)), key, "left_semi").groupBy(F.col(key).alias("_key")).agg(
+        F.max_by(F.when((begins <= at) & (ends > at), each), F.when((begins <= at) & (ends > at), begins)).alias("_open"),
+        F.min_by(F.when(begins > at, each), F.when(begins > at, begins)).alias("_then"),
+    )
+    met = late.join(touched, "_key", "left").join(sightings, "_key", "left")
+    met = met.withColumn("_first", ~F.coalesce("_earlier", F.lit(False)))
+    start = at if first_from is None else F.when(F.col("_first"), as_timestamp(first_from)).otherwise(at)
+    now, then = F.col("_open"), F.col("_then")
+    same_now = F.col("_late.change_hash").eqNullSafe(now["change_hash"])
+    same_then = F.col("_late.change_hash").eqNullSafe(then["change_hash"])
+    following = F.col("_next._seen")
+
+    def version(row: Column, begin: Column, end: Column, current: Column) -> Column:
+        given = {"valid_from": begin, "valid_to": end, "is_current": current}
+        return F.struct(*[given.get(c, row[c]).cast(types[c]).alias(c) for c in names])
+
+    open_end, no, yes = as_timestamp(OPEN_END), F.lit(False), F.lit(True)
+    row, next_row = F.col("_late"), F.col("_next._row")
+    known = now.isNotNull()
+    # the version that was open is the first one, and it was first seen only after the late time
+    unseen = known & F.col("_first") & following.isNotNull()
+    takes_over = then.isNotNull() & (following == then["valid_from"]) & same_then
+    late_end = F.when(following.isNull(), F.when(known, now["valid_to"]).otherwise(open_end)).when(takes_over, then["valid_to"]).otherwise(following)
+    late_current = F.when(following.isNull(), F.when(known, now["is_current"]).otherwise(yes)).when(takes_over, then["is_current"]).otherwise(no)
+    goes_on = known & following.isNotNull() & (following < now["valid_to"])
+    unchanged = known & same_now & ~unseen
+    made = F.filter(
+        F.array(
+            F.when(unchanged, now),
+            F.when(known & same_now & unseen, version(row, now["valid_from"], now["valid_to"], now["is_current"])),
+            F.when(known & ~same_now & ~unseen & (now["valid_from"] < at), version(now, now["valid_from"], at, no)),
+            F.when(~(known & same_now), version(row, start, late_end, late_current)),
+            F.when(known & ~same_now & goes_on, version(next_row, following, now["valid_to"], now["is_current"])),
+            F.when(then.isNotNull() & ~((~(known & same_now)) & takes_over), then),
+        ),
+        lambda v: v.isNotNull(),
+    )
+    # the open and the following version of the snapshot's keys are replaced by what is made of them
+    marks = touched.select(F.col("_key").alias("_touched"), F.explode(F.filter(F.array("_open.valid_from", "_then.valid_from"), lambda v: v.isNotNull())).alias("_begin"))
+    rest = versions.join(marks, (F.col(key) == F.col("_touched")) & (begins == F.col("_begin")), "left_anti")
+    return rest.unionByName(met.select(F.explode(made).alias("v")).select("v.*"))
+
+
 def scd2_from_snapshots(
     snapshots: DataFrame,
     key: str,

@@ -23,12 +23,13 @@ def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
     """
     if not 0 < share <= 1:
         raise ValueError("share must be in (0, 1]")
-    counts = _stored(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")))
+    counts = stored(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")))
     total = counts.agg(F.sum("_n")).first()[0] or 0  # one number
-    return _stored(counts.filter(F.col(key).isNotNull() & (F.col("_n") >= share * total)).select(key))
+    return stored(counts.filter(F.col(key).isNotNull() & (F.col("_n") >= share * total)).select(key))
 
 
-def _stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame) -> DataFrame:
+    """Written to the shared folder and read back: computed once, its real size known to the planner."""
     path = f"{shared_dir(df.sparkSession)}/tierstone-hot-{uuid.uuid4()}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import current_keys, fk_flag_by_missing, missing_keys
 from ..operators.quality import REASON, split_unparseable, tag_rejects
-from ..operators.scd import HISTORY_FLOOR, refuse_late_load
+from ..operators.scd import HISTORY_FLOOR, first_versions, refuse_late_load, scd2_changes, splice_late
 from ..session import configure
 from ..sources.bronze import CORRUPT, bronze_path, read_bronze
 from ..sources.tables import (
@@ -89,12 +89,12 @@ class Catalog:
 
     def save(self, name: str, df: DataFrame) -> DataFrame:
         """Materialise under the table's declared layout."""
-        return write_table(df, self.base, name, PARTITIONS.get(name, ()), CLUSTERS.get(name, ()))
+        return write_table(df, self.base, name, PARTITIONS.get(name, ()), CLUSTERS.get(name, ()), curve=True)
 
     def save_versions(self, name: str, changes: DataFrame, keep_history: bool = True) -> DataFrame:
         """S12 for a type-2 table: its closed versions stay where they are."""
         return write_versions(
-            changes, self.base, name, PARTITIONS.get(name, ()), CLUSTERS.get(name, ()), keep_history
+            changes, self.base, name, PARTITIONS.get(name, ()), CLUSTERS.get(name, ()), keep_history, curve=True
         )
 
     def build(self, name: str) -> DataFrame:
@@ -207,6 +207,41 @@ def store_reviews(
         write_table(reviews, base, name, PARTITIONS[name], CLUSTERS[name])
 
 
+def save_snapshot(
+    catalog: Catalog,
+    name: str,
+    key: str,
+    snapshot: DataFrame,
+    load_ts: str,
+    merging: bool,
+    first_from: str | None,
+    late: str,
+) -> DataFrame:
+    """B1, B2 with their tables: merge, rebuild, or splice in a load that arrives late.
+
+    ``late="splice"`` keeps each load's rows under ``seen/``, one folder a load, since a version does not tell when
+    its key was last seen. A spliced load rewrites the table.
+    """
+    spark, seen = catalog.spark, f"{catalog.base}/seen/{name}"
+    known = catalog.table(name) if merging and catalog.exists(name) else None
+    if late == "splice":
+        if known is not None and not path_exists(spark, seen):
+            raise ValueError(f"{name} was begun without late='splice', so its sightings are not known")
+        rows = snapshot.withColumn("seen_at", F.lit(load_ts).cast("timestamp"))
+        mode = "static" if known is None else "dynamic"  # a new table forgets old loads, a repeated load replaces its own
+        dated = rows.withColumn("load", F.lit(load_ts))
+        dated.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("load").parquet(seen)
+        sightings = spark.read.schema(rows.schema).parquet(seen)
+        newer = sightings.filter(F.col("seen_at") > F.lit(load_ts).cast("timestamp"))
+        if known is not None and not newer.isEmpty():
+            table = splice_late(known, snapshot, sightings, key, load_ts, first_from=first_from)
+            return catalog.save_versions(name, table, keep_history=False)
+    if known is not None:
+        refuse_late_load(known, load_ts)
+    changes = first_versions(snapshot, load_ts, first_from) if known is None else scd2_changes(known, snapshot, key, load_ts, first_from)
+    return catalog.save_versions(name, changes, merging)
+
+
 def run_silver(
     spark: SparkSession,
     bronze: str,
@@ -217,34 +252,32 @@ def run_silver(
     load_mode: str = "merge",
     rename: dict[str, dict[str, str]] | None = None,
     first_from: str | None = HISTORY_FLOOR,
+    late: str = "refuse",
 ) -> Catalog:
-    """B1–B6. ``load_mode="merge"`` versions and upserts, ``"full"`` rebuilds without history."""
-    if load_mode not in ("merge", "full"):
-        raise ValueError("load_mode is 'merge' or 'full'")
+    """B1–B6. ``load_mode="merge"`` versions and upserts, ``"full"`` rebuilds without history.
+
+    ``late``: whether a load older than the newest is refused or spliced into the history (see :func:`save_snapshot`).
+    """
+    if load_mode not in ("merge", "full") or late not in ("refuse", "splice"):
+        raise ValueError("load_mode is 'merge' or 'full', late is 'refuse' or 'splice'")
     catalog = Catalog(spark, base)
     merging = load_mode == "merge"
 
     def read(entity: str) -> DataFrame:
         return read_bronze(spark, bronze, entity, (rename or {}).get(entity), keep_corrupt=True)
 
-    def target(name: str) -> DataFrame | None:
-        if not (merging and catalog.exists(name)):
-            return None
-        refuse_late_load(catalog.table(name), load_ts)
-        return catalog.table(name)
-
     def stage(name: str, df: DataFrame) -> DataFrame:
         """Columnar copy of parsed rows, so several readers share one parse."""
         return write_table(df, base, f"staging/{name}")
 
     clean = quarantine_rejects(base, "business", stage("business", silver.tag_business(read("business"))), run_id)
-    changes = silver.finish_business(clean, target("silver/business"), load_ts, first_from)
-    business = catalog.save_versions("silver/business", changes, merging)
+    snapshot = silver.business_snapshot(clean, load_ts)
+    business = save_snapshot(catalog, "silver/business", "business_id", snapshot, load_ts, merging, first_from, late)
     catalog.save("silver/business_categories", silver.business_categories(clean).distinct())
 
     clean = quarantine_rejects(base, "users", stage("users", silver.tag_users(read("user"), snapshot_year)), run_id)
-    changes = silver.finish_users(clean, target("silver/users"), load_ts, first_from)
-    users = catalog.save_versions("silver/users", changes, merging)
+    snapshot = silver.user_snapshot(clean, load_ts)
+    users = save_snapshot(catalog, "silver/users", "user_id", snapshot, load_ts, merging, first_from, late)
     catalog.save("silver/user_elite_years", silver.user_elite_years(clean).distinct())
 
     store_reviews(read("review"), base, business, users, load_ts, run_id, merging)
@@ -315,10 +348,11 @@ def run_pipeline(
     rename: dict[str, dict[str, str]] | None = None,
     first_from: str | None = HISTORY_FLOOR,
     hot_share: float | None = None,
+    late: str = "refuse",
 ) -> RunResult:
     """B1–B7, M1–M9 and all checks, in dependency order. One run at a time per base folder."""
     configure(spark)
-    catalog = run_silver(spark, bronze, base, load_ts, run_id, snapshot_year, load_mode, rename, first_from)
+    catalog = run_silver(spark, bronze, base, load_ts, run_id, snapshot_year, load_mode, rename, first_from, late)
     define_gold(catalog, load_ts, hot_share=hot_share)
     for name in GOLD_ORDER:
         catalog.build(name)

@@ -124,9 +124,14 @@ def finish_business(
 
     With a target, closed versions it already has are not among the result.
     """
+    return _version(business_snapshot(clean, load_ts), target, "business_id", load_ts, first_from)
+
+
+def business_snapshot(clean: DataFrame, load_ts: Stamp) -> DataFrame:
+    """One row per business, with its change hash: what a load compares and a late load is spliced in by."""
     clean = clean.drop(CORRUPT)
     unique = dedup_latest(clean, ["business_id"], [F.col("review_count").desc(), _content_order(clean)])
-    return _version(unique, target, "business_id", BUSINESS_TRACKED, load_ts, first_from)
+    return _stamped(unique, BUSINESS_TRACKED, load_ts)
 
 
 def business_categories(clean: DataFrame) -> DataFrame:
@@ -155,18 +160,14 @@ def _whole(changes: DataFrame, target: DataFrame | None) -> DataFrame:
     return target.filter(~F.col("is_current")).unionByName(changes, allowMissingColumns=True)
 
 
-def _version(
-    snapshot: DataFrame,
-    target: DataFrame | None,
-    key: str,
-    tracked: tuple[str, ...],
-    load_ts: Stamp,
-    first_from: str | None,
-) -> DataFrame:
-    stamped = snapshot.withColumns({"change_hash": change_hash(*tracked), "loaded_at": as_timestamp(load_ts)})
+def _stamped(unique: DataFrame, tracked: tuple[str, ...], load_ts: Stamp) -> DataFrame:
+    return unique.withColumns({"change_hash": change_hash(*tracked), "loaded_at": as_timestamp(load_ts)})
+
+
+def _version(snapshot: DataFrame, target: DataFrame | None, key: str, load_ts: Stamp, first_from: str | None) -> DataFrame:
     if target is None:
-        return first_versions(stamped, load_ts, first_from)
-    return scd2_changes(target, stamped, key, load_ts, first_from)
+        return first_versions(snapshot, load_ts, first_from)
+    return scd2_changes(target, snapshot, key, load_ts, first_from)
 
 
 # ---------------------------------------------------------------- users
@@ -220,9 +221,14 @@ def finish_users(
     clean: DataFrame, target: DataFrame | None, load_ts: Stamp, first_from: str | None = HISTORY_FLOOR
 ) -> DataFrame:
     """Current and newly closed versions, as :func:`finish_business`."""
+    return _version(user_snapshot(clean, load_ts), target, "user_id", load_ts, first_from)
+
+
+def user_snapshot(clean: DataFrame, load_ts: Stamp) -> DataFrame:
+    """One row per user, as :func:`business_snapshot`."""
     rows = clean.drop("elite", CORRUPT)
     unique = dedup_latest(rows, ["user_id"], [F.col("review_count").desc(), _content_order(rows)])
-    return _version(unique, target, "user_id", USER_TRACKED, load_ts, first_from)
+    return _stamped(unique, USER_TRACKED, load_ts)
 
 
 def user_elite_years(clean: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..operators.scd import upsert
+from .clustering import CURVE, curve_key, quantile_bounds
 
 VERSION = "version"
 _PREFIX = f"{VERSION}="
@@ -112,7 +113,13 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return every.filter(shown).drop(VERSION)
 
 
-def lay_out(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> DataFrame:
+def lay_out(
+    df: DataFrame,
+    partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+    curve: bool = False,
+    files: int | None = None,
+) -> DataFrame:
     """Arrange rows for the write.
 
     With ``cluster_by``, rows are range-partitioned on partition *and* cluster
@@ -124,9 +131,13 @@ def lay_out(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequenc
     and join small ones, by their measured size.
     """
     if cluster_by:
-        ranges = [*partition_by, *cluster_by]
         spread = F.xxhash64(*[F.col(c) for c in df.columns])
-        return df.repartitionByRange(*ranges, spread).sortWithinPartitions(*ranges)
+        ranges = [*partition_by, *cluster_by]
+        if curve and len(cluster_by) > 1:
+            df = df.withColumn(CURVE, curve_key(quantile_bounds(df, cluster_by)))
+            ranges = [*partition_by, CURVE, *cluster_by]
+        number = () if files is None else (files,)
+        return df.repartitionByRange(*number, *ranges, spread).sortWithinPartitions(*ranges).drop(CURVE)
     if partition_by:
         return df.hint("rebalance", *[F.col(c) for c in partition_by])
     return df
@@ -138,22 +149,35 @@ def write_table(
     name: str,
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
+    curve: bool = False,
+    files: int | None = None,
 ) -> DataFrame:
-    """Write a new version of the table and return its scan."""
-    return _write_version(df, base, name, partition_by, cluster_by)
+    """Write a new version of the table and return its scan.
+
+    With ``curve`` the rows are stored first and laid out from there, so that a costly
+    frame is computed once, not once for its quantiles, once for its ranges and once to be written.
+    """
+    return _write_version(df, base, name, partition_by, cluster_by, curve, files)
 
 
 def _write_version(
-    df: DataFrame, base: str, name: str, partition_by: Sequence[str], cluster_by: Sequence[str], **facts
+    df: DataFrame, base: str, name: str, partition_by: Sequence[str], cluster_by: Sequence[str],
+    curve: bool = False, files: int | None = None, **facts
 ) -> DataFrame:
     spark = df.sparkSession
     path = table_path(base, name)
     target = f"{path}/{_PREFIX}{max(_versions(spark, path), default=0) + 1:06d}"
-    writer = lay_out(df, partition_by, cluster_by).write.mode("errorifexists")
+    curve, staged = curve and len(cluster_by) > 1, f"{path}/_unsorted"
+    if curve:
+        df.write.mode("overwrite").parquet(staged)
+        df = spark.read.schema(df.schema).parquet(staged)
+    writer = lay_out(df, partition_by, cluster_by, curve, files).write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     _put_facts(spark, target, df.schema, **facts)
     writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(target)
+    if curve:
+        _delete(spark, staged)
     return read_table(spark, base, name)
 
 
@@ -164,6 +188,7 @@ def write_versions(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
     keep_history: bool = True,
+    curve: bool = False,
 ) -> DataFrame:
     """A type-2 table after a load, without touching its history.
 
@@ -177,7 +202,7 @@ def write_versions(
     number = max(_versions(spark, path), default=0) + 1
     before = current_version(spark, base, name) if keep_history else None
     since = _get_facts(spark, before).get("since", number) if before else number
-    return _write_version(changes, base, name, ("is_current", *partition_by), cluster_by, since=since)
+    return _write_version(changes, base, name, ("is_current", *partition_by), cluster_by, curve, since=since)
 
 
 def drop_old_versions(spark: SparkSession, base: str, name: str, keep: int = 2) -> None:
@@ -190,6 +215,39 @@ def drop_old_versions(spark: SparkSession, base: str, name: str, keep: int = 2)
         _delete(spark, folder if since is None or number < since else f"{folder}/is_current=true")
 
 
+def compact(
+    spark: SparkSession,
+    base: str,
+    name: str,
+    partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+    target_bytes: int = 128 << 20,
+    slack: int = 2,
+) -> bool:
+    """Rewrite the table into files of about ``target_bytes``, if it has more than ``slack`` times as many.
+
+    Sizes are the files' own, one row a file summed where they are; the driver gets two numbers. The rewrite is a new
+    version, so readers keep the old one until it is complete and see the same rows. For a type-2 table
+    it gathers the closed versions that loads have left in many folders, and later readers go back no further.
+    """
+    table = read_table(spark, base, name)
+    facts = _get_facts(spark, current_version(spark, base, name))
+    per_file = table.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.max("_metadata.file_size").alias("bytes"))
+    found = per_file.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    wanted = max(1, -(-found.bytes // target_bytes))
+    # a partition or cluster range with rows is a file at least; ranges are cut by number, so partitions add few
+    if found.files <= slack * wanted:
+        return False
+    ranges = tuple(cluster_by) or tuple(c for c in table.columns if c not in partition_by)[:1]
+    if "since" in facts:
+        number = max(_versions(spark, table_path(base, name)), default=0) + 1
+        partition_by = ("is_current", *[c for c in partition_by if c != "is_current"])
+        _write_version(table, base, name, partition_by, ranges, False, wanted, since=number)
+    else:
+        _write_version(table, base, name, partition_by, ranges, False, wanted)
+    return True
+
+
 def replace_partitions(
     changed: DataFrame, base: str, name: str, partition_by: Sequence[str], cluster_by: Sequence[str] = ()
 ) -> DataFrame:

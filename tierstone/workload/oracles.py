@@ -788,3 +788,18 @@ oracle("load_modes", ("halves",), f"""
     SELECT load_number, business_id, stars, review_count, {ts('valid_from')}, {ts('valid_to')}, is_current
     FROM versions""".replace("WITH early", "SELECT * FROM (WITH early", 1) + ")")
 ORACLES["catalog_names"] = ORACLES["flagship_business_monthly"]
+ORACLES["scd2_late_snapshots"] = ORACLES["scd2_supplier_history"]
+ORACLES["compacted_history"] = ORACLES["scd2_supplier_history"]
+oracle("as_of_join_many_versions", (), """
+    SELECT l_orderkey, l_linenumber, l.o_orderpriority, strftime(l.ship_date, '%Y-%m-%d') AS ship_date,
+           cast(orders_then AS double) AS orders_then, cast(cents_then AS double) AS cents_then
+    FROM (SELECT l_orderkey, l_linenumber, o_orderpriority, cast(l_shipdate AS date) AS ship_date
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey) l
+    ASOF LEFT JOIN (SELECT o_orderpriority, cast(o_orderdate AS date) AS day, count(*) AS orders_then,
+                           sum(cast(round(o_totalprice * 100) AS bigint)) AS cents_then
+                    FROM orders GROUP BY ALL) v
+      ON l.o_orderpriority = v.o_orderpriority AND l.ship_date >= v.day""")
+oracle("clustered_by_second_column", (), """
+    SELECT l_suppkey, count(*) AS lines, cast(sum(cast(round(l_extendedprice * 100) AS bigint)) AS bigint) AS cents,
+           strftime(min(l_shipdate), '%Y-%m-%d %H:%M:%S') AS first_day
+    FROM lineitem WHERE l_shipdate >= '1995-04-01' AND l_shipdate < '1995-07-01' GROUP BY l_suppkey""")

@@ -15,17 +15,18 @@ from pyspark.sql import functions as F
 from ..functions.expressions import avg_round, count_when, safe_pct
 from ..functions.features import sentiment, text_features, vote_features
 from ..functions.hashing import change_hash, surrogate_key
+from ..operators.asof import as_of_join
 from ..operators.joins import current_keys, fk_flag, orphans, point_in_time_join
 from ..operators.nested import explode_delimited, explode_events, flatten_attributes, flatten_hours
 from ..operators.quality import REASON, split_rejects, tag_rejects
-from ..operators.scd import current_only, dedup_latest, first_versions, refuse_late_load, scd2_changes, upsert
+from ..operators.scd import current_only, dedup_latest, first_versions, refuse_late_load, scd2_changes, scd2_merge, splice_late, upsert
 from ..operators.spine import date_spine_of
 from ..operators.windows import cumulative, delta, pct_change, periods, prior, rank_in, rolling, with_rank
 from ..plans import aggregates, checks, dimensions, silver, staging
 from ..plans.monitoring import SourceFrames, ingestion_metrics, quarantine_alerts
 from ..plans.pipeline import Catalog, define_gold, flag_by_stored_keys
 from ..sources.bronze import read_bronze
-from ..sources.tables import append_log, append_quarantine, read_quarantine, read_log, read_table, table_exists, upsert_partitions, write_table, write_versions
+from ..sources.tables import append_log, append_quarantine, compact, read_quarantine, read_log, read_table, table_exists, upsert_partitions, write_table, write_versions
 from .frames import PAGE_LANGUAGES, Frames, cents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,7 +43,7 @@ NULLABLE_COUNTS = frozenset(
     (
         "price_range", "price_range_then", "sat_open", "sat_close", "sun_open", "sun_close", "category_count",
         "user_total_reviews_at_review_time", "user_engagement_at_review_time", "prior_month_reviews",
-        "prior_year_reviews", "prior_lines", "mom_delta", "cohort_size_year_0", "bronze_row_count",
+        "prior_year_reviews", "prior_lines", "orders_then", "cents_then", "mom_delta", "cohort_size_year_0", "bronze_row_count",
     )
 )
 
@@ -174,6 +175,50 @@ def scd2_merge_snapshots(f: Frames) -> DataFrame:
     return unhashed(target.drop("categories_list"))
 
 
+@register
+def scd2_late_snapshots(f: Frames) -> DataFrame:
+    """J9/J10 out of order: yearly snapshots loaded every other year first, then the years between.
+
+    Snapshots newer than the table are merged, older ones spliced in; the history is that of the sorted loads.
+    """
+    clean, _ = split_rejects(silver.tag_business(f.business_snapshots(), carry=("snapshot_ts",)))
+    base, target = f.scratch(), None
+    staged = write_table(
+        clean.withColumn("change_hash", change_hash(*silver.BUSINESS_TRACKED)).withColumnRenamed("snapshot_ts", "seen_at"),
+        base, "snapshots", partition_by=("seen_at",),
+    )
+    # one row per snapshot: the list of loads, not data
+    times = [r.seen_at for r in staged.select("seen_at").distinct().orderBy("seen_at").collect()]
+    loaded: list = []
+    for load_ts in times[1::2] + times[::2][::-1]:
+        snapshot = staged.filter(F.col("seen_at") == F.lit(load_ts)).drop("seen_at")
+        if target is None:
+            changed = first_versions(snapshot, load_ts, first_from=None)
+        elif load_ts > max(loaded):
+            changed = scd2_merge(target, snapshot, "business_id", load_ts, first_from=None)
+        else:
+            seen = staged.filter(F.col("seen_at").isin(loaded))
+            changed = splice_late(target, snapshot, seen, "business_id", load_ts, first_from=None)
+        target = write_table(changed, base, "business")
+        loaded.append(load_ts)
+    return unhashed(target.drop("categories_list"))
+
+
+@register
+def compacted_history(f: Frames) -> DataFrame:
+    """One load per snapshot, each leaving files of its own, then gathered into one."""
+    clean, _ = split_rejects(silver.tag_business(f.business_snapshots(), carry=("snapshot_ts",)))
+    base, target = f.scratch(), None
+    staged = write_table(clean.withColumn("change_hash", change_hash(*silver.BUSINESS_TRACKED)), base, "snapshots", partition_by=("snapshot_ts",))
+    # one row per snapshot: the list of loads, not data
+    for load_ts in [r.snapshot_ts for r in staged.select("snapshot_ts").distinct().orderBy("snapshot_ts").collect()]:
+        snapshot = staged.filter(F.col("snapshot_ts") == F.lit(load_ts)).drop("snapshot_ts")
+        changes = first_versions(snapshot, load_ts, None) if target is None else scd2_changes(target, snapshot, "business_id", load_ts, None)
+        target = write_versions(changes, base, "business")
+    compact(f.spark, base, "business", cluster_by=("business_id",))
+    return unhashed(read_table(f.spark, base, "business").drop("categories_list"))
+
+
 @register
 def current_versions(f: Frames) -> DataFrame:
     """S3, J2, A11."""
@@ -248,6 +293,23 @@ def _rated(f: Frames, hot_share: float | None) -> DataFrame:
     return point_in_time_join(lines, f.business(), "business_id", "ship_date", columns, hot_share=hot_share)
 
 
+@register
+def as_of_join_many_versions(f: Frames) -> DataFrame:
+    """J3 for keys with thousands of versions: every line with the day's totals of its order priority.
+
+    Five priorities, a version for every day with orders; a third of the lines or more may share a key.
+    """
+    totals = f.table("orders").groupBy("o_orderpriority", F.col("o_orderdate").cast("timestamp").alias("valid_from")).agg(
+        F.count(F.lit(1)).alias("orders_then"), F.sum(cents("o_totalprice")).alias("cents_then")
+    )
+    following = F.lead("valid_from").over(periods(["o_orderpriority"], ["valid_from"]))
+    versions = totals.withColumn("valid_to", F.coalesce(following, F.lit("9999-12-31 00:00:00").cast("timestamp")))
+    lines = f.table("lineitem").join(f.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = lines.select("l_orderkey", "l_linenumber", "o_orderpriority", F.col("l_shipdate").cast("date").alias("ship_date"))
+    columns = ("orders_then", "cents_then")
+    return as_of_join(lines, versions, "o_orderpriority", "ship_date", columns, hot_share=0.1)
+
+
 @register
 def orphan_lineitems(f: Frames) -> DataFrame:
     """J8/Q6."""
@@ -648,6 +710,16 @@ def partitioned_clustered_roundtrip(f: Frames) -> DataFrame:
     return summed(stored.filter("ship_year < 1998")).unionByName(summed(stored.filter("ship_year >= 1998")))
 
 
+@register
+def clustered_by_second_column(f: Frames) -> DataFrame:
+    """Lines laid out along a curve over supplier and ship date, read by the second of the two."""
+    stored = write_table(f.table("lineitem"), f.scratch(), "lines", cluster_by=("l_suppkey", "l_shipdate"), curve=True, files=16)
+    quarter = stored.filter((F.col("l_shipdate") >= "1995-04-01") & (F.col("l_shipdate") < "1995-07-01"))
+    return quarter.groupBy("l_suppkey").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(cents("l_extendedprice")).alias("cents"), F.min("l_shipdate").alias("first_day")
+    )
+
+
 @register
 def staging_views(f: Frames) -> DataFrame:
     """Staging projections registered as views and queried by name."""
