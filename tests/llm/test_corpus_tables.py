@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
@@ -236,6 +237,43 @@ def test_mix_matches_brute_force(make):
             place += n
 
 
+def test_equal_rows_are_spread_over_shards(make):
+    """Six tenths of the rows are one row without an id; no stream holds many of them."""
+    rows = [(None, "w " * 40, None, "hot")] * 600 + [(i, "w " * 30, None, "abc"[i % 3]) for i in range(400)]
+    got = mixed(make(*rows), shard_tokens=2_000)
+    check_mix(rows, got, slack=2 * mixing.BLOCK_TOKENS * 20)
+    per_shard = defaultdict(int)
+    for r in got:
+        per_shard[r.shard] += r.doc_id is None
+    assert len(per_shard) >= 15 and max(per_shard.values()) <= 600 / len(per_shard) + 1
+    few = mixed(make(*[(None, None, None, "x")] * 500, (1, "a b", None, "x")), shard_documents=50)
+    assert len({r.shard for r in few}) == 11
+
+
+def test_mix_does_not_depend_on_order_or_partitions(spark, make, tmp_path):
+    """Rows of one id and size but different texts, and copies, get the same shares however they come."""
+    rng = random.Random(9)
+    rows = [(rng.randrange(4), " ".join(rng.choice("abc") for _ in range(rng.choice([3, 20, 45]))), None, rng.choice(["s", "t", None])) for _ in range(300)]
+    rows += [(7, "same words over and over " * 4, None, "s")] * 90 + [(8, None, None, "s"), (9, "", None, "t")]
+    seen = []
+    for n, (some, parts) in enumerate(((rows, 1), (rows[::-1], 1), (rows, 7))):
+        make(*some).repartition(parts).write.parquet(f"{tmp_path}/{n}")
+        out = mixing.mixed_documents(spark.read.parquet(f"{tmp_path}/{n}")).collect()
+        seen.append(sorted((r.doc_id, r.text, r.source or "", r.size, r.taken) for r in out))
+        taken = sorted((r.doc_id, r.source or "", r.size, r.taken) for r in mixed(make(*some)) if r.taken)
+        assert taken == sorted((i, s, n, t) for i, _, s, n, t in seen[-1])
+    assert seen[0] == seen[1] == seen[2]
+    assert len({t for i, *_, t in seen[0] if i == 7}) > 1  # equal rows, unequal shares
+
+
+def test_picked_blocks_are_as_many_as_asked(spark):
+    cases = [(n, rest, seed) for n in (1, 2, 13, 1_000_002) for rest in {0, 1, n // 3, n} for seed in (0, 5, -77)]
+    for n, rest, seed in cases:
+        k = spark.range(n)
+        got = k.filter(mixing.picked(F.col("id"), F.lit(rest), F.lit(n), F.lit(seed))).agg(F.count("*"), F.max("id") - F.min("id")).first()
+        assert got[0] == rest and (rest < 2 or rest == n or got[1] > n / 3)
+
+
 def test_mix_of_odd_and_empty_tables(make):
     got = mixed(make(*ODD))
     assert len(got) == len(ODD)
@@ -244,7 +282,8 @@ def test_mix_of_odd_and_empty_tables(make):
     assert [(r.size, r.target, r.taken) for r in mixed(make((1, None), (2, "")))] == [(0, 0.0, 0)] * 2
     clashing = make(*ODD).selectExpr("*", "1 as size", "2 as row", "3 as taken", "4 as shard")
     out = mixing.mixed_documents(clashing)
-    assert all(r.taken > 0 for r in out.collect()) and set(out.columns) >= {"doc_id", "text", "row", "shard", "size", "target"}
+    assert out.columns == [*clashing.columns, "_size", "source_size", "target", "_taken"]
+    assert all(r._taken > 0 and r.size == 1 for r in out.collect())
 
 
 # ---------------------------------------------------------------- chat

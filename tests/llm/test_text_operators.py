@@ -1,10 +1,14 @@
 """Language, tokens, quality rules, personal data, site quality."""
 
+import math
 import random
 import re
+import unicodedata
 import zlib
 
+import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import brute
@@ -54,6 +58,59 @@ def test_sample_is_bounded_though_ids_repeat(make):
     assert langid.sample(docs, 5).count() <= 5 * 3
 
 
+def test_numerals_are_no_letters(make):
+    model = langid.train(make(*corpus(4, 200)), per_language=30, landmarks=8)
+    texts = ["½ ² ①", "Ⅷ", "٣ ४", "_ - 12", "ª", "ǅ", "the"]
+    got = {r.doc_id: r.lang_pred for r in langid.predict(make(*enumerate(texts)), model).collect()}
+    assert [got[i] == "und" for i in range(7)] == [True] * 4 + [False] * 3
+    assert all((unicodedata.category(c)[0] == "L") == langid.has_letter(c) for c in map(chr, range(0x3000)))
+
+
+def test_predictions_keep_columns_that_clash(make):
+    docs = make((1, "the tion")).withColumnRenamed("lang", "lang_pred").withColumnRenamed("source", "Score")
+    assert langid.predict(docs, None).columns == ["doc_id", "text", "lang_pred", "Score", "n_chars", "_lang_pred", "_score"]
+
+
+def plain_language_scores(train, texts, landmarks, ridge):
+    """Kernel ridge regression over the landmarks by the normal equations, from sets of buckets."""
+    bags = [set(np.flatnonzero(langid.presence(t)).tolist()) for _, t in train]
+    kernel = lambda a, b: len(a & b) / math.sqrt(max(len(a), 1) * max(len(b), 1))
+    langs = sorted({lang for lang, _ in train})
+    chosen = [i for lang in langs for i in [k for k, (own, _) in enumerate(train) if own == lang][:landmarks]]
+    k_nm = np.array([[kernel(a, bags[j]) for j in chosen] for a in bags])
+    k_mm = k_nm[chosen]
+    y = np.array([[1.0 if lang == name else -1.0 for name in langs] for lang, _ in train])
+    weight = np.array([1 / sum(own == lang for own, _ in train) for lang, _ in train])
+    weight *= len(train) / weight.sum()
+    left = k_nm.T @ (k_nm * weight[:, None]) + ridge * len(train) / len(chosen) * k_mm
+    alpha = np.linalg.lstsq(left, k_nm.T @ (y * weight[:, None]), rcond=None)[0]
+    out = []
+    for t in texts:
+        bag = set(np.flatnonzero(langid.presence(t)).tolist())
+        e = np.exp(4 * np.array([kernel(bag, bags[j]) for j in chosen]) @ alpha)
+        out.append(e / e.sum())
+    return langs, out
+
+
+def test_language_matches_plain_kernel_ridge(make):
+    rows = corpus(8, 260)
+    docs = make(*rows)
+    chosen = langid.sample(docs, 20).orderBy("lang", "doc_id").collect()
+    text_of = {i: t for i, t, _, _ in rows}
+    by_hash = sorted((xxhash.xxh64_intdigest((11).to_bytes(4, "little"), xxhash.xxh64_intdigest(i.to_bytes(8, "little"), 42)), i, lang) for i, _, lang, _ in rows if zlib.crc32(str(i).encode()) % 5)
+    signed = sorted((h - (1 << 64) if h >> 63 else h, i, lang) for h, i, lang in by_hash)
+    want = {lang: {i for _, i, own in [s for s in signed if s[2] == lang][:20]} for lang in STEMS}
+    assert {lang: {r.doc_id for r in chosen if r.lang == lang} for lang in STEMS} == want  # the limit on hashes changes nothing
+    train = [(r.lang, text_of[r.doc_id]) for r in chosen]
+    langs, plain = plain_language_scores(train, [t for _, t, _, _ in rows], 6, 1e-2)
+    got = {r.doc_id: r for r in langid.predict(docs, langid.train(docs, per_language=20, landmarks=6)).collect()}
+    for (i, *_), scores in zip(rows, plain):
+        assert got[i].score == pytest.approx(scores.max(), abs=2e-3)
+        if np.sort(scores)[-1] - np.sort(scores)[-2] > 0.01:
+            assert got[i].lang_pred == langs[int(scores.argmax())]
+
+
+
 TEXTS = [None, "", " ", "  two  spaces ", "a\nb\tc", "▁x ▁", "</s><s> [INST] x", "ünḯcôde \U0001f600\U0001f600", "a\x00b", "x" * 3000, "tab\t\tend ", "1,234.56 $$$ %%% ###"]
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,16 +11,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tierstone.llm.common import crc_fold, extended, scratch, texts
+from tierstone.llm.common import crc_fold, extended, free_name, scratch, texts
 
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+#: A language's candidates for the training sample: so many times the rows wanted.
+CANDIDATES = 4
 # Odd multipliers of the n-gram hash, one per place.
 PLACES = np.array([2654435761, 2246822519, 3266489917, 668265263], np.uint32)
 
 
+def has_letter(text: str) -> bool:
+    """Whether some character is of a Unicode letter category; digits, fractions and letter-like numerals are not."""
+    return any(map(str.isalpha, text))
+
+
 def presence(text: str | None) -> np.ndarray:
     """Which buckets the n-grams of the lower-cased text fall in: the blended spectrum, as presence."""
     row = np.zeros(BUCKETS, bool)
@@ -56,11 +61,21 @@ class Model:
 def sample(docs: DataFrame, per_language: int, seed: int = 11) -> DataFrame:
     """doc_id, lang, bits: at most `per_language` training rows of each language, by seeded order.
 
-    Ids are chosen on narrow columns; only the chosen rows' texts are read into features.
+    Ids are chosen on narrow columns; only the chosen rows' texts are read into features. The order is that of a
+    hash of the id, so a first limit on the hash itself leaves some CANDIDATES * `per_language` ids a language
+    where they are read, and no task ranks more, however many rows or scan tasks there are. Ties are rows of one id.
     """
     labelled = docs.filter(F.col("lang").isNotNull() & (crc_fold(F.col("doc_id")) != 0))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id")
-    ids = labelled.select("doc_id", "lang").distinct().withColumn("place", F.row_number().over(order))
+    place = F.xxhash64("doc_id", F.lit(seed))
+    sizes = labelled.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).collect()  # one row a language
+    if not sizes:
+        return docs.sparkSession.createDataFrame([], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, bits binary")
+    # hashes are uniform: below this share of them lie about CANDIDATES * per_language ids of a language, however many rows it has
+    shares = {r["lang"]: min(1.0, CANDIDATES * per_language / max(r["n"], 1)) for r in sizes}
+    limits = F.create_map(*[F.lit(x) for lang, share in shares.items() for x in (lang, min(int(share * (1 << 64)), (1 << 64) - 1) - (1 << 63))])
+    near = labelled.select("doc_id", "lang").filter(place <= limits[F.col("lang")]).distinct()
+    order = Window.partitionBy("lang").orderBy(place, "doc_id")
+    ids = near.withColumn("place", F.row_number().over(order))
     ids = scratch(ids.filter(F.col("place") <= per_language).select("doc_id", "lang"), "training-ids")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,7 +93,9 @@ def train(docs: DataFrame, per_language: int = 400, landmarks: int = 64, ridge:
     """One-versus-rest kernel ridge regression in the Nyström features of the landmarks.
 
     Fitted on at most `per_language` rows of each language, the first `landmarks` of which
-    are landmarks. Only hashed presence bits reach the driver, 2 KB a row.
+    are landmarks. Only hashed presence bits reach the driver, 2 KB a row, 0.8 MB a language; the model that is
+    broadcast has 4 MB a language. `lang` is meant for up to some hundred languages. An empty table, or
+    one without labels, gives no model.
     """
     rows = sample(docs, per_language).orderBy("lang", "doc_id").collect()
     if not rows:
@@ -110,9 +127,11 @@ def train(docs: DataFrame, per_language: int = 400, landmarks: int = 64, ridge:
 def predict(docs: DataFrame, model: Model | None, names: tuple[str, str] = ("lang_pred", "score"), batch_rows: int = 256) -> DataFrame:
     """Language and score (columns `names`) for every row, by batched products of presence rows and landmarks.
 
-    Only the text is an input. Null text, text without a letter, or no model: `und`, score 0.
-    Other columns of `docs` stay.
+    Only the text is an input. Null text, text without a letter, or no model: `und`, score 0. Of equally scored
+    languages the first by name is taken. Whole texts of any length count; repeated rows stay; an empty table gives
+    no rows. All columns of `docs` stay; `names` get underscores before them where they are taken.
     """
+    names = tuple(free_name(docs, n) for n in names)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +142,7 @@ def predict(docs: DataFrame, model: Model | None, names: tuple[str, str] = ("lan
                 langs, best = [UNKNOWN] * part.num_rows, [0.0] * part.num_rows
                 rows, places = np.zeros((part.num_rows, BUCKETS), bool), []
                 for i, text in enumerate(texts(part)):
-                    if model and text and LETTER.search(text):
+                    if model and text and has_letter(text):
                         rows[len(places)] = presence(text)
                         places.append(i)
                 if places:
@@ -132,9 +151,8 @@ def predict(docs: DataFrame, model: Model | None, names: tuple[str, str] = ("lan
                         langs[i], best[i] = model.languages[int(own.argmax())], float(own.max())
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(best, pa.float64())], schema.names)
 
-    kept = docs.drop(*names)
-    schema = extended(kept.schema, **{names[0]: "string", names[1]: "double"})
-    return kept.mapInArrow(run, schema)
+    schema = extended(docs.schema, **{names[0]: "string", names[1]: "double"})
+    return docs.mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame, **training) -> DataFrame:

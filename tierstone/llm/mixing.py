@@ -11,16 +11,16 @@ from pyspark.sql.window import Window
 from tierstone.llm.common import count_words, free_name, scratch
 
 BLOCK_TOKENS = 32
-SHARD_TOKENS = 20_000_000
-# Multipliers of the block permutation; whichever does not divide the block count is used.
-MULTIPLIERS = (1_000_003, 998_244_353)
+#: A stream, which one task sorts, holds about so many words and so many documents at most.
+SHARD_TOKENS, SHARD_DOCUMENTS = 20_000_000, 1_000_000
 
 
 def source_targets(sources: DataFrame, weights: Sequence[int], share: tuple[int, int], limit: int) -> DataFrame:
     """Target of each source: `share` of all sizes by weight, none above `limit` times its size.
 
     `sources` has (source, source_size), one row per source. Sources in code point order,
-    null last, take the weights in turn. Filling in the order of limit/weight gives the
+    null last, take the weights in turn; they are numbered and summed in one task, one row a source,
+    which is meant for up to some millions of sources. Filling in the order of limit/weight gives the
     level at which the excess of stopped sources has been reshared until none is above.
     Everything stays integral up to one division.
     """
@@ -80,28 +80,42 @@ def mix(
     limit: int = 2,
     block_tokens: int = BLOCK_TOKENS,
     shard_tokens: int = SHARD_TOKENS,
+    shard_documents: int = SHARD_DOCUMENTS,
     seed: int = 7,
-    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """doc_id, size, source_size, target, taken, plus source and shard, per document.
+    """doc_id, size, source_size, target, taken, plus source, text_hash and shard, per document.
 
-    Each (source, shard) is a stream of documents in seeded order, cut into blocks of
-    `block_tokens` words. Integer quotas of blocks are allotted to sources, then within a
+    Rows equal in id, source and text are counted first. Each (source, shard) is a stream of documents in seeded
+    order, cut into blocks of `block_tokens` words. Integer quotas of blocks are allotted to sources, then within a
     source to its shards, both by highest quotients. A quota of more blocks than the stream
-    has takes whole rounds first; the rest are the blocks that a seeded permutation maps
-    below the remaining quota. A document's `taken` is what its words have in taken blocks.
+    has takes whole rounds first; the rest are blocks picked by a seeded rule (`picked`).
+    A document's `taken` is what its words have in taken blocks.
     Rounds end at `limit`, so no document exceeds `limit` times its size.
 
     Null text has size 0 and is taken 0 times; null is a source of its own (last); repeated
-    rows are separate documents. An empty table gives an empty result. Columns other than
-    doc_id, text, source and those named in `carry` are not read. A shard holds about `shard_tokens` words, however
-    hot its source, so no task gets more as the corpus grows.
+    rows are separate documents; texts are counted whole. An empty table gives an empty result. Columns other than
+    doc_id, text and source are not read. Shards are dealt by id and text, and equal rows over as many shards as they
+    need, so no stream grows with the corpus, however hot its source, id or text. Streams are
+    ordered by all that tells documents apart, so neither the order nor the partitioning of rows has a bearing.
     """
-    sizes = scratch(docs.select("doc_id", "source", count_words(F.col("text")).alias("size"), *carry), "mix-sizes")
-    total = sizes.agg(F.sum("size")).first()[0] or 0  # one number
-    n_shards = int(total // shard_tokens) + 1
-    dealt = sizes.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(n_shards)))
-    per_shard = scratch(dealt.groupBy("source", "shard").agg(F.sum("size").alias("stream")), "mix-shards")
+    return _mix(_counted(docs), weights, share, limit, block_tokens, shard_tokens, shard_documents, seed)
+
+
+def _counted(docs: DataFrame, *by: Column) -> DataFrame:
+    rows = docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), count_words(F.col("text")).alias("size"), *by)
+    return scratch(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies")), "mix-sizes")
+
+
+def _mix(sizes: DataFrame, weights: Sequence[int], share: tuple[int, int], limit: int, block_tokens: int, shard_tokens: int, shard_documents: int, seed: int) -> DataFrame:
+    all_of = sizes.agg(F.sum(F.col("size") * F.col("copies")).alias("words"), F.sum("copies").alias("documents")).first()  # two numbers
+    n_shards = F.lit(max((all_of.words or 0) // shard_tokens, (all_of.documents or 0) // shard_documents) + 1)
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.least("copies", n_shards) - 1))
+    dealt = sizes.withColumn("part", part)
+    held = F.floor(F.col("copies") / n_shards) + (F.col("part") < F.col("copies") % n_shards).cast("long")
+    shard = F.pmod(F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(seed)), n_shards) + F.col("part"), n_shards)
+    dealt = dealt.withColumn("held", held).withColumn("shard", shard)
+    words = F.col("size") * F.col("held")
+    per_shard = scratch(dealt.groupBy("source", "shard").agg(F.sum(words).alias("stream")), "mix-shards")
     per_source = per_shard.groupBy("source").agg(F.sum("stream").alias("source_size"))
     targets = source_targets(per_source, weights, share, limit)
     whole = Window.partitionBy()
@@ -113,52 +127,77 @@ def mix(
     quotas = scratch(highest_quotients(votes, ["source"], ["shard"], "stream", "source_blocks"), "mix-quotas")
     quotas = quotas.select(F.col("source").alias("s"), F.col("shard").alias("h"), "stream", "source_size", "target", "blocks")
 
-    # One sort per (source, shard), a stream of bounded length; ties are rows that look alike.
-    stream = Window.partitionBy("source", "shard").orderBy(F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id", "size")
-    placed = dealt.withColumn("ends", F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, 0)))
+    # One sort per (source, shard), a stream of bounded length.
+    stream = Window.partitionBy("source", "shard").orderBy(F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id", "text_hash", "size")
+    placed = dealt.withColumn("ends", F.sum(words).over(stream.rowsBetween(Window.unboundedPreceding, 0)))
     with_quota = placed.join(quotas, F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("h")))
+    # copies lie side by side, each with its own words
+    copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("held")))
+    each = with_quota.withColumn("copy", copy).withColumn("ends", F.col("ends") - F.col("size") * (F.col("held") - F.col("copy")))
     b = F.lit(block_tokens).cast("long")
     n_blocks = F.greatest(F.ceil(F.col("stream") / b), F.lit(1)).cast("long")
     rounds = F.least(F.floor(F.col("blocks") / n_blocks), F.lit(limit)).cast("long")
     rest = F.when(F.col("rounds") >= limit, F.lit(0)).otherwise(F.col("blocks") - F.col("rounds") * F.col("n_blocks"))
-    ready = with_quota.withColumn("n_blocks", n_blocks).withColumn("rounds", rounds).withColumn("rest", rest)
+    ready = each.withColumn("n_blocks", n_blocks).withColumn("rounds", rounds).withColumn("rest", rest.cast("long"))
     starts, ends = F.col("ends") - F.col("size"), F.col("ends")
 
     def in_block(k: Column) -> Column:
-        picked = permuted(k, F.col("n_blocks"), F.xxhash64("source", "shard", F.lit(seed))) < F.col("rest")
-        return F.when(picked, F.least(ends, (k + 1) * b) - F.greatest(starts, k * b)).otherwise(F.lit(0).cast("long"))
+        inside = F.least(ends, (k + 1) * b) - F.greatest(starts, k * b)
+        return F.when(picked(k, F.col("rest"), F.col("n_blocks"), F.xxhash64("source", "shard", F.lit(seed))), inside).otherwise(F.lit(0).cast("long"))
 
     blocks = F.sequence(F.floor(starts / b).cast("long"), F.floor((ends - 1) / b).cast("long"))
     extra = F.when((F.col("size") > 0) & (F.col("rest") > 0), F.aggregate(blocks, F.lit(0).cast("long"), lambda acc, k: acc + in_block(k))).otherwise(F.lit(0))
     taken = (F.col("rounds") * F.col("size") + extra).cast("long")
-    return ready.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source", "shard", *carry)
+    return ready.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source", "text_hash", "shard")
+
 
+def picked(k: Column, rest: Column, n: Column, seed: Column) -> Column:
+    """Whether block k is among the `rest` of n that are taken: systematic sampling from a seeded start.
 
-def permuted(k: Column, n: Column, seed: Column) -> Column:
-    """Place of block k in a seeded permutation of n blocks: (a k + c) mod n, a coprime to n."""
-    first, second = MULTIPLIERS
-    a = F.when(n % first == 0, F.lit(second)).otherwise(F.lit(first)).cast("long")
-    return (k * (a % n) + F.pmod(seed, n)) % n
+    Of any stretch of the stream the rule takes its share to within one block, and `rest` blocks in all. The stream's
+    own order is random, so the blocks are a random choice of documents.
+    """
+    return (k * rest + F.pmod(seed, n)) % n >= n - rest
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: tuple[int, int] = (3, 2), limit: int = 2, block_tokens: int = BLOCK_TOKENS, seed: int = 7) -> DataFrame:
     """`docs` in the mix, with size, source_size, target and taken (over 0).
 
-    Rows meet their share by id, source and text hash; rows equal in all three are copies, of
-    which each gets one of the shares that the mix has for them.
+    Rows meet their share by id, source, text hash and the scan partition they come from. The copies of a row are counted
+    per partition, so each partition knows which of the copies' shares are its own, and hands
+    them out by number: a row with millions of copies is spread over as many tasks as it has partitions, and texts are shuffled
+    once. `docs` is read twice in the same partitions: give it a stored table. Which of several equal rows
+    gets which share has no bearing on the result. Null texts, and empty ones, are not in the mix. All columns stay; the new ones
+    get underscores before their names where those are taken.
     """
+    from_part = F.spark_partition_id()
+    counted = _counted(docs, from_part.alias("scan"))
+    keys = ["doc_id", "source", "text_hash"]
+    sizes = counted.groupBy(*keys, "size").agg(F.sum("copies").alias("copies"))
+    shares = _mix(sizes, weights, share, limit, block_tokens, SHARD_TOKENS, SHARD_DOCUMENTS, seed)
+    shares = shares.groupBy(*keys, "size", "source_size", "target", "taken").agg(F.count(F.lit(1)).alias("n"))
+    downward = Window.partitionBy(*keys).orderBy(F.desc("taken"))
+    shares = shares.withColumn("upto", F.sum("n").over(downward.rowsBetween(Window.unboundedPreceding, 0)))
     added = ("size", "source_size", "target", "taken")
-    docs = docs.drop(*added)
-    own = free_name(docs, "text_hash")
-    hashed = docs.withColumn(own, F.xxhash64("text"))
-    shares = mix(hashed, carry=[own], **options)
-    shares = shares.groupBy("doc_id", "source", own).agg(F.sort_array(F.collect_list(F.struct(*added[::-1])), asc=False).alias("shares"))
-    names = [free_name(docs, f"mixed_{n}") for n in ("id", "source", "hash")]
-    listed = shares.toDF(*names, "shares").hint("merge")
-    keys = ("doc_id", "source", own)
-    same = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(keys, names)]
-    copies = Window.partitionBy(*keys).orderBy(F.lit(0))
-    place, share = free_name(docs, "place"), free_name(docs, "share")
-    joined = hashed.join(listed.withColumnRenamed("shares", share), same).withColumn(place, F.row_number().over(copies))
-    given = joined.withColumn(share, F.element_at(share, F.col(place)))
-    return given.select(*docs.columns, *[F.col(f"{share}.{c}").alias(c) for c in added]).filter("taken > 0")
+    listed = shares.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("upto", *added))).alias("shares"))
+    earlier = Window.partitionBy(*keys).orderBy("scan").rowsBetween(Window.unboundedPreceding, -1)
+    parts = counted.withColumn("before", F.coalesce(F.sum("copies").over(earlier), F.lit(0)))
+    marks = [F.col(k).isNull() for k in keys[:2]]
+    known = [F.xxhash64(*keys, *marks).alias("key"), *keys]
+    of_part = parts.select(*known, "scan", "before").join(listed.select(F.xxhash64(*keys, *marks).alias("key"), *[F.col(k).alias(f"l_{k}") for k in keys], "shares"), "key")
+    exact = [F.col(k).eqNullSafe(F.col(f"l_{k}")) for k in keys]
+    of_part = of_part.filter(exact[0] & exact[1] & exact[2]).drop(*[f"l_{k}" for k in keys])
+    # names that no column of the documents has
+    names = {c: free_name(docs, f"mix_{c}") for c in ("key", *keys, "scan", "before", "shares", "number", "own_hash", "own_key", "own_scan", "share")}
+    of_part = of_part.select(*[F.col(c).alias(names[c]) for c in ("key", *keys, "scan", "before", "shares")])
+    rows = docs.withColumn(names["own_hash"], F.xxhash64("text")).withColumn(names["own_scan"], from_part)
+    own = ["doc_id", "source", names["own_hash"]]
+    rows = rows.withColumn(names["own_key"], F.xxhash64(*own, *[F.col(k).isNull() for k in own[:2]]))
+    same = (F.col(names["own_key"]) == F.col(names["key"])) & (F.col(names["own_scan"]) == F.col(names["scan"]))
+    for mine, theirs in zip(own, keys):
+        same = same & F.col(mine).eqNullSafe(F.col(names[theirs]))
+    copies = Window.partitionBy(names["own_key"], names["own_scan"], *own).orderBy(F.lit(0))
+    joined = rows.join(of_part, same).withColumn(names["number"], F.row_number().over(copies) + F.col(names["before"]))
+    given = joined.withColumn(names["share"], F.filter(names["shares"], lambda s: s["upto"] >= F.col(names["number"]))[0])
+    out = {c: free_name(docs, c) for c in added}
+    return given.select(*docs.columns, *[F.col(f"{names['share']}.{c}").alias(out[c]) for c in added]).filter(F.col(out["taken"]) > 0)
