@@ -161,3 +161,22 @@ def test_metrics_and_alert_threshold(spark):
     rates = {r.source_name: r.quarantine_rate_pct for r in metrics.collect()}
     assert rates == {"at": 5.0, "above": 5.01, "empty": 0.0, "absent": None}
     assert [r.source_name for r in quarantine_alerts(metrics).collect()] == ["above"]
+
+
+def test_counts_taken_while_writing_cost_no_scan(spark):
+    sources = {"known": SourceFrames(100, 95, 5), "partly": SourceFrames(None, spark.range(3), 7)}
+    metrics = ingestion_metrics(spark, sources, "r")
+    got = {r.source_name: (r.bronze_row_count, r.silver_row_count, r.quarantine_count, r.quarantine_rate_pct) for r in metrics.collect()}
+    assert got == {"known": (100, 95, 5, 5.0), "partly": (None, 3, 7, None)}
+    plan = ingestion_metrics(spark, {"known": sources["known"]}, "r")._jdf.queryExecution().executedPlan().toString()
+    assert "Range" not in plan and "FileScan" not in plan
+
+
+def test_column_tests_read_a_table_once(spark, base):
+    rows = [("a", 1, "x"), ("a", 2, None), ("b", None, "y"), (None, 1, "x"), (None, 1, "z")]
+    spark.createDataFrame(rows, "k string, i int, s string").write.parquet(f"{base}/t")
+    found = checks.column_violations(spark.read.parquet(f"{base}/t"), ("k", "i"), {"s": ("x", "y")}, "k")
+    assert {(r.test, r.column_name): r.violations for r in found.collect()} == {
+        ("not_null", "k"): 2, ("not_null", "i"): 1, ("accepted_values", "s"): 1, ("unique", "k"): 1,
+    }
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1

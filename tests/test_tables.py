@@ -176,3 +176,18 @@ def test_bronze_schema_missing_fields_and_bad_lines(spark, tmp_path):
         bronze.read_bronze(spark, str(tmp_path), "user", {"joined_on": "no_such_field"})
     plain = bronze.read_bronze(spark, str(tmp_path), "user", {"joined_on": "member_since"})
     assert "member_since" in plain.columns and plain.count() == 3
+
+
+def test_tallies_count_what_is_written(spark, base):
+    df = spark.range(1000).select("id", (F.col("id") % 7).alias("a"), (F.col("id") % 11).alias("b"))
+    for n, options in enumerate(({}, {"partition_by": ("a",)}, {"cluster_by": ("a",)}, {"cluster_by": ("a", "b"), "curve": True})):
+        tally = tables.Tally(rows=F.count("*"), even=F.count_if(F.col("id") % 2 == 0), total=F.sum("id"))
+        tables.write_table(df, base, f"t{n}", tally=tally, **options)
+        assert (tally["rows"], tally["even"], tally["total"]) == (1000, 500, 499500)
+    for empty in (df.limit(0), spark.createDataFrame([], "id long"), df.filter("id < 0")):
+        tally = tables.Tally(rows=F.count("*"), total=F.sum("id"))
+        tables.write_table(empty, base, "none", tally=tally)
+        assert (tally["rows"], tally["total"]) == (0, 0)
+    tally = tables.Tally(rows=F.count("*"))
+    tables.append_quarantine(df.filter("a = 1"), base, "x", "run", tally)
+    assert tally["rows"] == 143

@@ -17,21 +17,14 @@ ALERT_PCT = 5.0
 
 @dataclass(frozen=True)
 class SourceFrames:
-    """What one source left behind in a run; ``None`` marks a table that does not exist."""
+    """What one source left behind in a run; ``None`` marks a table that does not exist.
 
-    bronze: DataFrame | None
-    silver: DataFrame | None
-    quarantine: DataFrame | None
-
-
-def _count(spark: SparkSession, df: DataFrame | None, absent: int | None, name: str) -> DataFrame:
-    """One-row frame with the count, or the stand-in for an absent table.
-
-    Only absence is guarded; a table that exists but cannot be read still fails.
+    A number is a count that was taken while the table was written.
     """
-    if df is None:
-        return spark.range(1).select(F.lit(absent).cast("bigint").alias(name))
-    return df.agg(F.count(F.lit(1)).alias(name))
+
+    bronze: DataFrame | int | None
+    silver: DataFrame | int | None
+    quarantine: DataFrame | int | None
 
 
 def quarantine_rate(rejects: str = "quarantine_count", bronze: str = "bronze_row_count") -> Column:
@@ -46,20 +39,24 @@ def ingestion_metrics(
     run_id: str,
     run_timestamp: str | None = None,
 ) -> DataFrame:
-    """One row per source. All counting happens in the returned frame's own job.
+    """One row per source.
 
-    The three counts of a source are one-row frames, brought together by the source's name;
-    nothing passes through the driver.
+    Counts taken while writing (``write_counted``) are rows of a local frame and cost no scan. Others are
+    counted in the returned frame's own job, one-row frames brought together by the source's name. Only absence is
+    guarded (S14): a table that exists but cannot be read still fails.
     """
-    rows = []
+    known, scanned = [], []
     for source, frames in sources.items():
-        named = F.lit(source).alias("source_name")
-        bronze = _count(spark, frames.bronze, None, "bronze_row_count").select(named, "bronze_row_count")
-        silver = _count(spark, frames.silver, None, "silver_row_count").select(named, "silver_row_count")
-        rejects = _count(spark, frames.quarantine, 0, "quarantine_count").select(named, "quarantine_count")
-        rows += [bronze, silver, rejects]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+        sides = {"bronze_row_count": frames.bronze, "silver_row_count": frames.silver, "quarantine_count": frames.quarantine}
+        if frames.quarantine is None:
+            sides["quarantine_count"] = 0
+        known.append((source, *[side if isinstance(side, int) else None for side in sides.values()]))
+        for name, side in sides.items():
+            if isinstance(side, DataFrame):
+                scanned.append(side.agg(F.count(F.lit(1)).alias(name)).select(F.lit(source).alias("source_name"), name))
     counts = ("bronze_row_count", "silver_row_count", "quarantine_count")
+    given = spark.createDataFrame(known, f"source_name string, {', '.join(f'{c} long' for c in counts)}")
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scanned, given)
     metrics = (
         stacked.groupBy("source_name")
         .agg(*[F.max(c).alias(c) for c in counts])

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import current_keys, fk_flag_by_missing, missing_keys
@@ -20,6 +20,7 @@ from ..operators.scd import HISTORY_FLOOR, first_versions, refuse_late_load, scd
 from ..session import configure
 from ..sources.bronze import CORRUPT, bronze_path, read_bronze
 from ..sources.tables import (
+    Tally,
     append_log,
     append_quarantine,
     path_exists,
@@ -64,6 +65,10 @@ SOURCES = {
 }
 
 
+def rows() -> Column:
+    return F.count(F.lit(1))
+
+
 class Catalog:
     """Table name -> frame, read from the base folder once built.
 
@@ -74,6 +79,8 @@ class Catalog:
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base
+        #: silver table -> counts taken while it was written: ``bronze``, ``silver``, ``quarantine``
+        self.counts: dict[str, dict[str, Tally]] = {}
         self._models: dict[str, Callable[[Catalog], DataFrame]] = {}
 
     def define(self, name: str, build: Callable[[Catalog], DataFrame]) -> None:
@@ -89,14 +96,29 @@ class Catalog:
 
     def save(self, name: str, df: DataFrame) -> DataFrame:
         """Materialise under the table's declared layout."""
-        return write_table(df, self.base, name, PARTITIONS.get(name, ()), CLUSTERS.get(name, ()), curve=True)
+        tally = self._tally(name, "silver", rows())
+        return write_table(df, self.base, name, PARTITIONS.get(name, ()), CLUSTERS.get(name, ()), curve=True, tally=tally)
 
     def save_versions(self, name: str, changes: DataFrame, keep_history: bool = True) -> DataFrame:
         """S12 for a type-2 table: its closed versions stay where they are."""
+        tally = self._tally(name, "silver", F.count_if("is_current"))
         return write_versions(
-            changes, self.base, name, PARTITIONS.get(name, ()), CLUSTERS.get(name, ()), keep_history, curve=True
+            changes, self.base, name, PARTITIONS.get(name, ()), CLUSTERS.get(name, ()), keep_history, True, tally
         )
 
+    def stage(self, name: str, df: DataFrame) -> DataFrame:
+        """Columnar copy of parsed rows, so several readers share one parse."""
+        tally = self._tally(f"silver/{name}", "bronze", rows())
+        return write_table(df, self.base, f"staging/{name}", tally=tally)
+
+    def quarantine(self, entity: str, rejected: DataFrame, run_id: str) -> None:
+        append_quarantine(rejected, self.base, entity, run_id, self._tally(f"silver/{entity}", "quarantine", rows()))
+
+    def _tally(self, name: str, side: str, count: Column) -> Tally:
+        taken = Tally(count=count)
+        self.counts.setdefault(name, {})[side] = taken
+        return taken
+
     def build(self, name: str) -> DataFrame:
         return self.save(name, self._models[name](self))
 
@@ -156,7 +178,7 @@ class RunResult:
 
 
 def quarantine_rejects(
-    base: str, entity: str, tagged: DataFrame, run_id: str, bronze: DataFrame | None = None
+    catalog: Catalog, entity: str, tagged: DataFrame, run_id: str, bronze: DataFrame | None = None
 ) -> DataFrame:
     """Append the rejects of a stored, tagged frame and return its clean rows.
 
@@ -165,7 +187,7 @@ def quarantine_rejects(
     rejected = tagged.filter(F.col(REASON).isNotNull())
     if bronze is not None:
         rejected = silver.with_text(bronze, rejected)
-    append_quarantine(rejected, base, entity, run_id)
+    catalog.quarantine(entity, rejected, run_id)
     return tagged.filter(F.col(REASON).isNull()).drop(REASON)
 
 
@@ -191,20 +213,22 @@ def store_reviews(
     load_ts: str,
     run_id: str,
     merging: bool = True,
+    catalog: Catalog | None = None,
 ) -> None:
     """B3 with its tables: stage, flag, quarantine, then upsert or rebuild. Safe to repeat."""
     name = "silver/reviews"
-    rows = write_table(silver.metrics_only(parsed), base, "staging/reviews")
+    catalog = catalog or Catalog(parsed.sparkSession, base)
+    rows = catalog.stage("reviews", silver.metrics_only(parsed))
     lookups = {"business_id": ("biz_valid", business), "user_id": ("usr_valid", users)}
     rules = silver.corrupt_rule(parsed) + silver.review_rules()
     tagged = tag_rejects(flag_by_stored_keys(base, "reviews", rows, lookups), rules)
-    reviews = silver.finish_reviews(quarantine_rejects(base, "reviews", tagged, run_id, parsed), load_ts)
-    if merging and table_exists(parsed.sparkSession, base, name):
+    reviews = silver.finish_reviews(quarantine_rejects(catalog, "reviews", tagged, run_id, parsed), load_ts)
+    if merging and catalog.exists(name):
         # The upsert reads its input several times, so it gets a written one.
         updates = write_table(reviews, base, "staging/reviews_updates")
         upsert_partitions(updates, base, name, "review_id", PARTITIONS[name], CLUSTERS[name])
     else:
-        write_table(reviews, base, name, PARTITIONS[name], CLUSTERS[name])
+        catalog.save(name, reviews)
 
 
 def save_snapshot(
@@ -266,46 +290,45 @@ def run_silver(
     def read(entity: str) -> DataFrame:
         return read_bronze(spark, bronze, entity, (rename or {}).get(entity), keep_corrupt=True)
 
-    def stage(name: str, df: DataFrame) -> DataFrame:
-        """Columnar copy of parsed rows, so several readers share one parse."""
-        return write_table(df, base, f"staging/{name}")
-
-    clean = quarantine_rejects(base, "business", stage("business", silver.tag_business(read("business"))), run_id)
+    clean = quarantine_rejects(catalog, "business", catalog.stage("business", silver.tag_business(read("business"))), run_id)
     snapshot = silver.business_snapshot(clean, load_ts)
     business = save_snapshot(catalog, "silver/business", "business_id", snapshot, load_ts, merging, first_from, late)
     catalog.save("silver/business_categories", silver.business_categories(clean).distinct())
 
-    clean = quarantine_rejects(base, "users", stage("users", silver.tag_users(read("user"), snapshot_year)), run_id)
+    clean = quarantine_rejects(catalog, "users", catalog.stage("users", silver.tag_users(read("user"), snapshot_year)), run_id)
     snapshot = silver.user_snapshot(clean, load_ts)
     users = save_snapshot(catalog, "silver/users", "user_id", snapshot, load_ts, merging, first_from, late)
     catalog.save("silver/user_elite_years", silver.user_elite_years(clean).distinct())
 
-    store_reviews(read("review"), base, business, users, load_ts, run_id, merging)
+    store_reviews(read("review"), base, business, users, load_ts, run_id, merging, catalog)
 
-    lines = stage("checkin_lines", read("checkin"))
+    packed = Tally(events=F.sum(F.size(silver.split_items("date"))))
+    lines = write_table(read("checkin"), base, "staging/checkin_lines", tally=packed)
     # a line that is no JSON is one row without a stamp, and so one of the rejects
     corrupt = lines.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
     exploded = silver.expand_checkins(lines)
-    events = stage("checkins", exploded.unionByName(corrupt, allowMissingColumns=True))
-    packed = lines.select(F.size(silver.split_items("date")).alias("_size"))
-    checks.explode_guard(packed, "_size", events.filter(F.col(CORRUPT).isNull()))
+    both = exploded.unionByName(corrupt, allowMissingColumns=True)
+    found = Tally(events=F.count_if(F.col(CORRUPT).isNull()), count=rows())
+    events = write_table(both, base, "staging/checkins", tally=found)
+    catalog.counts.setdefault("silver/checkins", {})["bronze"] = found
+    checks.explode_matches(packed["events"], found["events"])
     parsed, rejected = split_unparseable(events, "checkin_ts_raw", "checkin_at")
-    append_quarantine(rejected, base, "checkins", run_id)
+    catalog.quarantine("checkins", rejected, run_id)
     catalog.save("silver/checkins", silver.finish_checkins(parsed.drop(CORRUPT), load_ts))
 
     tips = read("tip")
-    rows = stage("tips", silver.metrics_only(tips))
+    staged = catalog.stage("tips", silver.metrics_only(tips))
     lookups = {"business_id": ("biz_valid", business), "user_id": ("usr_valid", users)}
     rules = silver.corrupt_rule(tips) + silver.tip_rules()
-    tagged = tag_rejects(flag_by_stored_keys(base, "tips", rows, lookups), rules)
-    clean = quarantine_rejects(base, "tips", tagged, run_id, tips)
+    tagged = tag_rejects(flag_by_stored_keys(base, "tips", staged, lookups), rules)
+    clean = quarantine_rejects(catalog, "tips", tagged, run_id, tips)
     catalog.save("silver/tips", silver.finish_tips(clean, load_ts))
 
-    rows = stage("photos", silver.clean_labels(read("photo")))
+    staged = catalog.stage("photos", silver.clean_labels(read("photo")))
     lookups = {"business_id": ("biz_valid", business)}
-    rules = silver.corrupt_rule(rows) + silver.photo_rules()
-    tagged = tag_rejects(flag_by_stored_keys(base, "photos", rows, lookups), rules)
-    clean = quarantine_rejects(base, "photos", tagged, run_id)
+    rules = silver.corrupt_rule(staged) + silver.photo_rules()
+    tagged = tag_rejects(flag_by_stored_keys(base, "photos", staged, lookups), rules)
+    clean = quarantine_rejects(catalog, "photos", tagged, run_id)
     catalog.save("silver/photos", silver.finish_photos(clean, load_ts))
     return catalog
 
@@ -313,26 +336,26 @@ def run_silver(
 def run_metrics(catalog: Catalog, bronze: str, run_id: str, run_timestamp: str) -> DataFrame:
     """B7 over the tables of a run.
 
-    Bronze rows are counted on the columnar copy the run has staged, one row per
-    source row (per event for check-ins, as for their rejects), and on the source
-    file itself where nothing was staged.
+    Counts come from the writes of the run's own catalog. What it has not written is counted: an upserted table, whose rows
+    were there before, by its files' footers, and a source of another run by the copy that was staged
+    (one row per source row, per event for check-ins, as for their rejects), or by the source file.
     """
     spark, base = catalog.spark, catalog.base
     found = {}
     for source, (entity, table, current) in SOURCES.items():
-        has_rejects = path_exists(spark, f"{base}/rejected/{source}/run_id={run_id}")
-        loaded = catalog.table(table) if catalog.exists(table) else None
-        if catalog.exists(f"staging/{source}"):
+        taken = {side: tally["count"] for side, tally in catalog.counts.get(table, {}).items()}
+        loaded = catalog.table(table) if "silver" not in taken and catalog.exists(table) else None
+        raw = None
+        if "bronze" not in taken and catalog.exists(f"staging/{source}"):
             raw = catalog.table(f"staging/{source}")
-        elif path_exists(spark, bronze_path(bronze, entity)):
+        elif "bronze" not in taken and path_exists(spark, bronze_path(bronze, entity)):
             raw = read_bronze(spark, bronze, entity)
             raw = silver.expand_checkins(raw) if source == "checkins" else raw
-        else:
-            raw = None
+        has_rejects = "quarantine" not in taken and path_exists(spark, f"{base}/rejected/{source}/run_id={run_id}")
         found[source] = SourceFrames(
-            bronze=raw,
-            silver=loaded.filter(F.col("is_current")) if current and loaded is not None else loaded,
-            quarantine=read_quarantine(spark, base, source, run_id) if has_rejects else None,
+            bronze=taken.get("bronze", raw),
+            silver=taken.get("silver", loaded.filter(F.col("is_current")) if current and loaded is not None else loaded),
+            quarantine=taken.get("quarantine", read_quarantine(spark, base, source, run_id) if has_rejects else None),
         )
     return ingestion_metrics(spark, found, run_id, run_timestamp)
 

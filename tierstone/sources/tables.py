@@ -15,10 +15,11 @@ with. Old versions stay until ``drop_old_versions``.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -113,6 +114,23 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return every.filter(shown).drop(VERSION)
 
 
+class Tally:
+    """Counts of the rows of one write, taken by the tasks that write them, so that no table is read to be counted.
+
+    ``counts`` are aggregates by name. They are observed right before the writer, where a lost executor repeats
+    nothing that was counted. A tally serves one write; its numbers are there once that has ended.
+    """
+
+    def __init__(self, **counts: Column):
+        self.counts, self.seen = counts, Observation(uuid.uuid4().hex)
+
+    def on(self, df: DataFrame) -> DataFrame:
+        return df.observe(self.seen, *[F.coalesce(c, F.lit(0)).alias(n) for n, c in self.counts.items()])
+
+    def __getitem__(self, name: str) -> int:
+        return self.seen.get[name]
+
+
 def lay_out(
     df: DataFrame,
     partition_by: Sequence[str] = (),
@@ -151,18 +169,19 @@ def write_table(
     cluster_by: Sequence[str] = (),
     curve: bool = False,
     files: int | None = None,
+    tally: Tally | None = None,
 ) -> DataFrame:
     """Write a new version of the table and return its scan.
 
     With ``curve`` the rows are stored first and laid out from there, so that a costly
     frame is computed once, not once for its quantiles, once for its ranges and once to be written.
     """
-    return _write_version(df, base, name, partition_by, cluster_by, curve, files)
+    return _write_version(df, base, name, partition_by, cluster_by, curve, files, tally)
 
 
 def _write_version(
     df: DataFrame, base: str, name: str, partition_by: Sequence[str], cluster_by: Sequence[str],
-    curve: bool = False, files: int | None = None, **facts
+    curve: bool = False, files: int | None = None, tally: Tally | None = None, **facts
 ) -> DataFrame:
     spark = df.sparkSession
     path = table_path(base, name)
@@ -171,7 +190,8 @@ def _write_version(
     if curve:
         df.write.mode("overwrite").parquet(staged)
         df = spark.read.schema(df.schema).parquet(staged)
-    writer = lay_out(df, partition_by, cluster_by, curve, files).write.mode("errorifexists")
+    rows = lay_out(df, partition_by, cluster_by, curve, files)
+    writer = (rows if tally is None else tally.on(rows)).write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     _put_facts(spark, target, df.schema, **facts)
@@ -189,6 +209,7 @@ def write_versions(
     cluster_by: Sequence[str] = (),
     keep_history: bool = True,
     curve: bool = False,
+    tally: Tally | None = None,
 ) -> DataFrame:
     """A type-2 table after a load, without touching its history.
 
@@ -202,7 +223,7 @@ def write_versions(
     number = max(_versions(spark, path), default=0) + 1
     before = current_version(spark, base, name) if keep_history else None
     since = _get_facts(spark, before).get("since", number) if before else number
-    return _write_version(changes, base, name, ("is_current", *partition_by), cluster_by, curve, since=since)
+    return _write_version(changes, base, name, ("is_current", *partition_by), cluster_by, curve, None, tally, since=since)
 
 
 def drop_old_versions(spark: SparkSession, base: str, name: str, keep: int = 2) -> None:
@@ -242,7 +263,7 @@ def compact(
     if "since" in facts:
         number = max(_versions(spark, table_path(base, name)), default=0) + 1
         partition_by = ("is_current", *[c for c in partition_by if c != "is_current"])
-        _write_version(table, base, name, partition_by, ranges, False, wanted, since=number)
+        _write_version(table, base, name, partition_by, ranges, False, wanted, None, since=number)
     else:
         _write_version(table, base, name, partition_by, ranges, False, wanted)
     return True
@@ -310,9 +331,9 @@ def upsert_partitions(
     return result if all(folders.values()) else read_table(spark, base, name)
 
 
-def append_quarantine(df: DataFrame, base: str, entity: str, run_id: str) -> None:
+def append_quarantine(df: DataFrame, base: str, entity: str, run_id: str, tally: Tally | None = None) -> None:
     """Rejects of one run, in the run's own partition: a rerun replaces them."""
-    df.write.mode("overwrite").parquet(f"{table_path(base, 'rejected')}/{entity}/run_id={run_id}")
+    (df if tally is None else tally.on(df)).write.mode("overwrite").parquet(f"{table_path(base, 'rejected')}/{entity}/run_id={run_id}")
 
 
 def read_quarantine(spark: SparkSession, base: str, entity: str, run_id: str | None = None) -> DataFrame:

@@ -24,7 +24,7 @@ from ..operators.quality import split_rejects, split_unparseable, tag_rejects
 from ..plans import dimensions, facts, silver, staging
 from ..session import configure, shared_dir
 from ..sources.bronze import COMPLIMENTS
-from ..sources.tables import write_table
+from ..sources.tables import Tally, write_table
 
 # --- fixed values of the derivation; the check SQL repeats them ---
 BUSINESS_SNAPSHOT_MONTH = 7
@@ -34,6 +34,10 @@ REVIEWS_PER_ORDER = 10
 PAGE_LANGUAGES = ("en", "fr", "de")
 
 
+# Frames a load writes as tables; instances with ``keep`` store them, so that later frames read them.
+KEPT = frozenset(("reviews", "tips", "categories", "dim_business", "dim_user", "fact_reviews", "fact_tips", "fact_checkins"))
+
+
 def cents(price: str) -> Column:
     return F.round(F.col(price) * 100).cast("bigint")
 
@@ -44,22 +48,26 @@ def day_time(ts: str) -> Column:
 
 def once(build: Callable[[Frames], Any]) -> Callable[[Frames], Any]:
     """Build at most once per instance; what is built goes with the instance."""
+    name = build.__name__
 
     @wraps(build)
     def get(self: Frames) -> Any:
-        if build.__name__ not in self._built:
-            self._built[build.__name__] = build(self)
-        return self._built[build.__name__]
+        if name not in self._built:
+            built = build(self)
+            self._built[name] = self.stored(f"kept/{name}", built) if self.keep and name in KEPT else built
+        return self._built[name]
 
     return get
 
 
 class Frames:
-    """Frames over one data folder, built lazily."""
+    """Frames over one data folder, built lazily; with ``keep``, each of KEPT is computed once and stored."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = configure(spark), sf_dir.rstrip("/")
+    def __init__(self, spark: SparkSession, sf_dir: str, keep: bool = False):
+        self.spark, self.sf_dir, self.keep = configure(spark), sf_dir.rstrip("/"), keep
         self._built: dict[str, Any] = {}
+        #: Current versions, counted as the versioned tables are written.
+        self.current = {name: Tally(rows=F.count_if("is_current")) for name in ("business", "users")}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -286,11 +294,11 @@ class Frames:
     def business(self) -> DataFrame:
         """The versions as a written table, as the load keeps them: facts read it
         several times, and the planner knows its size."""
-        return write_table(self.business_versions(), self.scratch(), "silver/business")
+        return write_table(self.business_versions(), self.scratch(), "silver/business", tally=self.current["business"])
 
     @once
     def users(self) -> DataFrame:
-        return write_table(self.user_versions(), self.scratch(), "silver/users")
+        return write_table(self.user_versions(), self.scratch(), "silver/users", tally=self.current["users"])
 
     @once
     def business_keys(self) -> DataFrame:

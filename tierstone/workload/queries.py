@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expressions import avg_round, count_when, safe_pct
@@ -26,7 +26,7 @@ from ..plans import aggregates, checks, dimensions, silver, staging
 from ..plans.monitoring import SourceFrames, ingestion_metrics, quarantine_alerts
 from ..plans.pipeline import Catalog, define_gold, flag_by_stored_keys
 from ..sources.bronze import read_bronze
-from ..sources.tables import append_log, append_quarantine, compact, read_quarantine, read_log, read_table, table_exists, upsert_partitions, write_table, write_versions
+from ..sources.tables import Tally, append_log, append_quarantine, compact, read_quarantine, read_log, read_table, table_exists, upsert_partitions, write_table, write_versions
 from .frames import PAGE_LANGUAGES, Frames, cents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -544,30 +544,40 @@ TIP_COLUMNS = ("business_id", "user_id", "date", "compliment_count", "text_char_
 
 
 def _sources(f: Frames) -> dict[str, SourceFrames]:
-    """What a load leaves behind: tagged rows stored once, counted from there."""
-
-    def stored(name: str, tagged: DataFrame, *columns: str) -> DataFrame:
-        return write_table(tagged.select(*columns, REASON), f.scratch(), f"staging/{name}")
-
-    reviews = stored("reviews", f.tagged_reviews(), *REVIEW_COLUMNS)
-    tips = stored("tips", f.tagged_tips(), *TIP_COLUMNS)
-    photos = stored("photos", f.tagged_photos(), "photo_id")
-    business = stored("business", silver.tag_business(f.business_snapshots()), "business_id")
-    users = stored("users", silver.tag_users(f.user_snapshots(), F.year("snapshot_ts"), carry=("snapshot_ts",)), "user_id")
-    sides = {
-        "business": (business, current_only(f.business())),
-        "users": (users, current_only(f.users())),
-        "reviews": (reviews, silver.finish_reviews(split_rejects(reviews)[0])),
-        "tips": (tips, silver.finish_tips(split_rejects(tips)[0])),
-        "photos": (photos, split_rejects(photos)[0]),
-    }
-    found = {name: SourceFrames(tagged, kept, split_rejects(tagged)[1]) for name, (tagged, kept) in sides.items()}
+    """What a load leaves behind: tagged rows and silver rows stored once each, and counted as they are written."""
+
+    def written(name: str, df: DataFrame, **counts: Column) -> tuple[DataFrame, Tally]:
+        tally = Tally(**counts)
+        return write_table(df, f.scratch(), f"run/{name}", tally=tally), tally
+
+    rows, bad = F.count(F.lit(1)), F.count_if(F.col(REASON).isNotNull())
+
+    def side(name: str, tagged: DataFrame, columns: tuple[str, ...], finish: Callable[[DataFrame], DataFrame] | None) -> SourceFrames:
+        stored, seen = written(name, tagged.select(*columns, REASON), rows=rows, bad=bad)
+        if finish is None:
+            return SourceFrames(seen["rows"], seen["rows"] - seen["bad"], seen["bad"])
+        _, kept = written(f"{name}_silver", finish(split_rejects(stored)[0]), rows=rows)
+        return SourceFrames(seen["rows"], kept["rows"], seen["bad"])
+
+    def versions(name: str, tagged: DataFrame, key: str, table: DataFrame) -> SourceFrames:
+        _, seen = written(name, tagged.select(key, REASON), rows=rows, bad=bad)
+        return SourceFrames(seen["rows"], f.current[name]["rows"], seen["bad"])
+
+    users = silver.tag_users(f.user_snapshots(), F.year("snapshot_ts"), carry=("snapshot_ts",))
     good, rejected = f.checkins()
-    found["checkins"] = SourceFrames(f.exploded_checkins(), good, rejected)
-    # not sources of the load: they stand for one without rejects and one without bronze
-    found["labels"] = SourceFrames(f.table("labels"), f.table("labels"), None)
-    found["regions"] = SourceFrames(None, f.table("region"), None)
-    return found
+    exploded = Tally(rows=rows, bad=F.count_if(F.col("checkin_at").isNull()))
+    write_table(good.select("checkin_at").unionByName(rejected.select("checkin_at")), f.scratch(), "run/checkins", tally=exploded)
+    return {
+        "business": versions("business", silver.tag_business(f.business_snapshots()), "business_id", f.business()),
+        "users": versions("users", users, "user_id", f.users()),
+        "reviews": side("reviews", f.tagged_reviews(), REVIEW_COLUMNS, silver.finish_reviews),
+        "tips": side("tips", f.tagged_tips(), TIP_COLUMNS, silver.finish_tips),
+        "photos": side("photos", f.tagged_photos(), ("photo_id",), None),
+        "checkins": SourceFrames(exploded["rows"], exploded["rows"] - exploded["bad"], exploded["bad"]),
+        # not sources of the load: they stand for one without rejects and one without bronze, and are counted by scans
+        "labels": SourceFrames(f.table("labels"), f.table("labels"), None),
+        "regions": SourceFrames(None, f.table("region"), None),
+    }
 
 
 @register
@@ -607,13 +617,12 @@ def quality_accepted_values(f: Frames) -> DataFrame:
 def quality_column_tests(f: Frames) -> DataFrame:
     """Q1, Q2, Q3 as declared, over every declared table: one row per failed test.
 
-    Each table is stored once. Reviews with one star stand in silver/reviews a second time,
+    Each table is stored once and read once by the tests. Reviews with one star stand in silver/reviews a second time,
     with nine stars, so that a unique and an accepted-values test fail.
     """
-    reviews = f.stored("silver/reviews", f.reviews())
-    fact = f.stored("gold/fact_reviews", f.fact_reviews())
-    tips = f.stored("gold/fact_tips", f.fact_tips())
-    monthly = aggregates.monthly_trends(aggregates.reviews_monthly(fact), aggregates.tips_monthly(tips))
+    f = Frames(f.spark, f.sf_dir, keep=True)
+    reviews, fact, tips = f.reviews(), f.fact_reviews(), f.fact_tips()
+    per_month = f.stored("gold/reviews_monthly", aggregates.reviews_monthly(fact))
     clean, _ = split_rejects(silver.tag_users(f.user_snapshots(), F.year("snapshot_ts"), carry=("snapshot_ts",)))
     calendar = date_spine_of(f.table("orders"), "o_orderdate").withColumns(dimensions.calendar_columns())
     tables = {
@@ -624,13 +633,13 @@ def quality_column_tests(f: Frames) -> DataFrame:
         "silver/tips": f.tips(),
         "silver/business_categories": f.categories(),
         "silver/user_elite_years": silver.user_elite_years(clean).distinct(),
-        "gold/dim_business": f.stored("gold/dim_business", f.dim_business()),
-        "gold/dim_user": f.stored("gold/dim_user", f.dim_user()),
-        "gold/dim_date": calendar,
+        "gold/dim_business": f.dim_business(),
+        "gold/dim_user": f.dim_user(),
+        "gold/dim_date": f.stored("gold/dim_date", calendar),
         "gold/fact_reviews": fact,
-        "gold/fact_checkins": f.stored("gold/fact_checkins", f.fact_checkins()),
+        "gold/fact_checkins": f.fact_checkins(),
         "gold/fact_tips": tips,
-        "gold/agg_business_monthly": f.stored("gold/agg_business_monthly", monthly),
+        "gold/agg_business_monthly": aggregates.monthly_trends(per_month, aggregates.tips_monthly(tips)),
         "gold/agg_city_category": aggregates.agg_city_category(fact, f.categories()),
         "gold/agg_user_cohort": aggregates.agg_user_cohort(fact, f.dim_user()),
     }
