@@ -39,21 +39,55 @@ def test_contamination_of_empty_tables(spark, make):
     assert decontamination.clean(make(*ODD), bench(spark, (1, "another text under the same id with"))).count() == len(ODD) - 1
 
 
-def test_proximity_matches(spark, make):
-    item = "zebra quartz of the jumping vixen over a lazy dog"
-    near = "zebra quartz of the quick jumping vixen over a lazy dog"
-    docs = make((1, item), (2, near), (3, "zebra and far away of the end of things some quartz"), (4, None))
-    sought = decontamination.phrases(bench(spark, (1, item)))
-    index = decontamination.build_index(docs, sought.terms)
+def plain_near(docs, items, window, slop, share):
+    """{(place in docs, window, start): words found} by trying every start."""
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    windows = {tuple(w[i : i + window]) for _, t in items if (w := word.findall(brute.lower(t))) for i in range(max(1, len(w) - window + 1))}
+    out = {}
+    for d, text in enumerate(docs):
+        words = word.findall(brute.lower(text))
+        for w in windows:
+            for s in range(-len(w), len(words) + slop):
+                hits = sum(any(0 <= p < len(words) and words[p] == t for p in range(s + k - slop, s + k + slop + 1)) for k, t in enumerate(w))
+                if hits >= -(-len(w) * share // 1):
+                    out[d, " ".join(w), s] = hits
+    return out
+
+
+@pytest.mark.parametrize("slop,share", [(1, 0.8), (0, 0.6), (2, 1.0)])
+def test_proximity_matches_brute_force(spark, make, slop, share):
+    """Every start is found: recall is 1, also where the rarest words are changed, left out or absent."""
+    rng = random.Random(slop)
+    items = [(i, " ".join(rng.choice("abcdefghij") + rng.choice("xyz") for _ in range(rng.randint(1, 13)))) for i in range(10)]
+    docs = []
+    for i in range(40):
+        words = rng.choice(items)[1].split()
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(words) + 1)
+            words[at : at + rng.randint(0, 1)] = rng.choice([[], ["new"], ["ax"]])
+        docs.append(" ".join(["ax"] * rng.randint(0, 3) + words + [rng.choice("abc") + "y" for _ in range(rng.randint(0, 6))]))
+    sought = decontamination.phrases(bench(spark, *items))
+    index = decontamination.build_index(make(*enumerate(docs)), sought.terms)
     ids = {r.doc: r.doc_id for r in index.select("doc", "doc_id").distinct().collect()}
-    exact = {ids[r.doc] for r in decontamination.occurrences(index, sought.windows).collect()}
-    close = {ids[r.doc] for r in decontamination.occurrences(index, sought.windows, slop=2, min_share=0.8).collect()}
-    assert exact == {1} and close == {1, 2}
+    names = {r.win: r.words for r in sought.windows.join(sought.terms, "term_id").groupBy("win").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("off", "term"))), lambda x: x["term"]), " ").alias("words")).collect()}
+    found = decontamination.near_occurrences(index, sought.windows, slop, share).collect()
+    assert {(ids[r.doc], names[r.win], r.start): r.n_found for r in found} == plain_near(docs, items, 10, slop, share)
+    assert len(found) == len({(r.doc, r.win, r.start) for r in found})
+
+
+def test_a_replaced_rarest_word_is_still_near(spark, make):
+    item = "zebra quartz of the jumping vixen over a lazy dog"
+    docs = make((1, item), (2, item.replace("zebra", "horse")), (3, item.replace("zebra ", "").replace("quartz", "rock")), (4, "zebra and far away of the end of things some quartz"), (5, None))
+    got = {r.doc_id: (r.item_ids, r.near_items) for r in decontamination.contamination(docs, bench(spark, (1, item)), near=True).collect()}
+    assert got == {1: (["1"], ["1"]), 2: ([], ["1"]), 3: ([], ["1"]), 4: ([], []), 5: ([], [])}
+    alone = make((2, item.replace("zebra", "horse")))  # zebra is nowhere in the corpus
+    assert decontamination.contamination(alone, bench(spark, (1, item)), near=True).first().near_items == ["1"]
 
 
 def test_plans_have_no_python(spark, make):
     rows = make((1, "a b c"))
-    frames = [decontamination.contamination(rows, bench(spark, (1, "a b"))), mixing.mix(rows)]
+    frames = [decontamination.contamination(rows, bench(spark, (1, "a b")), near=True), mixing.mix(rows), mixing.mixed_documents(rows)]
+    frames.append(licences.scan(licence_files(spark, (1, "a/b", "MIT License"))))
     for df in frames:
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Arrow|Pandas|CartesianProduct|NestedLoop", plan)

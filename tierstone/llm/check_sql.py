@@ -44,10 +44,20 @@ with item_words as (
 ), items as (
   select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids
   from (select distinct doc_id, item_id from matched) group by doc_id
+), near_terms as (
+  select win, n, unnest(string_split(win, ' ')) as term, unnest(range(0, n)) as off from (select distinct win, n from item_windows)
+), near_places as (
+  select doc_id, win, any_value(n) as n, place + e as start, count(distinct off) as n_found
+  from (select doc_id, win, near_terms.n, off, p - off as place from (select doc_id, unnest(ws) as term, unnest(range(0, len(ws))) as p from doc_words) join near_terms using (term)), unnest([-1, 0, 1]) as r(e)
+  group by doc_id, win, place + e
+), near_items as (
+  select doc_id, count(*) as n_near, string_agg(item_id, ',' order by item_id) as near_ids
+  from (select distinct doc_id, item_id from near_places join item_windows using (win) where 10 * n_found >= 8 * n) group by doc_id
 )
 select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
-       sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
-from doc_words left join hits using (doc_id) left join items using (doc_id)
+       sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated,
+       coalesce(n_near, 0)::bigint as n_near_items, sha256(coalesce(near_ids, '')) as near_items_sha256
+from doc_words left join hits using (doc_id) left join items using (doc_id) left join near_items using (doc_id)
 """
 
 RANKED_SQL = r"""

@@ -6,13 +6,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tierstone.llm.common import ascii_lower, free_name, scratch
 
 #: Everything below 0x80 that is neither a digit nor a lower-case letter separates words.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
+#: A near match has this share of a window's words, each at most so many places from where the window has it.
+NEAR_SHARE, NEAR_SLOP = 0.8, 1
 
 
 def split_words(text: Column) -> Column:
@@ -40,7 +41,8 @@ class Phrases:
 def phrases(benchmark: DataFrame, window: int = WINDOW) -> Phrases:
     """Windows of `window` consecutive words; a shorter item with a word is one window.
 
-    Null texts have none. Items that repeat an id count as one item. A null id is ''.
+    Null texts have none. Items that repeat an id count as one item. A null id is ''. Terms go by
+    their 64-bit hash, so nothing is numbered in one task.
     """
     parts = F.filter(split_words(F.col("text")), lambda w: w != "")
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), parts.alias("words")).filter(F.size("words") > 0)
@@ -48,7 +50,7 @@ def phrases(benchmark: DataFrame, window: int = WINDOW) -> Phrases:
     cut = items.select("item_id", F.explode(F.transform(starts, lambda s: F.slice("words", s, F.lit(window)))).alias("words"))
     owners = scratch(cut.distinct(), "windows")
     terms = owners.select(F.explode("words").alias("term")).distinct()
-    terms = scratch(terms.withColumn("term_id", F.row_number().over(Window.orderBy("term"))), "terms")
+    terms = scratch(terms.withColumn("term_id", F.xxhash64("term")), "terms")
     windows = owners.select("words").distinct().withColumn("win", F.xxhash64(F.array_join("words", " "), F.lit(1)))
     each = windows.select("win", F.posexplode("words").alias("off", "term")).join(terms, "term")
     windows = scratch(each.select("win", "off", "term_id"), "window-terms")
@@ -70,25 +72,26 @@ def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return scratch(found.select("doc", "doc_id", "text_hash", "n_words", "pos", "term_id"), "postings")
 
 
-def ranked_windows(index: DataFrame, windows: DataFrame) -> DataFrame:
-    """(win, len, terms): each window's (n, off, term_id), rarest first; windows with an absent term are gone.
+def ranked_windows(index: DataFrame, windows: DataFrame, min_share: float = 1.0) -> DataFrame:
+    """(win, len, need, terms): each window's (n, off, term_id), rarest first, and how many of them a match needs.
 
-    Occurrences are counted over the whole index.
+    Occurrences are counted over the whole index. Windows that lack so many terms that none can match are gone.
     """
     counts = index.filter("term_id is not null").groupBy("term_id").agg(F.count("*").alias("n"))
     each = windows.join(counts, "term_id", "left")
-    by_window = each.groupBy("win").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", "term_id"))).alias("terms"))
-    return scratch(by_window.filter(F.col("terms")[0]["n"] > 0).withColumn("len", F.size("terms")), "ranked-windows")
+    listed = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", "term_id")))
+    by_window = each.groupBy("win").agg(listed.alias("terms")).withColumn("len", F.size("terms"))
+    by_window = by_window.withColumn("need", F.ceil(F.col("len") * F.lit(min_share)).cast("int"))
+    present = F.size(F.filter("terms", lambda t: t["n"] > 0))
+    return scratch(by_window.filter(present >= F.greatest("need", F.lit(1))), "ranked-windows")
 
 
-def occurrences(index: DataFrame, windows: DataFrame, slop: int = 0, min_share: float = 1.0) -> DataFrame:
-    """(doc, win, start, n_found, len): where windows occur.
+def occurrences(index: DataFrame, windows: DataFrame) -> DataFrame:
+    """(doc, win, start, len): where windows occur word for word.
 
     The two rarest terms come first: postings of the rarest give a start each (place minus
     offset), kept if the second rarest has a posting that fits the same start. Only then are
-    the other terms' lists looked up. With slop 0 and share 1 that is the exact phrase; else
-    a proximity match: `min_share` of the terms, the two rarest among them, each within `slop` places
-    of where the rarest puts it.
+    the other terms' lists looked up.
     """
     postings = index.filter("term_id is not null").select("doc", "pos", "term_id")
     ranked = ranked_windows(index, windows)
@@ -96,20 +99,52 @@ def occurrences(index: DataFrame, windows: DataFrame, slop: int = 0, min_share:
     pairs = ranked.select("win", "len", first["term_id"].alias("term_id"), first["off"].alias("off"), second["term_id"].alias("term_2"), second["off"].alias("off_2"))
     # the list of rarest terms is narrow, so that postings of other terms seldom need a shuffle to be left out
     rare_one = scratch(pairs.select("term_id").distinct(), "rarest-terms")
-    begun = postings.join(rare_one, "term_id", "left_semi").join(pairs, "term_id").withColumn("start", F.col("pos") - F.col("off")).filter(f"start >= {-slop}")
+    begun = postings.join(rare_one, "term_id", "left_semi").join(pairs, "term_id").withColumn("start", F.col("pos") - F.col("off")).filter("start >= 0")
     begun = begun.select("doc", "win", "len", "start", F.col("term_2").alias("term_id"), (F.col("start") + F.col("off_2")).alias("at"))
     alone = begun.filter("len = 1").select("doc", "win", "len", "start")
     second_terms = scratch(pairs.select(F.col("term_2").alias("term_id")).distinct(), "second-terms")
     rare_two = postings.join(second_terms, "term_id", "left_semi")
-    both = fitting(begun.filter("len > 1"), rare_two, slop).select("doc", "win", "len", "start")
+    both = fitting(begun.filter("len > 1"), rare_two, 0).select("doc", "win", "len", "start")
     kept = scratch(both.union(alone).distinct(), "candidate-starts")
     # the rest of the lists, of documents that still have a candidate
-    wanted = kept.join(ranked.select("win", F.explode("terms").alias("t")), "win")
-    wanted = wanted.select("doc", "win", "len", "start", "t.off", "t.term_id", (F.col("start") + F.col("t.off")).alias("at"))
-    open_docs = scratch(kept.select("doc").distinct(), "candidate-documents")
-    there = fitting(wanted, postings.join(open_docs, "doc", "left_semi"), slop)
+    there = fitting(wanted_terms(kept, ranked), open_postings(postings, kept), 0)
     found = there.groupBy("doc", "win", "len", "start").agg(F.count_distinct("off").alias("n_found"))
-    return found.filter(F.col("n_found") >= F.ceil(F.col("len") * F.lit(min_share)))
+    return found.filter("n_found = len").drop("n_found")
+
+
+def near_occurrences(index: DataFrame, windows: DataFrame, slop: int = NEAR_SLOP, min_share: float = NEAR_SHARE) -> DataFrame:
+    """(doc, win, start, len, n_found): proximity matches, exact ones among them.
+
+    A window of n words matches at a start if ceil(min_share * n) or more of its words have a place at most `slop` from
+    start + offset. Nothing is missed: of the n - need + 2 rarest terms of a window two at least are found in any match
+    (one, if it needs but one), each at a place that gives 2 slop + 1 starts. Starts that get these votes are looked up whole.
+    Words may be absent from the corpus altogether. A start may lie up to `slop` before the text.
+    """
+    postings = index.filter("term_id is not null").select("doc", "pos", "term_id")
+    ranked = ranked_windows(index, windows, min_share)
+    spare = F.col("len") - F.col("need")
+    voters = F.least(F.col("len"), spare + 2)
+    rare = ranked.withColumn("votes", voters - spare).select("win", "votes", F.posexplode(F.slice("terms", F.lit(1), voters)).alias("voter", "t"))
+    rare = scratch(rare.select("win", "votes", "voter", "t.off", "t.term_id"), "voting-terms")
+    voting = scratch(rare.select("term_id").distinct(), "voting-term-ids")
+    shifts = F.explode(F.array(*[F.col("pos") - F.col("off") + e for e in range(-slop, slop + 1)]))
+    voted = postings.join(voting, "term_id", "left_semi").join(rare, "term_id").select("doc", "win", "votes", "voter", shifts.alias("start"))
+    marks = F.bit_count(F.bit_or(F.expr("shiftleft(1L, voter)")))  # a window has far fewer voters than a long has bits
+    heard = voted.groupBy("doc", "win", "start").agg(marks.alias("heard"), F.first("votes").alias("votes"))
+    kept = scratch(heard.filter("heard >= votes").select("doc", "win", "start"), "near-starts")
+    there = fitting(wanted_terms(kept.join(ranked.select("win", "len"), "win"), ranked), open_postings(postings, kept), slop)
+    found = there.groupBy("doc", "win", "len", "start").agg(F.count_distinct("off").alias("n_found"))
+    return found.join(ranked.select("win", "need"), "win").filter("n_found >= need").select("doc", "win", "start", "len", "n_found")
+
+
+def wanted_terms(starts: DataFrame, ranked: DataFrame) -> DataFrame:
+    """(doc, win, len, start, off, term_id, at): every term of the windows at candidate starts, with its place."""
+    each = starts.select("doc", "win", "len", "start").join(ranked.select("win", F.explode("terms").alias("t")), "win")
+    return each.select("doc", "win", "len", "start", "t.off", "t.term_id", (F.col("start") + F.col("t.off")).alias("at"))
+
+
+def open_postings(postings: DataFrame, starts: DataFrame) -> DataFrame:
+    return postings.join(scratch(starts.select("doc").distinct(), "candidate-documents"), "doc", "left_semi")
 
 
 def fitting(wanted: DataFrame, postings: DataFrame, slop: int) -> DataFrame:
@@ -126,27 +161,37 @@ def fitting(wanted: DataFrame, postings: DataFrame, slop: int) -> DataFrame:
     return near.join(cut, ["doc", "term_id", "stretch"]).filter(F.abs(F.col("pos") - F.col("at")) <= slop)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, near: bool = False) -> DataFrame:
     """doc, doc_id, text_hash (XXH64), n_words, n_hit, n_items, item_ids (sorted strings), contaminated, per document.
 
-    A word inside any occurrence of a window is hit. Null and empty texts have no words.
+    A word inside any occurrence of a window is hit. With `near`, near_items lists the items (sorted strings) of which
+    a window occurs exactly or in proximity (`near_occurrences`). Null and empty texts have no words.
     Repeated rows stay, columns other than doc_id, text, item_id are ignored, and empty
     tables give no rows or no hits.
     """
     sought = phrases(benchmark, window)
     index = build_index(docs, sought.terms)
-    matched = scratch(occurrences(index, sought.windows).select("doc", "win", "start", "len"), "matches")
+    matched = scratch(occurrences(index, sought.windows), "matches")
     places = matched.select("doc", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("len") - 1)).alias("pos"))
     hits = places.distinct().groupBy("doc").agg(F.count("*").alias("n_hit"))
-    items = matched.select("doc", "win").distinct().join(sought.owners, "win").select("doc", "item_id").distinct()
-    items = items.groupBy("doc").agg(F.array_sort(F.collect_list("item_id")).alias("item_ids"))
-    per_doc = scratch(hits.join(items, "doc"), "contaminated")
+
+    def items_of(matches: DataFrame, name: str) -> DataFrame:
+        items = matches.select("doc", "win").distinct().join(sought.owners, "win").select("doc", "item_id").distinct()
+        return items.groupBy("doc").agg(F.array_sort(F.collect_list("item_id")).alias(name))
+
+    per_doc = hits.join(items_of(matched, "item_ids"), "doc")
+    if near:
+        per_doc = per_doc.join(items_of(near_occurrences(index, sought.windows), "near_items"), "doc", "full")
+    per_doc = scratch(per_doc, "contaminated")
     listed = index.filter("pos = 0 or pos is null").select("doc", "doc_id", "text_hash", "n_words")
     out = listed.join(per_doc, "doc", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     none = F.array().cast("array<string>")
     ids = F.coalesce("item_ids", none)
-    return out.select("doc", "doc_id", "text_hash", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids"), (n_hit > 0).alias("contaminated"))
+    more = [F.coalesce("near_items", none).alias("near_items")] if near else []
+    return out.select(
+        "doc", "doc_id", "text_hash", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids"), (n_hit > 0).alias("contaminated"), *more
+    )
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

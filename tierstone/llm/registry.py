@@ -24,9 +24,12 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    digest = F.sha2(F.array_join("item_ids", ","), 256)
-    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near=True)
+    digest = lambda ids: F.sha2(F.array_join(ids, ","), 256)
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", digest("item_ids").alias("items_sha256"), "contaminated",
+        F.size("near_items").cast("long").alias("n_near_items"), digest("near_items").alias("near_items_sha256"),
+    )
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
