@@ -1,6 +1,7 @@
 """Decontamination, licences, mixing, chat, and the pipeline."""
 
 import hashlib
+import math
 import random
 import re
 from collections import defaultdict
@@ -48,8 +49,14 @@ def plain_near(docs, items, window, slop, share):
         words = word.findall(brute.lower(text))
         for w in windows:
             for s in range(-len(w), len(words) + slop):
-                hits = sum(any(0 <= p < len(words) and words[p] == t for p in range(s + k - slop, s + k + slop + 1)) for k, t in enumerate(w))
-                if hits >= -(-len(w) * share // 1):
+                near = lambda k, *run: any(0 <= p and tuple(words[p : p + len(run)]) == run for p in range(s + k - slop, s + k + slop + 1))
+                if len(w) == 1:
+                    hits, need, pairs, intact = int(0 <= s < len(words) and words[s] == w[0]), 1, 0, 0
+                else:
+                    hits, pairs = sum(near(k, t) for k, t in enumerate(w)), sum(near(k, *w[k : k + 2]) for k in range(len(w) - 1))
+                    need = math.ceil(len(w) * share)
+                    intact = max(1, len(w) - 1 - 2 * (len(w) - need))
+                if hits >= need and pairs >= intact:
                     out[d, " ".join(w), s] = hits
     return out
 
@@ -67,10 +74,10 @@ def test_proximity_matches_brute_force(spark, make, slop, share):
             words[at : at + rng.randint(0, 1)] = rng.choice([[], ["new"], ["ax"]])
         docs.append(" ".join(["ax"] * rng.randint(0, 3) + words + [rng.choice("abc") + "y" for _ in range(rng.randint(0, 6))]))
     sought = decontamination.phrases(bench(spark, *items))
-    index = decontamination.build_index(make(*enumerate(docs)), sought.terms)
+    index = decontamination.build_index(make(*enumerate(docs)), sought.terms, sought.pairs)
     ids = {r.doc: r.doc_id for r in index.select("doc", "doc_id").distinct().collect()}
     names = {r.win: r.words for r in sought.windows.join(sought.terms, "term_id").groupBy("win").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("off", "term"))), lambda x: x["term"]), " ").alias("words")).collect()}
-    found = decontamination.near_occurrences(index, sought.windows, slop, share).collect()
+    found = decontamination.near_occurrences(index, sought, slop, share).collect()
     assert {(ids[r.doc], names[r.win], r.start): r.n_found for r in found} == plain_near(docs, items, 10, slop, share)
     assert len(found) == len({(r.doc, r.win, r.start) for r in found})
 

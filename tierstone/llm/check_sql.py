@@ -44,15 +44,24 @@ with item_words as (
 ), items as (
   select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids
   from (select distinct doc_id, item_id from matched) group by doc_id
-), near_terms as (
-  select win, n, unnest(string_split(win, ' ')) as term, unnest(range(0, n)) as off from (select distinct win, n from item_windows)
+), near_windows as (
+  select win, n, ceil(0.8 * n)::int as need, string_split(win, ' ') as w from (select distinct win, n from item_windows)
+), near_parts as (
+  select win, n, need, off, w[off + 1] as term, w[off + 2] as next from near_windows, unnest(range(0, n)) as r(off)
+), doc_tokens as (
+  select doc_id, p, ws[p + 1] as term, ws[p + 2] as next from doc_words, unnest(range(0, len(ws))) as r(p)
+), near_pairs as (
+  select doc_id, win, any_value(n) as n, any_value(need) as need, p - off + e as start
+  from near_parts join doc_tokens using (term, next), unnest([-1, 0, 1]) as r(e)
+  group by doc_id, win, p - off + e having count(distinct off) >= any_value(greatest(1, n - 1 - 2 * (n - need)))
+  union all select doc_id, win, n, need, p from near_parts join doc_tokens using (term) where n = 1
 ), near_places as (
-  select doc_id, win, any_value(n) as n, place + e as start, count(distinct off) as n_found
-  from (select doc_id, win, near_terms.n, off, p - off as place from (select doc_id, unnest(ws) as term, unnest(range(0, len(ws))) as p from doc_words) join near_terms using (term)), unnest([-1, 0, 1]) as r(e)
-  group by doc_id, win, place + e
+  select doc_id, win from near_pairs join near_parts using (win, n, need) join doc_tokens using (doc_id, term)
+  where abs(p - off - start) <= case when n = 1 then 0 else 1 end
+  group by doc_id, win, start having count(distinct off) >= any_value(need)
 ), near_items as (
   select doc_id, count(*) as n_near, string_agg(item_id, ',' order by item_id) as near_ids
-  from (select distinct doc_id, item_id from near_places join item_windows using (win) where 10 * n_found >= 8 * n) group by doc_id
+  from (select distinct doc_id, item_id from near_places join item_windows using (win)) group by doc_id
 )
 select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
        sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated,

@@ -12,7 +12,8 @@ from tierstone.llm.common import ascii_lower, free_name, scratch
 #: Everything below 0x80 that is neither a digit nor a lower-case letter separates words.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
-#: A near match has this share of a window's words, each at most so many places from where the window has it.
+#: A near match has this share of a window's words, each at most so many places from where the window has it,
+#: and as many of its pairs of neighbours as that leaves (`near_occurrences`).
 NEAR_SHARE, NEAR_SLOP = 0.8, 1
 
 
@@ -30,11 +31,13 @@ def word_total(parts: Column) -> Column:
 class Phrases:
     """Windows of the benchmark, each distinct one once.
 
-    terms: (term, term_id). windows: (win, words: array of term ids). owners: (win, item_id).
+    terms: (term, term_id). windows: (win, off, term_id). pairs: (win, off, pair_id), of neighbouring
+    words. owners: (win, item_id).
     """
 
     terms: DataFrame
     windows: DataFrame
+    pairs: DataFrame
     owners: DataFrame
 
 
@@ -54,36 +57,45 @@ def phrases(benchmark: DataFrame, window: int = WINDOW) -> Phrases:
     windows = owners.select("words").distinct().withColumn("win", F.xxhash64(F.array_join("words", " "), F.lit(1)))
     each = windows.select("win", F.posexplode("words").alias("off", "term")).join(terms, "term")
     windows = scratch(each.select("win", "off", "term_id"), "window-terms")
-    owners = scratch(owners.select(F.xxhash64(F.array_join("words", " "), F.lit(1)).alias("win"), "item_id").distinct(), "window-owners")
-    return Phrases(terms, windows, owners)
+    named = owners.select(F.xxhash64(F.array_join("words", " "), F.lit(1)).alias("win"), "item_id", "words")
+    pairs = F.transform(F.slice("words", 1, F.size("words") - 1), lambda w, i: F.xxhash64(w, F.get("words", i + 1)))
+    pairs = scratch(named.select("win", "words").distinct().select("win", F.posexplode(pairs).alias("off", "pair_id")), "window-pairs")
+    owners = scratch(named.select("win", "item_id").distinct(), "window-owners")
+    return Phrases(terms, windows, pairs, owners)
 
 
-def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """Stored postings (doc, doc_id, text_hash, n_words, pos, term_id) of every occurrence of the terms.
+def build_index(docs: DataFrame, terms: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """Stored postings (doc, doc_id, text_hash, n_words, pos, term_id, pair_id) of every occurrence of the terms.
 
     One pass over the texts. Each document also keeps a row of its first place, with a null
     term if that word is not sought, so that documents without postings are not lost. `doc`
-    numbers rows, as ids may repeat or be null.
+    numbers rows, as ids may repeat or be null. Where the word and its follower are one of `pairs`, `pair_id` says so.
     """
     rows = docs.select("doc_id", "text").withColumn("doc", F.monotonically_increasing_id())
     parts = rows.select("doc", "doc_id", F.xxhash64("text").alias("text_hash"), split_words(F.col("text")).alias("parts"))
-    tokens = parts.select("doc", "doc_id", "text_hash", word_total(F.col("parts")).alias("n_words"), F.posexplode_outer("parts").alias("pos", "term"))
+    head = ("doc", "doc_id", "text_hash", word_total(F.col("parts")).alias("n_words"))
+    if pairs is None:
+        tokens = parts.select(*head, F.posexplode_outer("parts").alias("pos", "term")).withColumn("pair_id", F.lit(None).cast("long"))
+    else:
+        followed = F.transform("parts", lambda w, i: F.struct(w.alias("term"), F.xxhash64(w, F.get("parts", i + 1)).alias("pair")))
+        tokens = parts.select(*head, F.posexplode_outer(followed).alias("pos", "t")).select("doc", "doc_id", "text_hash", "n_words", "pos", "t.term", "t.pair")
+        tokens = tokens.join(pairs.select(F.col("pair_id").alias("pair"), F.col("pair_id")).distinct(), "pair", "left")
     found = tokens.join(terms, "term", "left").filter("term_id is not null or pos = 0 or pos is null")
-    return scratch(found.select("doc", "doc_id", "text_hash", "n_words", "pos", "term_id"), "postings")
+    return scratch(found.select("doc", "doc_id", "text_hash", "n_words", "pos", "term_id", "pair_id"), "postings")
 
 
-def ranked_windows(index: DataFrame, windows: DataFrame, min_share: float = 1.0) -> DataFrame:
-    """(win, len, need, terms): each window's (n, off, term_id), rarest first, and how many of them a match needs.
+def ranked_windows(index: DataFrame, windows: DataFrame) -> DataFrame:
+    """(win, len, terms): each window's (n, off, term_id), rarest first; windows with an absent term are gone.
 
-    Occurrences are counted over the whole index. Windows that lack so many terms that none can match are gone.
+    Occurrences are counted over the whole index.
     """
-    counts = index.filter("term_id is not null").groupBy("term_id").agg(F.count("*").alias("n"))
-    each = windows.join(counts, "term_id", "left")
-    listed = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", "term_id")))
-    by_window = each.groupBy("win").agg(listed.alias("terms")).withColumn("len", F.size("terms"))
-    by_window = by_window.withColumn("need", F.ceil(F.col("len") * F.lit(min_share)).cast("int"))
-    present = F.size(F.filter("terms", lambda t: t["n"] > 0))
-    return scratch(by_window.filter(present >= F.greatest("need", F.lit(1))), "ranked-windows")
+    return scratch(rarest_first(index, windows, "term_id", "terms").filter(F.col("terms")[0]["n"] > 0).withColumn("len", F.size("terms")), "ranked-windows")
+
+
+def rarest_first(index: DataFrame, windows: DataFrame, key: str, name: str) -> DataFrame:
+    counts = index.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    listed = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", key)))
+    return windows.join(counts, key, "left").groupBy("win").agg(listed.alias(name))
 
 
 def occurrences(index: DataFrame, windows: DataFrame) -> DataFrame:
@@ -112,29 +124,39 @@ def occurrences(index: DataFrame, windows: DataFrame) -> DataFrame:
     return found.filter("n_found = len").drop("n_found")
 
 
-def near_occurrences(index: DataFrame, windows: DataFrame, slop: int = NEAR_SLOP, min_share: float = NEAR_SHARE) -> DataFrame:
-    """(doc, win, start, len, n_found): proximity matches, exact ones among them.
+def near_occurrences(index: DataFrame, sought: Phrases, slop: int = NEAR_SLOP, min_share: float = NEAR_SHARE) -> DataFrame:
+    """(doc, win, start, len, n_found): proximity matches, exact ones among them; the index has `sought.pairs`.
 
-    A window of n words matches at a start if ceil(min_share * n) or more of its words have a place at most `slop` from
-    start + offset. Nothing is missed: of the n - need + 2 rarest terms of a window two at least are found in any match
-    (one, if it needs but one), each at a place that gives 2 slop + 1 starts. Starts that get these votes are looked up whole.
-    Words may be absent from the corpus altogether. A start may lie up to `slop` before the text.
+    A window of n words matches at a start if need = ceil(min_share * n) or more of its words have a place at most `slop` from
+    start + offset, and of its n - 1 pairs of neighbours so many still are neighbours there as n - need changed
+    words leave at least: n - 1 - 2 (n - need), and one in any case. Changed, missing and new words may be any, the
+    rarest too, and absent from the corpus. Nothing is missed: one of a window's rarest pairs is there in any match, so
+    their lists give the starts, and only there the other pairs and words are looked up. A window of one word
+    matches exactly. A start may lie up to `slop` before the text.
     """
     postings = index.filter("term_id is not null").select("doc", "pos", "term_id")
-    ranked = ranked_windows(index, windows, min_share)
-    spare = F.col("len") - F.col("need")
-    voters = F.least(F.col("len"), spare + 2)
-    rare = ranked.withColumn("votes", voters - spare).select("win", "votes", F.posexplode(F.slice("terms", F.lit(1), voters)).alias("voter", "t"))
-    rare = scratch(rare.select("win", "votes", "voter", "t.off", "t.term_id"), "voting-terms")
-    voting = scratch(rare.select("term_id").distinct(), "voting-term-ids")
+    pair_postings = index.filter("pair_id is not null").select("doc", "pos", F.col("pair_id").alias("term_id"))
+    whole = sought.windows.groupBy("win").agg(F.count("*").cast("int").alias("len"), F.array_sort(F.collect_list(F.struct(F.lit(0).alias("n"), "off", "term_id"))).alias("terms"))
+    pairs = rarest_first(index, sought.pairs, "pair_id", "pairs").withColumnRenamed("win", "pair_win")
+    asked = whole.join(pairs, F.col("win") == F.col("pair_win"), "left").drop("pair_win").withColumn("need", F.ceil(F.col("len") * F.lit(min_share)).cast("int"))
+    left = F.col("len") - 1 - 2 * (F.col("len") - F.col("need"))
+    asked = scratch(asked.withColumn("intact", F.when(F.col("len") == 1, 0).otherwise(F.greatest(left, F.lit(1)))), "near-windows")
+    rare = asked.filter("len > 1").select("win", "len", F.explode(F.slice("pairs", F.lit(1), F.col("len") - F.col("intact"))).alias("t"))
+    rare = scratch(rare.select("win", "len", "t.off", F.col("t.pair_id").alias("term_id")), "rare-pairs")
     shifts = F.explode(F.array(*[F.col("pos") - F.col("off") + e for e in range(-slop, slop + 1)]))
-    voted = postings.join(voting, "term_id", "left_semi").join(rare, "term_id").select("doc", "win", "votes", "voter", shifts.alias("start"))
-    marks = F.bit_count(F.bit_or(F.expr("shiftleft(1L, voter)")))  # a window has far fewer voters than a long has bits
-    heard = voted.groupBy("doc", "win", "start").agg(marks.alias("heard"), F.first("votes").alias("votes"))
-    kept = scratch(heard.filter("heard >= votes").select("doc", "win", "start"), "near-starts")
-    there = fitting(wanted_terms(kept.join(ranked.select("win", "len"), "win"), ranked), open_postings(postings, kept), slop)
-    found = there.groupBy("doc", "win", "len", "start").agg(F.count_distinct("off").alias("n_found"))
-    return found.join(ranked.select("win", "need"), "win").filter("n_found >= need").select("doc", "win", "start", "len", "n_found")
+    begun = pair_postings.join(rare, "term_id").select("doc", "win", "len", shifts.alias("start"))
+    alone = asked.filter("len = 1").select("win", "len", F.col("terms")[0]["term_id"].alias("term_id"))
+    kept = scratch(begun.union(postings.join(alone, "term_id").select("doc", "win", "len", F.col("pos").alias("start"))).distinct(), "near-starts")
+    as_terms = asked.select("win", F.transform("pairs", lambda t: F.struct(t["n"].alias("n"), t["off"].alias("off"), t["pair_id"].alias("term_id"))).alias("terms"))
+
+    def found_at(starts: DataFrame, of_window: DataFrame, lists: DataFrame, name: str) -> DataFrame:
+        there = fitting(wanted_terms(starts, of_window), open_postings(lists, starts), slop)
+        return there.groupBy("doc", "win", "len", "start").agg(F.count_distinct("off").alias(name))
+
+    joined = found_at(kept.filter("len > 1"), as_terms, pair_postings, "n_pairs").join(asked.select("win", "intact"), "win").filter("n_pairs >= intact")
+    close = joined.select("doc", "win", "len", "start").unionByName(kept.filter("len = 1"))
+    found = found_at(scratch(close, "near-pairs"), asked, postings, "n_found").join(asked.select("win", "need"), "win")
+    return found.filter("n_found >= need").select("doc", "win", "start", "len", "n_found")
 
 
 def wanted_terms(starts: DataFrame, ranked: DataFrame) -> DataFrame:
@@ -170,7 +192,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, n
     tables give no rows or no hits.
     """
     sought = phrases(benchmark, window)
-    index = build_index(docs, sought.terms)
+    index = build_index(docs, sought.terms, sought.pairs if near else None)
     matched = scratch(occurrences(index, sought.windows), "matches")
     places = matched.select("doc", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("len") - 1)).alias("pos"))
     hits = places.distinct().groupBy("doc").agg(F.count("*").alias("n_hit"))
@@ -181,7 +203,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, n
 
     per_doc = hits.join(items_of(matched, "item_ids"), "doc")
     if near:
-        per_doc = per_doc.join(items_of(near_occurrences(index, sought.windows), "near_items"), "doc", "full")
+        per_doc = per_doc.join(items_of(near_occurrences(index, sought), "near_items"), "doc", "full")
     per_doc = scratch(per_doc, "contaminated")
     listed = index.filter("pos = 0 or pos is null").select("doc", "doc_id", "text_hash", "n_words")
     out = listed.join(per_doc, "doc", "left")
