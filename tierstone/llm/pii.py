@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tierstone.llm.common import scratch, texts
 
 #: Kinds in the order that breaks ties of the start; the first four are the base.
-KINDS = ("email", "ip", "card", "phone", "secret", "account", "contact", "handle")
+KINDS = ("email", "ip", "card", "phone", "secret", "account", "contact", "handle", "national", "address", "person")
 BASE_KINDS = KINDS[:4]
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -24,20 +24,39 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 # Wide candidates of the labelers.
-SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}+")
-ACCOUNT = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])")
+SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+")
+ACCOUNT = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 CONTACT = re.compile(r"(?<![0-9A-Za-z+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])")
-HANDLE = re.compile(r"(?<![A-Za-z0-9._%+@-])@[A-Za-z][A-Za-z0-9_]{2,30}(?![A-Za-z0-9_.@])")
+HANDLE = re.compile(r"(?<![A-Za-z0-9._%+@-])@[A-Za-z][A-Za-z0-9_]{2,}+(?![.@])")
+NATIONAL = re.compile(r"(?<![0-9A-Za-z-])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[12] ?[0-9]{2} ?[01][0-9] ?[0-9AB]{2} ?[0-9]{3} ?[0-9]{3}(?: ?[0-9]{2})?|[0-9]{8}-?[A-Z]|[A-Z]{2}[0-9]{6}[A-D])(?![0-9A-Za-z-])")
+CAPITAL = r"(?:[A-Z]|[À-ÖØ-Þ])[\w'’-]+"
+#: Kinds of streets, before the name or after it, and titles before a person's name.
+STREETS_AFTER = ("Street", "St", "Avenue", "Ave", "Road", "Rd", "Lane", "Ln", "Boulevard", "Blvd", "Drive", "Court", "Square", "Terrace")
+STREETS_BEFORE = ("rue", "avenue", "boulevard", "place", "calle", "avenida", "via", "piazza")
+TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Mme", "Mlle", "Monsieur", "Madame", "Señor", "Señora")
+ADDRESS = re.compile(
+    r"(?<![\w.-])(?:[0-9]{1,5}[A-Za-z]? (?:" + CAPITAL + r" ){1,3}(?:" + "|".join(STREETS_AFTER) + r")\b\.?"
+    r"|[0-9]{1,5},? (?:" + "|".join(STREETS_BEFORE) + r") (?:d[eu]s? |de la |del )?" + CAPITAL + r"(?: " + CAPITAL + r"){0,2}"
+    r"|" + CAPITAL + r"(?:straße|strasse|weg|gasse|platz|allee) [0-9]{1,4}[a-z]?)(?!\w)"
+)
 #: Gazetteers, by kind: words that stand near data of the kind, and words that speak against it.
 NEAR = {
-    "secret": ("token", "secret", "password", "passwd", "api", "apikey", "key", "bearer", "auth", "credential"),
+    "secret": ("token", "secret", "password", "passwd", "passphrase", "pwd", "api", "apikey", "key", "bearer", "auth", "credential"),
     "account": ("iban", "account", "konto", "compte", "cuenta", "bank"),
     "contact": ("call", "phone", "tel", "telephone", "mobile", "fax", "contact", "telefon", "teléfono", "téléphone"),
     "handle": ("follow", "twitter", "instagram", "contact", "telegram", "dm"),
+    "national": ("ssn", "social", "security", "passport", "national", "identity", "nif", "dni", "nino", "insee", "taxpayer"),
+    "address": ("address", "live", "lives", "living", "deliver", "ship", "adresse", "dirección", "wohnt", "habite", "resides", "mail"),
+    "person": ("name", "named", "contact", "dear", "signed", "patient", "customer", "employee", "nom", "nombre", "regards", "sincerely"),
 }
+# Capitalised words of a name: neither titles nor words that introduce one.
+_NAME = r"(?!(?:" + "|".join([*TITLES, *(w.title() for w in NEAR["person"])]) + r")\b)" + CAPITAL
+PERSON = re.compile(r"(?<!\w)(?:(?:" + "|".join(TITLES) + r")\.? )?" + _NAME + r"(?: [A-Z]\.)?(?: " + _NAME + r"){1,2}(?!\w)")
 AGAINST = ("sha", "sha1", "sha256", "md5", "commit", "checksum", "hash", "isbn", "version", "order", "invoice", "page")
-# A run of any length after such a word and a sign.
-TOLD = re.compile(r"(?i)(?<![a-z0-9])(?:" + "|".join(NEAR["secret"]) + r")[\"']?[ \t]{0,8}[=:][ \t]{0,8}[\"']?(?P<run>[a-z0-9+/_-]++)")
+# A run of any length and any signs after such a word and a sign; `secret_run` says where it ends.
+TOLD = re.compile(r"(?i)(?<![a-z0-9])(?P<word>" + "|".join(NEAR["secret"]) + r")[\"']?[ \t]{0,8}[=:][ \t]{0,8}[\"']?(?P<run>[^\s\"'<>`]++)")
+#: Words after which even a run of plain letters is meant as a secret, from this many characters on.
+PLAIN_AFTER, PLAIN_LENGTH = ("password", "passwd", "passphrase", "pwd", "secret", "token"), 6
 CONTEXT = 40
 WORD = re.compile(r"\w+")
 HIT, MISS, ABSTAIN = "1", "0", "-"
@@ -95,26 +114,73 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[1]), s[2]))
 
 
+def secret_run(text: str, m: re.Match) -> tuple[int, int] | None:
+    """The span a told secret has: no closing signs, and in a query string no further parameter."""
+    start, end = m.span("run")
+    if m.start() and text[m.start() - 1] in "?&":
+        end = min([end, *[at for at in (text.find("&", start, end), text.find("#", start, end)) if at >= 0]])
+    while end > start and text[end - 1] in ".,;:!?)]}":
+        end -= 1
+    value = text[start:end]
+    plain = m["word"].lower() in PLAIN_AFTER and end - start >= PLAIN_LENGTH and text[end : end + 1] != " "
+    return (start, end) if plain or (re.search("[0-9]", value) and re.search("[A-Za-z]", value)) else None
+
+
+def strict_shape(kind: str, value: str) -> bool:
+    if kind == "secret":
+        return bool(re.fullmatch(r"[0-9a-f]{32,64}|[0-9A-F]{32,64}|AKIA[0-9A-Z]{16}|gh[pousr]_\w{36,}|sk-\w{20,}", value))
+    if kind == "account":
+        bare = value.replace(" ", "")
+        return int("".join(str(int(c, 36)) for c in bare[4:] + bare[:4])) % 97 == 1
+    if kind == "contact":
+        return value.startswith("(") == (")" in value)
+    if kind == "national":
+        area = re.fullmatch(r"([0-9]{3})-([0-9]{2})-([0-9]{4})", value)
+        return not area or not (area[1] in ("000", "666") or area[1] >= "900" or area[2] == "00" or area[3] == "0000")
+    if kind == "address":
+        return True  # the pattern names the street's kind
+    if kind == "person":
+        return value.split()[0].rstrip(".") in TITLES
+    return value.islower() or "_" in value
+
+
 def labels_of(kind: str, text: str, start: int, end: int) -> str:
     """One vote per labeler: strict shape, variety of characters, gazetteer before, gazetteer after, context sign."""
     value = text[start:end]
     before = [w.lower() for w in WORD.findall(text[max(0, start - CONTEXT) : start])][-3:]
     after = [w.lower() for w in WORD.findall(text[end : end + CONTEXT])][:2]
     digits, letters = sum(c.isdigit() for c in value), sum(c.isalpha() for c in value)
-    if kind == "secret":
-        strict = bool(re.fullmatch(r"[0-9a-f]{32,64}|[0-9A-F]{32,64}|AKIA[0-9A-Z]{16}|gh[pousr]_\w{36,}|sk-\w{20,}", value))
-        varied = digits >= 4 and letters >= 4
-    elif kind == "account":
-        moved = value[4:] + value[:4]
-        strict, varied = int("".join(str(int(c, 36)) for c in moved)) % 97 == 1, digits >= 8
-    elif kind == "contact":
-        strict, varied = value.startswith("(") == (")" in value), len(set(value)) >= 5
-    else:
-        strict, varied = value.islower() or "_" in value, letters >= 3
+    varied = {
+        "secret": digits >= 4 and letters >= 4, "account": digits >= 8, "contact": len(set(value)) >= 5, "handle": letters >= 3,
+        "national": len(set(value) - set(" -")) >= 4, "address": digits >= 1 and letters >= 6, "person": letters >= 6,
+    }[kind]
+    names = {w for b in before for w in (b, *b.split("_"))}
     signed = HIT if before and re.search(r"[=:]\s*[\"']?\Z", text[max(0, start - 4) : start]) else ABSTAIN
-    spoken = HIT if set(before) & set(NEAR[kind]) else MISS if set(before) & set(AGAINST) else ABSTAIN
+    spoken = HIT if names & set(NEAR[kind]) else MISS if names & set(AGAINST) else ABSTAIN
     follows = HIT if set(after) & set(NEAR[kind]) else ABSTAIN
-    return "".join((HIT if strict else MISS, HIT if varied else MISS, spoken, follows, signed))
+    return "".join((HIT if strict_shape(kind, value) else MISS, HIT if varied else MISS, spoken, follows, signed))
+
+
+def features_of(text: str, start: int, end: int) -> str:
+    """What the classifier sees besides the votes, a letter each: length, share of digits, case, sign before, sign after."""
+    value = text[start:end]
+    length = "abcd"[sum(len(value) >= n for n in (12, 24, 48))]
+    digits = "abcd"[sum(sum(c.isdigit() for c in value) >= share * len(value) for share in (0.01, 0.3, 0.7))]
+    case = "l" if value.islower() else "u" if value.isupper() else "m"
+    around = ["e" if not c else "s" if c.isspace() else "q" if c in "\"'`" else "g" if c in "=:" else "w" if c.isalnum() else "p" for c in (text[start - 1 : start] if start else "", text[end : end + 1])]
+    return "".join((length, digits, case, *around))
+
+
+CANDIDATES = (
+    ("account", ACCOUNT), ("secret", SECRET), ("contact", CONTACT), ("handle", HANDLE),
+    ("national", NATIONAL), ("address", ADDRESS), ("person", PERSON),
+)
+
+
+def named(text: str, start: int, end: int) -> bool:
+    """Whether anything but capitals speaks for a person: a title, or a word of the gazetteer close by."""
+    near = WORD.findall(text[max(0, start - CONTEXT) : start])[-3:]
+    return strict_shape("person", text[start:end]) or bool({w.lower() for w in near} & set(NEAR["person"]))
 
 
 def candidates(text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, str, int, str]]:
@@ -122,22 +188,24 @@ def candidates(text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, s
 
     A candidate may hold a base span, as a secret may hold digits that pass for a card.
 
-    The pattern is the kind and the labelers' votes: all that the classifier sees.
+    The pattern is the kind, the labelers' votes and a few features of the span and its surroundings.
     """
     starts = np.array([a for a, _, _ in base], int)  # base spans come by start
     furthest = np.maximum.accumulate(np.array([b for _, _, b in base], int)) if base else starts
     found: list[tuple[int, str, int]] = []
-    told = {m.span("run") for m in TOLD.finditer(text)}
-    for kind, pattern in (("account", ACCOUNT), ("secret", SECRET), ("contact", CONTACT), ("handle", HANDLE)):
-        spans = [m.span() for m in pattern.finditer(text)] if kind != "handle" or "@" in text else []
-        for a, b in sorted(told.union(spans)) if kind == "secret" else spans:
-            if kind == "secret" and not (re.search("[0-9]", text[a:b]) and re.search("[A-Za-z]", text[a:b])):
-                continue
+    told = {span for m in TOLD.finditer(text) if (span := secret_run(text, m))}
+    for kind, pattern in CANDIDATES:
+        spans = {m.span() for m in pattern.finditer(text)} if kind != "handle" or "@" in text else set()
+        if kind == "secret":
+            spans = told | {(a, b) for a, b in spans if re.search("[0-9]", text[a:b]) and re.search("[A-Za-z]", text[a:b])}
+        elif kind == "person":
+            spans = {(a, b) for a, b in spans if named(text, a, b)}
+        for a, b in sorted(spans):
             before = int(np.searchsorted(starts, a, "right"))  # base spans that start no later
             if not before or furthest[before - 1] < b:
                 found.append((a, kind, b))
     found.sort(key=lambda s: (s[0], -s[2]))
-    return [(a, kind, b, f"{kind}:{labels_of(kind, text, a, b)}") for a, kind, b in found]
+    return [(a, kind, b, f"{kind}:{labels_of(kind, text, a, b)}:{features_of(text, a, b)}") for a, kind, b in found]
 
 
 def resolve(found: Iterable[tuple[int, str, int, str]], chances: Mapping[str, float]) -> list[tuple[int, str, int]]:
@@ -177,7 +245,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def pattern_counts(docs: DataFrame) -> dict[str, int]:
-    """Occurrences of each pattern; at most kinds * 3 ** labelers of them."""
+    """Occurrences of each pattern; at most kinds * 3 ** labelers * values of the features of them, far fewer in fact."""
     return counts_of(scan(docs).select("extra"))
 
 
@@ -186,13 +254,21 @@ def counts_of(scanned: DataFrame) -> dict[str, int]:
     return {r["pattern"]: r["n"] for r in each.groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").collect()}
 
 
+def voted(pattern: str) -> str:
+    """Kind and votes of a pattern, without the features."""
+    return ":".join(pattern.split(":")[:2])
+
+
 def reliabilities(patterns: Mapping[str, int], rounds: int = 60) -> dict[str, float]:
-    """Probability that a pattern's spans are personal data, by EM over the labelers' votes.
+    """Probability that spans of a kind and votes are personal data, by EM over the labelers' votes.
 
     A labeler's hit rate and false-hit rate are shared by all kinds and kept on the side of
     better than chance; each kind has its own prior.
     """
-    keys = list(patterns)
+    whole: dict[str, int] = {}
+    for k, n_of in patterns.items():
+        whole[voted(k)] = whole.get(voted(k), 0) + n_of
+    patterns, keys = whole, list(whole)
     n = np.array([patterns[k] for k in keys], float)
     votes = np.array([[(c == HIT) - (c == MISS) for c in k.split(":")[1]] for k in keys], float).reshape(len(keys), N_LABELERS)
     kinds = np.array([KINDS.index(k.split(":")[0]) for k in keys], int)
@@ -210,8 +286,9 @@ def reliabilities(patterns: Mapping[str, int], rounds: int = 60) -> dict[str, fl
 
 
 def train(patterns: Mapping[str, int], rounds: int = 30, penalty: float = 1.0) -> dict[str, float]:
-    """The span classifier: logistic regression on votes and kind, with the EM posteriors as labels.
+    """The span classifier: logistic regression on kind, votes and features, with the EM posteriors as labels.
 
+    Labelers vote; the classifier also sees what none of them does: length, digits, case and the signs around a span.
     Fitted by Newton steps on pattern counts, so its cost does not depend on the corpus.
     Returns the classifier's probability of each pattern.
     """
@@ -220,11 +297,13 @@ def train(patterns: Mapping[str, int], rounds: int = 30, penalty: float = 1.0) -
         return {}
     soft = reliabilities(patterns)
     n = np.array([patterns[k] for k in keys], float)
-    y = np.array([soft[k] for k in keys])
+    y = np.array([soft[voted(k)] for k in keys])
+    seen = sorted({(i, c) for k in keys for i, c in enumerate(k.split(":")[2] if k.count(":") == 2 else "")})
     rows = []
     for k in keys:
-        kind, votes = k.split(":")
-        rows.append([1.0] + [float(c == HIT) for c in votes] + [float(c == MISS) for c in votes] + [float(kind == x) for x in KINDS[4:]])
+        kind, votes, *more = k.split(":")
+        own = set(enumerate(more[0])) if more else set()
+        rows.append([1.0] + [float(c == HIT) for c in votes] + [float(c == MISS) for c in votes] + [float(kind == x) for x in KINDS[4:]] + [float(f in own) for f in seen])
     x = np.array(rows)
     w = np.zeros(x.shape[1])
     ridge = penalty * np.eye(x.shape[1])
