@@ -174,6 +174,35 @@ def test_notices_that_wrap_or_lie_in_a_paragraph(spark):
     assert got == {**{k: (v, "own") for k, v in own.items()}, 8: (None, None), 10: ("GPL-3.0", "inherited")}
 
 
+def test_licence_files_are_compared_whole(spark):
+    """Files as projects have them: a title or a holder's line, the text, and nothing a short prefix would show."""
+    texts = dict(licences.WHOLE_TEXTS)
+    holder = "Copyright (c) 2019, A. N. Author\nAll rights reserved.\n\n"
+    prose = "some plain words of a story that goes on and says nothing of the kind " * 60
+    files = {
+        "LGPL-2.1": "                  GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 2.1, February 1999\n\n Copyright (C) 1991, 1999\n" + prose,
+        "EPL-2.0": "Eclipse Public License - v 2.0\n\n    THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE\n" + prose,
+        "BSL-1.0": texts["BSL-1.0"],
+        "CC-BY-NC-ND-4.0": "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License\n" + prose,
+        "BSD-2-Clause": "BSD 2-Clause License\n\n" + holder + texts["BSD-2-Clause"],
+        "BSD-3-Clause": "BSD 3-Clause License\n\n" + holder + texts["BSD-3-Clause"],
+        "MIT": "MIT License\n\n" + holder + texts["MIT"],
+        "ISC": holder + texts["ISC"],
+        "Zlib": holder + texts["Zlib"],
+        "Artistic-2.0": "                       The Artistic License 2.0\n\n           Copyright (c) 2000-2006\n" + prose,
+        "GPL-2.0": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n" + prose,
+        "AGPL-3.0": "                    GNU AFFERO GENERAL PUBLIC LICENSE\n                       Version 3, 19 November 2007\n" + prose,
+        "Apache-2.0": "                                 Apache License\n                           Version 2.0, January 2004\n" + prose,
+    }
+    rows = [(i, f"d{i}/LICENSE", text) for i, text in enumerate(files.values())] + [(100 + i, f"d{i}/src/code", "no notice") for i in range(len(files))]
+    got = {r.key: (r.licence, r.found) for r in licences.scan(licence_files(spark, *rows)).collect()}
+    for i, name in enumerate(files):
+        assert got[i] == (name, "own") and got[100 + i] == (name, "inherited")
+    # a clause late in a file tells two licences apart
+    late = "x " * 60 + texts["BSD-3-Clause"]
+    assert licences.scan(licence_files(spark, (1, "LICENSE", late))).first().licence == "BSD-3-Clause"
+
+
 # ---------------------------------------------------------------- mixing
 
 

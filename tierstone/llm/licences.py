@@ -37,6 +37,23 @@ TEMPLATES = (
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("Proprietary", "Copyright. All rights reserved."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License"),
+    ("LGPL-2.1", "GNU Lesser General Public License, version 2.1"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("EPL-2.0", "Eclipse Public License v 2.0"),
+    ("BSL-1.0", "Boost Software License Version 1.0"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Artistic-2.0", "The Artistic License 2.0"),
+    ("Zlib", "The zlib License"),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
 )
 #: A line with none of these cannot be a notice.
 TRIGGER = r"(?i)licen[cs]|copyright|spdx|rights reserved|permission|redistribution|public domain|creative commons"
@@ -51,33 +68,77 @@ THRESHOLD = 0.5
 #: Names of licence files, and the share of a file's words that its notices must make up otherwise.
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]es?|copying|notice|unlicense)([.-][^/]*)?$"
 NOTICE_SHARE = 0.25
-#: Words of a licence file's head, which is one vector.
-HEAD_WORDS = 40
+#: Public licence texts that are short enough to be compared whole.
+_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish,
+distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following
+conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS
+IN THE SOFTWARE."""
+_BSD_2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions
+are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation
+and/or other materials provided with the distribution."""
+_BSD_NAMES = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from
+this software without specific prior written permission."""
+_BSD_END = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR
+CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT,
+STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF
+SUCH DAMAGE."""
+_ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the
+above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD
+TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT,
+OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER
+TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+_BOOST = """Boost Software License - Version 1.0 - August 17th, 2003. Permission is hereby granted, free of charge, to any person or organization
+obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute,
+and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all
+subject to the following: The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the
+following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or
+derivative works are solely in the form of machine-executable object code generated by a source language processor. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT
+WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND
+NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN
+CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages
+arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter
+it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you
+wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed
+or altered from any source distribution."""
+WHOLE_TEXTS = (
+    ("MIT", _MIT), ("BSD-2-Clause", f"{_BSD_2} {_BSD_END}"), ("BSD-3-Clause", f"{_BSD_2} {_BSD_NAMES} {_BSD_END}"), ("ISC", _ISC), ("BSL-1.0", _BOOST), ("Zlib", _ZLIB),
+)
+#: From this cosine on a licence file, as one vector, is one of these texts, whatever its single lines are close to.
+WHOLE_THRESHOLD = 0.8
 
 
 def words_of(line: str) -> list[str]:
     return [w for w in re.split(WORDS, line.lower()) if w]
 
 
-def template_vectors() -> tuple[list[tuple[str, str, float]], float]:
+def template_vectors(templates: tuple[tuple[str, str], ...] = TEMPLATES) -> tuple[list[tuple[str, str, float]], float]:
     """(template number|licence, word, weight / norm) of all templates, and the weight of a word in none."""
-    bags = [Counter(words_of(text)) for _, text in TEMPLATES]
-    df = Counter(w for bag in bags for w in bag)
+    bags = [Counter(words_of(text)) for _, text in templates]
+    weight_of = dict(word_weights(templates))
     rows = []
-    for n, ((licence, _), bag) in enumerate(zip(TEMPLATES, bags)):
-        weights = {w: c * idf(df[w]) for w, c in bag.items()}
+    for n, ((licence, _), bag) in enumerate(zip(templates, bags)):
+        weights = {w: c * weight_of[w] for w, c in bag.items()}
         norm = math.sqrt(sum(v * v for v in weights.values()))
         rows += [(f"{n:02d}|{licence}", w, v / norm) for w, v in sorted(weights.items())]
-    return rows, idf(0)
+    return rows, idf(0, len(templates))
 
 
-def idf(df: int) -> float:
-    return math.log((1 + len(TEMPLATES)) / (1 + df)) + 1
+def idf(df: int, templates: int = len(TEMPLATES)) -> float:
+    return math.log((1 + templates) / (1 + df)) + 1
 
 
-def word_weights() -> list[tuple[str, float]]:
-    df = Counter(w for _, text in TEMPLATES for w in set(words_of(text)))
-    return sorted((w, idf(n)) for w, n in df.items())
+def word_weights(templates: tuple[tuple[str, str], ...] = TEMPLATES) -> list[tuple[str, float]]:
+    df = Counter(w for _, text in templates for w in set(words_of(text)))
+    return sorted((w, idf(n, len(templates))) for w, n in df.items())
 
 
 def tokens_of(text: Column) -> Column:
@@ -103,11 +164,11 @@ def triggered(words: Column, w: Column, i: Column) -> Column:
 
 
 def headers(files: DataFrame) -> DataFrame:
-    """Stored: file (a row number), key, path, n_words, lines, snippets, head and stated; no texts.
+    """Stored: file (a row number), key, path, n_words, lines, snippets, whole and stated; no texts.
 
     lines: (line, content) that may be notices. snippets: one per trigger word, (at, the place of
     its first word; of, the trigger's place in it; words, line_of) with the words that a
-    window around the trigger can reach, across lines. head: the first words of a file named
+    window around the trigger can reach, across lines. whole: all words of a file named
     like a licence file. stated: expressions of SPDX tags. Only n_words of files with a trigger
     is set.
     """
@@ -130,7 +191,7 @@ def headers(files: DataFrame) -> DataFrame:
         F.when(F.col("words").isNotNull(), F.size("words")).alias("n_words"),
         F.filter("all_lines", lambda x: x["content"].rlike(TRIGGER)).alias("lines"),
         F.transform("places", snippet).alias("snippets"),
-        F.when(F.col("path").rlike(LICENCE_FILE), F.slice("words", 1, HEAD_WORDS)).alias("head"),
+        F.when(F.col("path").rlike(LICENCE_FILE), F.col("words")).alias("whole"),
         F.when(F.col("words").isNotNull(), F.regexp_extract_all("text", F.lit(SPDX), 1)).alias("stated"),
     )
     return scratch(found.withColumn("file", F.monotonically_increasing_id()), "licence-headers")
@@ -211,11 +272,29 @@ def windows(stored: DataFrame) -> DataFrame:
     return best.select("file", "trigger", licence_at(F.col("b.number")).alias("licence"), (-F.col("b.minus")).alias("score"), "b.first", "b.line_of")
 
 
-def heads(stored: DataFrame) -> DataFrame:
-    """(file, licence, score): heads of files named like licence files, each as one vector."""
-    own = stored.filter(F.size("head") > 0).select("file", "head", numbers_of(F.col("head")).alias("ids"))
-    best = own.select("file", best_of(F.col("head"), F.col("ids"), F.lit(weight_table()[2])).alias("b")).filter(-F.col("b.minus") >= THRESHOLD)
-    return best.select("file", licence_at(F.col("b.number")).alias("licence"), (-F.col("b.minus")).alias("score"))
+def wholes(stored: DataFrame) -> DataFrame:
+    """(file, licence, score): files named like licence files whose whole text, as one vector, is close to one of WHOLE_TEXTS."""
+    words = stored.filter(F.size("whole") > 0).select("file", F.explode("whole").alias("word"))
+    bags = words.groupBy("file", "word").agg(F.count("*").alias("tf"))
+    best = closest(bags, ["file"], WHOLE_TEXTS).filter(-F.col("best.minus") >= WHOLE_THRESHOLD)
+    return best.select("file", F.substring_index("best.template", "|", -1).alias("licence"), (-F.col("best.minus")).alias("score"))
+
+
+def closest(bags: DataFrame, keys: list[str], templates: tuple[tuple[str, str], ...]) -> DataFrame:
+    """keys, best (minus, template), n_words: the template with the highest cosine to each bag (keys, word, tf).
+
+    Sparse vectors: one row per distinct word, joined to the templates' words. Words of no template weigh
+    in the bag's norm. Equal cosines, at six decimals, go to the template listed first.
+    """
+    spark: SparkSession = bags.sparkSession
+    vectors, unknown = template_vectors(templates)
+    known = F.broadcast(spark.createDataFrame(vectors, "template string, word string, weight double"))  # fixed table
+    idfs = F.broadcast(spark.createDataFrame(word_weights(templates), "word string, idf double"))  # fixed table
+    weighed = bags.join(idfs, "word", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
+    norms = weighed.groupBy(*keys).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.sum("tf").alias("n_words"))
+    products = weighed.join(known, "word").groupBy(*keys, "template").agg(F.sum(F.col("w") * F.col("weight")).alias("product"))
+    ranked = F.struct((-F.round(F.col("product") / F.col("norm"), 6)).alias("minus"), "template")
+    return products.join(norms, keys).groupBy(*keys).agg(F.min(ranked).alias("best"), F.first("n_words").alias("n_words"))
 
 
 def stated(stored: DataFrame) -> DataFrame:
@@ -231,26 +310,11 @@ def stated(stored: DataFrame) -> DataFrame:
 
 
 def notices(stored: DataFrame) -> DataFrame:
-    """(file, line, licence, score, line_words): lines whose best cosine to a template is `THRESHOLD` or more.
-
-    Sparse vectors: one row per distinct word of a line, joined to the templates' words.
-    Words of no template weigh in the line's norm. Equal cosines, at six decimals, go to the
-    template listed first.
-    """
-    spark: SparkSession = stored.sparkSession
-    vectors, unknown = template_vectors()
-    templates = F.broadcast(spark.createDataFrame(vectors, "template string, word string, weight double"))  # fixed table
-    idfs = F.broadcast(spark.createDataFrame(word_weights(), "word string, idf double"))  # fixed table
+    """(file, line, licence, score, line_words): lines whose best cosine to a template is `THRESHOLD` or more."""
     lines = stored.filter(F.size("lines") > 0).select("file", F.explode("lines").alias("l")).select("file", "l.line", "l.content")
     words = lines.select("file", "line", F.explode(F.split(F.lower("content"), WORDS)).alias("word")).filter("word <> ''")
-    bags = words.groupBy("file", "line", "word").agg(F.count("*").alias("tf")).join(idfs, "word", "left")
-    bags = bags.withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
-    norms = bags.groupBy("file", "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.sum("tf").alias("line_words"))
-    products = bags.join(templates, "word").groupBy("file", "line", "template").agg(F.sum(F.col("w") * F.col("weight")).alias("product"))
-    cosines = products.join(norms, ["file", "line"])
-    ranked = F.struct((-F.round(F.col("product") / F.col("norm"), 6)).alias("minus"), "template")
-    best = cosines.groupBy("file", "line").agg(F.min(ranked).alias("best"), F.first("line_words").alias("line_words"))
-    scored = best.select("file", "line", F.substring_index("best.template", "|", -1).alias("licence"), (-F.col("best.minus")).alias("score"), "line_words")
+    best = closest(words.groupBy("file", "line", "word").agg(F.count("*").alias("tf")), ["file", "line"], TEMPLATES)
+    scored = best.select("file", "line", F.substring_index("best.template", "|", -1).alias("licence"), (-F.col("best.minus")).alias("score"), F.col("n_words").alias("line_words"))
     return scored.filter(F.col("score") >= THRESHOLD)
 
 
@@ -263,15 +327,16 @@ def ancestors(directory: Column) -> Column:
 def scan(files: DataFrame) -> DataFrame:
     """key, path, licence, score, found ('own', 'inherited' or null), licence_dir, per file.
 
-    `files` has key, path and text. A file's own licence is that of its best notice: a line, a
-    window of words around a trigger word across lines, the head of a licence file, or an SPDX tag. A
+    `files` has key, path and text. A file's own licence is what an SPDX tag says, or a licence file's whole text, compared
+    as one vector with whole licence texts; else that of its best notice: a line, or a window of words around
+    a trigger word across lines. A
     licence file is named like one, or its notices make up `NOTICE_SHARE` of its words; files
     without a licence of their own take that of the nearest ancestor directory that holds a
     licence file. Several such files in a directory: highest score, then the licence that
     sorts first.
 
-    Null path: no inheritance. Null or empty text: no own licence. Repeated rows stay; other
-    columns are ignored; empty tables are fine. Distinct directories, not files, are joined
+    Null path: no inheritance. Null or empty text: no own licence. Texts are read whole, of any length; of equal scores the
+    licence that sorts first is taken. Repeated rows stay; other columns are ignored; empty tables are fine. Distinct directories, not files, are joined
     with their ancestors, so a directory with a third of all files is one row of that join.
     """
     stored = headers(files)
@@ -286,8 +351,8 @@ def scan(files: DataFrame) -> DataFrame:
     apart = places.select("file", "p.place", "p.line").distinct().join(lines, ["file", "line"], "left_anti")
     counted = lines.select("file", "line_words").unionByName(apart.select("file", F.lit(1).cast("long").alias("line_words")))
     counted = counted.groupBy("file").agg(F.sum("line_words").alias("notice_words"))
-    votes = [x.select("file", "licence", "score") for x in (by_line, by_window, heads(stored), stated(stored))]
-    found = reduce(DataFrame.unionByName, votes).groupBy("file").agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col("licence"))).alias("b"))
+    votes = [x.select(F.lit(n).alias("rank"), "file", "licence", "score") for n, x in ((0, stated(stored)), (0, wholes(stored)), (1, by_line), (1, by_window))]
+    found = reduce(DataFrame.unionByName, votes).groupBy("file").agg(F.min(F.struct("rank", (-F.col("score")).alias("minus"), F.col("licence"))).alias("b"))
     own = found.join(counted, "file", "left").select("file", F.col("b.licence").alias("own"), (-F.col("b.minus")).alias("own_score"), "notice_words")
     own = scratch(own, "own-licences")
     placed = stored.select("file", "key", "path", "n_words", F.regexp_replace("path", "/?[^/]*$", "").alias("directory"))
