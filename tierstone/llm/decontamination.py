@@ -32,13 +32,17 @@ class Phrases:
     """Windows of the benchmark, each distinct one once.
 
     terms: (term, term_id). windows: (win, off, term_id). pairs: (win, off, pair_id), of neighbouring
-    words. owners: (win, item_id).
+    words. owners: (win, item_id). runs: (run, at, pair_id), the pairs of whole items, each distinct one once;
+    places: (run, at, win), where its windows begin.
     """
 
     terms: DataFrame
     windows: DataFrame
     pairs: DataFrame
     owners: DataFrame
+    runs: DataFrame
+    places: DataFrame
+    window: int
 
 
 def phrases(benchmark: DataFrame, window: int = WINDOW) -> Phrases:
@@ -57,11 +61,20 @@ def phrases(benchmark: DataFrame, window: int = WINDOW) -> Phrases:
     windows = owners.select("words").distinct().withColumn("win", F.xxhash64(F.array_join("words", " "), F.lit(1)))
     each = windows.select("win", F.posexplode("words").alias("off", "term")).join(terms, "term")
     windows = scratch(each.select("win", "off", "term_id"), "window-terms")
-    named = owners.select(F.xxhash64(F.array_join("words", " "), F.lit(1)).alias("win"), "item_id", "words")
-    pairs = F.transform(F.slice("words", 1, F.size("words") - 1), lambda w, i: F.xxhash64(w, F.get("words", i + 1)))
-    pairs = scratch(named.select("win", "words").distinct().select("win", F.posexplode(pairs).alias("off", "pair_id")), "window-pairs")
+    name = lambda words: F.xxhash64(F.array_join(words, " "), F.lit(1))
+    named = owners.select(name("words").alias("win"), "item_id", "words")
+    pairs = scratch(named.select("win", "words").distinct().select("win", F.posexplode(neighbours("words")).alias("off", "pair_id")), "window-pairs")
     owners = scratch(named.select("win", "item_id").distinct(), "window-owners")
-    return Phrases(terms, windows, pairs, owners)
+    whole = items.select("words").distinct().withColumn("run", name("words"))
+    runs = scratch(whole.select("run", F.posexplode(neighbours("words")).alias("at", "pair_id")), "item-pairs")
+    at = F.transform(starts, lambda s: F.struct((s - 1).alias("at"), name(F.slice("words", s, F.lit(window))).alias("win")))
+    places = scratch(whole.select("run", F.explode(at).alias("w")).select("run", "w.*"), "window-places")
+    return Phrases(terms, windows, pairs, owners, runs, places, window)
+
+
+def neighbours(words: str) -> Column:
+    """One hash per word and its follower."""
+    return F.transform(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: F.xxhash64(w, F.get(words, i + 1)))
 
 
 def build_index(docs: DataFrame, terms: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
@@ -75,12 +88,13 @@ def build_index(docs: DataFrame, terms: DataFrame, pairs: DataFrame | None = Non
     parts = rows.select("doc", "doc_id", F.xxhash64("text").alias("text_hash"), split_words(F.col("text")).alias("parts"))
     head = ("doc", "doc_id", "text_hash", word_total(F.col("parts")).alias("n_words"))
     if pairs is None:
-        tokens = parts.select(*head, F.posexplode_outer("parts").alias("pos", "term")).withColumn("pair_id", F.lit(None).cast("long"))
+        tokens = parts.select(*head, F.posexplode_outer("parts").alias("pos", "term")).join(terms, "term", "left").withColumn("pair_id", F.lit(None).cast("long"))
     else:
-        followed = F.transform("parts", lambda w, i: F.struct(w.alias("term"), F.xxhash64(w, F.get("parts", i + 1)).alias("pair")))
-        tokens = parts.select(*head, F.posexplode_outer(followed).alias("pos", "t")).select("doc", "doc_id", "text_hash", "n_words", "pos", "t.term", "t.pair")
+        followed = F.arrays_zip(F.col("parts").alias("term"), F.slice("parts", F.lit(2), F.greatest(F.size("parts"), F.lit(1))).alias("next"))
+        tokens = parts.select(*head, F.posexplode_outer(followed).alias("pos", "t")).select("doc", "doc_id", "text_hash", "n_words", "pos", "t.term", "t.next")
+        tokens = tokens.join(terms, "term", "left").withColumn("pair", F.when(F.col("term_id").isNotNull() & F.col("next").isNotNull(), F.xxhash64("term", "next")))
         tokens = tokens.join(pairs.select(F.col("pair_id").alias("pair"), F.col("pair_id")).distinct(), "pair", "left")
-    found = tokens.join(terms, "term", "left").filter("term_id is not null or pos = 0 or pos is null")
+    found = tokens.filter("term_id is not null or pos = 0 or pos is null")
     return scratch(found.select("doc", "doc_id", "text_hash", "n_words", "pos", "term_id", "pair_id"), "postings")
 
 
@@ -89,13 +103,10 @@ def ranked_windows(index: DataFrame, windows: DataFrame) -> DataFrame:
 
     Occurrences are counted over the whole index.
     """
-    return scratch(rarest_first(index, windows, "term_id", "terms").filter(F.col("terms")[0]["n"] > 0).withColumn("len", F.size("terms")), "ranked-windows")
-
-
-def rarest_first(index: DataFrame, windows: DataFrame, key: str, name: str) -> DataFrame:
-    counts = index.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    listed = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", key)))
-    return windows.join(counts, key, "left").groupBy("win").agg(listed.alias(name))
+    counts = index.filter("term_id is not null").groupBy("term_id").agg(F.count("*").alias("n"))
+    each = windows.join(counts, "term_id", "left")
+    by_window = each.groupBy("win").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", "term_id"))).alias("terms"))
+    return scratch(by_window.filter(F.col("terms")[0]["n"] > 0).withColumn("len", F.size("terms")), "ranked-windows")
 
 
 def occurrences(index: DataFrame, windows: DataFrame) -> DataFrame:
@@ -130,24 +141,35 @@ def near_occurrences(index: DataFrame, sought: Phrases, slop: int = NEAR_SLOP, m
     A window of n words matches at a start if need = ceil(min_share * n) or more of its words have a place at most `slop` from
     start + offset, and of its n - 1 pairs of neighbours so many still are neighbours there as n - need changed
     words leave at least: n - 1 - 2 (n - need), and one in any case. Changed, missing and new words may be any, the
-    rarest too, and absent from the corpus. Nothing is missed: one of a window's rarest pairs is there in any match, so
-    their lists give the starts, and only there the other pairs and words are looked up. A window of one word
-    matches exactly. A start may lie up to `slop` before the text.
+    rarest too, and absent from the corpus. A window of one word matches exactly. A start may lie up to `slop` before the text.
+
+    Nothing is missed: all pairs of a match lie within 2 slop + 1 neighbouring diagonals (place in the text less
+    place in the item), and so in one of the stretches of diagonals that are counted, each place in two of them. Where an item
+    has enough pairs on a stretch, its windows' pairs and words are looked up at each start the stretch allows.
     """
     postings = index.filter("term_id is not null").select("doc", "pos", "term_id")
     pair_postings = index.filter("pair_id is not null").select("doc", "pos", F.col("pair_id").alias("term_id"))
-    whole = sought.windows.groupBy("win").agg(F.count("*").cast("int").alias("len"), F.array_sort(F.collect_list(F.struct(F.lit(0).alias("n"), "off", "term_id"))).alias("terms"))
-    pairs = rarest_first(index, sought.pairs, "pair_id", "pairs").withColumnRenamed("win", "pair_win")
+    whole = listed(sought.windows, "term_id", "terms").withColumn("len", F.size("terms"))
+    pairs = listed(sought.pairs, "pair_id", "pairs").withColumnRenamed("win", "pair_win")
     asked = whole.join(pairs, F.col("win") == F.col("pair_win"), "left").drop("pair_win").withColumn("need", F.ceil(F.col("len") * F.lit(min_share)).cast("int"))
     left = F.col("len") - 1 - 2 * (F.col("len") - F.col("need"))
     asked = scratch(asked.withColumn("intact", F.when(F.col("len") == 1, 0).otherwise(F.greatest(left, F.lit(1)))), "near-windows")
-    rare = asked.filter("len > 1").select("win", "len", F.explode(F.slice("pairs", F.lit(1), F.col("len") - F.col("intact"))).alias("t"))
-    rare = scratch(rare.select("win", "len", "t.off", F.col("t.pair_id").alias("term_id")), "rare-pairs")
-    shifts = F.explode(F.array(*[F.col("pos") - F.col("off") + e for e in range(-slop, slop + 1)]))
-    begun = pair_postings.join(rare, "term_id").select("doc", "win", "len", shifts.alias("start"))
+    windows_of = sought.places.join(asked.select("win", "len", "intact"), "win")
+    least = scratch(windows_of.groupBy("run").agg(F.min("intact").alias("least")), "item-needs")
+    width = 2 * slop + 1
+    stretch = F.floor((F.col("pos") - F.col("at")) / width)
+    met = pair_postings.join(sought.runs.withColumnRenamed("pair_id", "term_id"), "term_id")
+    met = met.select("doc", "run", "at", F.explode(F.array(stretch, stretch + 1)).alias("stretch"))
+    # places in the item as marks in a long: those of a window, which has at most 64 words, never share one
+    marks = F.bit_count(F.bit_or(F.expr("shiftleft(1L, at % 64)"))) if sought.window <= 64 else F.count_distinct("at")
+    heard = met.groupBy("doc", "run", "stretch").agg(marks.alias("heard")).join(least, "run").filter("heard >= least")
+    heard = scratch(heard.select("doc", "run", "stretch"), "near-stretches")
+    first = (F.col("stretch") - 1) * width + slop
+    starts = heard.select("doc", "run", F.explode(F.array(*[first + e for e in range(width)])).alias("diagonal"))
+    begun = starts.join(windows_of.filter("len > 1"), "run").select("doc", "win", "len", (F.col("diagonal") + F.col("at")).alias("start"))
     alone = asked.filter("len = 1").select("win", "len", F.col("terms")[0]["term_id"].alias("term_id"))
     kept = scratch(begun.union(postings.join(alone, "term_id").select("doc", "win", "len", F.col("pos").alias("start"))).distinct(), "near-starts")
-    as_terms = asked.select("win", F.transform("pairs", lambda t: F.struct(t["n"].alias("n"), t["off"].alias("off"), t["pair_id"].alias("term_id"))).alias("terms"))
+    as_terms = asked.select("win", F.transform("pairs", lambda t: F.struct(t["off"].alias("off"), t["pair_id"].alias("term_id"))).alias("terms"))
 
     def found_at(starts: DataFrame, of_window: DataFrame, lists: DataFrame, name: str) -> DataFrame:
         there = fitting(wanted_terms(starts, of_window), open_postings(lists, starts), slop)
@@ -159,6 +181,10 @@ def near_occurrences(index: DataFrame, sought: Phrases, slop: int = NEAR_SLOP, m
     return found.filter("n_found >= need").select("doc", "win", "start", "len", "n_found")
 
 
+def listed(windows: DataFrame, key: str, name: str) -> DataFrame:
+    return windows.groupBy("win").agg(F.array_sort(F.collect_list(F.struct("off", key))).alias(name))
+
+
 def wanted_terms(starts: DataFrame, ranked: DataFrame) -> DataFrame:
     """(doc, win, len, start, off, term_id, at): every term of the windows at candidate starts, with its place."""
     each = starts.select("doc", "win", "len", "start").join(ranked.select("win", F.explode("terms").alias("t")), "win")
