@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import ColumnOrName, as_column
+from .skew import stored
 
 # --- fixed values: layout of opening hours and attribute strings ---
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
@@ -116,6 +117,38 @@ def explode_events(
     )
 
 
+def explode_wide_events(
+    df: DataFrame,
+    keys: Sequence[str],
+    text: str,
+    out: str,
+    total: str,
+    ordinal: str,
+    separator: str = ",",
+    chunk_chars: int = 1 << 20,
+) -> DataFrame:
+    """G2 for strings too long for one task: the rows of :func:`explode_events`, in two levels.
+
+    A string is first cut, where it is read, into chunks of about ``chunk_chars`` characters that end at a separator; the chunks
+    are stored and dealt out, and exploded by as many tasks as they need. Positions go on from the chunks before: items are
+    counted per chunk, and one narrow row a chunk carries the sum of those before it and the packed total.
+    ``separator`` is one character.
+    """
+    if len(separator) != 1:
+        raise ValueError("separator is one character")
+    mark = "\\" + separator if not separator.isalnum() else separator
+    pattern = f"(?s).{{1,{chunk_chars}}}[^{mark}]*(?:{mark}|\\z)"
+    lines = df.select(*keys, F.coalesce(as_column(text), F.lit("")).alias("_text")).withColumn("_line", F.monotonically_increasing_id())
+    chunks = lines.select(*keys, "_line", F.posexplode(F.regexp_extract_all("_text", F.lit(pattern), F.lit(0))).alias("_chunk", "_part"))
+    chunks = stored(chunks.hint("rebalance", F.col("_line"), F.col("_chunk")))
+    sizes = chunks.select("_line", "_chunk", F.size(split_items("_part", mark)).alias("_n"))
+    before = Window.partitionBy("_line").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("_line")
+    placed = sizes.select("_line", "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(whole).cast("int").alias(total))
+    items = chunks.join(placed, ["_line", "_chunk"]).select(*keys, total, "_before", F.posexplode(split_items("_part", mark)).alias("_place", out))
+    return items.select(*keys, total, (F.col("_before") + F.col("_place")).cast("int").alias(ordinal), out)
+
+
 def cast_elements(array: ColumnOrName, element_type: str) -> Column:
     """Array with every element cast, bad elements becoming NULL; empty for a NULL array."""
     source = F.coalesce(as_column(array), F.array().cast("array<string>"))

@@ -74,7 +74,8 @@ class Catalog:
 
     ``define`` registers how a model is computed from other names; ``table``
     returns the written table if there is one and the computed frame otherwise,
-    so a model can be queried with its inputs resolved by name.
+    so a model can be queried with its inputs resolved by name. Names a model asks for are remembered: they give
+    the order models are built in, and what a changed table makes stale.
     """
 
     def __init__(self, spark: SparkSession, base: str):
@@ -82,17 +83,76 @@ class Catalog:
         #: silver table -> counts taken while it was written: ``bronze``, ``silver``, ``quarantine``
         self.counts: dict[str, dict[str, Tally]] = {}
         self._models: dict[str, Callable[[Catalog], DataFrame]] = {}
+        self._inputs: dict[str, list[str]] = {}
+        self._open: list[str] = []
 
     def define(self, name: str, build: Callable[[Catalog], DataFrame]) -> None:
         self._models[name] = build
+        self._inputs.pop(name, None)
 
     def exists(self, name: str) -> bool:
         return table_exists(self.spark, self.base, name)
 
     def table(self, name: str) -> DataFrame:
+        if self._open:
+            self._inputs[self._open[-1]].append(name)
         if self.exists(name) or name not in self._models:
             return read_table(self.spark, self.base, name)
-        return self._models[name](self)
+        return self._compute(name)
+
+    def _compute(self, name: str) -> DataFrame:
+        """The model's frame; names it asks for meanwhile are its inputs."""
+        if name in self._open:
+            raise ValueError(f"models need each other: {' -> '.join([*self._open[self._open.index(name):], name])}")
+        self._inputs[name] = []
+        self._open.append(name)
+        try:
+            return self._models[name](self)
+        finally:
+            self._open.pop()
+
+    def inputs(self) -> dict[str, list[str]]:
+        """Model -> the names it asks for, distinct, as seen when its frame was made; none is written or run for it.
+
+        What no model defines must exist as a table.
+        """
+        for name in self._models:
+            if name not in self._inputs:
+                self._compute(name)
+        return {name: list(dict.fromkeys(self._inputs[name])) for name in self._models}
+
+    def levels(self) -> dict[str, int]:
+        """Model -> the longest chain of models below it; models of a level do not need each other."""
+        inputs, found = self.inputs(), {}
+
+        def level(name: str, above: tuple[str, ...] = ()) -> int:
+            if name in above:
+                raise ValueError(f"models need each other: {' -> '.join([*above[above.index(name):], name])}")
+            if name not in found:
+                found[name] = max((level(n, (*above, name)) + 1 for n in inputs[name] if n in inputs), default=0)
+            return found[name]
+
+        return {name: level(name) for name in inputs}
+
+    def order(self) -> list[str]:
+        """Models so that each comes after those it needs."""
+        levels = self.levels()
+        return sorted(levels, key=lambda name: levels[name])
+
+    def downstream(self, name: str) -> list[str]:
+        """Models that need ``name``, directly or not, in order."""
+        inputs, touched = self.inputs(), {name}
+        for model in self.order():
+            if touched & set(inputs[model]):
+                touched.add(model)
+        return [model for model in self.order() if model in touched - {name}]
+
+    def rebuild(self, name: str) -> list[str]:
+        """Build what is downstream of a table that has changed; the models built."""
+        models = self.downstream(name)
+        for model in models:
+            self.build(model)
+        return models
 
     def save(self, name: str, df: DataFrame) -> DataFrame:
         """Materialise under the table's declared layout."""
@@ -120,13 +180,7 @@ class Catalog:
         return taken
 
     def build(self, name: str) -> DataFrame:
-        return self.save(name, self._models[name](self))
-
-
-GOLD_ORDER = (
-    "gold/dim_business", "gold/dim_user", "gold/dim_date", "gold/fact_reviews", "gold/fact_tips",
-    "gold/fact_checkins", "gold/reviews_monthly", "gold/agg_business_monthly", "gold/agg_city_category", "gold/agg_user_cohort",
-)
+        return self.save(name, self._compute(name))
 
 
 def define_gold(
@@ -377,13 +431,14 @@ def run_pipeline(
     configure(spark)
     catalog = run_silver(spark, bronze, base, load_ts, run_id, snapshot_year, load_mode, rename, first_from, late)
     define_gold(catalog, load_ts, hot_share=hot_share)
-    for name in GOLD_ORDER:
+    gold = catalog.order()
+    for name in gold:
         catalog.build(name)
     append_log(run_metrics(catalog, bronze, run_id, load_ts), base, run_id)
     metrics = spark.read.parquet(f"{base}/pipeline_run_log/run={run_id}")
     silver_names = [table for _, table, _ in SOURCES.values()]
     silver_names += ["silver/business_categories", "silver/user_elite_years"]
-    tables = {name: catalog.table(name) for name in [*silver_names, *GOLD_ORDER]}
+    tables = {name: catalog.table(name) for name in [*silver_names, *gold]}
     rejected = read_quarantine(spark, base, "checkins", run_id)
     failed = checks.run_column_tests(tables).unionByName(checks.run_table_tests(tables, rejected))
     return RunResult(catalog, metrics, quarantine_alerts(metrics), failed, tables)

@@ -803,3 +803,42 @@ oracle("clustered_by_second_column", (), """
     SELECT l_suppkey, count(*) AS lines, cast(sum(cast(round(l_extendedprice * 100) AS bigint)) AS bigint) AS cents,
            strftime(min(l_shipdate), '%Y-%m-%d %H:%M:%S') AS first_day
     FROM lineitem WHERE l_shipdate >= '1995-04-01' AND l_shipdate < '1995-07-01' GROUP BY l_suppkey""")
+
+part("drifting", ("reviews_raw",), """
+    SELECT *, cast(split_part(review_id, '-', 2) AS int) AS number FROM reviews_raw""")
+oracle("json_schema_drift", ("drifting",), """
+    SELECT 'review' AS entity, 'boosts' AS field, count(*) AS row_count, 'BIGINT' AS type FROM drifting WHERE useful >= 8
+    UNION ALL SELECT 'review', 'device', count(*), 'OBJECT<level: BIGINT, via: STRING>' FROM drifting WHERE number = 1
+    UNION ALL SELECT 'review', 'grade', count(*), 'VARIANT' FROM drifting WHERE number IN (2, 3)""")
+oracle("json_extra_fields", ("drifting",), """
+    SELECT review_id, stars, CASE WHEN useful >= 8 THEN cast(useful * 10 AS double) END AS boosts,
+           CASE WHEN number = 1 THEN cast(funny AS double) END AS device_level, CASE WHEN number = 1 THEN 'web' END AS device_via,
+           CASE number WHEN 2 THEN 'two' WHEN 3 THEN '3' END AS grade
+    FROM drifting WHERE useful >= 8 OR number IN (1, 2, 3)""")
+oracle("yearly_distinct_from_monthly", (), """
+    WITH facts AS (SELECT s_nationkey, cast(year(l_shipdate) AS int) AS year, o_custkey
+                   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey)
+    SELECT s_nationkey, year, count(DISTINCT o_custkey) AS customers FROM facts GROUP BY ALL
+    UNION ALL SELECT s_nationkey, 0, count(DISTINCT o_custkey) FROM facts GROUP BY ALL""")
+_GRAPH = {
+    "dim_business": (0, ("silver/business",)), "dim_user": (0, ("silver/users",)), "dim_date": (0, (None,)),
+    "fact_reviews": (1, ("silver/reviews", "gold/dim_business", "gold/dim_user")),
+    "fact_tips": (1, ("silver/tips", "gold/dim_business", "gold/dim_user")),
+    "fact_checkins": (1, ("silver/checkins", "gold/dim_business")),
+    "reviews_monthly": (2, ("gold/fact_reviews",)), "agg_business_monthly": (3, ("gold/reviews_monthly", "gold/fact_tips")),
+    "agg_city_category": (2, ("gold/fact_reviews", "silver/business_categories")),
+    "agg_user_cohort": (2, ("gold/fact_reviews", "gold/dim_user")),
+}
+# 19 years of days from 2004 on
+_GRAPH_ROWS = {"dim_date": "date_diff('day', DATE '2004-01-01', DATE '2022-12-31') + 1", "agg_business_monthly": "count(*) FROM agg_monthly",
+               "agg_city_category": "count(*) FROM agg_city", "agg_user_cohort": "count(*) FROM agg_cohort"}
+oracle("model_graph", ("dim_business", "dim_user", "fact_reviews", "fact_tips", "fact_checkins", "reviews_monthly", "agg_monthly", "agg_city", "agg_cohort"),
+       " UNION ALL ".join(
+           f"SELECT 'gold/{model}' AS model, {'NULL' if needed is None else repr(needed)} AS input, {level} AS level, "
+           f"cast((SELECT {_GRAPH_ROWS.get(model, f'count(*) FROM {model}')}) AS bigint) AS model_rows"
+           for model, (level, inputs) in _GRAPH.items() for needed in inputs))
+oracle("explode_wide_events", (), """
+    SELECT cast(user_id AS varchar) AS user_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS stamp,
+           cast(count(*) OVER (PARTITION BY user_id) AS int) AS total,
+           cast(row_number() OVER (PARTITION BY user_id ORDER BY strftime(ts, '%Y-%m-%d %H:%M:%S')) - 1 AS int) AS ordinal
+    FROM events""")

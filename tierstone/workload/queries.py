@@ -17,7 +17,9 @@ from ..functions.features import sentiment, text_features, vote_features
 from ..functions.hashing import change_hash, surrogate_key
 from ..operators.asof import as_of_join
 from ..operators.joins import current_keys, fk_flag, orphans, point_in_time_join
+from ..operators.distinct import distinct_counts, distinct_partials, number_keys
 from ..operators.nested import explode_delimited, explode_events, flatten_attributes, flatten_hours
+from ..operators.nested import explode_wide_events as explode_wide_events_of
 from ..operators.quality import REASON, split_rejects, tag_rejects
 from ..operators.scd import current_only, dedup_latest, first_versions, refuse_late_load, scd2_changes, scd2_merge, splice_late, upsert
 from ..operators.spine import date_spine_of
@@ -25,7 +27,7 @@ from ..operators.windows import cumulative, delta, pct_change, periods, prior, r
 from ..plans import aggregates, checks, dimensions, silver, staging
 from ..plans.monitoring import SourceFrames, ingestion_metrics, quarantine_alerts
 from ..plans.pipeline import Catalog, define_gold, flag_by_stored_keys
-from ..sources.bronze import read_bronze
+from ..sources.bronze import EXTRA, drift_report, read_bronze
 from ..sources.tables import Tally, append_log, append_quarantine, compact, read_quarantine, read_log, read_table, table_exists, upsert_partitions, write_table, write_versions
 from .frames import PAGE_LANGUAGES, Frames, cents
 
@@ -397,6 +399,14 @@ def explode_event_times(f: Frames) -> DataFrame:
     return explode_events(f.bronze_checkins(), ["business_id", "day"], "date", "stamp", "total", "ordinal")
 
 
+@register
+def explode_wide_events(f: Frames) -> DataFrame:
+    """G2 for long strings: all stamps of a user in one line, cut into chunks that several tasks explode."""
+    packed = f.table("events").groupBy("user_id").agg(F.sort_array(F.collect_list(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))).alias("stamps"))
+    lines = packed.select(F.col("user_id").cast("string").alias("user_id"), F.array_join("stamps", ", ").alias("packed"))
+    return explode_wide_events_of(lines, ["user_id"], "packed", "stamp", "total", "ordinal", chunk_chars=500)
+
+
 @register
 def unparseable_split(f: Frames) -> DataFrame:
     """The rejected stamps."""
@@ -800,6 +810,78 @@ def json_photos(f: Frames) -> DataFrame:
     return _as_json(f, "photo", f.bronze_photos())
 
 
+def _drifting_reviews(f: Frames) -> DataFrame:
+    """Reviews with fields that are not declared: one of them an object, one of two types."""
+    rows = f.bronze_reviews()
+    number = F.split("review_id", "-")[1].cast("int")
+    extras = F.struct(
+        F.when(F.col("useful") >= 8, F.col("useful") * 10).alias("boosts"),
+        F.when(number == 1, F.struct(F.col("funny").alias("level"), F.lit("web").alias("via"))).alias("device"),
+        F.when(number == 2, F.lit("two")).alias("grade"),
+    )
+    line = F.to_json(F.struct(*rows.columns, "boosts", "device", "grade"))
+    mixed = F.when(number == 3, F.replace(line, F.lit('"review_id"'), F.lit('"grade":3,"review_id"'))).otherwise(line)
+    return rows.withColumn("x", extras).select(*rows.columns, "x.*").select(mixed.alias("value"))
+
+
+@register
+def json_schema_drift(f: Frames) -> DataFrame:
+    """Fields outside the declared schema, by name, rows and type, from JSON lines."""
+    base = f.scratch()
+    _drifting_reviews(f).write.text(f"{base}/review.json")
+    return drift_report(read_bronze(f.spark, base, "review", keep_extra=True), "review")
+
+
+@register
+def json_extra_fields(f: Frames) -> DataFrame:
+    """Every line with undeclared fields, and the fields themselves."""
+    base = f.scratch()
+    _drifting_reviews(f).write.text(f"{base}/review.json")
+    found = read_bronze(f.spark, base, "review", keep_extra=True).filter(F.col(EXTRA).isNotNull())
+    value = lambda path, kind: F.try_variant_get(F.col(EXTRA), path, kind)
+    return found.select(
+        "review_id", "stars", value("$.boosts", "double").alias("boosts"), value("$.device.level", "double").alias("device_level"),
+        value("$.device.via", "string").alias("device_via"), value("$.grade", "string").alias("grade"),
+    )
+
+
+@register
+def yearly_distinct_from_monthly(f: Frames) -> DataFrame:
+    """Distinct customers per nation and year from stored monthly bitmaps, and over all years, facts read once."""
+    lines = f.table("lineitem").join(f.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = lines.join(f.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    facts = write_table(
+        lines.select("s_nationkey", F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"), "o_custkey"), f.scratch(), "facts"
+    )
+    early = facts.filter("year < 1995")
+    ids = write_table(number_keys(early, "o_custkey"), f.scratch(), "ids")
+    # customers of later loads get ids above those of earlier ones
+    ids = ids.unionByName(write_table(number_keys(facts, "o_custkey", ids), f.scratch(), "later_ids"))
+    monthly = write_table(
+        distinct_partials(facts.join(ids, "o_custkey"), ["s_nationkey", "year", "month"]), f.scratch(), "monthly", ("year",)
+    )
+    yearly = distinct_counts(monthly, ["s_nationkey", "year"], "customers")
+    ever = distinct_counts(monthly, ["s_nationkey"], "customers").withColumn("year", F.lit(0))
+    return yearly.unionByName(ever)
+
+
+@register
+def model_graph(f: Frames) -> DataFrame:
+    """Gold models built in the order their inputs ask for, with inputs, level and the rows each came out with."""
+    catalog = Catalog(f.spark, f.scratch())
+    define_gold(catalog)
+    for name, df in (
+        ("silver/business", f.business()), ("silver/users", f.users()), ("silver/reviews", f.reviews()), ("silver/tips", f.tips()),
+        ("silver/checkins", f.checkins()[0].drop("day")), ("silver/business_categories", f.categories()),
+    ):
+        catalog.save(name, df)
+    levels, inputs = catalog.levels(), catalog.inputs()
+    for name in catalog.order():
+        catalog.build(name)
+    edges = [(name, needed, levels[name], catalog.counts[name]["silver"]["count"]) for name in inputs for needed in inputs[name] or [None]]
+    return f.spark.createDataFrame(edges, "model string, input string, level int, model_rows long")
+
+
 @register
 def log_grows_a_column(f: Frames) -> DataFrame:
     """Three runs appended to a log, the last with a further column, one run repeated."""
