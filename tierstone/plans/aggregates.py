@@ -92,6 +92,15 @@ def monthly_trends(
     ``reviews`` is read twice, for the trends and for the rank counts: hand in a
     written table where the fact behind it is large.
     """
+    trended = business_trends(reviews, tips)
+    ranked = with_rank(
+        trended, [*rank_keys, "review_year", "review_month"], "review_count", "city_monthly_rank", counted=reviews
+    )
+    return stamp(ranked, "aggregated_at", load_ts)
+
+
+def business_trends(reviews: DataFrame, tips: DataFrame) -> DataFrame:
+    """M7 without the rank: every column that looks at one business only."""
     same_month = (
         (reviews["business_id"] == tips["business_id"])
         & (reviews["review_year"] == tips["tip_year"])
@@ -105,7 +114,7 @@ def monthly_trends(
     by_month = periods(["business_id"], ["review_year", "review_month"])
     # Decimal, because a mean of doubles that ends in a 5 could round either way.
     two_digits = F.col("avg_stars").cast("decimal(10,2)")
-    trended = base.withColumns(
+    return base.withColumns(
         {
             "prior_month_reviews": prior("review_count", by_month),
             "prior_month_avg_stars": prior("avg_stars", by_month),
@@ -120,10 +129,6 @@ def monthly_trends(
             "rating_trend": rating_trend("avg_stars", "prior_month_avg_stars"),
         }
     )
-    ranked = with_rank(
-        trended, [*rank_keys, "review_year", "review_month"], "review_count", "city_monthly_rank", counted=reviews
-    )
-    return stamp(ranked, "aggregated_at", load_ts)
 
 
 def rating_trend(stars: str, previous: str) -> Column:

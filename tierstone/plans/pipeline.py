@@ -44,6 +44,8 @@ PARTITIONS = {
     "gold/fact_reviews": ("review_year",),
     "gold/fact_checkins": ("checkin_year",),
     "gold/fact_tips": ("tip_year",),
+    "gold/reviews_monthly": ("review_year",),
+    "gold/agg_business_monthly": ("review_year",),
 }
 CLUSTERS = {
     "silver/business": ("city", "stars"),

@@ -293,6 +293,32 @@ def replace_partitions(
     return read_table(spark, base, name)
 
 
+def rewrite_partitions(
+    rows: DataFrame, base: str, name: str, column: str, values: Sequence, cluster_by: Sequence[str] = ()
+) -> DataFrame:
+    """Make ``rows`` the whole content of the partitions ``column`` in ``values``; other folders stay as they are.
+
+    ``rows`` may be derived from the table. A partition that is left without rows loses its folder.
+    """
+    spark = rows.sparkSession
+    stored = _hadoop_scratch(rows, base, name)
+    found = {r[0] for r in stored.select(column).distinct().collect()}  # one row a partition
+    table = replace_partitions(stored, base, name, (column,), cluster_by) if found else read_table(spark, base, name)
+    path = current_version(spark, base, name)
+    empty = [v for v in values if v not in found and path_exists(spark, f"{path}/{column}={v}")]
+    for value in empty:
+        _delete(spark, f"{path}/{column}={value}")
+    _delete(spark, f"{table_path(base, name)}/_rewrite")
+    return read_table(spark, base, name) if empty else table
+
+
+def _hadoop_scratch(rows: DataFrame, base: str, name: str) -> DataFrame:
+    """The rows stored beside the table, so that what is read and what is replaced are not the same files."""
+    path = f"{table_path(base, name)}/_rewrite"
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def upsert_partitions(
     updates: DataFrame,
     base: str,

@@ -842,3 +842,4 @@ oracle("explode_wide_events", (), """
            cast(count(*) OVER (PARTITION BY user_id) AS int) AS total,
            cast(row_number() OVER (PARTITION BY user_id ORDER BY strftime(ts, '%Y-%m-%d %H:%M:%S')) - 1 AS int) AS ordinal
     FROM events""")
+ORACLES["incremental_business_monthly"] = ORACLES["flagship_business_monthly"]
