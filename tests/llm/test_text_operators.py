@@ -149,6 +149,53 @@ def test_quality_verdicts(make):
     assert not kept[3000] and not kept[3001]
 
 
+def plain_posteriors(patterns, rounds=200):
+    """EM over single documents, one vote at a time."""
+    docs = [p for p, n in patterns.items() for _ in range(n)]
+    rules = len(docs[0])
+    prior, on_bad, on_good = 0.8, [0.4] * rules, [0.95] * rules
+
+    def chance(doc):
+        good, bad = prior, 1 - prior
+        for vote, b, g in zip(doc, on_bad, on_good):
+            if vote == quality_rules.GOOD:
+                good, bad = good * g, bad * (1 - b)
+            elif vote == quality_rules.BAD:
+                good, bad = good * (1 - g), bad * b
+        return good / (good + bad)
+
+    for _ in range(rounds):
+        p = [chance(d) for d in docs]
+        prior = min(max(sum(p) / len(docs), 0.5), 0.99)
+        for r in range(rules):
+            right_good = (4.5 + sum(x for x, d in zip(p, docs) if d[r] == quality_rules.GOOD)) / (5 + sum(x for x, d in zip(p, docs) if d[r] != quality_rules.ABSTAIN))
+            right_bad = (1 + sum(1 - x for x, d in zip(p, docs) if d[r] == quality_rules.BAD)) / (2 + sum(1 - x for x, d in zip(p, docs) if d[r] != quality_rules.ABSTAIN))
+            on_good[r] = min(max(right_good, 0.01), 0.995)
+            on_bad[r] = max(min(max(right_bad, 0.01), 0.995), 1 - on_good[r] + 0.01)
+    return {p: chance(p) for p in patterns}
+
+
+def test_verdicts_match_plain_em(make):
+    rng = random.Random(21)
+    rows = [(i, prose(rng, "en", rng.choice([8, 30, 80])) + rng.choice(["", "", "", " # $ % & | < >" * 6, " word" * 70, "\nline" * 12])) for i in range(120)]
+    got = {r.doc_id: r for r in quality_rules.judge(make(*rows)).collect()}
+    counts = {}
+    for r in got.values():
+        counts[r.votes] = counts.get(r.votes, 0) + 1
+    assert len(counts) > 5
+    plain = plain_posteriors(counts)
+    for r in got.values():
+        assert r.quality == pytest.approx(plain[r.votes], abs=1e-6)
+        assert r.kept == (not r.base_failed and plain[r.votes] >= 0.5)
+
+
+def test_few_distinct_words_are_a_fault_at_any_length(make):
+    texts = [" ".join(f"w{i % 7}" for i in range(n)) for n in (200, 5000)] + [" ".join(f"w{i}" for i in range(n)) for n in (200, 5000)]
+    at = list(quality_rules.rules()).index("distinct_words")
+    got = {r.doc_id: r.votes[at] for r in quality_rules.judge(make(*enumerate(texts))).collect()}
+    assert [got[i] for i in range(4)] == [quality_rules.BAD] * 2 + [quality_rules.GOOD] * 2
+
+
 def test_quality_of_odd_and_empty_tables(make):
     assert quality_rules.judge(make(*ODD)).count() == len(ODD)
     assert quality_rules.judge(make()).collect() == []
@@ -335,6 +382,73 @@ def test_site_quality_learns_and_shrinks(spark, make):
     assert abs(got[900].p_host - overall) < 0.15  # an unseen host stays near the mean
 
 
+def plain_site_quality(rows, labels, fitted):
+    """Naive Bayes, calibration and two levels of shrinking in plain loops over documents."""
+    features = site_quality.Features()
+    table = np.zeros((2, site_quality.BUCKETS))
+    for i, text, *_ in rows:
+        if i in fitted:
+            buckets, n = features.of(text)
+            table[int(labels[i]), buckets] += n / n.sum()
+    table = (table + 0.01) / (table + 0.01).sum(axis=1, keepdims=True)
+    weights = np.log(table[1] / table[0])
+    score = {i: site_quality.evidence(features.of(text), weights) for i, text, *_ in rows}
+    bins, span = site_quality.BINS, site_quality.SPAN
+    held = {i: min(max(x, -span), span) for i, x in score.items()}
+    x = np.array([(math.floor((held[i] + span) / (2 * span) * bins) + 0.5) / bins * 2 * span - span for i in labels])
+    y = np.array([float(q) for q in labels.values()])
+    a = b = 0.0
+    for _ in range(3000):  # plain ascent on the penalised likelihood
+        p = 1 / (1 + np.exp(-np.clip(a + b * x, -30, 30)))
+        w = p * (1 - p)
+        h = np.array([[w.sum() + 0.01, (w * x).sum()], [(w * x).sum(), (w * x * x).sum() + 0.01]])
+        da, db = np.linalg.solve(h, [(y - p).sum() - 0.01 * a, ((y - p) * x).sum() - 0.01 * b])
+        a, b = a + 0.3 * da, b + 0.3 * db
+    p_doc = {i: 1 / (1 + math.exp(-(a + b * held[i]))) for i in score}
+    mass = {i: float(labels[i]) if i in labels else site_quality.SOFT_WEIGHT * p_doc[i] for i in score}
+    size = {i: 1.0 if i in labels else site_quality.SOFT_WEIGHT for i in score}
+
+    def sums(key):
+        out = {}
+        for i, _, lang, source in rows:
+            g, n = out.get(key(source, lang), (0.0, 0.0))
+            out[key(source, lang)] = g + mass[i], n + size[i]
+        return out
+
+    hosts, paths = sums(lambda s, _: s), sums(lambda s, lang: (s, lang))
+    overall = sum(g for g, _ in hosts.values()) / sum(n for _, n in hosts.values())
+
+    def shrunk(sites, parent):
+        noise = overall * (1 - overall)
+        chi = sum((g - n * parent(k)) ** 2 / n for k, (g, n) in sites.items())
+        rho = (chi / noise - len(sites)) / max(sum(n for _, n in sites.values()) - len(sites), 1e-9)
+        strength = min(max(1 / rho - 1, 1.0), 1e4) if rho > 1e-4 else 1e4
+        return {k: (g + strength * parent(k)) / (n + strength) for k, (g, n) in sites.items()}
+
+    p_host = shrunk(hosts, lambda k: overall)
+    p_path = shrunk(paths, lambda k: p_host[k[0]])
+    logit = lambda p: math.log(p / (1 - p))
+    return {i: (p_doc[i], p_host[s], p_path[s, lang], 1 / (1 + math.exp(-(logit(p_path[s, lang]) + logit(p_doc[i]) - logit(overall))))) for i, _, lang, s in rows}
+
+
+def test_site_quality_matches_plain_bayes(spark, make):
+    rng = random.Random(31)
+    rows, labels = [], {}
+    for i in range(240):
+        source, lang = rng.choice("abc"), rng.choice(["en", "fr"])
+        good = rng.random() < {"a": 0.9, "b": 0.5, "c": 0.2}[source] + (0.08 if lang == "en" else -0.08)
+        text = prose(rng, lang, rng.randint(5, 30)) + ("" if good else " BUY NOW !!! 999" * rng.randint(1, 3))
+        rows.append((i, text, lang, source))
+        if rng.random() < 0.4:
+            labels[i] = good
+    frame = spark.createDataFrame([(i, int(q), 0) for i, q in labels.items()], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in site_quality.assess(make(*rows), frame, F.col("source"), F.col("lang")).collect()}
+    for i, want in plain_site_quality(rows, labels, set(labels)).items():
+        r = got[i]
+        assert (r.p_doc, r.p_host, r.p_path, r.quality) == pytest.approx(want, abs=2e-4)
+        assert r.kept == (want[3] >= 0.5) or abs(want[3] - 0.5) < 1e-3
+
+
 def test_every_label_counts_for_its_site(spark, make):
     fold = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 0][:6]
     rows = [(i, "plain words of a text", "xx" if i in fold else "en", "s") for i in range(400)]

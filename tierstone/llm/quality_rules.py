@@ -85,7 +85,9 @@ def rules() -> dict[str, tuple[Column, Column]]:
     """name -> (votes bad, votes good); neither: abstains."""
     symbols, repeats, duplicates = share("n_symbols", "n_words"), share("n_repeat_words", "n_words"), share("n_dup_lines", "n_lines")
     upper, function, length = share("n_upper", "n_letters"), share("n_function", "n_words"), share("word_chars", "n_words")
-    distinct, wordy = share("n_distinct", "n_words"), share("n_wordy", "n_words")
+    # distinct words grow as a power of all words; the exponent means the same at any length
+    variety = F.log(F.greatest("n_distinct", F.lit(1))) / F.log(F.greatest("n_words", F.lit(2)))
+    wordy = share("n_wordy", "n_words")
     long_enough = F.col("n_words") >= 50
     return {
         "length": (F.col("n_words") < 5, long_enough),
@@ -95,7 +97,7 @@ def rules() -> dict[str, tuple[Column, Column]]:
         "capitals": (upper > 0.4, upper < 0.15),
         "function_words": ((function < 0.02) & long_enough, function > 0.08),
         "word_length": ((length < 2.5) | (length > 14), (length > 3) & (length < 11)),
-        "distinct_words": ((distinct < 0.1) & long_enough & (F.col("n_words") < 2000), (distinct > 0.3) & long_enough),
+        "distinct_words": ((variety < 0.6) & long_enough, (variety > 0.75) & long_enough),
         "word_ends": (wordy < 0.5, wordy > 0.85),
     }
 
@@ -139,8 +141,8 @@ def judge(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Counts, base_failed, votes, quality (posterior of good) and kept, per document.
 
     Documents are reduced to vote patterns, of which there are at most 3 ** rules, and EM
-    runs on the pattern counts. Null and empty texts have no words and fail the base rules.
-    Repeated rows stay; other columns are ignored; an empty table gives no rows.
+    runs on the pattern counts. Null and empty texts have no words and fail the base rules. Texts are measured whole, of any
+    length; a quality equal to the threshold keeps. Repeated rows stay; other columns are ignored; an empty table gives no rows.
     """
     measured = scratch(measure(docs).withColumn("votes", vote_pattern()), "quality-stats")
     counts = {r["votes"]: r["n"] for r in measured.groupBy("votes").agg(F.count("*").alias("n")).orderBy("votes").collect()}

@@ -157,14 +157,19 @@ def assess(
     With `hold_out`, labels of rows with crc32(doc_id) mod 5 = 0 are left out everywhere, to
     measure on them. Null host and path
     are sites of their own. Null text gives no evidence. Several labels of an id: the mean,
-    rounded up. Repeated documents stay. Without labels p_doc is a half and all are kept.
+    rounded up. Repeated documents stay; texts are read whole, of any length. Without labels p_doc is a half and all are kept.
+    An empty table gives no rows; a quality equal to the threshold keeps.
     """
     by_id = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg((F.avg("quality") >= 0.5).alias("good"))
     if hold_out:
         by_id = by_id.filter(crc_fold(F.col("doc_id")) != 0)
     own = docs.select("doc_id", host.cast("string").alias("host"), path.cast("string").alias("path"), "text")
     by_id = scratch(by_id, "labels")
-    fitted = scratch(by_id.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(fit_rows), "fitted-labels")
+    place = F.xxhash64("doc_id", F.lit(3))
+    # hashes are uniform: twice the rows wanted lie below this limit, so that few are ranked in one task
+    known = by_id.count()
+    limit = min(int(min(1.0, 2 * fit_rows / max(known, 1)) * (1 << 64)), (1 << 64) - 1) - (1 << 63)
+    fitted = scratch(by_id.filter(place <= limit).orderBy(place, "doc_id").limit(fit_rows), "fitted-labels")
     weights = feature_weights(docs.select("doc_id", "text").join(fitted, "doc_id"))
     scored = scratch(with_evidence(own, weights).join(by_id, "doc_id", "left"), "evidence")
     a, b = calibrate(scored.filter("good is not null"))
