@@ -173,3 +173,14 @@ def test_tips_without_a_parsed_day_have_ids_of_their_own(spark):
     keyed = tips.withColumn("tip_id", facts.surrogate_key("business_id", "user_id", "tip_day"))
     assert {r.tip_day for r in keyed.collect()} == {"soon", "later", "2020-02-03", None}
     assert check_unique(keyed, "tip_id").isEmpty()
+
+
+def test_stored_rejects_meet_their_texts_without_a_shuffle(spark, base):
+    rows = bronze(spark, "tip", [{"business_id": "x", "user_id": None, "text": f"go {i}", "date": "2020-02-03"} for i in range(50)])
+    rows.write.parquet(f"{base}/raw")
+    raw = spark.read.parquet(f"{base}/raw")
+    silver.metrics_only(raw).filter("text_char_len = 4").withColumn("reject_reason", F.lit("r")).write.parquet(f"{base}/few")
+    plan = silver.with_text(raw, spark.read.parquet(f"{base}/few"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    text_side = plan[plan.index("FileScan parquet [business_id"):] if "text" in plan else ""
+    assert "hashpartitioning(_line" not in text_side

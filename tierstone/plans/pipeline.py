@@ -238,11 +238,12 @@ def quarantine_rejects(
 ) -> DataFrame:
     """Append the rejects of a stored, tagged frame and return its clean rows.
 
-    ``bronze``: where the texts of rejects are fetched, if the stored frame is without them.
+    ``bronze``: where the texts of rejects are fetched, if the stored frame is without them. The rejects are stored
+    first: where they are few, the planner knows it, and the source's texts are met where they are read, not shuffled.
     """
     rejected = tagged.filter(F.col(REASON).isNotNull())
     if bronze is not None:
-        rejected = silver.with_text(bronze, rejected)
+        rejected = silver.with_text(bronze, write_table(rejected, catalog.base, f"staging/{entity}_rejects"))
     catalog.quarantine(entity, rejected, run_id)
     return tagged.filter(F.col(REASON).isNull()).drop(REASON)
 

@@ -97,13 +97,31 @@ def _get_facts(spark: SparkSession, version_path: str) -> dict:
     return json.loads("".join(r.value for r in spark.read.text(path.toString(), wholetext=True).collect()))  # one small file
 
 
-def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Scan of the current version, with the history of a type-2 table (see ``write_versions``)."""
+def next_version(spark: SparkSession, base: str, name: str) -> str:
+    path = table_path(base, name)
+    return f"{path}/{_PREFIX}{max(_versions(spark, path), default=0) + 1:06d}"
+
+
+def complete_version(spark: SparkSession, base: str, name: str) -> str:
     path = current_version(spark, base, name)
     if path is None:
         raise FileNotFoundError(f"no complete version of {name} under {base}")
-    facts = _get_facts(spark, path)
-    schema = StructType.fromJson(facts["schema"])
+    return path
+
+
+def store_facts(spark: SparkSession, version_path: str, schema: StructType, **more) -> None:
+    _put_facts(spark, version_path, schema, **more)
+
+
+def stored_facts(spark: SparkSession, version_path: str) -> tuple[StructType, dict]:
+    """Schema of a version, and what else was stored with it."""
+    facts = _get_facts(spark, version_path)
+    return StructType.fromJson(facts["schema"]), facts
+
+
+def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """Scan of the current version, with the history of a type-2 table (see ``write_versions``)."""
+    schema, facts = stored_facts(spark, path := complete_version(spark, base, name))
     if "since" not in facts:
         return spark.read.schema(schema).parquet(path)
     root = table_path(base, name)
@@ -185,7 +203,7 @@ def _write_version(
 ) -> DataFrame:
     spark = df.sparkSession
     path = table_path(base, name)
-    target = f"{path}/{_PREFIX}{max(_versions(spark, path), default=0) + 1:06d}"
+    target = next_version(spark, base, name)
     curve, staged = curve and len(cluster_by) > 1, f"{path}/_unsorted"
     if curve:
         df.write.mode("overwrite").parquet(staged)

@@ -843,3 +843,5 @@ oracle("explode_wide_events", (), """
            cast(row_number() OVER (PARTITION BY user_id ORDER BY strftime(ts, '%Y-%m-%d %H:%M:%S')) - 1 AS int) AS ordinal
     FROM events""")
 ORACLES["incremental_business_monthly"] = ORACLES["flagship_business_monthly"]
+oracle("pit_join_by_buckets", ("valid_business",), f"""
+    SELECT p.*, b IS NOT NULL AS known FROM ({ORACLES["pit_join_lineitem_supplier"]}) p LEFT JOIN valid_business ON business_id = b""")

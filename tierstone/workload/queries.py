@@ -29,6 +29,7 @@ from ..plans.monitoring import SourceFrames, ingestion_metrics, quarantine_alert
 from ..plans.pipeline import Catalog, define_gold, flag_by_stored_keys
 from ..plans.refresh import changed_months, refresh_business_monthly
 from ..sources.bronze import EXTRA, drift_report, read_bronze
+from ..sources.bucketed import write_bucketed
 from ..sources.tables import Tally, append_log, append_quarantine, compact, read_quarantine, read_log, read_table, table_exists, upsert_partitions, write_table, write_versions
 from .frames import PAGE_LANGUAGES, Frames, cents
 
@@ -331,6 +332,22 @@ def as_of_join_many_versions(f: Frames) -> DataFrame:
     return as_of_join(lines, versions, "o_orderpriority", "ship_date", columns, hot_share=0.1)
 
 
+@register
+def pit_join_by_buckets(f: Frames) -> DataFrame:
+    """J1, J3 on tables kept by business: lines are dealt out once, then flagged, joined and summed without a shuffle."""
+    base, buckets = f.scratch(), 8
+    lines = f.table("lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_suppkey").cast("string").alias("business_id"),
+        F.to_date("l_shipdate").alias("ship_date"), cents("l_extendedprice").alias("price_cents"),
+    )
+    kept = write_bucketed(lines, base, "lines", "business_id", buckets, ("ship_date",))
+    versions = write_bucketed(f.business(), base, "business", "business_id", buckets, ("valid_from",))
+    keys = write_bucketed(current_keys(f.business(), "business_id"), base, "keys", "business_id", buckets)
+    columns = {"stars": "stars_then", "price_range": "price_range_then", "categories": "categories_then"}
+    flagged = fk_flag(kept, "business_id", keys, "known")
+    return point_in_time_join(flagged, versions, "business_id", "ship_date", columns)
+
+
 @register
 def orphan_lineitems(f: Frames) -> DataFrame:
     """J8/Q6."""
@@ -721,7 +738,7 @@ def bronze_json_roundtrip(f: Frames) -> DataFrame:
     lookups = {"business_id": ("biz_valid", f.business()), "user_id": ("usr_valid", f.users())}
     staged = tag_rejects(flag_by_stored_keys(base, "reviews", rows, lookups), silver.review_rules())
     clean, rejected = split_rejects(staged)
-    rejected = silver.with_text(raw, rejected)
+    rejected = silver.with_text(raw, write_table(rejected, base, "staging/rejects"))
     append_quarantine(rejected, base, "reviews", "run-1")
     append_quarantine(rejected, base, "reviews", "run-1")  # a rerun replaces its own rows
     kept = clean.agg(
