@@ -15,7 +15,10 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows of a learned language stay; the rest is rejected: null text, no letters, a low score."""
+    """Rows of a learned language stay; the rest is rejected: null and empty texts, no letters, a low score.
+
+    Repeated rows share their fate; columns stay, whatever their names; no rows, or no labels to learn from, give no rows.
+    """
     names = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
     found = langid.predict(docs, langid.train(docs), names)
     good = (F.col(names[0]) != langid.UNKNOWN) & (F.col(names[1]) >= MIN_LANGUAGE_SCORE)
@@ -23,22 +26,29 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays: the one with the smallest id."""
+    """One document of each component stays: the one with the smallest id, null ids last, ties by text hash.
+
+    Of repeated rows one stays; null and empty texts are one component; an empty table gives no rows.
+    """
     return simhash.keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark window stay."""
+    """Documents without a benchmark window stay, repeated rows and those without words too; no rows give no rows."""
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents stay, with personal data masked in the text."""
+    """All documents stay, with personal data masked in the text; null texts and repeated rows stay as they are."""
     return pii.redact(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the mix, with size, target and taken (their words in it, repeats counted)."""
+    """The documents of the mix, with size, target and taken (their words in it, repeats counted).
+
+    Null and empty texts are not in it; of repeated rows each has a share of its own, of rows without a source too;
+    no rows give no rows.
+    """
     return mixing.mixed_documents(docs)
 
 

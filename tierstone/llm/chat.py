@@ -41,7 +41,8 @@ def format_conversations(turns: DataFrame, trained_role: str = "assistant") -> D
 
     Turns are sorted by (turn, role, text), null turns first; repeated rows stay. Null text
     and null role are empty. Null conv_id is a conversation of its own. Other columns are
-    ignored. A conversation is one row of the result and so of one task.
+    ignored; texts of any length stay whole; an empty table gives no rows. A conversation, that of null ids too, is one row of
+    the result and so of one task.
     """
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     sorted_turns = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))

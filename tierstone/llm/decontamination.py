@@ -213,8 +213,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, n
     """doc, doc_id, text_hash (XXH64), n_words, n_hit, n_items, item_ids (sorted strings), contaminated, per document.
 
     A word inside any occurrence of a window is hit. With `near`, near_items lists the items (sorted strings) of which
-    a window occurs exactly or in proximity (`near_occurrences`). Null and empty texts have no words.
-    Repeated rows stay, columns other than doc_id, text, item_id are ignored, and empty
+    a window occurs exactly or in proximity (`near_occurrences`). Null and empty texts have no words; texts
+    of any length are read whole. Repeated rows stay, ties are rows alike, columns other than doc_id, text, item_id are ignored, and empty
     tables give no rows or no hits.
     """
     sought = phrases(benchmark, window)
@@ -243,7 +243,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, n
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """`docs` without the contaminated ones, told apart by id and text."""
+    """`docs` without the contaminated ones, told apart by id and text.
+
+    Rows with null or empty texts stay; of repeated rows all stay or all go; all columns stay, whatever their names;
+    an empty table gives no rows, an empty benchmark all of them.
+    """
     found = contamination(docs, benchmark, window).filter("contaminated")
     names = free_name(docs, "dirty_id"), free_name(docs, "dirty_text")
     dirty = scratch(found.select("doc_id", "text_hash").distinct().toDF(*names), "dirty")

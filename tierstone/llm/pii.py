@@ -357,8 +357,8 @@ def find(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 
     Base spans always stay. Candidates are added if the span classifier, trained on the
     votes of all candidates of `docs`, gives them `threshold` or more; of those that overlap, the
-    likeliest. Null text is empty;
-    repeated rows stay; other columns are ignored; an empty table gives no rows.
+    likeliest, then the earlier, the longer, the kind listed first. Null text is empty; texts of any length are
+    searched whole; repeated rows stay; other columns are ignored; an empty table gives no rows.
     """
     scanned = scratch(scan(docs), "pii-spans")
     chosen = resolved(scanned, chances(counts_of(scanned), threshold))
@@ -378,6 +378,7 @@ def mask(text: str, spans: list[tuple[int, str, int]]) -> str:
 def redact(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """`docs` with personal data masked in `text`, and `n_chars` (if there) set to the new length.
 
+    Null and empty texts stay as they are, as do repeated rows and all other columns; an empty table gives no rows.
     Two passes over the text: one counts vote patterns, one finds spans again and masks
     them where the text is, so that no text is shuffled.
     """

@@ -231,7 +231,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shard_rows: int = SHA
     Copies are reduced to one row per distinct fingerprint before links are sought, with the
     smallest doc_id of each. component_id is the smallest doc_id reachable over links of
     `radius` bits or fewer, null only if all reachable ids are null. Null or empty text has
-    fingerprint 0. Repeated rows stay; other columns are ignored; an empty table is fine.
+    fingerprint 0; texts of any length are hashed whole. Repeated rows stay; of equal ids there is no order to tie; other
+    columns are ignored; an empty table is fine.
     """
     each = scratch(fingerprints(docs.select("doc_id", "text")).drop("text"), "fingerprints")
     distinct = scratch(each.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
@@ -247,7 +248,8 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROWS
 
     Rows are told apart by id and text hash, so that repeated ids with different texts are
     rows of their own; of rows equal in both one stays. The join that keeps the chosen rows is
-    sorted at every size, as the list of them grows with the corpus.
+    sorted at every size, as the list of them grows with the corpus. Null and empty texts are one component. All columns
+    stay, whatever their names; an empty table gives no rows.
     """
     narrow = fingerprints(docs.select("doc_id", "text")).select("doc_id", F.xxhash64("text").alias("text_hash"), "fp")
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
