@@ -1,11 +1,14 @@
 """Gold facts: silver events joined to the dimension versions valid at event time.
 
 ``hot_share`` splits join keys that hold at least that share of the fact rows,
-for sessions where the adaptive planner's own skew handling is off.
+for sessions where the adaptive planner's own skew handling is off. ``join`` is
+``point_in_time_join``, or ``as_of_join`` for dimensions with many versions a key; the rows are the same.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +18,8 @@ from ..functions.hashing import surrogate_key
 from ..operators.joins import point_in_time_join
 from .silver import Stamp, stamp
 
+Join = Callable[..., DataFrame]
+
 
 def review_type(stars: str = "stars", words: str = "text_word_count") -> Column:
     """Tone and length of a review."""
@@ -53,9 +58,10 @@ def fact_reviews(
     dim_user: DataFrame,
     load_ts: Stamp | None = None,
     hot_share: float | None = None,
+    join: Join = point_in_time_join,
 ) -> DataFrame:
     """M4: one row per review."""
-    with_business = point_in_time_join(
+    with_business = join(
         reviews,
         dim_business,
         "business_id",
@@ -72,7 +78,7 @@ def fact_reviews(
         },
         hot_share=hot_share,
     )
-    with_user = point_in_time_join(
+    with_user = join(
         with_business,
         dim_user,
         "user_id",
@@ -101,9 +107,10 @@ def fact_tips(
     dim_user: DataFrame,
     load_ts: Stamp | None = None,
     hot_share: float | None = None,
+    join: Join = point_in_time_join,
 ) -> DataFrame:
     """M5: one row per tip. The id takes the day as text, so tips whose day does not parse have ids of their own."""
-    with_business = point_in_time_join(
+    with_business = join(
         tips,
         dim_business,
         "business_id",
@@ -119,7 +126,7 @@ def fact_tips(
         },
         hot_share=hot_share,
     )
-    with_user = point_in_time_join(
+    with_user = join(
         with_business,
         dim_user,
         "user_id",
@@ -146,10 +153,11 @@ def fact_checkins(
     dim_business: DataFrame,
     load_ts: Stamp | None = None,
     hot_share: float | None = None,
+    join: Join = point_in_time_join,
 ) -> DataFrame:
     """M6: one row per check-in. The id includes the position in the packed source
     string, so two check-ins in the same second stay apart."""
-    with_business = point_in_time_join(
+    with_business = join(
         checkins,
         dim_business,
         "business_id",

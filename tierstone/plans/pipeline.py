@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import current_keys, fk_flag_by_missing, missing_keys
+from ..operators.joins import current_keys, fk_flag_by_missing, missing_keys, point_in_time_join
 from ..operators.quality import REASON, split_unparseable, tag_rejects
 from ..operators.scd import HISTORY_FLOOR, first_versions, refuse_late_load, scd2_changes, splice_late
 from ..session import configure
@@ -190,22 +190,23 @@ def define_gold(
     load_ts: str | None = None,
     calendar: tuple[str, str] = ("2004-01-01", "2022-12-31"),
     hot_share: float | None = None,
+    join: facts.Join = point_in_time_join,
 ) -> None:
-    """M1–M9 as models over the silver tables. ``hot_share``: see ``plans.facts``."""
+    """M1–M9 as models over the silver tables. ``hot_share``, ``join``: see ``plans.facts``."""
     gold = {
         "gold/dim_business": lambda c: dimensions.dim_business(staging.stg_business(c.table("silver/business"))),
         "gold/dim_user": lambda c: dimensions.dim_user(staging.stg_users(c.table("silver/users"))),
         "gold/dim_date": lambda c: dimensions.dim_date(c.spark, *calendar),
         "gold/fact_reviews": lambda c: facts.fact_reviews(
             staging.stg_reviews(c.table("silver/reviews")), c.table("gold/dim_business"), c.table("gold/dim_user"),
-            load_ts, hot_share,
+            load_ts, hot_share, join,
         ),
         "gold/fact_tips": lambda c: facts.fact_tips(
             staging.stg_tips(c.table("silver/tips")), c.table("gold/dim_business"), c.table("gold/dim_user"),
-            load_ts, hot_share,
+            load_ts, hot_share, join,
         ),
         "gold/fact_checkins": lambda c: facts.fact_checkins(
-            staging.stg_checkins(c.table("silver/checkins")), c.table("gold/dim_business"), load_ts, hot_share
+            staging.stg_checkins(c.table("silver/checkins")), c.table("gold/dim_business"), load_ts, hot_share, join
         ),
         "gold/reviews_monthly": lambda c: aggregates.reviews_monthly(c.table("gold/fact_reviews")),
         "gold/agg_business_monthly": lambda c: aggregates.monthly_trends(

@@ -845,3 +845,4 @@ oracle("explode_wide_events", (), """
 ORACLES["incremental_business_monthly"] = ORACLES["flagship_business_monthly"]
 oracle("pit_join_by_buckets", ("valid_business",), f"""
     SELECT p.*, b IS NOT NULL AS known FROM ({ORACLES["pit_join_lineitem_supplier"]}) p LEFT JOIN valid_business ON business_id = b""")
+ORACLES["as_of_join_two_dims"] = ORACLES["pit_join_two_dims"]

@@ -24,7 +24,7 @@ from ..operators.quality import REASON, split_rejects, tag_rejects
 from ..operators.scd import current_only, dedup_latest, first_versions, refuse_late_load, scd2_changes, scd2_merge, splice_late, upsert
 from ..operators.spine import date_spine_of
 from ..operators.windows import cumulative, delta, pct_change, periods, prior, rank_in, rolling, with_rank
-from ..plans import aggregates, checks, dimensions, silver, staging
+from ..plans import aggregates, checks, dimensions, facts, silver, staging
 from ..plans.monitoring import SourceFrames, ingestion_metrics, quarantine_alerts
 from ..plans.pipeline import Catalog, define_gold, flag_by_stored_keys
 from ..plans.refresh import changed_months, refresh_business_monthly
@@ -129,6 +129,12 @@ def pit_join_two_dims(f: Frames) -> DataFrame:
     return f.fact_reviews()
 
 
+@register
+def as_of_join_two_dims(f: Frames) -> DataFrame:
+    """M4 by merging versions and reviews in time order instead of an equi-join with a validity test."""
+    return facts.fact_reviews(staging.stg_reviews(f.reviews()), f.dim_business(), f.dim_user(), join=as_of_join)
+
+
 @register
 def tip_tiers_documents(f: Frames) -> DataFrame:
     """M5 over whole document texts."""
@@ -886,15 +892,15 @@ def yearly_distinct_from_monthly(f: Frames) -> DataFrame:
     """Distinct customers per nation and year from stored monthly bitmaps, and over all years, facts read once."""
     lines = f.table("lineitem").join(f.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     lines = lines.join(f.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-    facts = write_table(
-        lines.select("s_nationkey", F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"), "o_custkey"), f.scratch(), "facts"
+    rows = write_table(
+        lines.select("s_nationkey", F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"), "o_custkey"), f.scratch(), "rows"
     )
-    early = facts.filter("year < 1995")
+    early = rows.filter("year < 1995")
     ids = write_table(number_keys(early, "o_custkey"), f.scratch(), "ids")
     # customers of later loads get ids above those of earlier ones
-    ids = ids.unionByName(write_table(number_keys(facts, "o_custkey", ids), f.scratch(), "later_ids"))
+    ids = ids.unionByName(write_table(number_keys(rows, "o_custkey", ids), f.scratch(), "later_ids"))
     monthly = write_table(
-        distinct_partials(facts.join(ids, "o_custkey"), ["s_nationkey", "year", "month"]), f.scratch(), "monthly", ("year",)
+        distinct_partials(rows.join(ids, "o_custkey"), ["s_nationkey", "year", "month"]), f.scratch(), "monthly", ("year",)
     )
     yearly = distinct_counts(monthly, ["s_nationkey", "year"], "customers")
     ever = distinct_counts(monthly, ["s_nationkey"], "customers").withColumn("year", F.lit(0))
