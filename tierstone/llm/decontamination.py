@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tierstone.llm.common import ascii_lower, free_name, scratch
 
@@ -15,6 +16,8 @@ WINDOW = 10
 #: A near match has this share of a window's words, each at most so many places from where the window has it,
 #: and as many of its pairs of neighbours as that leaves (`near_occurrences`).
 NEAR_SHARE, NEAR_SLOP = 0.8, 1
+#: So many of a window's pairs, the commonest, give no candidates; the others suffice to find every match.
+SPARED_PAIRS = 2
 
 
 def split_words(text: Column) -> Column:
@@ -144,8 +147,9 @@ def near_occurrences(index: DataFrame, sought: Phrases, slop: int = NEAR_SLOP, m
     rarest too, and absent from the corpus. A window of one word matches exactly. A start may lie up to `slop` before the text.
 
     Nothing is missed: all pairs of a match lie within 2 slop + 1 neighbouring diagonals (place in the text less
-    place in the item), and so in one of the stretches of diagonals that are counted, each place in two of them. Where an item
-    has enough pairs on a stretch, its windows' pairs and words are looked up at each start the stretch allows.
+    place in the item), and so in one of the stretches of diagonals that are counted, each place in two of them. A window's
+    commonest pairs are left out of the count and of what it needs. Where an item has enough pairs on a stretch, its windows'
+    pairs and words are looked up at each start the stretch allows.
     """
     postings = index.filter("term_id is not null").select("doc", "pos", "term_id")
     pair_postings = index.filter("pair_id is not null").select("doc", "pos", F.col("pair_id").alias("term_id"))
@@ -155,11 +159,18 @@ def near_occurrences(index: DataFrame, sought: Phrases, slop: int = NEAR_SLOP, m
     left = F.col("len") - 1 - 2 * (F.col("len") - F.col("need"))
     asked = scratch(asked.withColumn("intact", F.when(F.col("len") == 1, 0).otherwise(F.greatest(left, F.lit(1)))), "near-windows")
     windows_of = sought.places.join(asked.select("win", "len", "intact"), "win")
-    least = scratch(windows_of.groupBy("run").agg(F.min("intact").alias("least")), "item-needs")
+    # a window's commonest pairs need not be counted: of the others a match still has so many
+    counts = index.filter("pair_id is not null").groupBy("pair_id").agg(F.count("*").alias("n"))
+    ranked = sought.pairs.join(counts, "pair_id", "left").join(asked.select("win", "intact"), "win")
+    spared = F.least(F.lit(SPARED_PAIRS), F.col("intact") - 1)
+    common = F.row_number().over(Window.partitionBy("win").orderBy(F.desc_nulls_last("n"), "off"))
+    voting = ranked.withColumn("common", common).filter(F.col("common") > spared).select("win", "off", "pair_id")
+    voting = voting.join(sought.places, "win").select("run", (F.col("at") + F.col("off")).alias("at"), F.col("pair_id").alias("term_id"))
+    voting = scratch(voting.distinct(), "voting-pairs")
+    least = scratch(windows_of.groupBy("run").agg(F.min(F.col("intact") - spared).alias("least")), "item-needs")
     width = 2 * slop + 1
     stretch = F.floor((F.col("pos") - F.col("at")) / width)
-    met = pair_postings.join(sought.runs.withColumnRenamed("pair_id", "term_id"), "term_id")
-    met = met.select("doc", "run", "at", F.explode(F.array(stretch, stretch + 1)).alias("stretch"))
+    met = pair_postings.join(voting, "term_id").select("doc", "run", "at", F.explode(F.array(stretch, stretch + 1)).alias("stretch"))
     # places in the item as marks in a long: those of a window, which has at most 64 words, never share one
     marks = F.bit_count(F.bit_or(F.expr("shiftleft(1L, at % 64)"))) if sought.window <= 64 else F.count_distinct("at")
     heard = met.groupBy("doc", "run", "stretch").agg(marks.alias("heard")).join(least, "run").filter("heard >= least")
