@@ -193,9 +193,9 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share:
     rows = docs.withColumn(names["own_hash"], F.xxhash64("text")).withColumn(names["own_scan"], from_part)
     own = ["doc_id", "source", names["own_hash"]]
     rows = rows.withColumn(names["own_key"], F.xxhash64(*own, *[F.col(k).isNull() for k in own[:2]]))
-    same = (F.col(names["own_key"]) == F.col(names["key"])) & (F.col(names["own_scan"]) == F.col(names["scan"]))
-    for mine, theirs in zip(own, keys):
-        same = same & F.col(mine).eqNullSafe(F.col(names[theirs]))
+    # a count of equal columns is no join key: rows are dealt by key and scan alone, which the window below can use too
+    equal = [F.col(mine).eqNullSafe(F.col(names[theirs])).cast("int") for mine, theirs in zip(own, keys)]
+    same = (F.col(names["own_key"]) == F.col(names["key"])) & (F.col(names["own_scan"]) == F.col(names["scan"])) & (equal[0] + equal[1] + equal[2] == 3)
     copies = Window.partitionBy(names["own_key"], names["own_scan"], *own).orderBy(F.lit(0))
     joined = rows.join(of_part, same).withColumn(names["number"], F.row_number().over(copies) + F.col(names["before"]))
     given = joined.withColumn(names["share"], F.filter(names["shares"], lambda s: s["upto"] >= F.col(names["number"]))[0])

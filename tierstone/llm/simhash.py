@@ -255,10 +255,14 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROWS
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     distinct = scratch(narrow.groupBy("fp").agg(F.min(first).alias("first")), "distinct-fingerprints")
     kept = linked_roots(distinct, radius, shard_rows).groupBy("root").agg(F.min("first").alias("first"))
-    names = free_name(docs, "kept_id"), free_name(docs, "kept_hash")
-    kept = scratch(kept.select("first.doc_id", "first.text_hash").toDF(*names), "kept-rows").hint("merge")
-    own, place = free_name(docs, "text_hash"), free_name(docs, "place")
-    same = F.col("doc_id").eqNullSafe(F.col(names[0])) & (F.col(own) == F.col(names[1]))
-    copies = Window.partitionBy("doc_id", own).orderBy(F.lit(0))
-    chosen = docs.withColumn(own, F.xxhash64("text")).join(kept, same, "left_semi").withColumn(place, F.row_number().over(copies))
+    names = [free_name(docs, n) for n in ("kept_id", "kept_hash", "kept_key", "text_hash", "row_key", "place")]
+    kept_id, kept_hash, kept_key, own, key, place = names
+    row_key = lambda doc_id, text_hash: F.xxhash64(doc_id, text_hash, F.col(doc_id).isNull())
+    kept = kept.select(F.col("first.doc_id").alias(kept_id), F.col("first.text_hash").alias(kept_hash))
+    kept = scratch(kept.withColumn(kept_key, row_key(kept_id, kept_hash)), "kept-rows").hint("merge")
+    # a count of equal columns is no join key: rows are dealt by one key, which the window below can use too
+    equal = F.col("doc_id").eqNullSafe(F.col(kept_id)).cast("int") + (F.col(own) == F.col(kept_hash)).cast("int")
+    rows = docs.withColumn(own, F.xxhash64("text")).withColumn(key, row_key("doc_id", own))
+    copies = Window.partitionBy(key, "doc_id", own).orderBy(F.lit(0))
+    chosen = rows.join(kept, (F.col(key) == F.col(kept_key)) & (equal == 2), "left_semi").withColumn(place, F.row_number().over(copies))
     return chosen.filter(F.col(place) == 1).select(*docs.columns)
