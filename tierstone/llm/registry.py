@@ -48,7 +48,9 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one that says control strings, read back from the formatted text."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    values = {"conv_id": F.lit(-1), "turn": F.col("id"), "role": role, "text": F.lit(said)}
+    extra = spark.range(2).select(*[values[f.name].cast(f.dataType).alias(f.name) for f in turns.schema])
     back = chat.read_back(chat.format_conversations(turns.unionByName(extra)))
     newline = F.lit("\n")
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], newline, t["text"], newline)), "")
