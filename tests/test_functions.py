@@ -1,3 +1,4 @@
+import re
 from datetime import date, datetime
 
 import pytest
@@ -97,3 +98,12 @@ def test_hash_tells_null_positions_apart(spark):
 def test_count_when_skips_null(spark):
     df = spark.createDataFrame([(True,), (False,), (None,)], "p boolean")
     assert df.agg(e.count_when(F.col("p"))).first()[0] == 1
+
+
+def test_words_are_counted_in_one_pass(spark):
+    texts = ["a", " \x0b\f\r\n\t ", "a" * 30 + " " * 30, "\r\na\x0bb\fc\u00a0d\u2003e", "w ww $1 \\", "\ud83d\ude00 \x01"]
+    texts = [t.encode("utf-16", "surrogatepass").decode("utf-16") for t in texts]
+    expected = [len([w for w in re.split("[ \t\n\x0b\f\r]+", t) if w]) for t in texts]
+    assert column(spark, ft.word_count("t"), [(t,) for t in texts], "t string") == expected
+    plan = spark.createDataFrame([("a b",)], "t string").select(ft.word_count("t").alias("n"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_replace(") == 1
