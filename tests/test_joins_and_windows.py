@@ -129,3 +129,22 @@ def test_period_windows_share_one_shuffle(spark):
         {"p": windows.prior("n", w), "s": windows.rolling(F.sum, "n", w, 3), "c": windows.cumulative(F.sum, "n", w)}
     )._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def test_days_meet_instants_without_a_conversion_per_pair(spark):
+    """Bounds within a day: the day belongs to the version that is valid as it begins."""
+    bounds = ["2020-01-01 00:00:00", "2020-01-02 10:30:00", "2020-01-04 00:00:00", "2020-01-04 00:00:01", "9999-12-31 00:00:00", None]
+    versions = [("k", i, a, b) for i, (a, b) in enumerate(zip(bounds, bounds[1:]))]
+    versions = spark.createDataFrame(versions, "key string, n int, a string, b string")
+    days = [("k", d) for d in ("2019-12-31", "2020-01-01", "2020-01-02", "2020-01-03", "2020-01-04", "2020-01-05", "9999-12-31", None)]
+    for kind in ("timestamp", "timestamp_ntz"):
+        dim = versions.select("key", "n", F.col("a").cast(kind).alias("valid_from"), F.col("b").cast(kind).alias("valid_to"))
+        fact = spark.createDataFrame(days, "key string, d string").withColumn("day", F.col("d").cast("date"))
+        joined = joins.point_in_time_join(fact, dim, "key", "day", ["n"])
+        assert {r.d: r.n for r in joined.collect()} == {
+            "2019-12-31": None, "2020-01-01": 0, "2020-01-02": 0, "2020-01-03": 1, "2020-01-04": 2, "2020-01-05": 3, "9999-12-31": None, None: None
+        }
+        assert {r.d for r in joins.orphans(fact, dim, "key", "day").collect()} == {"2019-12-31", "9999-12-31", None}
+        for df in (joined, joins.orphans(fact, dim, "key", "day")):
+            found = [line for line in df._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join Left" in line]
+            assert len(found) == 1 and "cast(" not in found[0]
