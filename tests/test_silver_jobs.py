@@ -184,3 +184,23 @@ def test_stored_rejects_meet_their_texts_without_a_shuffle(spark, base):
     assert "BroadcastHashJoin" in plan
     text_side = plan[plan.index("FileScan parquet [business_id"):] if "text" in plan else ""
     assert "hashpartitioning(_line" not in text_side
+
+
+def test_rejects_are_shuffled_once_to_meet_their_texts(spark, base):
+    """Repeats are dropped and texts are met by the same keys; repeated lines come back as often as they are, nulls and all."""
+    review = {"review_id": "x", "business_id": "x", "user_id": None, "stars": 3.5, "text": "go", "date": "2020-02-03"}
+    lines = [review, review, {**review, "business_id": None}, {**review, "text": None}, {**review, "text": "no", "stars": None}, {**review, "stars": -0.0}]
+    raw = bronze(spark, "review", lines)
+    few = silver.metrics_only(raw).filter("text_char_len = 2 and business_id is not null").withColumn("reject_reason", F.lit("r"))
+    few.write.parquet(f"{base}/few")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = silver.with_text(raw, spark.read.parquet(f"{base}/few"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert found.schema[:9] == raw.schema[:9]
+        assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 2
+        got = sorted((r.business_id, r.user_id, r.text, str(r.stars), r.reject_reason) for r in found.collect())
+        assert got == [("x", None, "go", s, "r") for s in ("-0.0", "3.5", "3.5")] + [("x", None, "no", "None", "r")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
