@@ -96,3 +96,17 @@ def test_compaction_of_a_partitioned_table(spark, base):
     assert tables.compact(spark, base, "t", target_bytes=1 << 20)
     table = tables.read_table(spark, base, "t")
     assert len(table.inputFiles()) == 1 and sorted(map(tuple, table.collect())) == [(i, i % 4) for i in range(400)]
+
+
+def test_curve_key_is_woven_bit_by_bit_without_a_loop_per_row(spark):
+    rows = [(i, None if i % 9 == 0 else f"k{i * 7 % 13:02d}") for i in range(80)] + [(None, "k05")]
+    df = spark.createDataFrame(rows, "a int, b string")
+    bounds = {"a": list(range(5, 68)), "b": ["k02", "k05", "k09"]}
+    keyed = df.withColumn("key", clustering.curve_key(bounds))
+
+    def woven(row):
+        ranks = [0 if value is None else sum(cut <= value for cut in cuts) for value, cuts in zip((row.a, row.b), bounds.values())]
+        return sum((rank >> bit & 1) << (bit * 2 + 1 - place) for bit in range(clustering.BITS) for place, rank in enumerate(ranks))
+
+    assert all(r.key == woven(r) for r in keyed.collect())
+    assert "lambda" not in keyed._jdf.queryExecution().analyzed().toString()

@@ -139,3 +139,19 @@ def test_models_that_need_each_other_are_refused(spark, base):
     catalog.save("c", spark.range(1))  # a written table ends the search, but not the circle
     with pytest.raises(ValueError, match="need each other"):
         catalog.order()
+
+
+def test_named_models_take_the_stored_histories(monkeypatch):
+    """The reviews look their keys up in the stored versions, so computing them again for the catalog is a second run."""
+    from types import SimpleNamespace
+
+    from tierstone.workload import queries
+
+    saved = {}
+    fake = SimpleNamespace(save=saved.__setitem__, build=lambda name: None, table=lambda name: name)
+    monkeypatch.setattr(queries, "Catalog", lambda spark, base: fake)
+    monkeypatch.setattr(queries, "define_gold", lambda catalog: None)
+    names = ("business", "users", "reviews", "tips")
+    f = SimpleNamespace(spark=None, scratch=lambda: "base", **{n: (lambda n=n: f"stored {n}") for n in names})
+    assert queries.catalog_names(f) == "gold/agg_business_monthly"
+    assert saved == {f"silver/{n}": f"stored {n}" for n in names}
