@@ -107,3 +107,18 @@ def test_words_are_counted_in_one_pass(spark):
     assert column(spark, ft.word_count("t"), [(t,) for t in texts], "t string") == expected
     plan = spark.createDataFrame([("a b",)], "t string").select(ft.word_count("t").alias("n"))._jdf.queryExecution().analyzed().toString()
     assert plan.count("regexp_replace(") == 1
+
+
+def test_words_of_batches_are_those_of_the_expression(spark):
+    texts = ["", None, " ", "a", " a", "a ", "\na  b\t c ", "b\x0bc\fd\re f g", "één", None, "", "x y"] * 7
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(3)
+    both = rows.select("t", ft.word_count("t").alias("a"), ft.batched_word_count("t").alias("b")).collect()
+    assert len(both) == len(texts) and all(r.a == r.b for r in both)
+
+
+def test_reviews_and_tips_count_words_in_batches(spark):
+    from tierstone.plans.silver import measure_text
+
+    measured = measure_text(spark.createDataFrame([("a b", 1), (None, 2), (" ", 3)], "text string, i int"))
+    assert [tuple(r) for r in measured.select("text_char_len", "text_word_count").orderBy("i").collect()] == [(3, 2), (None, None), (1, 0)]
+    assert "regexp_replace" not in measured._jdf.queryExecution().optimizedPlan().toString()
