@@ -111,3 +111,13 @@ def test_changed_months_hold_old_and_new_places(spark):
     months = refresh.changed_months(spark.createDataFrame([a, b], FACT), spark.createDataFrame([moved], FACT))
     assert {(r.review_year, r.review_month) for r in months.collect()} == {a[-2:], (2012, 5)}
     assert months.filter(F.col("review_year") == 2011).isEmpty()
+
+
+def test_incremental_query_stores_one_copy_of_the_facts(spark, monkeypatch):
+    from tierstone.workload import queries
+    from tierstone.workload.frames import Frames
+
+    names, stored = [], Frames.stored
+    monkeypatch.setattr(Frames, "stored", lambda self, name, df: (names.append(name), stored(self, name, df))[1])
+    assert not queries.QUERIES["incremental_business_monthly"](spark, "/root/testdata/sf0.001").isEmpty()
+    assert [n for n in names if n.endswith("/fact_reviews")] == ["now/fact_reviews"]
