@@ -110,3 +110,18 @@ def test_any_order_of_arrival_equals_the_sorted_history(spark, base, first_from,
     assert sorted(map(str, table.select(*columns).collect())) == want
     for check in (check_valid_window(table), check_no_overlap(table, "k"), check_single_current(table, "k")):
         assert check.isEmpty()
+
+
+@pytest.mark.parametrize("hot_share", [None, 0.2])
+def test_events_are_computed_once(spark, base, frames, hot_share):
+    """The undated events of a left join come out of the same pass over the events."""
+    fact, dimension = frames
+    fact.write.parquet(f"{base}/events")
+    stored = spark.read.parquet(f"{base}/events")
+    joined = as_of_join(stored, dimension, "k", "ts", {"name": "name", "v": "v"}, hot_share=hot_share)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [id") == 1
+    plain = point_in_time_join(fact, dimension, "k", "ts", {"name": "name", "v": "v"})
+    assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+    undated = stored.filter("k is null or ts is null")
+    assert as_of_join(undated, dimension, "k", "ts", ["v"], hot_share=hot_share).filter("v is null").count() == undated.count() > 60

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from .skew import hot_keys, stored
 
-_KEY, _AT, _KIND, _PART, _EVENT, _VERSION, _CUTS, _HOT = (f"_asof_{n}" for n in ("key", "at", "kind", "part", "event", "version", "cuts", "hot"))
+_KEY, _AT, _KIND, _PART, _EVENT, _VERSION, _CUTS, _HOT, _APART = (
+    f"_asof_{n}" for n in ("key", "at", "kind", "part", "event", "version", "cuts", "hot", "apart")
+)
 
 
 def as_of_join(
@@ -30,7 +32,8 @@ def as_of_join(
 
     ``dimension`` has ``key``, ``valid_from`` and ``valid_to``; versions of a key do not overlap. Both sides go through one shuffle
     by key and one sort by time, and the last version seen is carried forward to the events after it. Events with
-    a NULL key or time match nothing and take no part in the sort. ``how`` is ``left`` or ``inner``.
+    a NULL key or time match nothing; they go along in groups of their own, one a task they come from, so that ``fact`` is
+    computed once. ``how`` is ``left`` or ``inner``.
 
     With ``hot_share``, keys that hold at least that share of the events are cut into ``hot_parts`` stretches of time
     with about equally many events each; a version enters every stretch it reaches into, so that each begins with the version
@@ -42,15 +45,20 @@ def as_of_join(
     at = F.col(ts).cast("timestamp")
     dated = F.col(key).isNotNull() & at.isNotNull()
     whole = F.struct(*[F.col(c) for c in fact.columns])
-    events = fact.filter(dated).select(F.col(key).alias(_KEY), at.alias(_AT), F.lit(1).alias(_KIND), whole.alias(_EVENT))
+    taken = fact.filter(dated) if how == "inner" else fact
+    apart = F.lit(-1) if how == "inner" else F.when(dated, F.lit(-1)).otherwise(F.spark_partition_id())
+    events = taken.select(
+        F.when(dated, F.col(key)).alias(_KEY), at.alias(_AT), F.lit(1).alias(_KIND), whole.alias(_EVENT), apart.alias(_APART)
+    )
     ends = F.col("valid_to").cast("timestamp")
     found = F.struct(ends.alias("ends"), *[F.col(c).alias(n) for c, n in renames.items()])
     versions = dimension.filter(F.col(key).isNotNull() & (F.col("valid_from") < F.col("valid_to"))).select(
-        F.col(key).alias(_KEY), F.col("valid_from").cast("timestamp").alias(_AT), F.lit(0).alias(_KIND), found.alias(_VERSION)
+        F.col(key).alias(_KEY), F.col("valid_from").cast("timestamp").alias(_AT), F.lit(0).alias(_KIND), found.alias(_VERSION),
+        F.lit(-1).alias(_APART),
     )
-    by = [_KEY]
+    by = [_KEY, _APART]
     if hot_share is not None:
-        cuts = F.broadcast(_cuts(events, hot_share, hot_parts))  # at most 1 / hot_share rows
+        cuts = F.broadcast(_cuts(events.filter(F.col(_KEY).isNotNull()), hot_share, hot_parts))  # at most 1 / hot_share rows
         events, versions = _in_stretches(events, versions, cuts)
         by.append(_PART)
     merged = events.unionByName(versions, allowMissingColumns=True)
@@ -59,12 +67,7 @@ def as_of_join(
     valid = F.col(_AT) < F.col(f"{_VERSION}.ends")
     if how == "inner":
         carried = carried.filter(valid)
-    out = carried.select(f"{_EVENT}.*", *[F.when(valid, F.col(f"{_VERSION}.{n}")).alias(n) for n in renames.values()])
-    if how == "inner":
-        return out
-    types = {f.name: f.dataType for f in out.schema}
-    rest = fact.filter(~F.coalesce(dated, F.lit(False)))
-    return out.unionByName(rest.select("*", *[F.lit(None).cast(types[n]).alias(n) for n in renames.values()]))
+    return carried.select(f"{_EVENT}.*", *[F.when(valid, F.col(f"{_VERSION}.{n}")).alias(n) for n in renames.values()])
 
 
 def _cuts(events: DataFrame, share: float, parts: int) -> DataFrame:
